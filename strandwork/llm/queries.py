@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm import mixing, sharding
+from strandwork.llm import mixing, quality, sharding, token_file
 from strandwork.llm.common import table
 
 
@@ -41,10 +41,24 @@ FROM p
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.encoded(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op8_sharding": op8_sharding}
+QUERIES = {"op2_mixing": op2_mixing, "op3_quality": op3_quality, "op5_token_file": op5_token_file, "op8_sharding": op8_sharding}
 SQL = {"op2_mixing": OP2_SQL}
