@@ -6,6 +6,8 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +57,25 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, so that its functions load there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parents[1]
+    target = f"{tempfile.mkdtemp(prefix='strandwork-')}/{root.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for p in sorted(root.rglob("*.py")):
+            out.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

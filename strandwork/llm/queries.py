@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm import mixing, quality, sharding, token_file
+from strandwork.llm import decontaminate, mixing, near_dedup, quality, sharding, token_file
 from strandwork.llm.common import table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -45,6 +49,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "covered_words", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -60,5 +69,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_quality": op3_quality, "op5_token_file": op5_token_file, "op8_sharding": op8_sharding}
+QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
+    "op4_decontamination": op4_decontamination,
+    "op5_token_file": op5_token_file,
+    "op8_sharding": op8_sharding,
+}
 SQL = {"op2_mixing": OP2_SQL}
