@@ -144,12 +144,17 @@ def text_slices(column: pa.Array, most: int = 8 << 20):
         i = j
 
 
-def words(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(64-bit hash, begin, end, document) of each word of the texts, in order; bounded pieces, no Python per word."""
+def words(buf: np.ndarray, starts: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hash, begin, end, document) of each word of the texts, in order; bounded pieces, no Python per word.
+
+    cuts: bytes before which a word is cut as well.
+    """
     power, inverse = _powers()
     n = len(buf)
     edge = np.zeros(n + 1, bool)
     edge[starts] = True
+    if cuts is not None:
+        edge[:n] |= cuts
     hashes, begins, ends = [], [], []
     at = 0
     while at < n:

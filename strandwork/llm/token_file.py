@@ -11,6 +11,7 @@ Spark writes to can hold; parts are ranges of doc_id in ascending order.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,15 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm.common import new_path, shuffle_parts, text_buffer, text_slices, words, written
+from strandwork.llm.common import ASCII_LOWER, new_path, shuffle_parts, text_buffer, text_slices, words, written
 
 END_ID = 1
 MAGIC = b"SRNS"
 SCALE = 20
-LANES = 256
-CHECKPOINT = 128
+LANES = 1024
+CHECKPOINT = 256
 #: A block closes at the first document that takes it to so many ids; a longer document is a block of its own.
-BLOCK_IDS = 1 << 17
+BLOCK_IDS = 1 << 19
 _LOW = np.uint64(1 << 31)
 _U = np.uint64
 
@@ -146,40 +147,88 @@ def unpack_block(coder: Coder, block: bytes) -> tuple[list[int | None], np.ndarr
 # --- tokenizing ------------------------------------------------------------------------------------------------------
 
 
+_ALNUM, _PUNCT = np.zeros(256, bool), np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_PUNCT[[c for c in range(33, 127) if not _ALNUM[c] and c != 39]] = True
+_LETTERS = np.zeros(256, bool)  # bytes of words that are one run of letters, or that count as such until checked
+_LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
 class WordIds:
-    """Ids of words: the tokenizer runs once for each different word that the cache does not hold.
+    """Ids of texts: the tokenizer runs once for each different word that the cache does not hold.
 
-    Sound for tokenizers that drop white space and never join across it; split at ASCII white space only.
+    For tokenizers that lower-case, drop white space, part letters from punctuation and end every run with an id that is
+    marked as a word end. Texts are cut at ASCII white space and between an ASCII letter or digit and ASCII punctuation
+    (but for the apostrophe), and ASCII letters count as their lower case: nothing that such a tokenizer would join. Where a
+    special token's text occurs, words stay as they are.
     """
 
-    MOST = 400_000
+    MOST = 1_500_000
+    TOGETHER = 64
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.vocab = self.tokenizer.get_vocab_size()
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.vocab = max(vocab.values()) + 1
+        self.ends = np.zeros(self.vocab, bool)
+        self.ends[[k for t, k in vocab.items() if t.endswith("</w>")]] = True
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        """keys: sorted and new."""
-        parts = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        got = [e.ids for e in parts]
-        n = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for g in got for i in g), np.uint32, int(n.sum()))
-        at = len(self.ids) + np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, flat])
+        self.keys, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, raw: list[bytes]) -> None:
+        """keys: sorted and new. Plain words go to the tokenizer many at a time and are told apart by their word ends."""
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        begin = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(raw) else size
+        plain = np.logical_and.reduceat(_LETTERS[np.frombuffer(b"".join(raw), np.uint8)], begin) & (size < 256)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        many = np.flatnonzero(plain)
+        n = np.zeros(len(raw), np.int64)
+        flat: list[np.ndarray] = []
+        groups = [many[i : i + self.TOGETHER] for i in range(0, len(many), self.TOGETHER)]
+        for group, ids in zip(groups, self._ids([b" ".join([raw[k] for k in g]).decode() for g in groups]), strict=True):
+            got = np.array(ids, np.uint32)
+            stop = np.flatnonzero(self.ends[got]) + 1
+            if len(stop) == len(group) and (not len(stop) or stop[-1] == len(got)):
+                n[group] = np.diff(stop, prepend=0)
+                flat.append(got)
+            else:  # a word of several runs: this group word by word
+                each = self._ids([raw[k].decode() for k in group])
+                n[group] = [len(x) for x in each]
+                flat += [np.array(x, np.uint32) for x in each]
+        rest = np.flatnonzero(~plain)
+        each = self._ids([raw[k].decode() for k in rest])
+        n[rest] = [len(x) for x in each]
+        flat += [np.array(x, np.uint32) for x in each]
+        at = np.empty(len(raw), np.int64)
+        stop = np.cumsum(n[order])
+        at[order] = len(self.ids) + stop - n[order]
+        self.ids = np.concatenate([self.ids, *flat])
         every = np.concatenate([self.keys, keys])
         order = np.argsort(every, kind="stable")
-        self.keys, self.at, self.n = every[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
+        self.keys, self.at, self.n = every[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n.astype(np.int32)])[order]
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text (null: none)."""
         buf, starts = text_buffer(column)
-        h, begin, end, doc = words(buf, starts)
+        lower = ASCII_LOWER[buf]
+        cuts = None
+        if any(t in lower.tobytes() for t in self.special):
+            self._clear()  # words as they are must not meet cached parts
+        elif len(buf):
+            alnum, punct = _ALNUM[buf], _PUNCT[buf]
+            cuts = np.zeros(len(buf), bool)
+            cuts[1:] = (alnum[1:] & punct[:-1]) | (punct[1:] & alnum[:-1])
+            buf = lower
+        h, begin, end, doc = words(buf, starts, cuts)
         keys, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         new = self.keys[place] != keys if len(self.keys) else np.ones(len(keys), bool)
@@ -188,11 +237,13 @@ class WordIds:
                 self._clear()
                 new[:] = True
             raw = buf.tobytes()
-            self._learn(keys[new], [raw[begin[k] : end[k]].decode() for k in first[new]])
+            self._learn(keys[new], [raw[begin[k] : end[k]] for k in first[new]])
             place = np.searchsorted(self.keys, keys)
         n = self.n[place][inverse] if len(keys) else np.zeros(0, np.int64)
-        stop = np.cumsum(n)
+        stop = np.cumsum(n, dtype=np.int64)
         flat = self.ids[np.repeat(self.at[place][inverse] - (stop - n), n) + np.arange(int(stop[-1]))] if len(n) else np.zeros(0, np.uint32)
+        if cuts is None:
+            self._clear()
         edge = np.concatenate([[0], stop])[np.searchsorted(doc, np.arange(len(starts)))]
         return [flat[edge[i] : edge[i + 1]] for i in range(len(starts) - 1)]
 
@@ -210,19 +261,27 @@ def _word_ids(path: str) -> WordIds:
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id and ids (little-endian 32-bit, zstandard) of every whole text; null texts are empty; end_id closes each."""
+    """doc_id and ids (little-endian, ``width`` bytes each, zstandard) of every whole text; null texts are empty; end_id closes each.
+
+    Each task adds one row of ``width`` 0: how often each id occurred in it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         coder, press = _word_ids(tokenizer_path), zstandard.ZstdCompressor(level=3)
         small = np.uint16 if max(coder.vocab, end_id + 1) <= 1 << 16 else np.uint32
+        total = np.zeros(max(coder.vocab, end_id + 1), np.int64)
+        end = np.array([end_id], small)
         for batch in batches:
             text, key = batch.column("text"), batch.column("doc_id")
-            for i, j in text_slices(text):
-                end = np.array([end_id], small)
-                out = [press.compress(np.concatenate([x.astype(small), end]).astype(small).tobytes()) for x in coder.encode(text.slice(i, j - i))]
+            for i, j in text_slices(text, 4 << 20):
+                found = coder.encode(text.slice(i, j - i))
+                total[end_id] += len(found)
+                total += np.bincount(np.concatenate(found), minlength=len(total))
+                out = [press.compress(np.concatenate([x.astype(small), end]).tobytes()) for x in found]
                 yield pa.RecordBatch.from_arrays([key.slice(i, j - i), pa.array([small().itemsize] * len(out), pa.int32()), pa.array(out, pa.binary())], ["doc_id", "width", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int32()), pa.array([press.compress(total.astype("<i8").tobytes())], pa.binary())], ["doc_id", "width", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, width int, ids binary")
 
@@ -236,21 +295,21 @@ def _ids_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def _counts(tokens: DataFrame) -> np.ndarray:
-    """How often each id occurs in all documents: summed by task, then by id; as many rows as the vocabulary has."""
+    """How often each id occurs in all documents: the tasks' counts, summed by id; as many rows as the vocabulary has."""
 
     def run(batches):
-        total = np.zeros(0, np.int64)
+        import zstandard
+
+        total = None
         for batch in batches:
-            for ids in _ids_of(batch):
-                if len(ids):
-                    more = np.bincount(ids)
-                    if len(more) > len(total):
-                        total = np.concatenate([total, np.zeros(len(more) - len(total), np.int64)])
-                    total[: len(more)] += more
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["id", "n"])
-
-    rows = tokens.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+            for packed in batch.column("ids"):
+                more = np.frombuffer(zstandard.decompress(packed.as_buffer()), "<i8")
+                total = more if total is None else total + more
+        if total is not None:
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["id", "n"])
+
+    rows = tokens.where("width = 0").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, np.int64)
     out[rows["id"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out
@@ -290,7 +349,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID)
         if keys:
             yield block()
 
-    ranged = tokens.repartitionByRange(shuffle_parts(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    ranged = tokens.where("width > 0").repartitionByRange(shuffle_parts(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
     ranged.mapInArrow(encode, "part int, before long, n_ids long, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
 
 
