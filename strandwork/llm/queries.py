@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm import decontaminate, mixing, near_dedup, quality, sharding, token_file
+from strandwork.llm import decontaminate, html_content, mixing, near_dedup, quality, sharding, token_file
 from strandwork.llm.common import table
 
 
@@ -69,6 +69,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
 
 
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mixing": op2_mixing,
@@ -76,5 +81,6 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_token_file": op5_token_file,
     "op8_sharding": op8_sharding,
+    "op10_html_extraction": op10_html_extraction,
 }
 SQL = {"op2_mixing": OP2_SQL}
