@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm import decontaminate, html_content, mixing, near_dedup, quality, sharding, token_file
+from strandwork.llm import decontaminate, embedding_dedup, html_content, mixing, near_dedup, quality, sharding, token_file
 from strandwork.llm.common import table
 
 
@@ -64,6 +64,10 @@ def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.encoded(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
@@ -80,6 +84,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_decontamination": op4_decontamination,
     "op5_token_file": op5_token_file,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op8_sharding": op8_sharding,
     "op10_html_extraction": op10_html_extraction,
 }
