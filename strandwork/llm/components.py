@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,3 +36,27 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) pairs that span the same components as the true entries of a matrix."""
+    open_rows, open_cols = linked.any(1), linked.any(0)
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for start in np.flatnonzero(open_rows):
+        if not open_rows[start]:
+            continue
+        rows = np.array([start])
+        open_rows[start] = False
+        while len(rows):
+            cols = np.flatnonzero(linked[rows].any(0) & open_cols)
+            if not len(cols):
+                break
+            open_cols[cols] = False
+            out.append((rows[linked[np.ix_(rows, cols)].argmax(0)], cols))
+            rows = np.flatnonzero(linked[:, cols].any(1) & open_rows)
+            open_rows[rows] = False
+            out.append((rows, cols[linked[np.ix_(rows, cols)].argmax(1)]))
+    if not out:
+        z = np.zeros(0, np.int64)
+        return z, z
+    return np.concatenate([r for r, _ in out]), np.concatenate([c for _, c in out])

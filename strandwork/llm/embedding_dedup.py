@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandwork.llm.common import written
-from strandwork.llm.components import components
+from strandwork.llm.components import components, forest
 
 COSINE = 0.98
 TARGET_RECALL = 0.995
@@ -115,30 +115,6 @@ def _stacked(column: pd.Series) -> np.ndarray:
     return unit(np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1))
 
 
-def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) pairs that span the same components as the true entries of a matrix."""
-    open_rows, open_cols = linked.any(1), linked.any(0)
-    out: list[tuple[np.ndarray, np.ndarray]] = []
-    for start in np.flatnonzero(open_rows):
-        if not open_rows[start]:
-            continue
-        rows = np.array([start])
-        open_rows[start] = False
-        while len(rows):
-            cols = np.flatnonzero(linked[rows].any(0) & open_cols)
-            if not len(cols):
-                break
-            open_cols[cols] = False
-            out.append((rows[linked[np.ix_(rows, cols)].argmax(0)], cols))
-            rows = np.flatnonzero(linked[:, cols].any(1) & open_rows)
-            open_rows[rows] = False
-            out.append((rows, cols[linked[np.ix_(rows, cols)].argmax(1)]))
-    if not out:
-        z = np.zeros(0, np.int64)
-        return z, z
-    return np.concatenate([r for r, _ in out]), np.concatenate([c for _, c in out])
-
-
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     """One block of a cell's vectors and one of its visitors: (a, null, links) sums and (a, b, 0) forest edges."""
     home, guest = pdf[pdf["home"]], pdf[~pdf["home"]]
@@ -149,7 +125,7 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     linked = (_stacked(guest["vector"]) @ _stacked(home["vector"]).T >= COSINE) & (gid[:, None] != hid)
     if not linked.any():
         return none
-    r, c = _forest(linked)
+    r, c = forest(linked)
     # A pair that is seen from both sides counts where the smaller id visits.
     visited = np.array(home["cells"].tolist())
     guest_home = guest["own"].to_numpy()
