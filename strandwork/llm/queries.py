@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm import decontaminate, embedding_dedup, html_content, mixing, near_dedup, quality, sharding, token_file
+from strandwork.llm import decontaminate, embedding_dedup, html_content, lm_score, mixing, near_dedup, quality, sharding, token_file
 from strandwork.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(table(spark, sf_dir, "pages"))
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op5_token_file": op5_token_file,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op8_sharding": op8_sharding,
+    "op9_lm_score": op9_lm_score,
     "op10_html_extraction": op10_html_extraction,
 }
 SQL = {"op2_mixing": OP2_SQL}
