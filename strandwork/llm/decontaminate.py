@@ -31,6 +31,11 @@ for _c in b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~":
     _PLAIN[_c] = 32
 
 
+def plain_bytes(buf: np.ndarray) -> np.ndarray:
+    """Lower case, ASCII punctuation as white space."""
+    return _PLAIN[buf]
+
+
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of each word."""
     buf, starts = text_buffer(column)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm import decontaminate, embedding_dedup, html_content, lm_score, mixing, near_dedup, quality, sharding, token_file
+from strandwork.llm import decontaminate, embedding_dedup, html_content, license_scan, lm_score, mixing, near_dedup, quality, sharding, token_file
 from strandwork.llm.common import table
 
 
@@ -68,6 +68,13 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths: source, language and id stand for directories and a file name."""
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    found = license_scan.scan(table(spark, sf_dir, "documents"), path)
+    return found.select("doc_id", "licence", "similarity", "line", F.array_join("found", ",").alias("found"), "licence_file", "inherited", "inherited_from")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
@@ -89,6 +96,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_token_file": op5_token_file,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_sharding": op8_sharding,
     "op9_lm_score": op9_lm_score,
     "op10_html_extraction": op10_html_extraction,
