@@ -31,7 +31,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
 
     The k-th source by code point (null last) has weight ``weights[k mod n]``. Targets share the sum of all sizes by
     weight; none exceeds MOST_TIMES its source's size, and what is above is shared anew by weight. With sources in
-    the order of cap/weight, those that reach their cap come first, so one running sum finds the common level of the rest.
+    the order of cap/weight, those that reach their cap come first, so one running sum finds the common level of the rest: the highest that its own rows can take.
     The windows run over one row a source.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
@@ -44,7 +44,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
     total = F.sum("source_size").over(Window.partitionBy()).cast("double")
     level = (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after)
     staged = rated.withColumn("level", level)
-    final = F.min(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(Window.partitionBy())
+    final = F.max(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(Window.partitionBy())
     return staged.withColumn("final", final).select(
         *own, "source", "source_size", F.when(F.col("weight") * F.col("final") < F.col("cap"), F.col("weight") * F.col("final")).otherwise(F.col("cap")).alias("target")
     )

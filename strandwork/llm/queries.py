@@ -32,7 +32,7 @@ l AS (
       - coalesce(sum(cap) OVER (ORDER BY cap / weight ASC, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
       / sum(weight) OVER (ORDER BY cap / weight ASC, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM c),
-f AS (SELECT *, min(CASE WHEN level <= cap / weight THEN level END) OVER () AS final FROM l),
+f AS (SELECT *, max(CASE WHEN level <= cap / weight THEN level END) OVER () AS final FROM l),
 t AS (SELECT source, source_size, CASE WHEN weight * final < cap THEN weight * final ELSE cap END AS target FROM f),
 p AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
