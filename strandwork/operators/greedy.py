@@ -1,0 +1,23 @@
+"""Order-dependent filters inside the JVM: one fold over a group's rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def greedy_keep(df: DataFrame, keys: list[str], order: list[str], compared: list[str], meets: Callable[[Column, Column], Column]) -> DataFrame:
+    """Goes through each group in ``order`` and keeps a row unless meets(kept, row) holds for one kept before it.
+
+    Groups are reads or genes' id clusters: small by nature, as the rows of one group are folded in one place. All other
+    columns ride along; ``order`` should be total.
+    """
+    own = df.columns
+    row = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order)], *[F.col(c).alias(f"c_{c}") for c in compared], F.struct(*own).alias("row"))
+    grouped = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    fields = lambda x: {c: x[f"c_{c}"] for c in compared}
+    empty = F.slice("rows", 1, 0)
+    kept = F.aggregate("rows", empty, lambda acc, x: F.when(F.exists(acc, lambda k: meets(fields(k), fields(x))), acc).otherwise(F.concat(acc, F.array(x))))
+    return grouped.select(F.explode(kept).alias("x")).select("x.row.*")
