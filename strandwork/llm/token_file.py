@@ -318,7 +318,7 @@ def _counts(tokens: DataFrame) -> np.ndarray:
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID) -> None:
     """Tokenizes ``docs`` (doc_id, text, any more columns) and writes path/table and path/blocks in ascending doc_id order.
 
-    Null doc_ids come first; rows of equal doc_id in the order of their ids. An empty table writes no blocks.
+    Null doc_ids come first; rows of equal doc_id in the order of their stored bytes. An empty table writes no blocks.
     """
     spark = docs.sparkSession
     tokens = written(tokenized(docs, tokenizer_path, end_id), "token-ids")
