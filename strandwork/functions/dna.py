@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import product
 
 from pyspark.sql import Column
@@ -15,6 +16,11 @@ IUPAC = {"AG": "R", "CT": "Y", "CG": "S", "AT": "W", "GT": "K", "AC": "M", "CGT"
 CODONS = {"".join(c): a for c, a in zip(product(BASES, repeat=3), AMINO_ACIDS, strict=True)} | {"---": "-"}
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with ``value`` worked out once however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def reverse_complement(seq: Column) -> Column:
     """X1. Letters other than A, C, G, T and N stay."""
     return F.translate(F.reverse(seq), "ACGTN", "TGCAN")
@@ -27,20 +33,29 @@ def strand_key(seq: Column) -> Column:
 
 def codons(seq: Column) -> Column:
     """The complete triplets of a sequence, from its first letter on."""
-    n = F.floor(F.length(seq) / 3).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(seq, (i - 1) * 3 + 1, 3))).otherwise(F.array().cast("array<string>"))
+
+    def cut(s: Column) -> Column:
+        n = F.floor(F.length(s) / 3).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(s, (i - 1) * 3 + 1, 3))).otherwise(F.array().cast("array<string>"))
+
+    return let(seq, cut)
 
 
 def translated(seq: Column) -> Column:
     """X2. Amino acids of the complete codons; unknown ones are X."""
-    table = F.create_map(*[F.lit(x) for pair in CODONS.items() for x in pair])
-    return F.array_join(F.transform(codons(seq), lambda c: F.coalesce(F.element_at(table, c), F.lit("X"))), "")
+
+    def acid(c: Column) -> Column:
+        at = [F.position(F.substring(c, k, 1), F.lit(BASES)) for k in (1, 2, 3)]
+        code = (at[0] - 1) * 16 + (at[1] - 1) * 4 + at[2]
+        return F.when(F.least(*at) > 0, F.substring(F.lit(AMINO_ACIDS), code, F.lit(1))).when(c == "---", "-").otherwise("X")
+
+    return F.array_join(F.transform(codons(seq), acid), "")
 
 
 def framed(seq: Column, frame: Column) -> Column:
     """X3. The sequence as read in frame 1 to 3 or, of the other strand, -1 to -3."""
     strand = F.when(frame < 0, reverse_complement(seq)).otherwise(seq)
-    return F.substring(strand, F.abs(frame), F.length(strand))
+    return let(strand, lambda s: F.substring(s, F.abs(frame), F.length(s)))
 
 
 def iupac(bases: Column) -> Column:
@@ -58,8 +73,8 @@ def stop_to_x(aa: Column) -> Column:
 def stops_masked(nt: Column) -> Column:
     """X10 for codons: stop codons become NNN; a rest of one or two letters stays."""
     stops = F.array(*[F.lit(c) for c, a in CODONS.items() if a == "*"])
-    whole = F.array_join(F.transform(codons(nt), lambda c: F.when(F.array_contains(stops, c), F.lit("NNN")).otherwise(c)), "")
-    return F.concat(whole, F.substring(nt, F.floor(F.length(nt) / 3).cast("int") * 3 + 1, 2))
+    whole = lambda s: F.array_join(F.transform(codons(s), lambda c: F.when(F.array_contains(stops, c), F.lit("NNN")).otherwise(c)), "")
+    return let(nt, lambda s: F.concat(whole(s), F.substring(s, F.floor(F.length(s) / 3).cast("int") * 3 + 1, 2)))
 
 
 def codon_positions(nt: Column, keep: tuple[int, ...]) -> Column:
@@ -70,13 +85,21 @@ def codon_positions(nt: Column, keep: tuple[int, ...]) -> Column:
 def entropy(seq: Column, letters: str = "ACGT") -> Column:
     """F4. Shannon entropy of the given letters over log2 of their number: 0 for one letter only, null without any."""
 
-    def of(s: Column) -> Column:
-        count = [F.length(s) - F.length(F.replace(s, F.lit(x), F.lit(""))) for x in letters]
-        total = sum(count[1:], count[0])
-        parts = [F.when(c > 0, -(c / total) * F.log2(c / total)).otherwise(0.0) for c in count]
-        return F.when(total > 0, sum(parts[1:], parts[0]) / F.log2(F.lit(float(len(letters)))))
+    def of(count: Column) -> Column:
+        total = F.aggregate(count, F.lit(0), lambda a, c: a + c)
+        part = F.transform(count, lambda c: F.when(c > 0, -(c / total) * F.log2(c / total)).otherwise(0.0))
+        return F.when(total > 0, F.aggregate(part, F.lit(0.0), lambda a, x: a + x) / F.log2(F.lit(float(len(letters)))))
+
+    counts = let(seq, lambda s: F.transform(F.array(*map(F.lit, letters)), lambda x: F.length(s) - F.length(F.replace(s, x, F.lit("")))))
+    return let(counts, of)
+
+
+def _cutter(pattern: str) -> Callable[[Column], Column]:
+    def cut(s: Column) -> Column:
+        n = F.floor(F.length(F.regexp_extract(s, pattern, 1)) / 3).cast("int") * 3
+        return F.substring(s, n + 1, F.length(s)) if pattern[0] == "^" else F.substring(s, F.lit(1), F.length(s) - n)
 
-    return F.element_at(F.transform(F.array(seq), of), 1)  # so that seq itself is worked out once
+    return cut
 
 
 def homopolymer_trimmed(seq: Column, least: int = 9) -> Column:
@@ -85,6 +108,5 @@ def homopolymer_trimmed(seq: Column, least: int = 9) -> Column:
     Cuts have a multiple of three letters, so the reading frame stays.
     """
     for pattern in (rf"^((.)\2{{{least - 1},}})", rf"((.)\2{{{least - 1},}})$", rf"^((..)\2{{{(least + 1) // 2 - 1},}})", rf"((..)\2{{{(least + 1) // 2 - 1},}})$"):
-        cut = F.floor(F.length(F.regexp_extract(seq, pattern, 1)) / 3).cast("int") * 3
-        seq = F.substring(seq, cut + 1, F.length(seq)) if pattern[0] == "^" else F.substring(seq, F.lit(1), F.length(seq) - cut)
+        seq = let(seq, _cutter(pattern))
     return seq

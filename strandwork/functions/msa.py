@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strandwork.functions.dna import let
+
 
 def data_start(seq: Column, gap: str = "-") -> Column:
     """X4. The place (from 0) of the first letter that is no gap."""
@@ -28,8 +30,12 @@ def coverage(seq: Column, gaps: str = "-?X") -> Column:
 
 def inner_gaps(seq: Column, gap: str = "-", mark: str = "?") -> Column:
     """X9. Gaps between the first and the last letter of data become ``mark``."""
-    s, e = data_start(seq, gap), data_end(seq, gap)
-    return F.when(e > s, F.concat(F.substring(seq, F.lit(1), s), F.replace(F.substring(seq, s + 1, e - s), F.lit(gap), F.lit(mark)), F.substring(seq, e + 1, F.length(seq)))).otherwise(seq)
+
+    def of(x: Column) -> Column:
+        s, e = data_start(x, gap), data_end(x, gap)
+        return F.when(e > s, F.concat(F.substring(x, F.lit(1), s), F.replace(F.substring(x, s + 1, e - s), F.lit(gap), F.lit(mark)), F.substring(x, e + 1, F.length(x)))).otherwise(x)
+
+    return let(seq, of)
 
 
 def masked(seq: Column, places: Column, mark: str = "-") -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandwork.functions.dna import let
 from strandwork.functions.msa import coverage
 from strandwork.operators.selecting import best_rows
 
@@ -90,5 +91,5 @@ def merged_name(rows: DataFrame, by: list[str], reference: str, node: str) -> Da
 
 def kmer_similarity(a: Column, b: Column, k: int) -> Column:
     """A34. Shared different k-mers over those of the text with fewer; null if a text is too short."""
-    grams = lambda s: F.when(F.length(s) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, F.lit(k)))))
-    return F.size(F.array_intersect(grams(a), grams(b))) / F.least(F.size(grams(a)), F.size(grams(b)))
+    grams = lambda s: let(s, lambda t: F.when(F.length(t) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - k + 1), lambda i: F.substring(t, i, F.lit(k))))))
+    return let(F.struct(grams(a).alias("a"), grams(b).alias("b")), lambda g: F.size(F.array_intersect(g["a"], g["b"])) / F.least(F.size(g["a"]), F.size(g["b"])))

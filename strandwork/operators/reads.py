@@ -1,7 +1,8 @@
 """Preparing reads: cutting, chunking, classifying, de-duplicating."""
 
-from __future__ import annotations
+import re
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,15 +17,14 @@ def long_enough(reads: DataFrame, least: int = 90) -> DataFrame:
 
 def split_at_n(reads: DataFrame, least: int = 90) -> DataFrame:
     """X11. The parts between runs of N with at least ``least`` letters: part (from 0), offset in the read, seq."""
-    parts = F.filter(F.split("seq", "N"), lambda x: F.lit(True))
-    place = F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<offset:int,seq:string>>").alias("out")),
-        lambda acc, x: F.struct((acc["at"] + F.length(x) + 1).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("offset"), x.alias("seq")))).alias("out")),
-        lambda acc: acc["out"],
-    )
+    pattern = re.compile(f"[^N]{{{max(least, 1)},}}")
+
+    @F.pandas_udf("array<struct<offset:int,seq:string>>")
+    def parts(seq: pd.Series) -> pd.Series:
+        return seq.map(lambda s: [(m.start(), m[0]) for m in pattern.finditer(s)] if s else [])
+
     rest = [c for c in reads.columns if c != "seq"]
-    cut = reads.select(*rest, F.explode(F.filter(place, lambda p: F.length(p["seq"]) >= least)).alias("p"))
+    cut = reads.select(*rest, F.explode(parts("seq")).alias("p"))
     return cut.select(*rest, F.col("p.offset").alias("offset"), F.col("p.seq").alias("seq"))
 
 
