@@ -2,8 +2,9 @@
 
 Two zstandard dictionaries are built from labelled text, one from good and one from bad documents. A text is cut into
 blocks of BLOCK bytes, so that a dictionary matters as much at the end of a long text as in a short one, and every block is
-compressed with either. The evidence is (bytes with the bad dictionary - bytes with the good one) / bytes of the text; a
-logistic curve, fitted on labelled documents that neither dictionary has seen, turns it into a probability.
+compressed with either. The evidence is (bytes with the bad dictionary - bytes with the good one) / bytes of the text, where
+every text counts as having PRIOR_BYTES more bytes of average evidence, as a short text says little; a logistic curve,
+fitted on labelled documents that neither dictionary has seen, turns it into a probability.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ SAMPLE_BLOCKS = 8
 #: Every so many-th sampled document calibrates, the others make the dictionaries.
 CALIBRATE_EVERY = 4
 REJECT_BELOW = 0.7
+PRIOR_BYTES = 256
 
 
 @dataclass(frozen=True)
@@ -37,11 +39,12 @@ class Model:
 
     good: bytes
     bad: bytes
+    mean: float
     slope: float
     offset: float
 
     def score(self, text: bytes) -> float:
-        z = self.slope * evidence(self.good, self.bad, text) + self.offset
+        z = self.slope * evidence(self.good, self.bad, text, self.mean) + self.offset
         return 1 / (1 + math.exp(-min(50.0, max(-50.0, z))))
 
 
@@ -58,12 +61,15 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def evidence(good: bytes, bad: bytes, text: bytes) -> float:
-    """Above 0: the good dictionary fits better; 0 for an empty text."""
-    if not text:
-        return 0.0
+def gain(good: bytes, bad: bytes, text: bytes) -> int:
+    """Bytes that the good dictionary saves over the bad one."""
     by_good, by_bad = _compressor(good).compress, _compressor(bad).compress
-    return sum(len(by_bad(b)) - len(by_good(b)) for b in blocks(text)) / len(text)
+    return sum(len(by_bad(b)) - len(by_good(b)) for b in blocks(text))
+
+
+def evidence(good: bytes, bad: bytes, text: bytes, mean: float) -> float:
+    """The higher, the better the good dictionary fits; ``mean`` for an empty text."""
+    return (gain(good, bad, text) + PRIOR_BYTES * mean) / (len(text) + PRIOR_BYTES)
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -130,15 +136,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         else:
             train[r["quality"]] += [bytes(b) for b in r["blocks"] if b]
     good, bad = _dictionary(train[1]), _dictionary(train[0])
-    x = np.array([evidence(good, bad, t) for _, t in test])
-    return Model(good, bad, *_curve(x, np.array([q for q, _ in test], float), share))
+    y = np.array([q for q, _ in test], float)
+    each = np.array([gain(good, bad, t) / max(1, len(t)) for _, t in test])
+    mean = 0.0
+    if len(y) and y.min() < y.max():
+        mean = float(share * np.median(each[y == 1]) + (1 - share) * np.median(each[y == 0]))
+    return Model(good, bad, mean, *_curve(np.array([evidence(good, bad, t, mean) for _, t in test]), y, share))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores every whole text of ``docs``.
 
     Returns doc_id, held_out (never learned from: crc32 of the id mod 4 is 2; false for a null id), score and predicted
-    (1 if score >= REJECT_BELOW). Null and empty texts get the score of evidence 0. Equal texts score alike. Without
+    (1 if score >= REJECT_BELOW). Null and empty texts get the score of average evidence. Equal texts score alike. Without
     labels of both classes every score is the smoothed share of good labels. Other columns are not read.
     """
     spark = docs.sparkSession
