@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from strandwork.llm.common import ASCII_LOWER, grams, text_buffer, text_slices, words
 
 MIN_MATCH = 3
-COVERAGE = 0.5
+COVERAGE = 0.6
 BLOCK_BYTES = 4 << 20
 
 _PLAIN = ASCII_LOWER.copy()
