@@ -12,10 +12,12 @@ from strandwork.functions.msa import data_end, data_start
 
 def placed(msa: DataFrame, *carry: str, span_only: bool = False) -> DataFrame:
     """(carry…, place from 0, ch) of each letter; span_only: only places between a row's first and last letter of data."""
-    letters = msa.select(*carry, "seq", F.posexplode(F.filter(F.split("seq", ""), lambda c: c != "")).alias("place", "ch"))
-    if span_only:
-        letters = letters.where((F.col("place") >= data_start(F.col("seq"))) & (F.col("place") < data_end(F.col("seq"))))
-    return letters.drop("seq")
+    letters = F.filter(F.split("seq", ""), lambda c: c != "")
+    if not span_only:
+        return msa.select(*carry, F.posexplode(letters).alias("place", "ch"))
+    rows = msa.withColumns({"__s": data_start(F.col("seq")), "__e": data_end(F.col("seq"))}).where("__e > __s")
+    inside = rows.select(*carry, "__s", F.posexplode(F.slice(letters, F.col("__s") + 1, F.col("__e") - F.col("__s"))).alias("place", "ch"))
+    return inside.withColumn("place", F.col("place") + F.col("__s")).drop("__s")
 
 
 def consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = None) -> DataFrame:
@@ -29,8 +31,9 @@ def consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = No
 
 def _joined(letters: DataFrame, by: str, fill: str) -> DataFrame:
     """Letters by place as one text for each group: alignments are at most some thousand columns wide."""
-    text = letters.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("place", "ch"))).alias("m"), F.max("place").alias("last"))
-    return text.select(by, F.array_join(F.transform(F.sequence(F.lit(0), "last"), lambda k: F.coalesce(F.element_at("m", k), F.lit(fill))), "").alias("consensus"))
+    text = letters.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("place", "ch"))).alias("m"))
+    missing = lambda x, i: F.repeat(F.lit(fill), x["place"] - F.coalesce(F.get("m", i - 1)["place"], F.lit(-1)) - 1)
+    return text.select(by, F.array_join(F.transform("m", lambda x, i: F.concat(missing(x, i), x["ch"])), "").alias("consensus"))
 
 
 def codon_consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = None) -> DataFrame:
@@ -58,8 +61,9 @@ def without_empty_columns(msa: DataFrame, by: str, gap: str = "-") -> DataFrame:
     """
     full = placed(msa, by).groupBy(by, "place").agg(F.bool_or(F.col("ch") != gap).alias("data")).where("data")
     keep = full.groupBy(by).agg(F.array_sort(F.collect_list("place")).alias("__keep"))
-    cut = F.array_join(F.transform(F.coalesce("__keep", F.array().cast("array<int>")), lambda k: F.substring(F.col("seq"), k + 1, F.lit(1))), "")
-    return msa.join(keep, by, "left").withColumn("seq", cut).drop("__keep")
+    letters = F.filter(F.split("seq", ""), lambda c: c != "")
+    cut = F.array_join(F.transform(F.coalesce("__keep", F.array().cast("array<int>")), lambda k: F.coalesce(F.get("__letters", k), F.lit(""))), "")
+    return msa.withColumn("__letters", letters).join(keep, by, "left").withColumn("seq", cut).drop("__keep", "__letters")
 
 
 def edges(occupied: DataFrame, by: str, least: float) -> DataFrame:

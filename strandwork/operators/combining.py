@@ -1,12 +1,10 @@
 """Combining samples and finishing data sets: (gene, taxon, target, seq) and more columns."""
 
-from __future__ import annotations
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwork.functions.dna import let
 from strandwork.functions.msa import coverage
 from strandwork.operators.selecting import best_rows
 
@@ -90,6 +88,16 @@ def merged_name(rows: DataFrame, by: list[str], reference: str, node: str) -> Da
 
 
 def kmer_similarity(a: Column, b: Column, k: int) -> Column:
-    """A34. Shared different k-mers over those of the text with fewer; null if a text is too short."""
-    grams = lambda s: let(s, lambda t: F.when(F.length(t) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - k + 1), lambda i: F.substring(t, i, F.lit(k))))))
-    return let(F.struct(grams(a).alias("a"), grams(b).alias("b")), lambda g: F.size(F.array_intersect(g["a"], g["b"])) / F.least(F.size(g["a"]), F.size(g["b"])))
+    """A34. Shared different k-mers over those of the text with fewer; null if a text is too short or null."""
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        def one(s: str | None, t: str | None) -> float | None:
+            if s is None or t is None or min(len(s), len(t)) < k:
+                return None
+            p, q = ({z[i : i + k] for i in range(len(z) - k + 1)} for z in (s, t))
+            return len(p & q) / min(len(p), len(q))
+
+        return pd.Series([one(s, t) for s, t in zip(x, y, strict=True)], dtype="float64")
+
+    return run(a, b)

@@ -189,7 +189,7 @@ def anti_join_kicks(spark, d):
 
 
 @query(f"""WITH {LETTERS_SQL},
-v AS (SELECT lang, place, ch, sum(weight) AS n FROM letters WHERE place >= length(seq) - length(ltrim(seq, '-')) AND place < length(rtrim(seq, '-')) GROUP BY lang, place, ch),
+v AS (SELECT lang, place, ch, sum(weight) AS n FROM letters WHERE place >= s AND place < e GROUP BY lang, place, ch),
 p AS (SELECT lang, place, sum(n) AS total, max(n) AS top_n, arg_max(ch, {{'n': n, 'ch': ch}}) AS top, count(*) FILTER (ch <> '-') AS kinds, max(ch) FILTER (ch <> '-') AS only_one FROM v GROUP BY lang, place),
 l AS (SELECT lang, place, CASE WHEN top_n > 0.3 * total THEN top WHEN kinds = 1 THEN only_one ELSE 'X' END AS ch FROM p)
 SELECT lang, string_agg(ch, '' ORDER BY place) AS consensus FROM l GROUP BY lang""")
@@ -200,7 +200,7 @@ def column_consensus(spark, d):
 _IUPAC_SQL = "CASE " + " ".join(f"WHEN s = '{k}' THEN '{v}'" for k, v in dna.IUPAC.items()) + " WHEN length(s) = 1 THEN s ELSE 'N' END"
 
 
-@query(f"""WITH {ALIGNMENT_SQL}, c AS (SELECT lang, weight, p AS place, substr(seq, p * 3 + 1, 3) AS codon FROM msa, range(0, 20) t(p)),
+@query(f"""WITH {ALIGNMENT_SQL}, c AS (SELECT lang, weight, unnest(range(0, length(seq) // 3)) AS place, unnest(regexp_extract_all(seq, '...')) AS codon FROM msa WHERE length(seq) >= 3),
 v AS (SELECT lang, place, codon, sum(weight) AS n FROM c GROUP BY lang, place, codon),
 p AS (SELECT lang, place, sum(n) AS total, max(n) AS top_n, arg_max(codon, {{'n': n, 'c': codon}}) AS top, count(*) FILTER (codon <> '---') AS kinds, max(codon) FILTER (codon <> '---') AS only_one FROM v GROUP BY lang, place),
 b AS (SELECT lang, place, k, coalesce(string_agg(DISTINCT substr(codon, k, 1), '' ORDER BY substr(codon, k, 1)) FILTER (substr(codon, k, 1) <> '-'), '') AS s FROM v, range(1, 4) t(k) GROUP BY lang, place, k),
@@ -229,12 +229,13 @@ def edge_trim(spark, d):
     return columns.edges(columns.occupancy(alignment(spark, d), "lang"), "lang", 0.92)
 
 
-@query("""WITH m AS (SELECT turn, conv_id, rpad(substr(regexp_replace(max(text), '[^A-M]', '-', 'g'), 1, 40), 40, '-') AS seq FROM conversations WHERE turn < 4 AND text IS NOT NULL GROUP BY turn, conv_id),
-l AS (SELECT turn, conv_id, p, substr(seq, p + 1, 1) AS ch FROM m, range(0, 40) t(p)), k AS (SELECT turn, p FROM l GROUP BY turn, p HAVING bool_or(ch <> '-'))
-SELECT m.turn, m.conv_id, coalesce((SELECT string_agg(l.ch, '' ORDER BY l.p) FROM l JOIN k ON l.turn = k.turn AND l.p = k.p WHERE l.turn = m.turn AND l.conv_id = m.conv_id), '') AS seq FROM m""")
+@query("""WITH m AS (SELECT turn, conv_id, regexp_replace(max(text), '[^A-Z]', '-', 'g') AS seq FROM conversations WHERE text IS NOT NULL GROUP BY turn, conv_id),
+l AS (SELECT turn, conv_id, unnest(range(0, length(seq))) AS p, unnest(string_split(seq, '')) AS ch FROM m WHERE seq <> ''), k AS (SELECT turn, p FROM l GROUP BY turn, p HAVING bool_or(ch <> '-')),
+j AS (SELECT l.turn, l.conv_id, string_agg(l.ch, '' ORDER BY l.p) AS seq FROM l JOIN k ON l.turn = k.turn AND l.p = k.p GROUP BY l.turn, l.conv_id)
+SELECT m.turn, m.conv_id, coalesce(j.seq, '') AS seq FROM m LEFT JOIN j ON m.turn = j.turn AND m.conv_id = j.conv_id""")
 def empty_column_removal(spark, d):
-    rows = load(spark, d, "conversations").where("turn < 4 and text is not null").groupBy("turn", "conv_id").agg(F.max("text").alias("text"))
-    return columns.without_empty_columns(rows.select("turn", "conv_id", F.rpad(F.substring(F.regexp_replace("text", "[^A-M]", "-"), 1, 40), 40, "-").alias("seq")), "turn")
+    rows = load(spark, d, "conversations").where("text is not null").groupBy("turn", "conv_id").agg(F.max("text").alias("text"))
+    return columns.without_empty_columns(rows.select("turn", "conv_id", F.regexp_replace("text", "[^A-Z]", "-").alias("seq")), "turn")
 
 
 @query(f"""WITH {LETTERS_SQL}, n AS (SELECT lang, place, ch, count(*) AS n FROM letters WHERE ch NOT IN ('-', 'X', '?') GROUP BY lang, place, ch),
@@ -261,13 +262,13 @@ def iqr_linear(spark, d):
 
 
 @query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_sum(list_transform(range(1, 65), lambda i: (CAST(a.embedding[i] AS DOUBLE) - b.embedding[i]) ** 2)), 4) AS distance
-FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id // 64 = b.vec_id // 64 AND a.vec_id < b.vec_id""")
+FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id""")
 def pairwise_distance(spark, d):
-    """J8 inside one gene's span group: pairs of a block of ids with one label."""
-    e = load(spark, d, "embeddings").select("vec_id", "label", F.floor(F.col("vec_id") / 64).alias("block"), "embedding")
-    a, b = e.select("label", "block", F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select("label", "block", F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
+    """All pairs of one label, as between the references of one gene."""
+    e = load(spark, d, "embeddings")
+    a, b = e.select("label", F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select("label", F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
     square = F.aggregate(F.zip_with("x", "y", lambda p, q: F.pow(p.cast("double") - q.cast("double"), 2)), F.lit(0.0), lambda s, v: s + v)
-    return a.join(b, ["label", "block"]).where("a < b").select("a", "b", F.round(square, 4).alias("distance"))
+    return a.join(b, "label").where("a < b").select("a", "b", F.round(square, 4).alias("distance"))
 
 
 @query("SELECT event_type AS gene, user_id % 5 AS taxon, count(*) AS n FROM events GROUP BY CUBE (event_type, user_id % 5)")
@@ -276,12 +277,12 @@ def gene_by_taxon_matrix(spark, d):
     return combining.gene_by_taxon(rows, "gene", "taxon")
 
 
-_CONV_SQL = "c AS (SELECT turn AS gene, conv_id AS taxon, max(substr(regexp_replace(text, '[^a-z]', '', 'g'), 1, 30)) AS seq FROM conversations WHERE turn < 4 AND text IS NOT NULL AND conv_id < 300 GROUP BY turn, conv_id)"
+_CONV_SQL = "c AS (SELECT turn AS gene, conv_id AS taxon, max(regexp_replace(text, '[^a-z]', '', 'g')) AS seq FROM conversations WHERE text IS NOT NULL GROUP BY turn, conv_id)"
 
 
 def _conversations(spark, d):
-    rows = load(spark, d, "conversations").where("turn < 4 and text is not null and conv_id < 300")
-    return rows.select(F.col("turn").alias("gene"), F.col("conv_id").alias("taxon"), F.substring(F.regexp_replace("text", "[^a-z]", ""), 1, 30).alias("seq"))
+    rows = load(spark, d, "conversations").where("text is not null")
+    return rows.select(F.col("turn").alias("gene"), F.col("conv_id").alias("taxon"), F.regexp_replace("text", "[^a-z]", "").alias("seq"))
 
 
 @query(f"""WITH {_CONV_SQL}, l AS (SELECT gene, max(length(seq)) AS n FROM c GROUP BY gene), e AS (SELECT DISTINCT taxon FROM c)
@@ -302,10 +303,10 @@ def taxon_presence(spark, d):
     return combining.taxon_presence(one)
 
 
-@query("""WITH r AS (SELECT source AS gene, lang AS taxon, doc_id FROM documents WHERE n_chars > 3000 AND doc_id % 3 > 0), t AS (SELECT count(DISTINCT taxon) AS t FROM r), g AS (SELECT gene, count(DISTINCT taxon) AS n FROM r GROUP BY gene)
-SELECT r.gene, r.taxon, r.doc_id FROM r JOIN g ON r.gene = g.gene CROSS JOIN t WHERE g.n / CAST(t.t AS DOUBLE) > 0.75""")
+@query("""WITH r AS (SELECT user_id AS gene, event_type AS taxon, event_id FROM events), t AS (SELECT count(DISTINCT taxon) AS t FROM r), g AS (SELECT gene, count(DISTINCT taxon) AS n FROM r GROUP BY gene)
+SELECT r.gene, r.taxon, r.event_id FROM r JOIN g ON r.gene = g.gene CROSS JOIN t WHERE g.n / CAST(t.t AS DOUBLE) > 0.75""")
 def gene_kick(spark, d):
-    rows = load(spark, d, "documents").where("n_chars > 3000 and doc_id % 3 > 0").select(F.col("source").alias("gene"), F.col("lang").alias("taxon"), "doc_id")
+    rows = load(spark, d, "events").select(F.col("user_id").alias("gene"), F.col("event_type").alias("taxon"), "event_id")
     return combining.kick_genes(rows, 0.75)
 
 
@@ -316,7 +317,7 @@ def taxa_kick(spark, d):
     return combining.kick_names(rows, nation.where("n_regionkey = 1").select(F.upper("n_name")), "taxon")
 
 
-@query(f"WITH {ALIGNMENT_SQL} SELECT doc_id, length(translate(seq, '-?X', '')) AS data FROM msa WHERE length(translate(seq, '-?X', '')) / CAST(length(seq) AS DOUBLE) >= 0.85")
+@query(f"WITH {ALIGNMENT_SQL} SELECT doc_id, length(translate(seq, '-?X', '')) AS data FROM msa WHERE seq <> '' AND length(translate(seq, '-?X', '')) / CAST(length(seq) AS DOUBLE) >= 0.85")
 def coverage_kick(spark, d):
     return combining.coverage_kick(alignment(spark, d), 0.85).select("doc_id", msa.data_length(F.col("seq"), "-?X").cast("long").alias("data"))
 
@@ -339,10 +340,9 @@ def union_refs_once(spark, d):
 _CODON_LIST = ", ".join(f"'{c}'" for c, a in dna.CODONS.items() if a == "*")
 
 
-@query(f"""WITH {READS_SQL}, r AS (SELECT doc_id, substr(seq, 1, 302) AS seq FROM reads), c AS (SELECT doc_id, length(seq) // 3 AS n, seq FROM r)
-SELECT doc_id, coalesce(list_aggregate(list_transform(range(0, n), lambda i: CASE WHEN substr(seq, i * 3 + 1, 3) IN ({_CODON_LIST}) THEN 'NNN' ELSE substr(seq, i * 3 + 1, 3) END), 'string_agg', ''), '') || substr(seq, CAST(n * 3 + 1 AS BIGINT), 2) AS nt FROM c""")
+@query(f"""WITH {READS_SQL} SELECT doc_id, coalesce(list_aggregate(list_transform(regexp_extract_all(seq, '...'), lambda c: CASE WHEN c IN ({_CODON_LIST}) THEN 'NNN' ELSE c END), 'string_agg', ''), '') || right(seq, CAST(length(seq) % 3 AS BIGINT)) AS nt FROM reads""")
 def stop_replace(spark, d):
-    return reads(spark, d).select("doc_id", dna.stops_masked(F.substring("seq", 1, 302)).alias("nt"))
+    return reads(spark, d).select("doc_id", dna.stops_masked(F.col("seq")).alias("nt"))
 
 
 @query(f"""WITH {ALIGNMENT_SQL}, s AS (SELECT doc_id, seq, length(seq) - length(ltrim(seq, '-')) AS s, length(rtrim(seq, '-')) AS e FROM msa)
@@ -351,18 +351,17 @@ def gap_replace(spark, d):
     return alignment(spark, d).select("doc_id", msa.inner_gaps(F.col("seq")).alias("seq"))
 
 
-@query(f"WITH {READS_SQL} SELECT doc_id, coalesce(list_aggregate(list_transform(range(0, (length(substr(seq, 1, 90)) + 2) // 3), lambda i: substr(substr(seq, 1, 90), i * 3 + 1, 2)), 'string_agg', ''), '') AS nt FROM reads")
+@query(f"WITH {READS_SQL} SELECT doc_id, regexp_replace(seq, '(..).', '\\1', 'g') AS nt FROM reads")
 def codon_positions(spark, d):
-    return reads(spark, d).select("doc_id", dna.codon_positions(F.substring("seq", 1, 90), (1, 2)).alias("nt"))
+    return reads(spark, d).select("doc_id", dna.codon_positions(F.col("seq"), (1, 2)).alias("nt"))
 
 
-@query(f"""WITH {READS_SQL}, f AS (SELECT doc_id, k, CASE WHEN k < 0 THEN substr(translate(reverse(substr(seq, 1, 200)), 'ACGTN', 'TGCAN'), abs(k)) ELSE substr(substr(seq, 1, 200), k) END AS seq FROM reads, (VALUES (1), (2), (3), (-1), (-2), (-3)) t(k)),
-t AS (SELECT '{dna.AMINO_ACIDS}' AS aa, 'TCAG' AS b)
-SELECT doc_id, k AS frame, coalesce(list_aggregate(list_transform(range(0, length(seq) // 3), lambda i: substr(aa, CAST((strpos(b, substr(seq, i * 3 + 1, 1)) - 1) * 16 + (strpos(b, substr(seq, i * 3 + 2, 1)) - 1) * 4 + strpos(b, substr(seq, i * 3 + 3, 1)) AS BIGINT), 1)), 'string_agg', ''), '') AS aa FROM f, t""")
+@query(f"""WITH {READS_SQL}, f AS (SELECT doc_id, k, CASE WHEN k < 0 THEN substr(translate(reverse(seq), 'ACGTN', 'TGCAN'), abs(k)) ELSE substr(seq, k) END AS seq FROM reads, (VALUES (1), (2), (3), (-1), (-2), (-3)) t(k))
+SELECT doc_id, k AS frame, coalesce(list_aggregate(list_transform(regexp_extract_all(seq, '...'), lambda c: substr('{dna.AMINO_ACIDS}', CAST((strpos('TCAG', substr(c, 1, 1)) - 1) * 16 + (strpos('TCAG', substr(c, 2, 1)) - 1) * 4 + strpos('TCAG', substr(c, 3, 1)) AS BIGINT), 1)), 'string_agg', ''), '') AS aa FROM f""")
 def six_frames(spark, d):
     frames = F.explode(F.array(*[F.lit(k) for k in (1, 2, 3, -1, -2, -3)]))
-    rows = reads(spark, d).select("doc_id", F.substring("seq", 1, 200).alias("seq"), frames.alias("frame"))
-    return rows.select("doc_id", "frame", dna.translated(dna.framed(F.col("seq"), F.col("frame"))).alias("aa"))
+    rows = reads(spark, d).select("doc_id", "seq", frames.alias("frame"))
+    return rows.select("doc_id", "frame", dna.translated_long(dna.framed(F.col("seq"), F.col("frame"))).alias("aa"))
 
 
 @query(f"WITH {ALIGNMENT_SQL} SELECT doc_id, length(seq) - length(ltrim(seq, '-')) AS s, length(rtrim(seq, '-')) AS e FROM msa")
@@ -405,10 +404,10 @@ def route_target(spark, d):
     return combining.routed(part.select("p_partkey", "p_brand"), part.where("p_size = 1").select("p_brand"), "p_brand").select("p_partkey", "route")
 
 
-@query(f"""WITH {READS_SQL}, k AS (SELECT doc_id, lang, list_distinct(list_transform(range(1, length(substr(seq, 1, 120)) - 6), lambda i: substr(substr(seq, 1, 120), i, 8))) AS g FROM reads WHERE length(seq) >= 8)
+@query(f"""WITH {READS_SQL}, k AS (SELECT doc_id, lang, list_distinct(list_transform(range(1, length(seq) - 6), lambda i: substr(seq, i, 8))) AS g FROM reads WHERE length(seq) >= 8)
 SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(a.g, b.g)) / CAST(least(len(a.g), len(b.g)) AS DOUBLE), 6) AS similarity FROM k a JOIN k b ON b.doc_id = a.doc_id + 1""")
 def kmer_similarity(spark, d):
-    rows = reads(spark, d).where(F.length("seq") >= 8).select("doc_id", F.substring("seq", 1, 120).alias("seq"))
+    rows = reads(spark, d).where(F.length("seq") >= 8).select("doc_id", "seq")
     b = rows.select(F.col("doc_id").alias("b"), (F.col("doc_id") - 1).alias("doc_id"), F.col("seq").alias("other"))
     return rows.join(b, "doc_id").select(F.col("doc_id").alias("a"), "b", F.round(combining.kmer_similarity(F.col("seq"), F.col("other"), 8), 6).alias("similarity"))
 

@@ -59,11 +59,12 @@ HITS_SQL = """hits AS (
         FROM lineitem JOIN part ON l_partkey = p_partkey))"""
 
 
-def alignment(spark: SparkSession, sf_dir: str, width: int = 60) -> DataFrame:
-    """lang, doc_id, weight, seq: the first ``width`` letters of each document's sequence, padded with gaps at the end; T inside as gaps."""
-    seq = F.rpad(F.substring(F.replace("seq", F.lit("TT"), F.lit("--")), 1, width), width, "-")
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, doc_id, weight, seq: each document's sequence with every TT as gaps; rows of a language begin in one column."""
+    seq = F.replace("seq", F.lit("TT"), F.lit("--"))
     return reads(spark, sf_dir).select("lang", "doc_id", (F.col("doc_id") % 3 + 1).alias("weight"), seq.alias("seq"))
 
 
-ALIGNMENT_SQL = READS_SQL + ", msa AS (SELECT lang, doc_id, doc_id % 3 + 1 AS weight, rpad(substr(replace(seq, 'TT', '--'), 1, 60), 60, '-') AS seq FROM reads)"
-LETTERS_SQL = ALIGNMENT_SQL + ", letters AS (SELECT lang, doc_id, weight, seq, p AS place, substr(seq, p + 1, 1) AS ch FROM msa, range(0, 60) t(p))"
+ALIGNMENT_SQL = READS_SQL + ", msa AS (SELECT lang, doc_id, doc_id % 3 + 1 AS weight, replace(seq, 'TT', '--') AS seq FROM reads)"
+LETTERS_SQL = ALIGNMENT_SQL + """, letters AS (SELECT lang, doc_id, weight, s, e, unnest(range(0, length(seq))) AS place, unnest(string_split(seq, '')) AS ch
+  FROM (SELECT *, length(seq) - length(ltrim(seq, '-')) AS s, length(rtrim(seq, '-')) AS e FROM msa WHERE seq <> ''))"""
