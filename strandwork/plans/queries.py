@@ -442,3 +442,61 @@ def set_operations(spark, d):
     """U3."""
     rows = load(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 50)).alias("a"), F.collect_set(F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey") % 50)).alias("b"))
     return rows.select("o_custkey", F.size(F.array_except("a", "b")).cast("long").alias("only_a"), F.size(F.array_intersect("a", "b")).cast("long").alias("shared"))
+
+
+# --- grouped algorithms: SQL has no form of them, tests/test_grouped.py holds them against cases worked out by hand ----------
+
+
+def plain(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+@plain
+def directional_clusters(spark, d):
+    """G13 over the orders of each customer: the order number is the node's, status gives strand and place."""
+    from strandwork.operators.grouped.clusters import clustered
+
+    k = F.col("o_orderkey")
+    seq = F.concat(F.repeat(F.lit("-"), (k % 40).cast("int")), F.repeat(F.lit("A"), 30), F.repeat(F.lit("-"), (40 - k % 40).cast("int")))
+    rows = load(spark, d, "orders").select(F.col("o_custkey").alias("gene"), k.cast("string").alias("name"), F.array(k).alias("ids"), F.when(F.col("o_orderstatus") == "F", "+").otherwise("-").alias("strand"), seq.alias("seq"))
+    return clustered(rows, "gene", 5000, 0.3, 0.4)
+
+
+@plain
+def distance_screen(spark, d):
+    """The texts of conversations, by turn, screened against the benchmark's."""
+    from strandwork.operators.grouped.screening import screened
+
+    rows = load(spark, d, "conversations").where("text is not null").select(F.col("turn").cast("string").alias("gene"), F.concat_ws(":", F.lit("conversation"), F.col("conv_id").cast("string"), "role", F.md5(F.col("text").cast("binary"))).alias("name"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq")).distinct()
+    refs = load(spark, d, "benchmark").where("text is not null").select((F.col("item_id") % 8).cast("string").alias("gene"), F.concat_ws(":", F.lit("reference"), F.col("item_id").cast("string")).alias("name"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"))
+    return screened(rows, refs)
+
+
+@plain
+def consensus_merge(spark, d):
+    """One merged row for each overlap group of a turn and role."""
+    from strandwork.operators.grouped.merging import merged
+
+    text = F.regexp_replace("text", "[^A-Za-z]", "")
+    one = load(spark, d, "conversations").where("text is not null").groupBy("turn", "role", "conv_id").agg(F.max("text").alias("text"))
+    rows = one.select(F.col("turn").cast("string").alias("gene"), F.col("role").alias("taxa"), F.col("conv_id").cast("string").alias("name"), F.col("role").alias("ref"), F.lit(1).alias("weight"), text.alias("aa"), F.regexp_replace(text, "(.)", "$1$1$1").alias("nt"))
+    refs = load(spark, d, "benchmark").select((F.col("item_id") % 8).cast("string").alias("gene"), F.col("text").alias("seq"))
+    return merged(rows, refs)
+
+
+@plain
+def reference_cull(spark, d):
+    """A27 over the benchmark's items."""
+    rows = load(spark, d, "benchmark").where("text is not null").select((F.col("item_id") % 8).cast("string").alias("gene"), F.col("item_id").cast("string").alias("name"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"))
+    return outliers.reference_cull(rows, "gene").select("gene", "name", F.length("seq").alias("n"))
+
+
+@plain
+def prepare_stage(spark, d):
+    """The prepare stage over all documents: reads with their nodes, lengths and further copies."""
+    from strandwork.plans import stages
+
+    rows = load(spark, d, "documents").where("text is not null").select(F.col("source").alias("taxa"), F.col("doc_id").alias("idx"), F.concat(F.lit("read_"), F.col("doc_id").cast("string"), F.lit(" x")).alias("header"), with_n(F.col("text")).alias("seq"))
+    out = stages.prepare(rows)
+    return out["reads"].join(out["dupes"], ["taxa", "node"], "left").select("taxa", "node", F.length("seq").alias("n"), F.coalesce("dupes", F.lit(0)).alias("dupes"))

@@ -94,3 +94,22 @@ def test_clusters_and_merges_in_spark(spark):
     got = {r["taxa"]: r for r in M.merged(rows, refs).collect()}
     assert (got["t"]["names"], got["t"]["aa"], got["t"]["nt"], got["t"]["total"]) == ("a&&b", "MKV", "ATGAAGGTT", 3) and got["u"]["aa"] == "M--"
     assert {r["aa"] for r in M.merged(rows, refs, "split").collect()} == {"MKV", "M--"}
+
+
+def test_screening(spark):
+    from strandwork.operators.grouped import screening as S
+
+    refs = [Row("ref_one", "MKVLSTARQWER"), Row("ref_two", "MKVLSTARQWEK"), Row("ref_six", "MKVISTARQWEK")]
+    rows = [Row("good", "MKVLSTARQWEK"), Row("bad", "WWWWWWWWWWWW"), Row("short", "MKV---------")]
+    got = S.distance_outliers(rows, refs)
+    assert {n: v["grade"] for n, v in got.items()} == {"good": "pass", "bad": "fail", "short": "unscored"}
+    frame = lambda rs: spark.createDataFrame([("g", r.name, r.seq) for r in rs], "gene string, name string, seq string")
+    assert {r["name"]: r["grade"] for r in S.screened(frame(rows), frame(refs)).collect()} == {"good": "pass", "bad": "fail", "short": "unscored"}
+    hits = [{"name": "a", "read": 1, "seq": "MKVLST", "score": 9.0}, {"name": "b", "read": 1, "seq": "MKVLS-", "score": 8.5}, {"name": "c", "read": 2, "seq": "MKVL--", "score": 5.0}, {"name": "d", "read": 3, "seq": "WWWWWW", "score": 9.5}]
+    assert S.profile_filter(hits, ["MKVLST", "MKVLST"]) == ["b", "c", "d"]
+    two = [{"gene": "g", "score": 10.0, "uid": "1"}, {"gene": "h", "score": 9.5, "uid": "2"}]
+    assert S.ambiguous_nodes(two, {"h"}) == ["1"] and S.ambiguous_nodes([two[0], two[1] | {"score": 5.0}], {"h"}) == ["2"] and S.ambiguous_nodes(two[:1], set()) == []
+    assert S.ambiguous_regions([Row("a", "A--A"), Row("b", "AC-A"), Row("c", "AC-A")], 0.3) == [(1, 2)]
+    assert S.severe_rows([Row(f"r{k}", "MKVLSTARQW") for k in range(5)] + [Row("x", "WWWWWWWWWW")]) == ["x"]
+    assert S.deviating_rows([Row(f"r{k}", "MKVLSTARQW" * 4) for k in range(5)] + [Row("x", "W" * 40), Row("y", "MK")], 0.1) == ["x", "y"]
+    assert S.best_isoform([Row("i1", "MKWW"), Row("i2", "MKVL")], ["MKVL", "MKVI"]) == "i2"
