@@ -497,6 +497,6 @@ def prepare_stage(spark, d):
     """The prepare stage over all documents: reads with their nodes, lengths and further copies."""
     from strandwork.plans import stages
 
-    rows = load(spark, d, "documents").where("text is not null").select(F.col("source").alias("taxa"), F.col("doc_id").alias("idx"), F.concat(F.lit("read_"), F.col("doc_id").cast("string"), F.lit(" x")).alias("header"), with_n(F.col("text")).alias("seq"))
+    rows = reads(spark, d).select(F.col("source").alias("taxa"), F.col("doc_id").alias("idx"), F.concat(F.lit("read_"), F.col("doc_id").cast("string"), F.lit(" x")).alias("header"), "seq")
     out = stages.prepare(rows)
     return out["reads"].join(out["dupes"], ["taxa", "node"], "left").select("taxa", "node", F.length("seq").alias("n"), F.coalesce("dupes", F.lit(0)).alias("dupes"))
