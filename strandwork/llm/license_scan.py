@@ -4,7 +4,7 @@ Every line, every paragraph and the whole of a text are units. A unit's vector h
 read as white space) weighted by count times inverse document frequency, counted over all lines of all texts for the words of
 the templates; other words weigh as the rarest. The template nearest by cosine names the unit's licence if it reaches LEAST.
 
-A licence file is one whose name says so, or whose words lie mostly in licence units. It covers its directory, and a file takes
+A licence file is one whose name says so, or a text of at least FILE_WORDS words that lie mostly in licence units. It covers its directory, and a file takes
 the licence of its nearest ancestor directory that has one, by a join of paths.
 """
 
@@ -23,6 +23,7 @@ from strandwork.llm.common import text_buffer, text_slices, words, written
 from strandwork.llm.decontaminate import plain_bytes
 
 LEAST = 0.75
+FILE_WORDS, FILE_SHARE = 20, 0.8
 NAMES = r"(?i)(^|/)(licen[cs]es?|copying|unlicense|notice)([-._][^/]*)?$"
 #: (licence, typical statement), fixed values: wordings that licences ask for or that are common in headers and first lines.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -200,7 +201,7 @@ def scan(files: DataFrame, path: Column) -> DataFrame:
                 for k, units in enumerate(licences(part, held.value)):
                     top = max(units, key=lambda u: (u[2], -u[0], -u[1]), default=None)
                     share = max(sum(u[3] for u in {u[1]: u for u in units}.values()), max((u[3] for u in units), default=0)) / max(1, total[k])
-                    file = bool(units) and (bool(where[i + k] and named.search(where[i + k])) or share > 0.5)
+                    file = bool(units) and (bool(where[i + k] and named.search(where[i + k])) or (total[k] >= FILE_WORDS and share > FILE_SHARE))
                     rows.append((names[top[0]] if top else None, top[2] if top else None, top[1] if top else None, sorted({names[u[0]] for u in units}), file))
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
