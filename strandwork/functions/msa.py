@@ -41,3 +41,20 @@ def inner_gaps(seq: Column, gap: str = "-", mark: str = "?") -> Column:
 def masked(seq: Column, places: Column, mark: str = "-") -> Column:
     """X7. The letters at the given places (from 0) replaced."""
     return F.array_join(F.transform(F.filter(F.split(seq, ""), lambda c: c != ""), lambda c, i: F.when(F.array_contains(places, i), F.lit(mark)).otherwise(c)), "")
+
+
+def minimum_data(seq: Column, least: int, rejected: Column | None = None, gap: str = "-") -> Column:
+    """F15 and F16. Whether at least ``least`` letters of data lie outside the rejected places (from 0)."""
+    letters = F.filter(F.split(seq, ""), lambda c: c != "")
+    data = letters if rejected is None else F.filter(letters, lambda c, i: ~F.array_contains(rejected, i))
+    return F.size(F.filter(data, lambda c: ~F.lit(gap).contains(c))) >= least
+
+
+def same_variant(a: Column, b: Column) -> Column:
+    """F18. Names that agree but for their last eight characters."""
+    return F.substring(a, F.lit(1), F.length(a) - 8) == F.substring(b, F.lit(1), F.length(b) - 8)
+
+
+def gaps_inserted(seq: Column, places: Column, gap: str = "-") -> Column:
+    """X6. Gaps put in so that they stand at the given places (from 0, ascending) of the new text."""
+    return F.aggregate(places, seq, lambda s, k: F.concat(F.substring(s, F.lit(1), k), F.lit(gap), F.substring(s, k + 1, F.length(s))))
