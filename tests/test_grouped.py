@@ -113,3 +113,19 @@ def test_screening(spark):
     assert S.severe_rows([Row(f"r{k}", "MKVLSTARQW") for k in range(5)] + [Row("x", "WWWWWWWWWW")]) == ["x"]
     assert S.deviating_rows([Row(f"r{k}", "MKVLSTARQW" * 4) for k in range(5)] + [Row("x", "W" * 40), Row("y", "MK")], 0.1) == ["x", "y"]
     assert S.best_isoform([Row("i1", "MKWW"), Row("i2", "MKVL")], ["MKVL", "MKVI"]) == "i2"
+
+
+def test_aligning(spark):
+    from strandwork.operators.grouped import aligning as G
+
+    assert G.global_alignment("ACGT", "AGT") == ("ACGT", "A-GT") and G.global_alignment("", "AC") == ("--", "AC")
+    r = random.Random(8)
+    exon = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    a, b = exon(60), exon(60)
+    intron = "GT" + "".join(r.choice("CT") for _ in range(56)) + "AG"
+    assert G.introns_removed(a + intron + b, a + b) == (a + b, [(60, 120)]) and G.introns_removed(a + b, a + b) == (a + b, [])
+    rows = spark.createDataFrame([("g", 1, a + intron + b, a + b)], "gene string, node long, seq string, reference string")
+    assert G.intron_free(rows).first()["introns"][0]["e"] == 120
+    reads = spark.createDataFrame([(1, 1, "MKVLSTARQWERTY"), (2, 1, "WWWWWWW")], "node long, frame int, aa string")
+    targets = spark.createDataFrame([("t", "AAMKVLSTARQGG"), ("u", "PPPPPPP")], "target string, seq string")
+    assert [tuple(x) for x in G.seeded_hits(reads, targets).collect()] == [(1, 1, "t", 5, 0, 9)]
