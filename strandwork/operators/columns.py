@@ -12,7 +12,7 @@ from strandwork.functions.msa import data_end, data_start
 
 def placed(msa: DataFrame, *carry: str, span_only: bool = False) -> DataFrame:
     """(carry…, place from 0, ch) of each letter; span_only: only places between a row's first and last letter of data."""
-    letters = F.filter(F.split("seq", ""), lambda c: c != "")
+    letters, msa = F.split("seq", ""), msa.where(F.length("seq") > 0)
     if not span_only:
         return msa.select(*carry, F.posexplode(letters).alias("place", "ch"))
     rows = msa.withColumns({"__s": data_start(F.col("seq")), "__e": data_end(F.col("seq"))}).where("__e > __s")
