@@ -126,6 +126,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def release() -> None:
+    """Gives memory that Arrow holds in reserve back to the system: idle workers stay in memory between tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each begins (one more entry for the end); null texts are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm.common import ASCII_LOWER, new_path, shuffle_parts, text_buffer, text_slices, words, written
+from strandwork.llm.common import ASCII_LOWER, new_path, release, shuffle_parts, text_buffer, text_slices, words, written
 
 END_ID = 1
 MAGIC = b"SRNS"
@@ -163,7 +163,7 @@ class WordIds:
     special token's text occurs, words stay as they are.
     """
 
-    MOST = 1_500_000
+    MOST = 700_000
     TOGETHER = 64
 
     def __init__(self, path: str):
@@ -275,12 +275,13 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
         end = np.array([end_id], small)
         for batch in batches:
             text, key = batch.column("text"), batch.column("doc_id")
-            for i, j in text_slices(text, 4 << 20):
+            for i, j in text_slices(text, 2 << 20):
                 found = coder.encode(text.slice(i, j - i))
                 total[end_id] += len(found)
                 total += np.bincount(np.concatenate(found), minlength=len(total))
                 out = [press.compress(np.concatenate([x.astype(small), end]).tobytes()) for x in found]
                 yield pa.RecordBatch.from_arrays([key.slice(i, j - i), pa.array([small().itemsize] * len(out), pa.int32()), pa.array(out, pa.binary())], ["doc_id", "width", "ids"])
+            release()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int32()), pa.array([press.compress(total.astype("<i8").tobytes())], pa.binary())], ["doc_id", "width", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, width int, ids binary")
@@ -348,6 +349,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID)
                     keys, held, n = [], [], 0
         if keys:
             yield block()
+        release()
 
     ranged = tokens.where("width > 0").repartitionByRange(shuffle_parts(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
     ranged.mapInArrow(encode, "part int, before long, n_ids long, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
@@ -385,6 +387,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
                 if with_ids:
                     rows["ids"] = pa.array([x.astype(np.int32) for x in each], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_pydict(rows)
+            release()
 
     return blocks.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
