@@ -12,8 +12,9 @@ How the corpus is used:
 1.  Texts become blocks of bounded size: a sorted lexicon of 64-bit word hashes, training counts, and local word numbers.
 2.  Lexicon entries meet by hash, which gives every word's count over all training documents; counts go back to their blocks.
     Only distinct words of blocks are shuffled, never all tokens.
-3.  Training runs in ROUNDS. In each, every block takes POSITIONS positions of its training texts, spread over all of them, and
-    descends from the same parameters; the blocks' results are averaged in two steps. So the work grows with the corpus.
+3.  Training runs in ROUNDS. In each, every block takes another share of the positions of its training texts, every ROUNDS-th
+    one, and descends from the same parameters; the blocks' results are averaged in two steps. Together the rounds take every
+    training position once, whatever the size of the table, so the work grows with the corpus.
 4.  Every block is scored with its counts.
 """
 
@@ -37,7 +38,6 @@ CLASSES = 32
 SIZE = 24
 CONTEXT = 5
 ROUNDS = 3
-POSITIONS = 32_768
 NOISE = 64
 BATCH = 512
 BLOCK_BYTES = 4 << 20
@@ -113,6 +113,11 @@ def contexts(ids: np.ndarray, first: np.ndarray, nothing: int) -> np.ndarray:
     return out
 
 
+def share_of(usable: np.ndarray, turn: int) -> np.ndarray:
+    """The training positions of one round: disjoint from those of the others, all of them together."""
+    return usable[turn::ROUNDS]
+
+
 def descend(p: Parameters, before: np.ndarray, word: np.ndarray, log_noise: np.ndarray, seed: int, rate: float = 0.05) -> Parameters:
     """Noise-contrastive steps (Adagrad): each batch tells its words from NOISE words drawn by their share."""
     rng = np.random.default_rng(seed)
@@ -122,24 +127,30 @@ def descend(p: Parameters, before: np.ndarray, word: np.ndarray, log_noise: np.n
     cdf = np.cumsum(share / share.sum())
     shift = (log_noise + np.log(NOISE)).astype(np.float32)
     order = rng.permutation(len(word))
-    for i in range(0, len(order), BATCH):
-        b = order[i : i + BATCH]
-        ctx, w = before[b], word[b]
+    before, word = before[order], word[order]
+    column = np.arange(SIZE)
+
+    def summed(rows: np.ndarray, x: np.ndarray, like: np.ndarray) -> np.ndarray:
+        """The sum of the vectors x by their row, in the shape of like."""
+        at = (rows[:, None] * SIZE + column).ravel()
+        return np.bincount(at, x.ravel(), like.size).astype(np.float32).reshape(like.shape)
+
+    for i in range(0, len(word), BATCH):
+        ctx, w = before[i : i + BATCH], word[i : i + BATCH]
         noise = np.minimum(np.searchsorted(cdf, rng.random(NOISE)), len(cdf) - 1)
         h = p.predicted(ctx)
         q = p.output[w]
         up = 1 / (1 + np.exp(np.clip((h * q).sum(1) + p.bias[w] - shift[w], -30, 30)))
         down = -1 / (1 + np.exp(-np.clip(h @ p.output[noise].T + p.bias[noise] - shift[noise], -30, 30)))
         dh = up[:, None] * q + down @ p.output[noise]
-        g = [np.zeros_like(x) for x in p.parts()]
-        np.add.at(g[1], w, up[:, None] * h)
-        np.add.at(g[1], noise, down.T @ h)
-        g[2] += np.bincount(w, up, len(g[2])).astype(np.float32) + np.bincount(noise, down.sum(0), len(g[2])).astype(np.float32)
-        for k in range(CONTEXT):
-            np.add.at(g[0], ctx[:, k], dh * p.place[k])
-            g[3][k] = (dh * p.context[ctx[:, k]]).sum(0)
+        g = [
+            summed(ctx.ravel(), dh[:, None, :] * p.place, p.context),
+            summed(np.concatenate([w, noise]), np.concatenate([up[:, None] * h, down.T @ h]), p.output),
+            np.bincount(np.concatenate([w, noise]), np.concatenate([up, down.sum(0)]), len(p.bias)).astype(np.float32),
+            np.einsum("bs,bks->ks", dh, p.context[ctx]),
+        ]
         for x, dx, s in zip(p.parts(), g, grown, strict=True):
-            dx /= len(b) ** 0.5
+            dx /= len(w) ** 0.5
             s += dx * dx
             x += rate * dx / np.sqrt(s)
     return p
@@ -312,9 +323,9 @@ def fit(blocks: DataFrame, entries: DataFrame) -> Fitted:
                     length = np.array(batch.column("length")[k].as_py(), np.int64)
                     stop = np.cumsum(length)
                     usable = np.flatnonzero(np.repeat(np.array(batch.column("train")[k].as_py(), bool), length))
-                    if not len(usable):
+                    pick = share_of(usable, turn)
+                    if not len(pick):
                         continue
-                    pick = usable[np.unique(np.linspace(turn / ROUNDS, len(usable) - 1, min(POSITIONS, len(usable))).astype(np.int64))]
                     first = np.repeat(stop - length, length)
                     near = pick[:, None] - 1 - np.arange(CONTEXT)
                     before = np.where(near >= first[pick][:, None], ids[np.maximum(near, 0)], len(log_share))

@@ -53,3 +53,10 @@ def test_probabilities_sum_to_one():
     before = np.random.default_rng(1).integers(0, 21, (1, L.CONTEXT))
     total = sum(math.exp(p.log_probabilities(before, np.array([w]))[0]) for w in range(20))
     assert total == pytest.approx(1, abs=1e-6)
+
+
+def test_rounds_take_every_training_position_once():
+    for n in (0, 1, 2, 5, 520_000):
+        usable = np.arange(n) * 2 + 1
+        shares = [L.share_of(usable, turn) for turn in range(L.ROUNDS)]
+        assert np.array_equal(np.sort(np.concatenate(shares)), usable)
