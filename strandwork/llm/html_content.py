@@ -29,9 +29,14 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template iframe svg math textarea title object audio video canvas select datalist head".split())
 RAW = frozenset("script style textarea title iframe".split())
+#: What can stand in a head, what ends an open select, where HTML can stand inside svg or math, and what ends those elsewhere.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes head html".split())
+ENDS_SELECT = frozenset("select input textarea".split())
+HTML_POINTS = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 SECTION = frozenset("article section nav aside header footer main form dialog menu search".split())
 BLOCK = SECTION | frozenset("address blockquote body center dd details dir div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html legend li ol optgroup option p pre summary table tbody td tfoot th thead tr ul caption br button".split())
 CLOSES_P = BLOCK - frozenset("br td th tr tbody thead tfoot caption body html button option optgroup legend".split())
+ENDS_FOREIGN = BLOCK - frozenset("a button form main section article nav aside header footer caption td th tr tbody thead tfoot option optgroup legend".split()) | frozenset("img span strong em b i small sup sub".split())
 #: A start tag ends an open element of these kinds, up to one of the fences.
 SIBLINGS = {
     "li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -93,6 +98,49 @@ def _attributes(text: str) -> tuple[int, int]:
     return kind, label
 
 
+def _after_raw(source: str, name: str, at: int) -> int:
+    """Where the element of raw text ends whose start tag ends at ``at``."""
+    end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
+    return end.end() if end else len(source)
+
+
+def _left_open(source: str, name: str, at: int) -> bool:
+    """Whether the next tag of that name is not an end tag."""
+    found = re.compile(rf"<(/?){name}(?=[\s/>])", re.I).search(source, at)
+    return not (found and found[1])
+
+
+def _ends_dropped(name: str, closing: bool, inner: list[str], outer: list[tuple[str, int]], open_: bool) -> bool:
+    """Whether a tag ends a dropped element without being its end tag.
+
+    inner: the dropped element and what is open in it; outer: what it stands in; open_: it seems to have no end tag.
+    """
+    drop = inner[0]
+    if closing:
+        return name not in inner and any(x == name for x, _ in outer)
+    if drop == "head":
+        return name == "body" or (len(inner) == 1 and name not in IN_HEAD)
+    if drop == "select" and name in ENDS_SELECT:
+        return True
+    if drop in ("svg", "math"):
+        return name in ENDS_FOREIGN and HTML_POINTS.isdisjoint(inner)
+    if name in SIBLINGS:
+        ends, fences = SIBLINGS[name]
+        if not any(x in ends or x in fences for x in inner):
+            for x, _ in reversed(outer):
+                if x in fences:
+                    break
+                if x in ends:
+                    return True
+    if open_ and name in CLOSES_P and "p" not in inner:
+        for x, _ in reversed(outer):
+            if x == "p":
+                return True
+            if x in SECTION or x in ("div", "td", "li", "blockquote", "body"):
+                break
+    return False
+
+
 class Tree:
     """Nodes of one page in page order: the root first, parents before their children."""
 
@@ -100,8 +148,8 @@ class Tree:
         self.tag, self.parent, self.depth, self.kind, self.label, self.text, self.block = [_TAG["body"]], [0], [0], [0], [-1], [""], [0]
         stack: list[tuple[str, int]] = [("#root", 0)]
         block = at = 0
-        drop: str | None = None
-        nested = 0
+        inner: list[str] = []  # an element whose text is dropped, and what is open in it
+        open_ = False
 
         def add(tag: int, kind: int, label: int, text: str) -> int:
             self.tag.append(tag)
@@ -116,8 +164,10 @@ class Tree:
         for m in _TOKEN.finditer(source):
             if m.start() < at:
                 continue
-            if drop is None and m.start() > at:
-                run = source[at : m.start()]
+            run = source[at : m.start()]
+            if inner == ["head"] and run.strip():  # no text can stand in a head
+                inner = []
+            if not inner and run:
                 if run.strip():
                     add(0, 0, -1, html.unescape(run))
                 elif len(self.text) > 1 and self.tag[-1] == 0 and self.block[-1] == block:
@@ -129,12 +179,21 @@ class Tree:
             if not name:
                 continue
             name, closing = name.lower(), bool(m[1] or m[4])
-            if drop is not None:
-                if name == drop:
-                    nested += -1 if closing else 1
-                    if not nested:
-                        drop = None
+            empty = (m[3] or m[6] or "").rstrip().endswith("/")
+            if inner and not _ends_dropped(name, closing, inner, stack, open_):
+                if closing:
+                    for k in range(len(inner) - 1, -1, -1):
+                        if inner[k] == name:
+                            del inner[k:]
+                            break
+                elif inner[0] in ("svg", "math") and empty:
+                    pass
+                elif name in RAW:
+                    at = _after_raw(source, name, at)
+                elif name not in VOID and not (inner[0] == "head" and (name in ("head", "html") or (name == "noscript" and _left_open(source, name, at)))):
+                    inner.append(name)
                 continue
+            inner = []
             if closing:
                 if name in BLOCK:
                     block += 1
@@ -148,15 +207,12 @@ class Tree:
             if name in BLOCK:
                 block += 1
             if name in RAW:
-                end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
-                at = end.end() if end else len(source)
+                at = _after_raw(source, name, at)
                 continue
             if name in DROPPED:
-                if not (m[3] or m[6] or "").rstrip().endswith("/"):
-                    drop, nested = name, 1
+                if not empty:
+                    inner, open_ = [name], _left_open(source, name, at)
                 continue
-            if name == "body":  # ends a head that was left open
-                stack[1:] = [s for s in stack[1:] if s[0] != "head"]
             if name in SIBLINGS:
                 ends, fences = SIBLINGS[name]
                 for k in range(len(stack) - 1, 0, -1):
@@ -176,7 +232,7 @@ class Tree:
                 continue
             kind, label = _attributes((m[3] or m[6] or "")[:2000])
             stack.append((name, add(_TAG.get(name, _TAG["other"]), kind, label, "")))
-        if drop is None and source[at:].strip():
+        if (not inner or inner == ["head"]) and source[at:].strip():
             add(0, 0, -1, html.unescape(source[at:]))
 
 

@@ -53,3 +53,23 @@ def test_main_text(spark):
     assert got[10]["text"] == "" and got[11]["text"] == "" and got[12]["n_chars"] == 0
     assert got[13]["text"] == "\n".join([line] * 4000)
     assert H.extract(spark.createDataFrame([], SCHEMA)).count() == 0 and len(H.extract(spark.createDataFrame(rows, SCHEMA)).collect()) == len(rows)
+
+
+def read(source):
+    return " ".join("".join(H.Tree(source).text).split())
+
+
+def test_dropped_elements_left_open():
+    body = f"<article><h1>Head</h1><p>{LONG}</p></article>"
+    want = "Head " + " ".join(LONG.split())
+    for head in ("<head><title>T</title><meta charset=x>", "<head><script>var a = '<head>';</script></head>", "<head><script>var a = '<head>';</script>", "<head><noscript><style>p{}</style>", "<head><noscript><img src=a></noscript><link href=a>"):
+        got = H.main_texts([f"<!DOCTYPE html><html>{head}<body>{body}</body></html>", f"<html>{head}{body}"], H.default_model())
+        assert [" ".join(x.split()) for x in got] == [want, want], head
+    assert read("<head><title>T</title>words first<p>more") == "words firstmore"
+    for kind in ("noscript", "svg", "select", "video", "object", "audio", "canvas", "datalist"):
+        assert read(f"<body><div>a <{kind}>no</div><p>b</p>") == "a b", kind
+        assert read(f"<body><div>a <{kind}><g>no</g></{kind}> b</div>") == "a b", kind
+    assert read("<ul><li>a <video>no<li> b</ul>") == "a b"
+    assert read("<div>a<noscript><div>no</div><p>no</p></noscript> b</div>") == "a b"
+    assert read("<p>a <svg><path d=x><p>b") == "a b" and read("<svg><title/><g/></svg>b") == "b"
+    assert read("<svg><foreignObject><div>no</div></foreignObject></svg>b") == "b"
