@@ -68,7 +68,7 @@ KINDS: tuple[tuple[str, str], ...] = (
 _WORD_KIND = {w: k + 1 for k, (_, ws) in reversed(list(enumerate(KINDS))) for w in ws.split()}
 _LONG = sorted((w for w in _WORD_KIND if len(w) >= 5), key=lambda w: (-len(w), w))
 N_KINDS = len(KINDS) + 1
-_ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden|data-y)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[a-z]+")
 
 
@@ -82,8 +82,7 @@ def kind_of(name: str) -> int:
     return best
 
 
-@lru_cache(maxsize=20_000)
-def _attributes(text: str) -> tuple[int, int]:
+def _read_attributes(text: str) -> tuple[int, int]:
     """(kind, label in training pages: 0, 1, or -1 for none)."""
     kind, label = 0, -1
     for name, value in _ATTR.findall(text):
@@ -98,6 +97,14 @@ def _attributes(text: str) -> tuple[int, int]:
     return kind, label
 
 
+_known_attributes = lru_cache(maxsize=20_000)(_read_attributes)
+
+
+def _attributes(text: str) -> tuple[int, int]:
+    """_read_attributes of the whole text; long ones are not kept."""
+    return _known_attributes(text) if len(text) <= 2000 else _read_attributes(text)
+
+
 def _after_raw(source: str, name: str, at: int) -> int:
     """Where the element of raw text ends whose start tag ends at ``at``."""
     end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
@@ -230,7 +237,7 @@ class Tree:
                         break
             if name in VOID:
                 continue
-            kind, label = _attributes((m[3] or m[6] or "")[:2000])
+            kind, label = _attributes(m[3] or m[6] or "")
             stack.append((name, add(_TAG.get(name, _TAG["other"]), kind, label, "")))
         if (not inner or inner == ["head"]) and source[at:].strip():
             add(0, 0, -1, html.unescape(source[at:]))

@@ -73,3 +73,11 @@ def test_dropped_elements_left_open():
     assert read("<div>a<noscript><div>no</div><p>no</p></noscript> b</div>") == "a b"
     assert read("<p>a <svg><path d=x><p>b") == "a b" and read("<svg><title/><g/></svg>b") == "b"
     assert read("<svg><foreignObject><div>no</div></foreignObject></svg>b") == "b"
+
+
+def test_attributes_are_read_whole():
+    far = "data-json='{\"a\": \"" + "x class=article hidden " * 500 + "\"}' style=\"background:url(data:image/png;base64," + "A" * 9000 + ')"'
+    kinds = {w: k + 1 for k, (w, _) in enumerate(H.KINDS)}
+    for text, kind in ((f' {far} class="comments"', "comment"), (f" {far} id='sidebar'", "side"), (f" {far} hidden", "hidden"), (f" {far} class=article", "content"), (" title='is hidden now' class=nav", "menu")):
+        assert H.Tree(f"<div{text}>a</div>").kind[1] == kinds[kind], text[-30:]
+    assert H.Tree(f"<div {far}>a</div>").kind[1] == 0
