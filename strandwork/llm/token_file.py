@@ -185,10 +185,17 @@ class WordIds:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, raw: list[bytes]) -> None:
-        """keys: sorted and new. Plain words go to the tokenizer many at a time and are told apart by their word ends."""
+        """keys: sorted and new. Words of letters go to the tokenizer many at a time and are told apart by their word ends.
+
+        Each gives one run at least, so as many ends as words mean one each; a word of white space alone, which gives none,
+        and others that are not all letters go alone.
+        """
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         begin = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(raw) else size
-        plain = np.logical_and.reduceat(_LETTERS[np.frombuffer(b"".join(raw), np.uint8)], begin) & (size < 256)
+        joined = np.frombuffer(b"".join(raw), np.uint8)
+        plain = np.logical_and.reduceat(_LETTERS[joined], begin) & (size < 256)
+        for k in np.flatnonzero(plain & np.logical_or.reduceat(joined > 127, begin)):
+            plain[k] = raw[k].decode().isalpha()
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         many = np.flatnonzero(plain)
         n = np.zeros(len(raw), np.int64)

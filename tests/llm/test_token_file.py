@@ -54,3 +54,16 @@ def test_special_texts_and_cuts():
     for _ in range(2):
         for t in texts:
             assert own.encode(pa.array([t]))[0].tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_words_that_are_no_single_run_do_not_shift_others():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    fill = " ".join(f"{a}{b}né" for a in "bdfgk" for b in "aeiou")
+    for blank in ("\u00a0", "\u3000", "\u2003", "\u0085"):
+        for other in ("word\u201d", "foo\u00a0bar", "a\u2014b", "\u0130"):
+            own = T.WordIds(tokenizer_path())
+            for t in (f"{fill} {blank} more words {other} and ends", fill, "and more words"):
+                assert own.encode(pa.array([t]))[0].tolist() == plain.encode(t, add_special_tokens=False).ids, (blank, other)
