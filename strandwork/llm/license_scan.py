@@ -1,11 +1,14 @@
 """Licence scans: TF-IDF cosine of headers and licence files to templates, then inheritance from directories.
 
-Every line, every paragraph and the whole of a text are units. A unit's vector holds its words (lower case, ASCII punctuation
-read as white space) weighted by count times inverse document frequency, counted over all lines of all texts for the words of
-the templates; other words weigh as the rarest. The template nearest by cosine names the unit's licence if it reaches LEAST.
+Every line, every paragraph, the whole of a text, and every run of as many words as a statement has are units. A unit's vector
+holds its words (lower case, ASCII punctuation read as white space) weighted by count times inverse document frequency, counted
+over all lines of all texts for the words of the templates; other words weigh as the rarest. The template nearest by cosine names
+the unit's licence if it reaches LEAST. Templates are statements (for all units), the paragraphs of whole licence texts (for
+paragraphs), and those texts (for texts, from FILE_LEAST on; one that is near enough names the text's licence alone, and is no
+statement inside it).
 
-A licence file is one whose name says so, or a text of at least FILE_WORDS words that lie mostly in licence units. It covers its directory, and a file takes
-the licence of its nearest ancestor directory that has one, by a join of paths.
+A licence file is one whose name says so, one near a whole licence text, or a text of at least FILE_WORDS words that lie mostly in
+licence units. It covers its directory, and a file takes the licence of its nearest ancestor directory that has one, by a join of paths.
 """
 
 from __future__ import annotations
@@ -21,9 +24,12 @@ from pyspark.sql import functions as F
 
 from strandwork.llm.common import text_buffer, text_slices, words, written
 from strandwork.llm.decontaminate import plain_bytes
+from strandwork.llm.licence_texts import TEXTS
 
 LEAST = 0.75
-FILE_WORDS, FILE_SHARE = 20, 0.8
+FILE_WORDS, FILE_SHARE, FILE_LEAST = 20, 0.8, 0.9
+#: A paragraph of a licence text is a template from so many words on; shorter ones (titles, blanks to fill in) may stand anywhere.
+PARAGRAPH_WORDS = 8
 NAMES = r"(?i)(^|/)(licen[cs]es?|copying|unlicense|notice)([-._][^/]*)?$"
 #: (licence, typical statement), fixed values: wordings that licences ask for or that are common in headers and first lines.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -76,21 +82,34 @@ def _terms(text: bytes | str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Templates:
-    """The words of all templates, and each template's unit vector over them."""
+    """The words of all templates, and each template's counts of them: first the statements, then paragraphs, then whole texts."""
 
     names: tuple[str, ...]
     terms: np.ndarray  # sorted
     count: np.ndarray  # [template, term]
+    size: np.ndarray  # words of each template
+    statements: int
+    texts: int  # the first whole text
 
     @classmethod
     @lru_cache(maxsize=1)
     def fixed(cls) -> Templates:
-        each = [_terms(t) for _, t in TEMPLATES]
-        terms = np.unique(np.concatenate(each))
-        count = np.zeros((len(each), len(terms)))
-        for k, t in enumerate(each):
+        all_ = [(n, _terms(t)) for n, t in TEMPLATES]
+        statements = len(all_)
+        known: set[bytes] = set()
+        for n, text in TEXTS:
+            for x in re.split(r"\n[^\w\n]*\n", text):
+                t = _terms(x)
+                if len(t) >= PARAGRAPH_WORDS and t.tobytes() not in known:
+                    known.add(t.tobytes())
+                    all_.append((n, t))
+        texts = len(all_)
+        all_ += [(n, _terms(t)) for n, t in TEXTS]
+        terms = np.unique(np.concatenate([t for _, t in all_]))
+        count = np.zeros((len(all_), len(terms)))
+        for k, (_, t) in enumerate(all_):
             np.add.at(count[k], np.searchsorted(terms, t), 1)
-        return cls(tuple(n for n, _ in TEMPLATES), terms, count)
+        return cls(tuple(n for n, _ in all_), terms, count, np.array([len(t) for _, t in all_]), statements, texts)
 
 
 @dataclass(frozen=True)
@@ -143,37 +162,100 @@ def frequencies(files: DataFrame) -> tuple[int, np.ndarray]:
     return int(out[0]), out[1:]
 
 
-def licences(column: pa.Array, w: Weighted) -> list[list[tuple[int, int, float, int]]]:
-    """Of each text the licence units: (template, line within the text, cosine, words)."""
+@dataclass(frozen=True)
+class Found:
+    """Of one text: its licence units (template, line within the text, cosine, words), words in any of them, the whole text it is."""
+
+    units: list[tuple[int, int, float, int]]
+    words: int
+    whole: tuple[int, float] | None
+
+
+def licences(column: pa.Array, w: Weighted) -> list[Found]:
     t = Templates.fixed()
     term, h, line, paragraph, doc = _read(column)
-    out: list[list[tuple[int, int, float, int]]] = [[] for _ in range(len(column))]
+    units: list[list[tuple[int, int, float, int]]] = [[] for _ in range(len(column))]
     if not len(h):
-        return out
+        return [Found([], 0, None) for _ in units]
     buf, starts = text_buffer(column)
     first_line = np.append(0, np.cumsum(buf == 10))[starts[:-1]] + np.arange(len(column))
     weight = np.where(term >= 0, w.idf[term], w.other)
+    square = np.append(0, np.cumsum(weight**2))
+    covered = np.zeros(len(h), bool)
+    whole: dict[int, tuple[int, float]] = {}
+    stated = (t.count[: t.statements] > 0).any(0)
+    some = np.flatnonzero((term >= 0) & stated[term])
+
+    def cosines(a: int, b: int, first: int, last: int) -> np.ndarray:
+        """Of the words a to b to the templates first to last; none where even their words of templates are too little."""
+        _, one, n = np.unique(h[a:b], return_index=True, return_counts=True)
+        x = (weight[a:b][one] * n) ** 2
+        own = term[a:b][one]
+        norm = x.sum()
+        if x[own >= 0].sum() < LEAST**2 * norm:
+            return np.zeros(last - first)
+        return (w.unit[first:last, own[own >= 0]] * n[own >= 0]).sum(1) / np.sqrt(norm)
+
+    def shared(k: int, a: int, b: int) -> float:
+        """How many of the statement's words are among those from a to b: one word many times is no statement."""
+        own = term[a:b][term[a:b] >= 0]
+        return np.minimum(np.bincount(own, minlength=len(t.terms)), t.count[k]).sum() / t.size[k]
+
+    def take(k: int, a: int, b: int, cosine: float) -> None:
+        d = int(doc[a])
+        covered[a:b] = True
+        at = int(line[a] - first_line[d])
+        if not any(x[1] == at and x[0] == k for x in units[d]):
+            units[d].append((k, at, float(min(cosine, 1.0)), b - a))
+
     for kind, unit in enumerate((line, paragraph, doc)):
         cut = np.flatnonzero(np.diff(unit, prepend=unit[0] - 1))
+        size = np.diff(np.append(cut, len(unit)))
         # An upper bound of each unit's cosine: its norm is at least that of its words counted once each time.
         least_norm = np.sqrt(np.add.reduceat(weight**2, cut))
         best = np.zeros(len(cut))
-        some = np.flatnonzero(term >= 0)
         owner = np.searchsorted(cut, some, "right") - 1
-        for k in range(len(t.names)):
+        for k in range(t.statements):
             best = np.maximum(best, np.bincount(owner, w.unit[k][term[some]], len(cut)))
-        size = np.diff(np.append(cut, len(unit)))
         for u in np.flatnonzero(best >= LEAST * least_norm):
-            words_of = slice(cut[u], cut[u] + size[u])
-            values, one, n = np.unique(h[words_of], return_index=True, return_counts=True)
-            norm = np.sqrt(((weight[words_of][one] * n) ** 2).sum())
-            own = term[words_of][one]
-            cosine = (w.unit[:, own[own >= 0]] * n[own >= 0]).sum(1) / norm
+            a, b = int(cut[u]), int(cut[u] + size[u])
+            cosine = cosines(a, b, 0, t.statements)
             k = int(cosine.argmax())
-            d = int(doc[cut[u]])
-            if cosine[k] >= LEAST and not (kind and any(x[1] == line[cut[u]] - first_line[d] and x[0] == k for x in out[d])):
-                out[d].append((k, int(line[cut[u]] - first_line[d]), float(min(cosine[k], 1.0)), int(size[u])))
-    return out
+            if cosine[k] >= LEAST:
+                take(k, a, b, cosine[k])
+        if kind:  # licence texts: all words that are not in templates are lost, the others count together at most
+            first, last, least = (t.statements, t.texts, LEAST) if kind == 1 else (t.texts, len(t.names), FILE_LEAST)
+            mine = np.add.reduceat(np.where(term >= 0, weight, 0), cut)
+            lost = np.add.reduceat(np.where(term >= 0, 0, weight**2), cut)
+            for u in np.flatnonzero((mine**2 * (1 - least**2) >= lost * least**2) & (size >= PARAGRAPH_WORDS)):
+                a, b = int(cut[u]), int(cut[u] + size[u])
+                cosine = cosines(a, b, first, last)
+                k = int(cosine.argmax())
+                if cosine[k] >= least and kind == 1:
+                    take(first + k, a, b, cosine[k])
+                elif cosine[k] >= least:
+                    covered[a:b] = True
+                    whole[int(doc[a])] = (first + k, float(min(cosine[k], 1.0)))
+    # Runs of words inside longer units, nearest first, where nothing else was found; a run stays in its paragraph.
+    runs: list[tuple[float, int, int, int]] = []
+    for k in range(t.statements):
+        long = int(t.size[k])
+        if long > len(h):
+            continue
+        total = np.zeros(len(h) + 1)
+        own = np.where(term >= 0, w.unit[k][term], 0)
+        np.cumsum(own, out=total[1:])
+        sums = total[long:] - total[:-long]
+        at = np.flatnonzero(sums >= LEAST * np.sqrt(square[long:] - square[:-long]) - 1e-6)
+        at = at[(paragraph[at] == paragraph[at + long - 1]) & ~covered[at] & ~covered[at + long - 1]]
+        for part in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else []:
+            each = [(float(cosines(int(a), int(a) + long, k, k + 1)[0]), -k, int(a), int(a) + long) for a in part]
+            runs += [x for x in each if x[0] >= LEAST and shared(k, x[2], x[3]) >= LEAST]
+    for cosine, k, a, b in sorted(runs, key=lambda x: (-x[0], -x[1], x[2])):
+        if not covered[a:b].any():
+            take(-k, a, b, cosine)
+    inside = np.bincount(doc, covered, len(column)).astype(np.int64)
+    return [Found(x, int(n), whole.get(d)) for d, (x, n) in enumerate(zip(units, inside, strict=True))]
 
 
 def scan(files: DataFrame, path: Column) -> DataFrame:
@@ -198,10 +280,11 @@ def scan(files: DataFrame, path: Column) -> DataFrame:
                 buf, starts = text_buffer(part)
                 total = np.bincount(words(plain_bytes(buf), starts)[3], minlength=j - i)
                 rows = []
-                for k, units in enumerate(licences(part, held.value)):
+                for k, one in enumerate(licences(part, held.value)):
+                    units = [(one.whole[0], 0, one.whole[1], int(total[k]))] if one.whole else one.units
                     top = max(units, key=lambda u: (u[2], -u[0], -u[1]), default=None)
-                    share = max(sum(u[3] for u in {u[1]: u for u in units}.values()), max((u[3] for u in units), default=0)) / max(1, total[k])
-                    file = bool(units) and (bool(where[i + k] and named.search(where[i + k])) or (total[k] >= FILE_WORDS and share > FILE_SHARE))
+                    share = one.words / max(1, total[k])
+                    file = bool(units) and (bool(one.whole) or bool(where[i + k] and named.search(where[i + k])) or (total[k] >= FILE_WORDS and share > FILE_SHARE))
                     rows.append((names[top[0]] if top else None, top[2] if top else None, top[1] if top else None, sorted({names[u[0]] for u in units}), file))
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(

@@ -28,3 +28,24 @@ def test_edge_cases(edge, nothing):
     got = S.scan(edge, F.col("source")).collect()
     assert len(got) == edge.count() and all(r["licence"] is None for r in got)
     assert S.scan(nothing, F.col("source")).count() == 0
+
+
+def test_whole_licence_texts_and_statements_inside_lines(spark):
+    from strandwork.llm.licence_texts import TEXTS
+
+    rows = [(f"{n}/1.txt", t) for n, t in TEXTS] + [(f"{n}/2.txt", prose(k, 60)) for k, (n, _) in enumerate(TEXTS)]
+    rows += [("wrapped/1.txt", " ".join(dict(TEXTS)["MIT"].replace("the copyright holders", "2024 Some Body").split())), ("wrapped/2.txt", prose(80, 30))]
+    rows += [("x/1.txt", f"{prose(90, 40)} Licensed under the Apache License, Version 2.0. {prose(91, 40)}"), ("x/2.txt", prose(92, 40))]
+    rows += [("x/3.txt", f"{prose(93, 40)} This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License. {prose(94, 40)}")]
+    got = scanned(spark, rows)
+    for n, _ in TEXTS:
+        one, two = got[f"{n}/1.txt"], got[f"{n}/2.txt"]
+        assert (one["licence"], one["found"], one["licence_file"]) == (n, [n], True), one
+        assert (two["licence"], two["inherited"], two["inherited_from"]) == (None, n, n), two
+    assert got["wrapped/1.txt"]["licence"] == got["wrapped/2.txt"]["inherited"] == "MIT"
+    assert (got["x/1.txt"]["found"], got["x/1.txt"]["licence_file"], got["x/2.txt"]["inherited"]) == (["Apache-2.0"], False, None)
+    assert got["x/3.txt"]["found"] == ["CC-BY-SA-4.0"]
+
+
+def test_one_word_many_times_is_no_statement(spark):
+    assert scanned(spark, [("a/1.txt", f"{prose(1, 20)} mit, mit, mit, mit, mit, mit {prose(2, 20)}"), ("a/2.txt", prose(3, 20))])["a/1.txt"]["licence"] is None
