@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import hashlib
 import io
 import tempfile
 import uuid
@@ -22,9 +23,14 @@ _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset and all runs in one process, one of our own.
+
+    On a cluster it must be set: a folder of the driver's machine would not be the executors'.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='strandwork-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -55,7 +61,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that written() gave, once all that reads them is written itself."""
+    for df in tables:
+        entry = (df.sparkSession, df.stored_at)
+        with contextlib.suppress(ValueError):
+            _WRITTEN.remove(entry)
+        drop_path(*entry)
 
 
 _SHIPPED: set[str] = set()
@@ -178,7 +195,7 @@ def words(buf: np.ndarray, starts: np.ndarray, cuts: np.ndarray | None = None) -
                 while to < n and not (_IS_SPACE[buf[to]] or edge[to]):
                     to += 1
                 lead = at + (1 if _IS_SPACE[buf[at]] else 0)
-                value = np.uint64(int.from_bytes(__import__("hashlib").blake2b(buf[lead:to].tobytes(), digest_size=8).digest(), "little"))
+                value = np.uint64(int.from_bytes(hashlib.blake2b(buf[lead:to].tobytes(), digest_size=8).digest(), "little"))
                 hashes.append(np.array([value], np.uint64))
                 begins.append(np.array([lead], np.int64))
                 ends.append(np.array([to], np.int64))

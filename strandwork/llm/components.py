@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.llm.common import written
+from strandwork.llm.common import dropped, written
 
 
 def _marks(edges: DataFrame) -> tuple:
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         small = large.join(_least(large), "u")
-        now = written(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        old, now = now, written(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        dropped(old)
         after = _marks(now)
         if after == before:
             break
