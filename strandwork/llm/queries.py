@@ -20,7 +20,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS at
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || coalesce(text, '')) AS at
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -34,14 +34,19 @@ l AS (
   FROM c),
 f AS (SELECT *, max(CASE WHEN level <= cap / weight THEN level END) OVER () AS final FROM l),
 t AS (SELECT source, source_size, CASE WHEN weight * final < cap THEN weight * final ELSE cap END AS target FROM f),
-p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.at, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "end",
-         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS times
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+q AS (
+  SELECT d.*, t.source_size, t.target,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS "end"
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+v AS (
+  SELECT (turn * source_size + "end") / target AS finish, CAST(sum(size) AS DOUBLE) AS volume
+  FROM q, (VALUES (0), (1), (2)) AS turns(turn) WHERE size > 0 AND target > 0 GROUP BY 1),
+w AS (SELECT finish, volume, sum(volume) OVER (ORDER BY finish) AS until FROM v),
+k AS (SELECT max(finish) AS cut FROM w WHERE until - volume / 2 <= (SELECT sum(target) FROM t))
 SELECT doc_id, size, source_size, target,
-       CAST(size * (times + CASE WHEN size > 0 AND "end" - size / 2.0 <= target - times * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM p
+       CAST(size * (SELECT count(*) FROM (VALUES (0), (1), (2)) AS turns(turn)
+                    WHERE q.size > 0 AND q.target > 0 AND (turn * q.source_size + q."end") / q.target <= k.cut) AS BIGINT) AS taken
+FROM q, k
 """
 
 
