@@ -1,7 +1,9 @@
 """Sharding by fixed virtual slots.
 
-Every record hashes into one of ``n_slots`` virtual slots for ever. Bytes are summed per slot, and a small versioned map
-says which shard holds each slot. Rebalancing edits the map: records never hash anew, only whole slots move.
+Every record hashes into one of ``n_slots`` virtual slots for ever, by its doc_id, its text's checksum and, where rows are repeated,
+the number of its copy: so neither null ids nor one record that makes up much of the table crowd a slot. Bytes are summed
+per slot, and a small versioned map says which shard holds each slot. Rebalancing edits the map: records never hash anew, only
+whole slots move.
 
 * The first version deals slots by size, largest first, to the shard that is lightest so far, so shards get near equal bytes.
 * ``grow`` makes the next version for more shards: slots move only into the new shards.
@@ -18,16 +20,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwork.llm.common import new_path
+from strandwork.llm.common import new_path, written
 
 N_SLOTS = 4096
 #: Bytes that each record adds besides its text.
 ROW_BYTES = 8
 
 
-def slot_of(key: str, n_slots: int = N_SLOTS) -> Column:
-    """The virtual slot of a record; null keys share one slot."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n_slots)).cast("int")
+def slot_of(n_slots: int = N_SLOTS) -> Column:
+    """The virtual slot of a record, from doc_id, text_crc32 and copy (0 but for repeated rows)."""
+    return F.pmod(F.xxhash64("doc_id", "text_crc32", "copy"), F.lit(n_slots)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -110,15 +112,20 @@ def shard(docs: DataFrame, shards: int = 24, n_slots: int = N_SLOTS, map_path: s
     """Puts every row of ``docs`` (doc_id, text, any more columns) into a shard, by bytes.
 
     Returns doc_id, size (UTF-8 bytes of the text, null: none, plus 8), text_crc32, virtual_slot, map_version, shard and
-    ``slot``, the row's place in its shard: 0 and on without gaps, by virtual slot, then doc_id. Rows that agree in all
-    of these columns are interchangeable. A null doc_id hashes as any other value; no rows in, no rows out. The map is
-    stored under ``map_path`` (else a new folder in the shared one) and read back before it is applied.
+    ``slot``, the row's place in its shard: 0 and on without gaps, by virtual slot, then doc_id. Rows that agree in doc_id, size
+    and text_crc32 are interchangeable: they are counted, and their copies hash each by its own number. A null doc_id hashes as any
+    other value; no rows in, no rows out. The map is stored under ``map_path`` (else a new folder in the shared one) and read back
+    before it is applied.
 
-    One shuffle of some 40 bytes a row, hashed by virtual slot: thousands of slots, each with its share of all rows.
+    Two shuffles of some 40 bytes a row, by record (repeated rows combine before it) and by virtual slot: thousands of slots, each
+    with its share of all rows. Texts are read once and not moved.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    rows = docs.select("doc_id", (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), slot_of("doc_id", n_slots).alias("virtual_slot"))
+    records = docs.select("doc_id", (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    records = records.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    copies = records.select("doc_id", "size", "text_crc32", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"))
+    rows = written(copies.select("doc_id", "size", "text_crc32", slot_of(n_slots).alias("virtual_slot")), "records")
     size, count = slot_sizes(rows, n_slots)
     path = map_path or new_path(spark, "slot-map")
     SlotMap.by_bytes(size, shards).save(spark, path)
