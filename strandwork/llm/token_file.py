@@ -11,6 +11,7 @@ Spark writes to can hold; parts are ranges of doc_id in ascending order.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -154,13 +155,33 @@ _LETTERS = np.zeros(256, bool)  # bytes of words that are one run of letters, or
 _LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
+# How a tokenizer reads texts whose words can be encoded apart.
+_BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def reads_by_word(spec: dict) -> bool:
+    """Whether a tokenizer (its file as a dict) is one whose words can be encoded apart; others get whole texts."""
+    model = spec["model"]
+    plain = not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
+    return plain and all(spec[k] == v for k, v in _BY_WORD.items()) and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>" and not model["dropout"] and not spec["truncation"] and not spec["padding"]
+
+
 class WordIds:
     """Ids of texts: the tokenizer runs once for each different word that the cache does not hold.
 
     For tokenizers that lower-case, drop white space, part letters from punctuation and end every run with an id that is
-    marked as a word end. Texts are cut at ASCII white space and between an ASCII letter or digit and ASCII punctuation
-    (but for the apostrophe), and ASCII letters count as their lower case: nothing that such a tokenizer would join. Where a
-    special token's text occurs, words stay as they are.
+    marked as a word end (reads_by_word). Texts are cut at ASCII white space and between an ASCII letter or digit and ASCII
+    punctuation (but for the apostrophe), and ASCII letters count as their lower case: nothing that such a tokenizer would join.
+    Where a special token's text occurs, words stay as they are. Any other tokenizer encodes whole texts.
     """
 
     MOST = 700_000
@@ -171,6 +192,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = reads_by_word(json.loads(self.tokenizer.to_str()))
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.vocab = max(vocab.values()) + 1
         self.ends = np.zeros(self.vocab, bool)
@@ -225,6 +247,8 @@ class WordIds:
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text (null: none)."""
+        if not self.by_word:
+            return [np.array(x, np.uint32) for x in self._ids([t or "" for t in column.to_pylist()])]
         buf, starts = text_buffer(column)
         lower = ASCII_LOWER[buf]
         cuts = None

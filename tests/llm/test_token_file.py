@@ -1,4 +1,5 @@
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -67,3 +68,51 @@ def test_words_that_are_no_single_run_do_not_shift_others():
             own = T.WordIds(tokenizer_path())
             for t in (f"{fill} {blank} more words {other} and ends", fill, "and more words"):
                 assert own.encode(pa.array([t]))[0].tolist() == plain.encode(t, add_special_tokens=False).ids, (blank, other)
+
+
+ODD = ["\u0085", "\u00a0", "\u2003", "\u3000", "\u200d", "\u0301", "\u0338", "\u0130", "\u03a3", "\u201d", "\u2014", "\u0958", "\u4e2d", "\ud55c", "\U0001f600", "'s", "'", "-", "<", "|", "9", "\u00bd", "\n", "\t", " ", " ", " ", "A", "b", "le", "Caf\u00e9"]
+
+
+@given(st.lists(st.lists(st.one_of(st.sampled_from(ODD), st.text(max_size=4)), max_size=30).map("".join), min_size=1, max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_any_text_has_the_plain_tokenizers_ids(texts):
+    """Several texts through one cache, arbitrary Unicode, blanks and signs alone, inside and between words."""
+    import pyarrow as pa
+
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    plain, own = _tokenizers()
+    for group in (texts, texts[::-1]):
+        assert [x.tolist() for x in own.encode(pa.array(group))] == [plain.encode(t, add_special_tokens=False).ids for t in group]
+
+
+@lru_cache(maxsize=1)
+def _tokenizers():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path()), T.WordIds(tokenizer_path())
+
+
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, plain = T.WordIds(path), Tokenizer.from_file(path)
+    texts = ["Some  words, and\nmore", None, "", "caf\u00e9 \u00a0 x"]
+    assert not own.by_word and T.WordIds(tokenizer_path()).by_word
+    assert [x.tolist() for x in own.encode(pa.array(texts))] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_rows_of_the_query_against_a_plain_loop(spark):
+    """All documents of a whole table, through the file, against the tokenizer on the driver."""
+    from strandwork.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    plain, at = _tokenizers()[0], 0
+    docs = sorted(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    got = sorted(queries.op5_token_file(spark, sf).collect(), key=lambda r: r["doc_id"])
+    for d, r in zip(docs, got, strict=True):
+        ids = [*plain.encode(d["text"] or "", add_special_tokens=False).ids, 1]
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (d["doc_id"], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
