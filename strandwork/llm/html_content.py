@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 # The standard's void, raw-text, paragraph-closing and block elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style noscript template iframe svg math textarea title object audio video canvas select datalist head".split())
+DROPPED = frozenset("script style template iframe svg textarea title audio video select datalist head annotation annotation-xml".split())
 RAW = frozenset("script style textarea title iframe".split())
 #: What can stand in a head, what ends an open select, where HTML can stand inside svg or math, and what ends those elsewhere.
 IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes head html".split())
@@ -82,25 +83,23 @@ def kind_of(name: str) -> int:
     return best
 
 
-def _read_attributes(text: str) -> tuple[int, int]:
-    """(kind, label in training pages: 0, 1, or -1 for none)."""
-    kind, label = 0, -1
+def _read_attributes(text: str) -> int:
+    """The kind that an element's attributes tell."""
+    kind = 0
     for name, value in _ATTR.findall(text):
         value = value.strip("\"'")
         name = name.lower()
-        if name == "data-y":
-            label = int(value)
-        elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             kind = _WORD_KIND["hidden"]
         elif name in ("class", "id", "role") and (k := kind_of(value)) and (not kind or k < kind):
             kind = k
-    return kind, label
+    return kind
 
 
 _known_attributes = lru_cache(maxsize=20_000)(_read_attributes)
 
 
-def _attributes(text: str) -> tuple[int, int]:
+def _attributes(text: str) -> int:
     """_read_attributes of the whole text; long ones are not kept."""
     return _known_attributes(text) if len(text) <= 2000 else _read_attributes(text)
 
@@ -148,12 +147,19 @@ def _ends_dropped(name: str, closing: bool, inner: list[str], outer: list[tuple[
     return False
 
 
+_MARK = re.compile(r'\bdata-y="([01])"')
+
+
 class Tree:
-    """Nodes of one page in page order: the root first, parents before their children."""
+    """Nodes of one page in page order: the root first, parents before their children.
+
+    marks: whether to read the labels of training pages (data-y, 0 or 1; -1 for none).
+    """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, marks: bool = False):
         self.tag, self.parent, self.depth, self.kind, self.label, self.text, self.block = [_TAG["body"]], [0], [0], [0], [-1], [""], [0]
         stack: list[tuple[str, int]] = [("#root", 0)]
+        count = Counter(["#root"])  # what is open, so that nothing is looked for in vain
         block = at = 0
         inner: list[str] = []  # an element whose text is dropped, and what is open in it
         open_ = False
@@ -168,6 +174,10 @@ class Tree:
             self.block.append(block)
             return len(self.tag) - 1
 
+        def close(k: int) -> None:
+            count.subtract(n for n, _ in stack[k:])
+            del stack[k:]
+
         for m in _TOKEN.finditer(source):
             if m.start() < at:
                 continue
@@ -204,9 +214,9 @@ class Tree:
             if closing:
                 if name in BLOCK:
                     block += 1
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if count[name] > 0 else ():
                     if stack[k][0] == name:
-                        del stack[k:]
+                        close(k)
                         break
                     if name not in BLOCK and stack[k][0] in BLOCK:
                         break
@@ -222,23 +232,25 @@ class Tree:
                 continue
             if name in SIBLINGS:
                 ends, fences = SIBLINGS[name]
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if any(count[x] > 0 for x in ends) else ():
                     if stack[k][0] in fences:
                         break
                     if stack[k][0] in ends:
-                        del stack[k:]
+                        close(k)
                         break
             if name in CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if count["p"] > 0 else ():
                     if stack[k][0] == "p":
-                        del stack[k:]
+                        close(k)
                         break
                     if stack[k][0] in SECTION or stack[k][0] in ("div", "td", "li", "blockquote", "body"):
                         break
             if name in VOID:
                 continue
-            kind, label = _attributes(m[3] or m[6] or "")
-            stack.append((name, add(_TAG.get(name, _TAG["other"]), kind, label, "")))
+            said = m[3] or m[6] or ""
+            mark = _MARK.search(said) if marks else None
+            count[name] += 1
+            stack.append((name, add(_TAG.get(name, _TAG["other"]), _attributes(said), int(mark[1]) if mark else -1, "")))
         if (not inner or inner == ["head"]) and source[at:].strip():
             add(0, 0, -1, html.unescape(source[at:]))
 
@@ -262,6 +274,11 @@ class Forest:
     edge: np.ndarray  # kind of the edge to the parent
     figures: np.ndarray
     levels: list[np.ndarray]
+    place: np.ndarray  # of each node in its level
+
+    def to_parents(self, level: int, values: np.ndarray) -> np.ndarray:
+        """Sums of one level's values by parent, for all nodes of the level above: work in proportion to the two levels."""
+        return np.bincount(self.place[self.parent[self.levels[level]]], values, len(self.levels[level - 1]))
 
     @classmethod
     def of(cls, trees: list[Tree]) -> Forest:
@@ -274,23 +291,27 @@ class Forest:
         parent[depth == 0] = -1
         by_depth = np.argsort(depth, kind="stable")
         levels = np.split(by_depth, np.searchsorted(depth[by_depth], np.arange(1, int(depth.max()) + 1)))
+        place = np.empty(len(tag), np.int64)
+        for level in levels:
+            place[level] = np.arange(len(level))
+        out = cls(tag, kind, parent, depth, tag, tag, levels, place)
         chars = np.array([len(x) for t in trees for x in t.text], float)
         marks = np.array([(x.count(".") + x.count(",") + x.count("!") + x.count("?")) if len(x) > 1 else 0 for t in trees for x in t.text], float)
         linked = np.zeros(len(tag), bool)
         for level in levels[1:]:
             linked[level] = linked[parent[level]] | (tag[level] == _TAG["a"])
         total = np.stack([chars, chars * linked, marks, (tag == _TAG["p"]).astype(float), (tag == _TAG["a"]).astype(float)], 1)
-        for level in levels[:0:-1]:
+        for k in range(len(levels) - 1, 0, -1):
             for c in range(total.shape[1]):
-                total[:, c] += np.bincount(parent[level], total[level, c], len(tag))
+                total[levels[k - 1], c] += out.to_parents(k, total[levels[k], c])
         n, in_links, dots, paras, links = total.T
         page_chars = n[levels[0]][page]
-        figures = np.stack([
+        out.figures = np.stack([
             np.ones(len(tag)), np.log1p(n) / 6, in_links / (n + 1), np.minimum(dots / (n + 20) * 20, 2), np.minimum(n / (page_chars + 1), 1),
             np.log1p(paras) / 2, np.log1p(links) / 2, linked.astype(float), np.minimum(depth, 12) / 12,
         ], 1)
-        edge = np.where(tag == 0, 0, np.where(np.isin(tag, _INLINE), 1, np.where(np.isin(tag, _SECTIONS), 2, 3)))
-        return cls(tag, kind, parent, depth, edge, figures, levels)
+        out.edge = np.where(tag == 0, 0, np.where(np.isin(tag, _INLINE), 1, np.where(np.isin(tag, _SECTIONS), 2, 3)))
+        return out
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -317,10 +338,11 @@ class Model:
         own[:, 1] = self.tag[f.tag] + self.kind[f.kind] + (f.figures * self.figures[(f.tag != 0).astype(int)]).sum(1)
         below = own  # potentials with all that lies below
         up = np.zeros_like(own)
-        for level in f.levels[:0:-1]:
+        for k in range(len(f.levels) - 1, 0, -1):
+            level = f.levels[k]
             up[level] = _log_sum(below[level][:, None, :] + self.pair[f.edge[level]], 2)
             for y in (0, 1):
-                below[:, y] += np.bincount(f.parent[level], up[level, y], len(f.tag))
+                below[f.levels[k - 1], y] += f.to_parents(k, up[level, y])
         joint = np.zeros((len(f.tag), 2, 2)) if pairs else None
         full = below.copy()
         for level in f.levels[1:]:
@@ -335,7 +357,7 @@ class Model:
 
 def train(pages: list[str], rounds: int = 250, rate: float = 0.08, ridge: float = 2e-4) -> Model:
     """Fits to pages whose elements carry data-y marks (inherited by what is inside; none: not content); Adam ascent."""
-    trees = [Tree(p) for p in pages]
+    trees = [Tree(p, marks=True) for p in pages]
     f = Forest.of(trees)
     y = np.array([x for t in trees for x in t.label], np.int64)
     for level in f.levels:
@@ -388,8 +410,11 @@ class Maker:
         return "".join(f'<li><a href="/{self.r.randint(1, 99)}">{self.words(1, 3)}</a></li>' for _ in range(n))
 
     def named(self, names: str) -> str:
-        if self.r.random() < 0.12:
+        x = self.r.random()
+        if x < 0.12:
             return ""
+        if x < 0.56:  # half of the names tell nothing
+            return f' class="{self.words(1, 2).lower()}"'
         key = self.r.choice(("class", "class", "class", "id"))
         return f' {key}="{self.r.choice(("", "", "site-", "page-", "c-"))}{self.pick(names)}"'
 
@@ -516,8 +541,10 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of ``pages`` (page_id, url, html, any more columns).
 
     Null, empty and text-free pages give an empty text; broken markup is read as browsers do where it is common (open
-    paragraphs, list items and cells, missing ends). Repeated rows give repeated rows. Pages are read whole, in groups of
-    bounded size; a very long page makes a group of its own.
+    paragraphs, list items and cells, missing ends). What browsers show where an element is not supported (noscript, object,
+    canvas) and formulas are text like any other; audio, video, drawings, frames and what fields hold are not. A run of text
+    whose marginal is exactly one half is left out. Repeated rows give repeated rows. Pages are read whole, in groups of
+    bounded size; a very long page makes a group of its own. Work grows with the nodes of a page, not with its depth.
     """
     held = pages.sparkSession.sparkContext.broadcast(model or default_model())
 
