@@ -3,7 +3,11 @@
 Words are compared in lower case, with ASCII punctuation read as white space. Karp-Rabin values of every window of MIN_MATCH
 words find the seeds that a document shares with a benchmark item; seeds in a row on one diagonal are a maximal match.
 The longest match is marked as a tile again and again; what is left of matches that a tile cuts competes on. So no word
-belongs to two tiles, and passages whose parts were reordered are still covered. An item leaks if tiles cover COVERAGE of it.
+belongs to two tiles, and passages whose parts were reordered are still covered. An item leaks if the tiles of one stretch of the
+document cover COVERAGE of it. Stretches are SPREAD times as long as the item, overlap by half and cover the whole text, so a
+passage of up to half that length lies in one; common runs of words from all over a long text don't add up, and work and
+memory for a document and an item don't grow with the product of their lengths. An item of fewer than MIN_MATCH words leaks
+where it occurs as a whole.
 
 The benchmark is a stated query set: it is read in blocks of at most BLOCK_BYTES of text, each broadcast in turn, and every
 block meets all documents.
@@ -23,8 +27,9 @@ from pyspark.sql import functions as F
 from strandwork.llm.common import ASCII_LOWER, grams, text_buffer, text_slices, words
 
 MIN_MATCH = 3
-COVERAGE = 0.6
-BLOCK_BYTES = 4 << 20
+COVERAGE = 0.5
+SPREAD = 8
+BLOCK_BYTES = 16 << 20
 
 _PLAIN = ASCII_LOWER.copy()
 for _c in b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~":
@@ -55,6 +60,7 @@ class Benchmark:
     seeds: np.ndarray  # sorted, different
     seed_from: np.ndarray
     places: np.ndarray  # word positions by seed
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # (Karp-Rabin value, item) of items of so few words, by value
 
     @classmethod
     def of(cls, ids: list, texts: list[str | None]) -> Benchmark:
@@ -63,7 +69,15 @@ class Benchmark:
         order = np.argsort(g, kind="stable")
         seeds, begin = np.unique(g[order], return_index=True)
         first = np.searchsorted(item, np.arange(len(ids)))
-        return cls(list(ids), h, item, first, np.bincount(item, minlength=len(ids)), seeds, np.append(begin, len(g)), at[order])
+        length = np.bincount(item, minlength=len(ids))
+        short = {}
+        for n in range(1, MIN_MATCH):
+            value, place = grams(h, item, n)
+            own = length[item[place]] == n
+            rank = np.argsort(value[own], kind="stable")
+            if len(rank):
+                short[n] = (value[own][rank], item[place][own][rank])
+        return cls(list(ids), h, item, first, length, seeds, np.append(begin, len(g)), at[order], short)
 
 
 def tiles(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
@@ -81,35 +95,41 @@ def tiles(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, least: int
         if (a[x : x + n] == b[y : y + n]).all():
             runs.append((-n, x, y))
     heapq.heapify(runs)
-    in_a: set[int] = set()
-    in_b: set[int] = set()
+    in_a, in_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
     out = []
     while runs:
         n, x, y = heapq.heappop(runs)
         n = -n
-        free = [x + k not in in_a and y + k not in in_b for k in range(n)]
-        if all(free):
+        used = in_a[x : x + n] | in_b[y : y + n]
+        if not used.any():
             out.append((x, y, n))
-            in_a.update(range(x, x + n))
-            in_b.update(range(y, y + n))
+            in_a[x : x + n] = in_b[y : y + n] = True
+            if in_a.all():
+                break
             continue
-        k = 0
-        while k < n:  # what is left of it competes on
-            if not free[k]:
-                k += 1
-                continue
-            e = k
-            while e < n and free[e]:
-                e += 1
+        # What is left of it competes on.
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], used, [True]])))
+        for k, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
             if e - k >= least:
                 heapq.heappush(runs, (-(e - k), x + k, y + k))
-            k = e
     return out
 
 
+def stretches(where: np.ndarray, words: int, least: float) -> Iterator[slice]:
+    """The seeds (of sorted document places ``where``) of each stretch for an item of so many words, but for those that can't cover ``least``."""
+    half = max(1, SPREAD * words // 2)
+    cell, first, n = np.unique(where // half, return_index=True, return_counts=True)
+    next_to = np.append(np.diff(cell) == 1, False)
+    alone = ~next_to & ~np.append(False, next_to[:-1])
+    n = n + np.where(next_to, np.append(n[1:], 0), 0)
+    for k in np.flatnonzero((next_to | alone) & (n * MIN_MATCH >= least)):
+        yield slice(int(first[k]), int(first[k] + n[k]))
+
+
 def leaks(column: pa.Array, bench: Benchmark, coverage: float = COVERAGE) -> Iterator[tuple[int, int, int, list[tuple[int, int, int]]]]:
     """(document, item, words covered, tiles) where tiles cover enough of the item."""
     h, doc = tokens(column)
+    yield from _short_leaks(h, doc, bench)
     g, at = grams(h, doc, MIN_MATCH)
     if not len(g) or not len(bench.seeds):
         return
@@ -121,31 +141,56 @@ def leaks(column: pa.Array, bench: Benchmark, coverage: float = COVERAGE) -> Ite
         where, seed = at[own], place[own]
         # What seeds cover bounds what tiles can: items below the threshold go before any pair of places is made.
         different = np.unique(seed)
-        spots = np.concatenate([bench.places[bench.seed_from[s] : bench.seed_from[s + 1]] for s in different])
-        covered = np.unique((spots[:, None] + np.arange(MIN_MATCH)).ravel())
-        bound = np.bincount(bench.item[covered], minlength=len(bench.ids))
+        many = bench.seed_from[different + 1] - bench.seed_from[different]
+        spots = bench.places[np.repeat(bench.seed_from[different] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+        bound = np.bincount(bench.item[np.unique((spots[:, None] + np.arange(MIN_MATCH)).ravel())], minlength=len(bench.ids))
         base = int(np.searchsorted(doc, d))
-        end = int(np.searchsorted(doc, d, "right"))
+        owner, of = bench.item[spots], np.repeat(different, many)
         for k in np.flatnonzero((bound > 0) & (bound >= coverage * bench.length)):
-            lo, hi = bench.first[k], bench.first[k] + bench.length[k]
-            # pairs of this item only
-            near = []
-            for s in different:
-                p = bench.places[bench.seed_from[s] : bench.seed_from[s + 1]]
-                p = p[(p >= lo) & (p < hi)]
-                if len(p):
-                    q = where[seed == s]
-                    near.append((np.repeat(p, len(q)), np.tile(q, len(p))))
-            i = np.concatenate([x for x, _ in near]) - lo
-            j = np.concatenate([y for _, y in near]) - base
-            found = tiles(bench.words[lo:hi], h[base:end], i, j)
-            n = sum(t[2] for t in found)
-            if n >= coverage * bench.length[k]:
-                yield int(d), int(k), n, found
+            lo, n = int(bench.first[k]), int(bench.length[k])
+            mine = owner == k
+            spot, by = spots[mine] - lo, of[mine]  # places in the item, and their seeds in ascending order
+            some = np.isin(seed, by)
+            q, s = where[some], seed[some]
+            best: tuple[int, list] = (0, [])
+            for part in stretches(q - base, n, coverage * n):
+                found = _tiled(bench.words[lo : lo + n], h, spot, by, q[part], s[part], coverage * n)
+                total = sum(t[2] for t in found)
+                if total > best[0]:
+                    best = (total, [(x, y - base, m) for x, y, m in found])
+                if total == n:
+                    break
+            if best[0] >= coverage * n:
+                yield int(d), int(k), best[0], best[1]
+
+
+def _tiled(item: np.ndarray, h: np.ndarray, spot: np.ndarray, by: np.ndarray, where: np.ndarray, seed: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+    """Tiles of an item (seeds ``by`` at its places ``spot``) in one stretch of words h (seeds at ``where``); none if they can't cover ``least``."""
+    here = np.isin(by, seed)
+    if len(np.unique((spot[here][:, None] + np.arange(MIN_MATCH)).ravel())) < least:
+        return []
+    first, last = np.searchsorted(by, seed), np.searchsorted(by, seed, "right")
+    many = last - first
+    i = spot[np.repeat(first - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+    begin, end = int(where[0]), int(where[-1]) + MIN_MATCH
+    return [(x, y + begin, n) for x, y, n in tiles(item, h[begin:end], i, np.repeat(where, many) - begin)]
+
+
+def _short_leaks(h: np.ndarray, doc: np.ndarray, bench: Benchmark) -> Iterator[tuple[int, int, int, list[tuple[int, int, int]]]]:
+    for n, (value, item) in bench.short.items():
+        g, at = grams(h, doc, n)
+        first, last = np.searchsorted(value, g), np.searchsorted(value, g, "right")
+        seen: set[tuple[int, int]] = set()
+        for k in np.flatnonzero(last > first):
+            d = int(doc[at[k]])
+            for i in item[first[k] : last[k]].tolist():
+                if (d, i) not in seen:
+                    seen.add((d, i))
+                    yield d, i, n, [(0, int(at[k] - np.searchsorted(doc, d)), n)]
 
 
 def benchmark_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[Benchmark]:
-    """The items (item_id, text) by blocks of bounded text; null texts and items of fewer than MIN_MATCH words match nothing."""
+    """The items (item_id, text) by blocks of bounded text; null texts and items without words match nothing."""
     items = benchmark.select("item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // most)
