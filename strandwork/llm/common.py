@@ -108,8 +108,8 @@ def remainder(column: str | Column, by: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % by
 
 
-def salted_join(rows: DataFrame, small: DataFrame, on: str | list[str], spread: str, parts: int | Column = 16) -> DataFrame:
-    """An inner join on keys that may make up much of ``rows``: a key's rows are dealt by ``spread`` into ``parts`` parts.
+def salted_join(rows: DataFrame, small: DataFrame, on: str | list[str], spread: str, parts: int | Column = 16, how: str = "inner") -> DataFrame:
+    """A merge join (inner or left) on keys that may make up much of ``rows``: a key's rows are dealt by ``spread`` into ``parts`` parts.
 
     ``small`` has one row a key, which is repeated for each part. parts: a number, or a column that both sides have in
     common by a rule (the small side's is dropped).
@@ -120,7 +120,7 @@ def salted_join(rows: DataFrame, small: DataFrame, on: str | list[str], spread:
     right = small.withColumn("salt_", F.explode(F.sequence(F.lit(0), (many - 1).cast("int"))))
     if not isinstance(parts, int):
         right = right.drop(*[c for c in small.columns if c not in on and c in rows.columns])
-    return left.join(right, [*on, "salt_"]).drop("salt_")
+    return left.hint("merge").join(right, [*on, "salt_"], how).drop("salt_")
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -5,7 +5,8 @@ holds its words (lower case, ASCII punctuation read as white space) weighted by
 over all lines of all texts for the words of the templates; other words weigh as the rarest. The template nearest by cosine names
 the unit's licence if it reaches LEAST. Templates are statements (for all units), the paragraphs of whole licence texts (for
 paragraphs), and those texts (for texts, from FILE_LEAST on; one that is near enough names the text's licence alone, and is no
-statement inside it).
+statement inside it). A statement that is denied ("not licensed under ...": a word of DENIALS among its unit's words or up to
+DENIED words before it, that its template lacks) is none, and a claim of all rights is none beside a licence.
 
 A licence file is one whose name says so, one near a whole licence text, or a text of at least FILE_WORDS words that lie mostly in
 licence units. It covers its directory, and a file takes the licence of its nearest ancestor directory that has one, by a join of paths.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.llm.common import text_buffer, text_slices, words, written
+from strandwork.llm.common import salted_join, text_buffer, text_slices, words, written
 from strandwork.llm.decontaminate import plain_bytes
 from strandwork.llm.licence_texts import TEXTS
 
@@ -30,6 +31,10 @@ LEAST = 0.75
 FILE_WORDS, FILE_SHARE, FILE_LEAST = 20, 0.8, 0.9
 #: A paragraph of a licence text is a template from so many words on; shorter ones (titles, blanks to fill in) may stand anywhere.
 PARAGRAPH_WORDS = 8
+DENIALS = ("not", "no", "never", "isn't", "without", "neither", "nor", "cannot", "than")
+DENIED = 3
+#: The licence that a claim of all rights names.
+CLAIM = "Proprietary"
 NAMES = r"(?i)(^|/)(licen[cs]es?|copying|unlicense|notice)([-._][^/]*)?$"
 #: (licence, typical statement), fixed values: wordings that licences ask for or that are common in headers and first lines.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -90,6 +95,8 @@ class Templates:
     size: np.ndarray  # words of each template
     statements: int
     texts: int  # the first whole text
+    denials: np.ndarray  # sorted words
+    denied: np.ndarray  # how many of them each template has
 
     @classmethod
     @lru_cache(maxsize=1)
@@ -109,7 +116,9 @@ class Templates:
         count = np.zeros((len(all_), len(terms)))
         for k, (_, t) in enumerate(all_):
             np.add.at(count[k], np.searchsorted(terms, t), 1)
-        return cls(tuple(n for n, _ in all_), terms, count, np.array([len(t) for _, t in all_]), statements, texts)
+        denials = np.unique(np.concatenate([_terms(x) for x in DENIALS]))
+        denied = np.array([int(np.isin(t, denials).sum()) for _, t in all_])
+        return cls(tuple(n for n, _ in all_), terms, count, np.array([len(t) for _, t in all_]), statements, texts, denials, denied)
 
 
 @dataclass(frozen=True)
@@ -201,6 +210,12 @@ def licences(column: pa.Array, w: Weighted) -> list[Found]:
         own = term[a:b][term[a:b] >= 0]
         return np.minimum(np.bincount(own, minlength=len(t.terms)), t.count[k]).sum() / t.size[k]
 
+    denial = np.append(0, np.cumsum(np.isin(h, t.denials)))
+
+    def denied(k: int, a: int, b: int) -> bool:
+        before = max(a - DENIED, int(np.searchsorted(paragraph, paragraph[a])))
+        return denial[b] - denial[before] > t.denied[k]
+
     def take(k: int, a: int, b: int, cosine: float) -> None:
         d = int(doc[a])
         covered[a:b] = True
@@ -221,7 +236,7 @@ def licences(column: pa.Array, w: Weighted) -> list[Found]:
             a, b = int(cut[u]), int(cut[u] + size[u])
             cosine = cosines(a, b, 0, t.statements)
             k = int(cosine.argmax())
-            if cosine[k] >= LEAST:
+            if cosine[k] >= LEAST and not denied(k, a, b):
                 take(k, a, b, cosine[k])
         if kind:  # licence texts: all words that are not in templates are lost, the others count together at most
             first, last, least = (t.statements, t.texts, LEAST) if kind == 1 else (t.texts, len(t.names), FILE_LEAST)
@@ -252,8 +267,11 @@ def licences(column: pa.Array, w: Weighted) -> list[Found]:
             each = [(float(cosines(int(a), int(a) + long, k, k + 1)[0]), -k, int(a), int(a) + long) for a in part]
             runs += [x for x in each if x[0] >= LEAST and shared(k, x[2], x[3]) >= LEAST]
     for cosine, k, a, b in sorted(runs, key=lambda x: (-x[0], -x[1], x[2])):
-        if not covered[a:b].any():
+        if not covered[a:b].any() and not denied(-k, a, b):
             take(-k, a, b, cosine)
+    for found in units:
+        if any(t.names[x[0]] != CLAIM for x in found):
+            found[:] = [x for x in found if t.names[x[0]] != CLAIM]
     inside = np.bincount(doc, covered, len(column)).astype(np.int64)
     return [Found(x, int(n), whole.get(d)) for d, (x, n) in enumerate(zip(units, inside, strict=True))]
 
@@ -301,6 +319,7 @@ def scan(files: DataFrame, path: Column) -> DataFrame:
     ups = F.concat(F.when(F.col("directory") != "", F.transform(F.sequence(F.lit(1), F.size(own)), lambda n: F.array_join(F.slice(own, F.lit(1), n), "/"))).otherwise(F.array().cast("array<string>")), F.array(F.lit("")))
     above = found.where("directory is not null").select("directory").distinct().select("directory", F.explode(ups).alias("ancestor"))
     nearest = above.join(covered, "ancestor").groupBy("directory").agg(F.max_by(F.struct("inherited", "ancestor"), F.length("ancestor")).alias("n"))
-    out = found.join(nearest, "directory", "left")
+    # A directory may hold much of the corpus: its files meet their licence in many parts.
+    out = salted_join(found.withColumn("at_", F.monotonically_increasing_id()), nearest, "directory", "at_", how="left")
     alone = F.col("licence").isNull()
     return out.select("doc_id", "path", "licence", "similarity", "line", "found", "licence_file", F.when(alone, F.col("n.inherited")).alias("inherited"), F.when(alone, F.col("n.ancestor")).alias("inherited_from"))
