@@ -1,4 +1,4 @@
-"""Column functions on nucleotide and protein text; all stay in the JVM."""
+"""Column functions on nucleotide and protein text; all but translated_long() stay in the JVM."""
 
 from collections.abc import Callable
 from itertools import product

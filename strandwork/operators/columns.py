@@ -1,29 +1,18 @@
-"""Columns of alignments in long form: one row for each sequence and place. Votes combine before they are shuffled."""
+"""Columns of alignments: rows (by, seq). Votes are counted in batches and combine before they are shuffled."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from strandwork.functions.dna import codons, iupac
-from strandwork.functions.msa import data_end, data_start
-
-
-def placed(msa: DataFrame, *carry: str, span_only: bool = False) -> DataFrame:
-    """(carry…, place from 0, ch) of each letter; span_only: only places between a row's first and last letter of data."""
-    letters, msa = F.split("seq", ""), msa.where(F.length("seq") > 0)
-    if not span_only:
-        return msa.select(*carry, F.posexplode(letters).alias("place", "ch"))
-    rows = msa.withColumns({"__s": data_start(F.col("seq")), "__e": data_end(F.col("seq"))}).where("__e > __s")
-    inside = rows.select(*carry, "__s", F.posexplode(F.slice(letters, F.col("__s") + 1, F.col("__e") - F.col("__s"))).alias("place", "ch"))
-    return inside.withColumn("place", F.col("place") + F.col("__s")).drop("__s")
+from strandwork.functions.dna import iupac
+from strandwork.operators.tallies import tallied
 
 
 def consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = None) -> DataFrame:
     """A12. ``by`` and consensus: the letter with more than ``threshold`` of a place's votes, else the only letter that is no gap,
     else X; gaps inside a row's span vote; places before the last one without votes are '-'."""
-    votes = placed(msa, by, *([weight] if weight else []), span_only=True).groupBy(by, "place", "ch").agg((F.sum(weight) if weight else F.count("*")).alias("n"))
+    votes = tallied(msa, by, weight, span_only=True)
     place = votes.groupBy(by, "place").agg(F.sum("n").alias("total"), F.max(F.struct("n", "ch")).alias("top"), F.count(F.when(F.col("ch") != "-", 1)).alias("kinds"), F.max(F.when(F.col("ch") != "-", F.col("ch"))).alias("only"))
     letter = F.when(F.col("top.n") > threshold * F.col("total"), F.col("top.ch")).when(F.col("kinds") == 1, F.col("only")).otherwise("X")
     return _joined(place.select(by, "place", letter.alias("ch")), by, "-")
@@ -38,8 +27,7 @@ def _joined(letters: DataFrame, by: str, fill: str) -> DataFrame:
 
 def codon_consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = None) -> DataFrame:
     """A13. The codon with more than ``threshold`` of the votes, else the only one that is no gap, else base by base the IUPAC letter."""
-    rows = msa.select(by, (F.col(weight) if weight else F.lit(1)).alias("w"), F.posexplode(codons(F.col("seq"))).alias("place", "codon"))
-    votes = rows.groupBy(by, "place", "codon").agg(F.sum("w").alias("n"))
+    votes = tallied(msa, by, weight, width=3).withColumnRenamed("ch", "codon")
     place = votes.groupBy(by, "place").agg(
         F.sum("n").alias("total"), F.max(F.struct("n", "codon")).alias("top"), F.count(F.when(F.col("codon") != "---", 1)).alias("kinds"), F.max(F.when(F.col("codon") != "---", F.col("codon"))).alias("only"), F.collect_set("codon").alias("all")
     )
@@ -51,7 +39,8 @@ def codon_consensus(msa: DataFrame, by: str, threshold: float, weight: str | Non
 
 def occupancy(msa: DataFrame, by: str, gap: str = "-") -> DataFrame:
     """A14. Of each (by, place) the rows and the share that is no gap."""
-    return placed(msa, by).groupBy(by, "place").agg(F.count("*").alias("n_rows"), F.avg((F.col("ch") != gap).cast("double")).alias("share"))
+    data = F.sum(F.when(F.col("ch") != gap, F.col("n")).otherwise(0))
+    return tallied(msa, by).groupBy(by, "place").agg(F.sum("n").alias("n_rows"), (data / F.sum("n")).alias("share"))
 
 
 def without_empty_columns(msa: DataFrame, by: str, gap: str = "-") -> DataFrame:
@@ -59,7 +48,7 @@ def without_empty_columns(msa: DataFrame, by: str, gap: str = "-") -> DataFrame:
 
     The kept places of a group are one small array, joined back to its rows.
     """
-    full = placed(msa, by).groupBy(by, "place").agg(F.bool_or(F.col("ch") != gap).alias("data")).where("data")
+    full = tallied(msa, by).where(F.col("ch") != gap).select(by, "place").distinct()
     keep = full.groupBy(by).agg(F.array_sort(F.collect_list("place")).alias("__keep"))
     letters = F.filter(F.split("seq", ""), lambda c: c != "")
     cut = F.array_join(F.transform(F.coalesce("__keep", F.array().cast("array<int>")), lambda k: F.coalesce(F.get("__letters", k), F.lit(""))), "")
@@ -74,9 +63,9 @@ def edges(occupied: DataFrame, by: str, least: float) -> DataFrame:
 def diversity(msa: DataFrame, by: str, gaps: str = "-X?") -> DataFrame:
     """A21. Of each group its places that are lax (any data), lax informative, strict (data in as many rows as any place has) and
     strict informative."""
-    data = placed(msa, by).where(~F.col("ch").isin(*gaps)).groupBy(by, "place", "ch").agg(F.count("*").alias("n"))
+    data = tallied(msa, by).where(~F.col("ch").isin(*gaps))
     place = data.groupBy(by, "place").agg(F.sum("n").alias("data"), F.max("n").alias("most"))
-    every = place.withColumn("full", F.max("data").over(Window.partitionBy()))
+    every = place.join(F.broadcast(place.agg(F.max("data").alias("full"))))  # one row
     count = lambda c: F.sum(c.cast("long"))
     strict = F.col("data") >= F.col("full")
     return every.groupBy(by).agg(

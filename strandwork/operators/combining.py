@@ -1,5 +1,6 @@
 """Combining samples and finishing data sets: (gene, taxon, target, seq) and more columns."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,9 @@ def kick_genes(rows: DataFrame, share: float, gene: str = "gene", taxon: str = "
 
 
 def renamed(rows: DataFrame, names: DataFrame, key: str, new: str) -> DataFrame:
-    """J14. ``key`` replaced by ``new`` of ``names`` where it is there."""
-    return rows.join(names.select(F.col(key).alias("__key"), F.col(new).alias("__new")), F.col(key) == F.col("__key"), "left").withColumn(key, F.coalesce("__new", key)).drop("__key", "__new")
+    """J14. ``key`` replaced by ``new`` of ``names`` where it is there; a key that ``names`` repeats has its smallest name."""
+    one = names.groupBy(F.col(key).alias("__key")).agg(F.min(new).alias("__new"))
+    return rows.join(one, F.col(key) == F.col("__key"), "left").withColumn(key, F.coalesce("__new", key)).drop("__key", "__new")
 
 
 def concatenated(rows: DataFrame, gene: str = "gene", taxon: str = "taxon", fill: str = "-") -> DataFrame:
@@ -90,13 +92,31 @@ def merged_name(rows: DataFrame, by: list[str], reference: str, node: str) -> Da
 def kmer_similarity(a: Column, b: Column, k: int) -> Column:
     """A34. Shared different k-mers over those of the text with fewer; null if a text is too short or null."""
 
+    def grams(text: str) -> np.ndarray | set[str]:
+        """Different k-mers: packed into numbers where they fit, so that a text is cut and compared as arrays."""
+        if k <= 8 and text.isascii():
+            raw = np.frombuffer(text.encode(), np.uint8).astype(np.uint64)
+            out = np.zeros(len(raw) - k + 1, np.uint64)
+            for j in range(k):
+                out = out << np.uint64(8) | raw[j : j + len(out)]
+            return np.unique(out)
+        return {text[i : i + k] for i in range(len(text) - k + 1)}
+
+    def shared(p: np.ndarray | set[str], q: np.ndarray | set[str]) -> int:
+        if isinstance(p, np.ndarray) and isinstance(q, np.ndarray):
+            return len(np.intersect1d(p, q, assume_unique=True))
+        return len(_texts(p) & _texts(q))
+
+    def _texts(p: np.ndarray | set[str]) -> set[str]:
+        return p if isinstance(p, set) else {int(v).to_bytes(k, "big").decode() for v in p}
+
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
         def one(s: str | None, t: str | None) -> float | None:
             if s is None or t is None or min(len(s), len(t)) < k:
                 return None
-            p, q = ({z[i : i + k] for i in range(len(z) - k + 1)} for z in (s, t))
-            return len(p & q) / min(len(p), len(q))
+            p, q = grams(s), grams(t)
+            return shared(p, q) / min(len(p), len(q))
 
         return pd.Series([one(s, t) for s, t in zip(x, y, strict=True)], dtype="float64")
 

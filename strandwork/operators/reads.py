@@ -59,3 +59,15 @@ def strand_dedupe(reads: DataFrame, order: str, by: list[str] | None = None) ->
 def numbered(rows: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
     """W16."""
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def numbered_in_ranges(rows: DataFrame, by: str, number: str, order: list[str], name: str, size: int = 1 << 16) -> DataFrame:
+    """W16 for large groups: running numbers from 1 within ``by`` in the given order, which rises with the whole number ``number``.
+
+    Rows meet in ranges of ``size`` numbers only; how many rows lie before a range is summed over the counts of ranges.
+    """
+    ranged = rows.withColumn("__r", F.floor(F.col(number) / size))
+    before = F.sum("__n").over(Window.partitionBy(by).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1))
+    counts = ranged.groupBy(by, "__r").agg(F.count("*").alias("__n")).select(by, "__r", F.coalesce(before, F.lit(0)).alias("__before"))
+    here = F.row_number().over(Window.partitionBy(by, "__r").orderBy(*order))
+    return ranged.withColumn("__here", here).join(counts, [by, "__r"]).withColumn(name, (F.col("__here") + F.col("__before")).cast("long")).drop("__r", "__here", "__before")

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandwork.functions.dna import entropy, framed, reverse_complement, translated
 from strandwork.functions.headers import short_name
@@ -57,8 +56,8 @@ def prepare(records: DataFrame, params: Prepare = Prepare()) -> dict[str, DataFr
     kind = rows.join(flags.select("taxa", "is_genome"), "taxa")
     parts = R.split_at_n(R.long_enough(kind.where(~F.col("is_genome")), params.least), params.least).where(entropy(F.col("seq")) >= params.low_complexity)
     order = F.struct("idx", "offset")
-    once = R.strand_dedupe(parts.withColumn("order", order), "order", ["taxa"]).select("taxa", "order", "seq", "dupes")
-    number = lambda df: df.withColumn("node", F.row_number().over(Window.partitionBy("taxa").orderBy("order")).cast("long"))
+    once = R.strand_dedupe(parts.withColumn("order", order), "order", ["taxa"]).select("taxa", "idx", "order", "seq", "dupes")
+    number = lambda df: R.numbered_in_ranges(df, "taxa", "idx", ["order"], "node")
     plain = number(once)
     whole = kind.where("is_genome").withColumn("parent_len", F.length("seq"))
     cut = number(R.chunked(whole, params.chunk, params.chunk - params.overlap, params.least).withColumn("order", F.struct("idx", "start")))
@@ -70,20 +69,23 @@ def prepare(records: DataFrame, params: Prepare = Prepare()) -> dict[str, DataFr
     }
 
 
-def search(raw: DataFrame, targets: DataFrame, params: Search = Search()) -> dict[str, DataFrame]:
+def search(raw: DataFrame, targets: DataFrame, params: Search = Search(), gene_refs: DataFrame | None = None) -> dict[str, DataFrame]:
     """From raw hits (header, target, frame, evalue, score, qstart, qend) and targets (gene, taxon, target, aa_len).
 
     top_taxa, valid_targets, and hits: rows of good e-value and top taxa that stay after pooling, the multi-gene filter, one row a
-    gene and frame, and the internal filter of each (gene, read); with ``cluster`` of neighbouring reads of a gene.
+    gene and signed frame, and the internal filter of each (gene, read); with ``cluster`` of neighbouring reads of a gene. Hits without
+    target count in the top share of rows, and nowhere else. ``gene_refs`` (gene, taxon), if given, are the references of each gene that count.
     """
-    rows = raw.join(targets, "target")
+    rows = raw.join(targets, "target", "left")
     order = ["header", "target", "qstart", "frame"]
     top = H.top_taxa(H.count_taxa(rows, order, share=params.top_share), params.top_taxa)
     good = H.evalue_filter(rows, params.evalue_power).join(top.select("taxon"), "taxon", "left_semi")
+    if gene_refs is not None:
+        good = good.join(gene_refs.select("gene", "taxon").distinct(), ["gene", "taxon"], "left_semi")
+    pooled = H.pooled_filter(good, params.pooled).drop("pooled").withColumn("strand", F.when(F.col("frame") < 0, "-").otherwise("+"))
+    single = H.best_per_group(H.multi_gene_filter(pooled, [F.col(c) for c in order], params.multi_share, params.multi_ratio), [F.col(c) for c in order])
     s, e = swapped(F.col("frame"), F.col("qstart"), F.col("qend"))
-    pooled = H.pooled_filter(good, params.pooled).drop("pooled").withColumns({"qstart": s, "qend": e}).withColumn("strand", F.when(F.col("frame") < 0, "-").otherwise("+"))
-    forward = pooled.withColumn("frame", F.abs("frame"))  # coordinates are in ascending order from here on
-    single = H.best_per_group(H.multi_gene_filter(forward, [F.col(c) for c in order], params.multi_share, params.multi_ratio), [F.col(c) for c in order])
+    single = single.withColumns({"qstart": s, "qend": e})  # coordinates are in ascending order from here on; the frame keeps its sign
     kept = H.internal_filter(single.withColumn("__neg", -F.col("score")), ["gene", "header"], ["__neg", *order], params.internal).drop("__neg")
     return {"top_taxa": top, "valid_targets": H.valid_targets(kept, targets), "hits": islands.id_clusters(kept, ["gene"], "header", params.cluster_gap, ["target", "qstart", "frame"])}
 
