@@ -38,18 +38,18 @@ from pyspark.sql import functions as F
 
 from strandwork.llm.common import ASCII_LOWER, remainder, shuffle_parts, text_buffer, text_slices, words, written
 
-MODEL_WORDS = 16_384
+MODEL_WORDS = 12_288
 GROUP_WORDS = 128
 RARE = 32
-SIZE = 20
-CONTEXT = 4
+SIZE = 16
+CONTEXT = 3
 ROUNDS = 3
-BATCH = 1024
+BATCH = 2048
 #: Noise of a batch for classes, of each word for its group, and the shares of a group's noise in so many slots.
-NOISE, GROUP_NOISE, SLOTS = 32, 4, 1024
-RATE = 0.2
+NOISE, GROUP_NOISE, SLOTS = 32, 3, 1024
+RATE = 0.25
 PIECES = 32
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 #: The hash that stands for the end of a text.
 END = np.uint64(0x5DEECE66D1234567)
 
