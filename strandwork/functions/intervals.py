@@ -30,3 +30,15 @@ def chunk_coordinates(strand: Column, qstart: Column, qend: Column, chunk_start:
 def set_distance(a: Column, b: Column) -> Column:
     """X15. The least difference between members of two arrays of numbers."""
     return F.array_min(F.transform(a, lambda x: F.array_min(F.transform(b, lambda y: F.abs(x - y)))))
+
+
+def overlap_range(s1: Column, e1: Column, s2: Column, e2: Column, least: int = 1) -> Column:
+    """H1. The common range (start, end) if it has at least ``least`` places, else null; a negative ``least`` allows a gap, whose
+    range has its end before its start."""
+    s, e = F.greatest(s1, s2), F.least(e1, e2)
+    return F.when(e - s >= least, F.struct(s.alias("start"), e.alias("end")))
+
+
+def within_distance(a: Column, b: Column, most: int) -> Column:
+    """X15. Whether two arrays of numbers have members at most so far apart."""
+    return set_distance(a, b) <= most

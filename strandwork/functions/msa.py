@@ -58,3 +58,42 @@ def same_variant(a: Column, b: Column) -> Column:
 def gaps_inserted(seq: Column, places: Column, gap: str = "-") -> Column:
     """X6. Gaps put in so that they stand at the given places (from 0, ascending) of the new text."""
     return F.aggregate(places, seq, lambda s, k: F.concat(F.substring(s, F.lit(1), k), F.lit(gap), F.substring(s, k + 1, F.length(s))))
+
+
+def inner_gap_places(seq: Column, gap: str = "-") -> Column:
+    """X6. The places (from 0) of gaps between the first and the last letter of data."""
+    letters = F.filter(F.split(seq, ""), lambda c: c != "")
+    s, e = data_start(seq, gap), data_end(seq, gap)
+    return F.filter(F.transform(letters, lambda c, i: F.when((c == gap) & (i >= s) & (i < e), i)), lambda i: i.isNotNull())
+
+
+def masked_codons(nt: Column, places: Column, mark: str = "---") -> Column:
+    """X7 and H11. The codons at the given protein places (from 0) replaced."""
+    every = F.sequence(F.lit(0), F.greatest(F.ceil(F.length(nt) / 3).cast("int") - 1, F.lit(0)))
+    return F.array_join(F.transform(every, lambda k: F.when(F.array_contains(places, k), F.lit(mark)).otherwise(F.substring(nt, k * 3 + 1, F.lit(3)))), "")
+
+
+def selected_codons(nt: Column, places: Column) -> Column:
+    """H11. The codons at the given protein places (from 0, in their order), joined."""
+    return F.array_join(F.transform(places, lambda k: F.substring(nt, k * 3 + 1, F.lit(3))), "")
+
+
+def codon_place(i: Column) -> Column:
+    """X8. Where the codon of a protein place begins in the nucleotides, both from 0."""
+    return i * 3
+
+
+def as_share(percent: float) -> float:
+    """X17. A share given as a percentage (above 1) or as a share."""
+    return percent / 100 if percent > 1 else float(percent)
+
+
+def marked_consensus(agreed: Column, covered: Column) -> Column:
+    """H4. A consensus where columns without any data are ? and ambiguous ones stay X; ``covered``: places with data."""
+    letters = F.filter(F.split(agreed, ""), lambda c: c != "")
+    return F.array_join(F.transform(letters, lambda c, i: F.when(F.array_contains(covered, i), c).otherwise(F.lit("?"))), "")
+
+
+def same_letters(a: Column, b: Column, start: Column, end: Column) -> Column:
+    """H5. Whether two aligned rows are equal on [start, end); gaps count as letters."""
+    return F.substring(a, start + 1, end - start) == F.substring(b, start + 1, end - start)

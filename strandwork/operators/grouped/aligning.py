@@ -40,6 +40,62 @@ def global_alignment(a: str, b: str, match: int = 2, mismatch: int = -1, gap: in
     return "".join(reversed(p)), "".join(reversed(q))
 
 
+def star_alignment(rows: list[tuple[str, str]], centre: str | None = None) -> list[tuple[str, str]]:
+    """G3, G8 and E. (name, aligned seq) of rows (name, seq without gaps), all as wide: each is aligned to one centre (that of the given
+    name, else the longest, ties by name), and letters between two of the centre's share columns, as many as the most that any row has there."""
+    rows = sorted(rows)
+    if not rows:
+        return []
+    middle = dict(rows)[centre] if centre else max(rows, key=lambda r: (len(r[1]), [-ord(c) for c in r[0]]))[1]
+    parts = []
+    for name, seq in rows:
+        top, bottom = global_alignment(seq, middle) if seq != middle else (seq, middle)
+        inserted, own = [""] * (len(middle) + 1), []
+        for a, c in zip(top, bottom, strict=True):
+            if c == GAP:
+                inserted[len(own)] += a
+            else:
+                own.append(a)
+        parts.append((name, inserted, own))
+    wide = [max(len(p[1][k]) for p in parts) for k in range(len(middle) + 1)]
+    return [(name, "".join(inserted[k].ljust(wide[k], GAP) + (own[k] if k < len(own) else "") for k in range(len(middle) + 1))) for name, inserted, own in parts]
+
+
+def signature_clusters(rows: list[tuple[str, str]], k: int = 5, most: int = 500, share: float = 0.3) -> list[list[str]]:
+    """H10 and G8. Names of rows (name, seq) in groups of similar k-mers: from the longest row on, each joins the first group whose
+    leader shares ``share`` of the k-mers of the row that has fewer, and that has room."""
+    groups: list[tuple[set[str], list[str]]] = []
+    for name, seq in sorted(rows, key=lambda r: (-len(r[1]), r[0])):
+        own = {seq[i : i + k] for i in range(max(1, len(seq) - k + 1))}
+        for leader, names in groups:
+            if len(names) < most and len(own & leader) >= share * min(len(own), len(leader)):
+                names.append(name)
+                break
+        else:
+            groups.append((own, [name]))
+    return [names for _, names in groups]
+
+
+def clusterwise_alignment(rows: list[tuple[str, str]], references: list[tuple[str, str]], k: int = 5, most: int = 500) -> list[tuple[str, str]]:
+    """G8. Rows aligned with the references of their gene: each group of similar rows, of at most ``most``, takes the frame of the
+    longest reference; equal rows are aligned once and inserted again (A2)."""
+    once: dict[str, list[str]] = {}
+    for name, seq in sorted(rows):
+        once.setdefault(seq, []).append(name)
+    distinct = [(names[0], seq) for seq, names in once.items()]
+    ordered = [(n, dict(distinct)[n]) for group in signature_clusters(distinct, k, most) for n in group]
+    if not references:
+        done = star_alignment(ordered)
+    else:
+        centre = max(references, key=lambda r: (len(r[1]), [-ord(c) for c in r[0]]))[0]
+        done = star_alignment([*references, *[(f"\x00{n}", s) for n, s in ordered]], centre)
+    out = []
+    for name, seq in done:
+        plain = name.lstrip("\x00")
+        out += [(other, seq) for other in (once[dict(distinct)[plain]] if name != plain or not references else [plain])]
+    return out
+
+
 def introns_removed(seq: str, reference: str, least_group: int = 10, join: int = 10, least: int = 30, reach: int = 10) -> tuple[str, list[tuple[int, int]]]:
     """G6. The sequence without introns, and their [start, end): where the alignment to a reference leaves at least ``least_group``
     letters of the sequence without partner (groups at most ``join`` apart are one), the GT..AG nearest to the group, within

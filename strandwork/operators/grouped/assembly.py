@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strandwork.functions.dna import CODONS
 from strandwork.operators.grouped.columns import GAP, Row, consensus, runs_of
 
 
@@ -99,25 +100,55 @@ def recovered(kept: list[Row], kicked: list[Row], threshold: float = 0.65, overl
     return out
 
 
+def _translated(nt: str) -> str:
+    return "".join(CODONS.get(nt[k : k + 3], "X") for k in range(0, len(nt) - 2, 3))
+
+
+def _joined_chunks(a: dict, b: dict, overlap: int) -> dict | None:
+    """One hit of two on a parent, or None: same strand and codon phase, ``overlap`` places in common, neighbouring nodes (any node of b is at
+    most one above any of a), and the same protein where they overlap. Letters are the first one's where both have some."""
+    if a["strand"] != b["strand"] or min(a["end"], b["end"]) - max(a["start"], b["start"]) < overlap or (a["start"] - b["start"]) % 3:
+        return None
+    if not any(y - x <= 1 for x in a["ids"] for y in b["ids"]):
+        return None
+    # Texts run along their own strand: from the start of a plus hit, from the end of a minus one.
+    lead = b["end"] - a["end"] if a["strand"] == "-" else a["start"] - b["start"]
+    at_a, at_b = max(lead, 0), max(-lead, 0)
+    lo, hi = max(at_a, at_b), min(at_a + len(a["seq"]), at_b + len(b["seq"]))
+    if hi <= lo or _translated(a["seq"][lo - at_a : hi - at_a]) != _translated(b["seq"][lo - at_b : hi - at_b]):
+        return None
+    seq = a["seq"] if at_a <= at_b else b["seq"][: at_a - at_b] + a["seq"]
+    seq += b["seq"][max(0, at_a + len(a["seq"]) - at_b) :]
+    return a | {"start": min(a["start"], b["start"]), "end": max(a["end"], b["end"]), "seq": seq, "ids": sorted({*a["ids"], *b["ids"]})}
+
+
 def chunks_merged(hits: list[dict], gap: int = 300, overlap: int = 30, rounds: int = 15) -> list[dict]:
-    """G5. Hits on a parent (name, strand, start, end, frame, ids, seq) joined where they are less than ``gap`` apart, overlap by at
-    least ``overlap``, lie on one strand in one codon phase, have neighbouring chunk ids and equal letters in common."""
-    now = sorted(hits, key=lambda h: (h["strand"], h["start"], h["end"], h["name"]))
+    """G5. Hits on a parent (name, strand, start, end, ids, seq) by node: within runs of nodes less than ``gap`` apart, a later hit joins an
+    earlier one where it can, in up to ``rounds`` rounds until none does."""
+    now = sorted(hits, key=lambda h: (min(h["ids"]), h["start"], h["end"], h["name"]))
     for _ in range(rounds):
-        out: list[dict] = []
         changed = False
+        runs: list[list[dict]] = []
         for h in now:
-            last = out[-1] if out else None
-            if last and last["strand"] == h["strand"] and h["start"] - last["end"] < gap:
-                lo, hi = h["start"], min(last["end"], h["end"])
-                near = any(abs(a - b) <= 1 for a in last["ids"] for b in h["ids"])
-                if hi - lo >= overlap and near and (h["start"] - last["start"]) % 3 == 0:
-                    a, b = last["seq"][lo - last["start"] : hi - last["start"]], h["seq"][: hi - lo]
-                    if a == b:
-                        out[-1] = last | {"end": max(last["end"], h["end"]), "seq": last["seq"] + h["seq"][hi - lo :], "ids": sorted({*last["ids"], *h["ids"]})}
-                        changed = True
+            if runs and min(h["ids"]) - min(runs[-1][-1]["ids"]) < gap:
+                runs[-1].append(h)
+            else:
+                runs.append([h])
+        out = []
+        for run in runs:
+            k = 0
+            while k < len(run):
+                m = k + 1
+                while m < len(run):
+                    both = _joined_chunks(run[k], run[m], overlap)
+                    if both is None:
+                        m += 1
                         continue
-            out.append(h)
+                    run[k] = both
+                    del run[m]
+                    changed = True
+                k += 1
+            out += run
         now = out
         if not changed:
             break

@@ -1,4 +1,4 @@
-"""Merging overlapping rows of a gene."""
+"""Merging overlapping rows of a gene."""
 
 from __future__ import annotations
 
@@ -25,18 +25,48 @@ def overlap_groups(rows: list[Row], least: int = 0) -> list[list[Row]]:
     return out
 
 
-def layers(rows: list[Row]) -> list[list[Row]]:
-    """W10. Rows by start, each in the first layer whose last row it does not overlap."""
+def apart_groups(rows: list[Row]) -> list[list[Row]]:
+    """W10. Runs of rows in the given order: a new one begins where a row has a place in common with the run so far, from its least start to its
+    greatest end."""
     out: list[list[Row]] = []
-    for r in sorted(rows, key=lambda r: (r.start, r.end, r.name)):
-        layer = next((x for x in out if x[-1].end <= r.start), None)
-        if layer is None:
+    start = end = 0
+    for r in rows:
+        if not out or min(end, r.end) - max(start, r.start) >= 1:
             out.append([r])
+            start, end = r.start, r.end
         else:
-            layer.append(r)
+            out[-1].append(r)
+            start, end = min(start, r.start), max(end, r.end)
     return out
 
 
+def spliced(rows: list[Row], references: list[str], adjacency: int = 3, most: float = 0.5) -> list[tuple[str, str]]:
+    """G23. (names joined by &&, seq) of the fragments of one component: two of them, by start, become one where they overlap by at most
+    ``most`` of the shorter and differ there, at the split that agrees with most references, or where they lie less than ``adjacency``
+    apart; again until none do."""
+    counts = reference_counts(references)
+    now = sorted(rows, key=lambda r: (r.start, r.end, r.name))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(now)):
+            for j in range(i + 1, len(now)):
+                a, b = now[i], now[j]
+                lo, hi = max(a.start, b.start), min(a.end, b.end)
+                if hi - lo < 1 - adjacency or (hi - lo) / max(1, min(a.end - a.start, b.end - b.start)) > most:
+                    continue
+                if hi > lo and a.seq[lo:hi] == b.seq[lo:hi]:
+                    continue
+                at = best_split(a.seq, b.seq, lo, hi, counts) if hi > lo else a.end
+                now[i] = Row(f"{a.name}&&{b.name}", a.seq[:at] + b.seq[at:], a.weight + b.weight)
+                del now[j]
+                changed = True
+                break
+            if changed:
+                break
+    return [(r.name, r.seq) for r in now]
+
+
 def codon_consensus(rows: list[Row], threshold: float) -> str:
     """A13 for one group: by codon, else the only codon that is no gap, else base by base."""
     width = max((len(r.seq) for r in rows), default=0) // 3
@@ -100,10 +130,13 @@ _SCHEMA = "gene string, taxa string, names string, reference string, total int,
 def merged(rows: DataFrame, references: DataFrame, mode: str = "consensus", threshold: float = 0.5) -> DataFrame:
     """G21 and G22 for rows (gene, taxa, name, ref, weight, aa, nt), references (gene, seq): one row for each overlap group of a
     gene and sample, ``mode`` consensus (A12 and A13) or split (G22). names are joined by && in order, reference is the commonest."""
-    refs = references.groupBy("gene").agg({"seq": "collect_list"}).toDF("gene", "__refs")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        known = sorted(pdf["__refs"].iloc[0]) if pdf["__refs"].iloc[0] is not None else []
+    def every_sample(pdf: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
+        known = sorted(refs["seq"].dropna()) if len(refs) else []
+        parts = [run(part, known) for _, part in pdf.groupby("taxa", sort=True, dropna=False)] if len(pdf) else []
+        return pd.concat(parts) if parts else pd.DataFrame(columns=[c.split()[0] for c in _SCHEMA.split(", ")])
+
+    def run(pdf: pd.DataFrame, known: list[str]) -> pd.DataFrame:
         aa = [Row(r.name, r.aa, int(r.weight)) for r in pdf[["name", "aa", "weight"]].itertuples(index=False)]
         nt = dict(zip(pdf["name"], pdf["nt"], strict=True))
         ref = dict(zip(pdf["name"], pdf["ref"], strict=True))
@@ -118,4 +151,4 @@ def merged(rows: DataFrame, references: DataFrame, mode: str = "consensus", thre
             out.append((pdf["gene"].iloc[0], pdf["taxa"].iloc[0], "&&".join(names), min(common, key=lambda c: (-common[c], c)), sum(r.weight for r in group), a, n))
         return pd.DataFrame(out, columns=[c.split()[0] for c in _SCHEMA.split(", ")])
 
-    return rows.join(refs, "gene", "left").groupBy("gene", "taxa").applyInPandas(run, _SCHEMA)
+    return rows.groupBy("gene").cogroup(references.groupBy("gene")).applyInPandas(every_sample, _SCHEMA)

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from strandwork.functions.blosum import blosum62_distance, codes
 from strandwork.operators.grouped.columns import GAP, Row, consensus, letters, reference_counts, span
 from strandwork.operators.grouped.trimming import average_match
 from strandwork.operators.outliers import gap_free_distance
@@ -23,7 +24,7 @@ def midpoint(values: list[float], p: float) -> float:
     return (v[math.floor(at)] + v[math.ceil(at)]) / 2
 
 
-def distance_outliers(rows: list[Row], references: list[Row], times: float = 1.75, floor: float = 0.02, least_columns: int = 10, least_share: float = 0.33, data: float = 0.5, distance: Distance = gap_free_distance) -> dict[str, dict]:
+def distance_outliers(rows: list[Row], references: list[Row], times: float = 1.75, floor: float = 0.02, least_columns: int = 10, least_share: float = 0.33, data: float = 0.5, distance: Distance = blosum62_distance) -> dict[str, dict]:
     """G11 and A26. Of each row its statistic, bound and grade ("pass", "fail" or "unscored").
 
     Rows of one span are judged together, over that span. References need ``data`` of it filled, and max(2, ``least_share`` of all) must
@@ -112,25 +113,53 @@ def severe_rows(rows: list[Row], threshold: float = 0.5, floor: float = 0.2, tim
     return sorted(n for n, x in d.items() if x == x and x > max(q3 + times * (q3 - q1), floor))
 
 
-def deviating_rows(rows: list[Row], floor: float, times: float = 1.5, rounds: int = 3, least: int = 30) -> list[str]:
-    """A28. In up to ``rounds`` rounds, names of rows of fewer than ``least`` letters, or whose mean distance to the others is above
-    max(q3 + times * (q3 - q1), floor)."""
-    left = sorted((r for r in rows if r.data() >= least), key=lambda r: r.name)
+def deviating_rows(rows: list[Row], floor: float = 0.03, times: float = 1.0, rounds: int = 3, least: int = 0, power: float = 2.0, distance: Distance = blosum62_distance, part: dict[str, tuple[int, int]] | None = None) -> list[str]:
+    """A28. In up to ``rounds`` rounds, names of rows whose median distance to the others, to the given power, lies above
+    max(median + times * (q3 - q1), floor) of all pairs' (linear quartiles). Pairs are compared where both have data spans; rows of
+    fewer than ``least`` letters, and rows that meet no other, are not judged. ``part`` limits each row to a range of its columns."""
+    spans = {r.name: part[r.name] if part else (r.start, r.end) for r in rows}
+    data = lambda r: sum(c != GAP for c in r.seq[slice(*spans[r.name])])
+    left = sorted((r for r in rows if data(r) >= max(1, least)), key=lambda r: r.name)
+    text = {r.name: codes(r.seq) for r in left}
+    known: dict[tuple[str, str], float] = {}
+    for i, a in enumerate(left):
+        for b in left[i + 1 :]:
+            s, e = max(spans[a.name][0], spans[b.name][0]), min(spans[a.name][1], spans[b.name][1])
+            d = distance(text[a.name][s:e], text[b.name][s:e]) if e > s else float("nan")
+            if d >= 0:
+                known[a.name, b.name] = d**power
+    gone: list[str] = []
+    names = [r.name for r in left]
     for _ in range(rounds):
-        if len(left) < 3:
+        values = list(known.values())
+        if not values:
             break
-        mean = []
-        for a in left:
-            d = [x for x in (gap_free_distance(a.seq, b.seq) for b in left if b is not a) if x == x]
-            mean.append(float(np.mean(d)) if d else 0.0)
-        q1, q3 = np.percentile(mean, [25, 75])
-        bound = max(q3 + times * (q3 - q1), floor)
-        stay = [r for r, m in zip(left, mean, strict=True) if m <= bound]
-        if len(stay) == len(left):
+        q1, middle, q3 = np.percentile(values, [25, 50, 75])
+        bound = max(middle + times * (q3 - q1), floor)
+        own: dict[str, list[float]] = {n: [] for n in names}
+        for (a, b), d in known.items():
+            own[a].append(d)
+            own[b].append(d)
+        names = [n for n in names if own[n]]
+        bad = {n for n in names if np.median(own[n]) > bound}
+        if not bad:
             break
-        left = stay
-    names = {r.name for r in left}
-    return sorted(r.name for r in rows if r.name not in names)
+        gone += bad
+        names = [n for n in names if n not in bad]
+        known = {k: d for k, d in known.items() if not bad & set(k)}
+    return sorted(gone)
+
+
+def deviating_halves(rows: list[Row], **options) -> dict[str, str]:
+    """A28. The half ("first" or "second" of its data, by letters) in which a row deviates: the second is judged among rows that pass the first."""
+    halves = {}
+    for r in rows:
+        places = [k for k in range(r.start, r.end) if r.seq[k] != GAP]
+        middle = places[len(places) // 2] if places else r.start
+        halves[r.name] = ((r.start, middle), (middle, r.end))
+    out = {n: "first" for n in deviating_rows(rows, part={n: h[0] for n, h in halves.items()}, **options)}
+    stay = [r for r in rows if r.name not in out]
+    return out | {n: "second" for n in deviating_rows(stay, part={n: h[1] for n, h in halves.items()}, **options)}
 
 
 def best_isoform(isoforms: list[Row], group: list[str]) -> str | None:
@@ -140,14 +169,12 @@ def best_isoform(isoforms: list[Row], group: list[str]) -> str | None:
     return min(isoforms, key=lambda r: (-score(r), -r.data(), r.name)).name if isoforms else None
 
 
-def screened(rows: DataFrame, references: DataFrame, times: float = 1.75) -> DataFrame:
+def screened(rows: DataFrame, references: DataFrame, times: float = 1.75, distance: Distance = blosum62_distance) -> DataFrame:
     """distance_outliers() for rows and references (gene, name, seq): gene, name, statistic, bound, grade."""
-    refs = references.selectExpr("gene", "struct(name, seq) as r").groupBy("gene").agg({"r": "collect_list"}).toDF("gene", "__refs")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        known = pdf["__refs"].iloc[0]
-        refs = sorted((Row(r["name"], r["seq"]) for r in (known if known is not None else [])), key=lambda r: r.name)
-        found = distance_outliers([Row(r.name, r.seq) for r in pdf[["name", "seq"]].itertuples(index=False)], refs, times)
+    def run(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        refs = [Row(r.name, r.seq) for r in known.sort_values("name", kind="stable")[["name", "seq"]].itertuples(index=False)] if len(known) else []
+        found = distance_outliers([Row(r.name, r.seq) for r in pdf[["name", "seq"]].itertuples(index=False)] if len(pdf) else [], refs, times, distance=distance)
         return pd.DataFrame([(pdf["gene"].iloc[0], n, v["statistic"], v["bound"], v["grade"]) for n, v in found.items()], columns=["gene", "name", "statistic", "bound", "grade"])
 
-    return rows.join(refs, "gene", "left").groupBy("gene").applyInPandas(run, "gene string, name string, statistic double, bound double, grade string")
+    return rows.groupBy("gene").cogroup(references.groupBy("gene")).applyInPandas(run, "gene string, name string, statistic double, bound double, grade string")

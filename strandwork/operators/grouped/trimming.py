@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strandwork.functions.blosum import similar_letters
 from strandwork.functions.dna import CODONS
-from strandwork.operators.grouped.columns import GAP, Row, best_split, consensus, reference_counts, runs_of
+from strandwork.operators.grouped.columns import GAP, Row, best_split, consensus, reference_counts, runs_of, span
 
 
 def back_translate(aligned: str, nt: str) -> str:
@@ -33,40 +36,118 @@ def back_translated(aligned: Column, nt: Column) -> Column:
     return run(aligned, nt)
 
 
-def trimmed(seq: str, references: list[str], window: int = 6, mismatches: int = 2, similar: dict[str, str] | None = None, least: int = 15) -> str | None:
-    """G10. Gaps outside the first and the last window of ``window`` letters of data that agree with some reference of their column
-    in all but ``mismatches``, begin (from the end: end) with an agreeing letter, hold no stop and start in a column where references
-    have data. ``similar`` gives letters that count as agreeing. None if fewer than ``least`` letters are left."""
-    counts = reference_counts(references)
-    similar = similar or {}
-
-    def agrees(k: int) -> bool:
-        if k >= len(counts):
-            return False
-        return any(c in counts[k] for c in seq[k] + similar.get(seq[k], ""))
-
-    def edge(places: list[int]) -> int | None:
-        for i in range(len(places) - window + 1):
-            part = places[i : i + window]
-            if agrees(part[0]) and "*" not in (seq[k] for k in part) and sum(not agrees(k) for k in part) <= mismatches:
-                return part[0]
-        return None
-
-    data = [k for k, c in enumerate(seq) if c != GAP]
-    start, end = edge(data), edge(data[::-1])
-    if start is None or end is None or end < start:
+@dataclass(frozen=True)
+class Columns:
+    """What the references of a gene have in each column."""
+
+    letters: list[frozenset[str]]  # and the letters similar to them
+    similar: list[frozenset[str]]  # only similar to them
+    filled: list[bool]  # enough of the references that span the column have data there
+    empty: list[bool]  # nearly all references have none
+    poor: list[bool]  # less data than a column must have
+
+    @classmethod
+    def of(cls, references: list[str], share: float = 0.5, cull: float = 0.0, strictness: str = "strict", nearly_all: float = 0.85) -> Columns:
+        near = similar_letters(strictness)
+        width = max(map(len, references), default=0)
+        spans = [span(r) for r in references]
+        letters, similar, filled, empty, poor = [], [], [], [], []
+        for k in range(width):
+            inside = [r[k].replace("*", GAP) for r, (s, e) in zip(references, spans, strict=True) if s <= k < e]
+            data = frozenset(inside) - {GAP}
+            more = frozenset(c for a in data for c in near.get(a, "")) - data
+            here = sum(c != GAP for c in inside)
+            filled.append(bool(inside) and here / len(inside) >= share)
+            poor.append((here / len(inside) if inside else 0.0) < cull)
+            empty.append(1 - here / max(1, len(references)) >= nearly_all)
+            letters.append(data | more)
+            similar.append(more)
+        return cls(letters, similar, filled, empty, poor)
+
+    def has(self, k: int, c: str) -> bool:
+        return k < len(self.letters) and c in self.letters[k]
+
+    def backwards(self, width: int) -> Columns:
+        """The same columns of rows of so many letters, from the last one to the first."""
+        turn = lambda x, none: [*x, *[none] * (width - len(x))][:width][::-1]
+        return Columns(turn(self.letters, frozenset()), turn(self.similar, frozenset()), turn(self.filled, False), turn(self.empty, True), turn(self.poor, True))
+
+
+def _edge(seq: str, at: Columns, window: int, mismatches: int, most_similar: float, start: int = 0) -> int | None:
+    """The first place from which ``window`` letters agree with the references in all but ``mismatches``.
+
+    The first letter must agree, in a column that is not empty. Gaps don't count, but one in a column that references fill, with the next one, ends
+    the try, and so does a stop that doesn't agree. Of the letters passed at most ``most_similar`` may agree by similarity alone."""
+    for i in range(start, len(seq) - window - 1):
+        if seq[i] == GAP or at.empty[i] or not at.has(i, seq[i]):
+            continue
+        left, alike, k, todo = mismatches, int(seq[i] in at.similar[i]), i + 1, window - 1
+        while todo and k + 1 < len(seq):
+            if seq[k] == GAP:
+                if at.filled[k] and at.filled[k + 1]:
+                    break
+            else:
+                if at.has(k, seq[k]):
+                    alike += seq[k] in at.similar[k]
+                else:
+                    left -= 1
+                    if left < 0 or seq[k] == "*":
+                        break
+                todo -= 1
+            k += 1
+        if not todo and alike / (k - i) <= most_similar:
+            return i
+    return None
+
+
+def trimmed(seq: str, references: list[str] | Columns, window: int = 6, mismatches: int = 2, most_similar: float = 0.4, least: int = 15, strictness: str = "strict") -> str | None:
+    """G10. Gaps outside the first and the last place where the references agree (see _edge), gaps around stops inside, from the
+    nearest agreement on either side, and no columns that are poor in references. None if fewer than ``least`` letters are left."""
+    at = references if isinstance(references, Columns) else Columns.of(references, strictness=strictness)
+    n = len(seq)
+    wide = Columns(*[x + [none] * (n - len(x)) for x, none in ((at.letters, frozenset()), (at.similar, frozenset()), (at.filled, False), (at.empty, True), (at.poor, False))])
+    turned = wide.backwards(n)
+    start = _edge(seq, wide, window, mismatches, most_similar)
+    end = _edge(seq[::-1], turned, window, mismatches, most_similar)
+    if start is None or end is None or n - end <= start + window:
         return None
-    out = GAP * start + seq[start : end + 1] + GAP * (len(seq) - end - 1)
+    keep = [start <= k < n - end for k in range(n)]
+    for k in range(start, n - end):
+        if seq[k] == "*" and not wide.has(k, "*"):
+            right = _edge(seq, wide, window, mismatches, most_similar, k + 1)
+            left = _edge(seq[::-1], turned, window, mismatches, most_similar, n - k)
+            for j in range(start if left is None else n - left, n - end if right is None else right):
+                keep[j] = False
+    out = "".join(c if kept and not poor else GAP for c, kept, poor in zip(seq, keep, wide.poor, strict=False))
     return out if sum(c != GAP for c in out) >= least else None
 
 
+def nt_mirrored(aa: str, trimmed_aa: str, nt: str) -> str:
+    """G10 and F20. The codons of letters that trimming took become gaps; nt is aligned as aa is."""
+    return "".join(GAP * 3 if t == GAP and c != GAP else nt[3 * k : 3 * k + 3].ljust(3, GAP) for k, (c, t) in enumerate(zip(aa, trimmed_aa, strict=True)))
+
+
 def splice_candidates(seq: str, least: int = 30) -> list[tuple[int, int]]:
     """J10. [start, end) of introns from a GT to an AG: a multiple of three letters, at least ``least``; the last GT first, then the
     first AG."""
-    gt = [k for k in range(len(seq) - 1) if seq[k : k + 2] == "GT"]
-    ag = [k + 2 for k in range(len(seq) - 1) if seq[k : k + 2] == "AG"]
-    found = [(g, a) for g in gt for a in ag if a - g >= least and (a - g) % 3 == 0]
-    return sorted(found, key=lambda x: (-x[0], x[1]))
+    raw = np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)
+    pair = lambda a, b: np.flatnonzero((raw[:-1] == ord(a)) & (raw[1:] == ord(b))) if len(raw) else np.zeros(0, np.int64)
+    gt, ag = pair("G", "T")[::-1], pair("A", "G") + 2
+    out: list[tuple[int, int]] = []
+    for g in gt.tolist():
+        far = ag[np.searchsorted(ag, g + least) :]
+        out += [(g, a) for a in far[(far - g) % 3 == 0].tolist()]
+    return out
+
+
+def splice_pairs(seq: Column, least: int = 30) -> Column:
+    """J10 for a column: (start, end) structs in the same order."""
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [(g, a) for g, a in splice_candidates(t, least)] if t else [])
+
+    return run(seq)
 
 
 def best_splice(left: str, right: str, between: str, window: int = 45, gc_penalty: int = 1, penalty: int = 20) -> tuple[int, int, int] | None:

@@ -2,29 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandwork.functions import dna, headers, intervals, msa
 from strandwork.operators import columns, combining, hits as H, islands, outliers, reads as R
+from strandwork.plans.registry import QUERIES, SQL, plain, query
 from strandwork.plans.tables import ALIGNMENT_SQL, HITS_SQL, LETTERS_SQL, READS_SQL, WITH_N_SQL, alignment, hits, load, reads, with_n
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__] = f
-        SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 TOP_SQL = HITS_SQL + """,
 ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, header, line, target) AS rn, count(*) OVER () AS n FROM hits),
 counted AS (SELECT taxon, count(*) AS reads FROM (SELECT DISTINCT header, taxon FROM ranked WHERE rn <= CAST(floor(n * 0.25) AS BIGINT)) GROUP BY taxon),
@@ -106,7 +90,9 @@ p AS (SELECT DISTINCT gene, taxon FROM hits WHERE score > 50000)
 SELECT gene, taxon, rank FROM (SELECT p.gene, p.taxon, k.rank, row_number() OVER (PARTITION BY p.gene ORDER BY k.rank, p.taxon) AS rn FROM p JOIN k ON p.taxon = k.taxon) WHERE rn <= 3""")
 def top_taxa_of_gene(spark, d):
     h = hits(spark, d)
-    ranked = h.groupBy("taxon").count().select("taxon", F.row_number().over(Window.orderBy(F.desc("count"), "taxon")).alias("rank"))
+    # Taxa in rank order: one row a taxon, numbered by the two-level form, so that no task has them all.
+    counted = h.groupBy("taxon").count().withColumn("all", F.lit(1)).withColumn("place", -F.col("count"))
+    ranked = R.numbered_in_ranges(counted, "all", "place", ["place", "taxon"], "rank", 16).select("taxon", F.col("rank").cast("int").alias("rank"))
     return H.top_taxa_by_gene(h.where("score > 50000"), ranked, 3).select("gene", "taxon", "rank")
 
 
@@ -390,12 +376,14 @@ def json_header(spark, d):
     return load(spark, d, "events").select("event_id", headers.json_field(F.concat(F.lit("id "), F.col("props")), "k").alias("k"))
 
 
-@query("""WITH s AS (SELECT doc_id, repeat('A', CAST(doc_id % 14 AS INTEGER)) || 'x' || CAST(doc_id AS VARCHAR) || 'y' || repeat('CG', CAST(doc_id % 8 AS INTEGER)) AS seq FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, substr(seq, CASE WHEN doc_id % 14 >= 9 THEN CAST(doc_id % 14 // 3 * 3 + 1 AS INTEGER) ELSE 1 END, length(seq) - (CASE WHEN doc_id % 14 >= 9 THEN CAST(doc_id % 14 // 3 * 3 AS INTEGER) ELSE 0 END) - (CASE WHEN doc_id % 8 >= 5 THEN CAST(doc_id % 8 * 2 // 3 * 3 AS INTEGER) ELSE 0 END)) AS seq FROM s""")
+@query(f"""WITH {READS_SQL}, s AS (SELECT doc_id, repeat('A', CAST(doc_id % 14 AS INTEGER)) || 'x' || seq || 'y' || repeat('CG', CAST(doc_id % 8 AS INTEGER)) AS seq FROM reads),
+t AS (SELECT doc_id, substr(seq, CASE WHEN doc_id % 14 >= 9 THEN CAST(doc_id % 14 // 3 * 3 + 1 AS INTEGER) ELSE 1 END, length(seq) - (CASE WHEN doc_id % 14 >= 9 THEN CAST(doc_id % 14 // 3 * 3 AS INTEGER) ELSE 0 END) - (CASE WHEN doc_id % 8 >= 5 THEN CAST(doc_id % 8 * 2 // 3 * 3 AS INTEGER) ELSE 0 END)) AS seq FROM s)
+SELECT doc_id, length(seq) AS n, md5(seq) AS seq_md5 FROM t""")
 def homopolymer_trim(spark, d):
-    made = F.concat(F.repeat(F.lit("A"), (F.col("doc_id") % 14).cast("int")), F.lit("x"), F.col("doc_id").cast("string"), F.lit("y"), F.repeat(F.lit("CG"), (F.col("doc_id") % 8).cast("int")))
-    rows = load(spark, d, "documents").where("text is not null").select("doc_id", made.alias("seq"))
-    return rows.select("doc_id", dna.homopolymer_trimmed(F.col("seq"), 9).alias("seq"))
+    """Whole sequences between runs of one letter and of two."""
+    made = F.concat(F.repeat(F.lit("A"), (F.col("doc_id") % 14).cast("int")), F.lit("x"), F.col("seq"), F.lit("y"), F.repeat(F.lit("CG"), (F.col("doc_id") % 8).cast("int")))
+    cut = reads(spark, d).select("doc_id", dna.homopolymer_trimmed(made, 9).alias("seq"))
+    return cut.select("doc_id", F.length("seq").cast("long").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_brand IN (SELECT p_brand FROM part WHERE p_size = 1) THEN 'target' ELSE 'off_target' END AS route FROM part")
@@ -447,11 +435,6 @@ def set_operations(spark, d):
 # --- grouped algorithms: SQL has no form of them, tests/test_grouped.py holds them against cases worked out by hand ----------
 
 
-def plain(f):
-    QUERIES[f.__name__] = f
-    return f
-
-
 @plain
 def directional_clusters(spark, d):
     """G13 over the orders of each customer: the order number is the node's, status gives strand and place."""
@@ -500,3 +483,6 @@ def prepare_stage(spark, d):
     rows = reads(spark, d).select(F.col("source").alias("taxa"), F.col("doc_id").alias("idx"), F.concat(F.lit("read_"), F.col("doc_id").cast("string"), F.lit(" x")).alias("header"), "seq")
     out = stages.prepare(rows)
     return out["reads"].join(out["dupes"], ["taxa", "node"], "left").select("taxa", "node", F.length("seq").alias("n"), F.coalesce("dupes", F.lit(0)).alias("dupes"))
+
+
+from strandwork.plans import exchange_queries, gene_queries, row_queries  # noqa: E402, F401  these enter theirs in the registry

@@ -7,11 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.functions.dna import entropy, framed, reverse_complement, translated
-from strandwork.functions.headers import short_name
+from strandwork.functions.dna import entropy, framed, homopolymer_trimmed, reverse_complement, stop_to_x, translated
+from strandwork.functions.headers import merge_header, short_name, tagged
 from strandwork.functions.intervals import chunk_coordinates, swapped
-from strandwork.operators import columns, combining, hits as H, islands, reads as R
+from strandwork.functions.msa import data_length, inner_gaps
+from strandwork.operators import columns, combining, hits as H, islands, pairs, reads as R
+from strandwork.operators.grouped import frames
+from strandwork.operators.grouped.assembly import deduped_hits
 from strandwork.operators.grouped.clusters import clustered
+from strandwork.operators.grouped.frames import chunks_merged
 from strandwork.operators.grouped.merging import merged
 
 
@@ -42,6 +46,17 @@ class Finish:
     column_share: float = 0.0
     least_letters: int = 30
     gap: str = "-"
+    inner_gap: str = "?"
+
+
+@dataclass(frozen=True)
+class References:
+    adjacency: int = 3
+    most_overlap: float = 0.5
+    median_share: float = 0.5
+    edge_share: float = 0.5
+    column_share: float = 0.0
+    gene_share: float = 0.0
 
 
 def prepare(records: DataFrame, params: Prepare = Prepare()) -> dict[str, DataFrame]:
@@ -103,6 +118,56 @@ def report(hits: DataFrame, reads: DataFrame, dupes: DataFrame, coords: DataFram
     return rows.join(coords.drop("taxa"), "node", "left").select(*own, "parent", s.alias("parent_start"), e.alias("parent_end"))
 
 
+def report_genes(hits: DataFrame, reads: DataFrame, dupes: DataFrame, targets: DataFrame, sample: str, coords: DataFrame | None = None, least: int = 30, repeats: int = 9, overlap: int = 30) -> DataFrame:
+    """G7. The rows of all genes as they are written: matched parts (report()), runs of repeats cut from their ends (W15), long enough
+    (F10), copies and contained parts of a read removed (A3), chunks of a genome merged (G5, with ``coords``), and named
+    gene|target|taxon|NODE_n|frame|copies (A10).
+
+    gene, name, nt, aa and copies; of genomes also parent, parent_start and parent_end.
+    """
+    rows = report(hits, reads, dupes, coords, least).withColumn("nt", homopolymer_trimmed(F.col("nt"), repeats)).where(F.length("nt") >= least)
+    rows = rows.withColumn("aa", translated(framed(F.col("nt"), F.lit(1))))
+    target = hits.select("gene", F.col("header").alias("node"), "frame", "target").groupBy("gene", "node", "frame").agg(F.min("target").alias("target"))
+    rows = deduped_hits(rows, "gene", "node", ["qstart", "frame"]).join(target, ["gene", "node", "frame"]).join(targets.select("gene", "target", "taxon").distinct(), ["gene", "target"])
+    node = F.concat(F.lit("NODE_"), F.col("node").cast("string"), "suffix")
+    if coords is not None:
+        parts = rows.select("gene", node.alias("name"), "node", "strand", F.col("parent_start").alias("start"), F.col("parent_end").alias("end"), F.col("nt").alias("seq"), "parent", "target", "taxon", "frame", "dupes")
+        keyed = parts.withColumn("gene", F.concat_ws("\x1f", "gene", "parent"))
+        merged_ = chunks_merged(keyed, overlap=overlap).withColumn("parent", F.substring_index("gene", "\x1f", -1)).withColumn("gene", F.substring_index("gene", "\x1f", 1))
+        own = parts.select("gene", "parent", "name", "target", "taxon", "frame")
+        copies = parts.groupBy("gene", "parent", F.col("node").alias("id")).agg(F.max("dupes").alias("dupes"))
+        counted = merged_.select("gene", "parent", "name", F.explode("ids").alias("id")).join(copies, ["gene", "parent", "id"]).groupBy("gene", "parent", "name").agg(F.sum("dupes").alias("dupes"))
+        rows = merged_.join(own, ["gene", "parent", "name"]).join(counted, ["gene", "parent", "name"]).withColumn("nt", F.col("seq")).withColumn("aa", translated(framed(F.col("nt"), F.lit(1))))
+        label = merge_header(F.transform("ids", lambda i: i.cast("string")))
+        more = ["parent", F.col("start").alias("parent_start"), F.col("end").alias("parent_end")]
+    else:
+        label, more = node, []
+    header = tagged(F.concat_ws("|", "gene", "target", "taxon", label, F.col("frame").cast("string")), F.col("dupes"))
+    return rows.select("gene", header.alias("name"), "nt", "aa", (F.col("dupes") + 1).alias("copies"), *more).withColumn("sample", F.lit(sample))
+
+
+def build_references(rows: DataFrame, params: References = References()) -> DataFrame:
+    """G24. The reference alignment of every gene from rows (gene, name, taxon, component, seq without gaps): aligned (G8), one row
+    for a component and text (A4), fragments of a component spliced (G23), rows short against the median (F21), edges (A17) and poor
+    columns (A18) cut, rows far from the consensus (A29) and from the others (A28) removed, genes of too few taxa dropped (A31)."""
+    aligned_ = frames.aligned(rows.select("gene", "name", "seq"))
+    known = rows.select("gene", "name", "taxon", "component")
+    once = pairs.component_distinct(aligned_.join(known, ["gene", "name"]), F.concat_ws("\x1f", "gene", "component"))
+    spliced = frames.fragments_spliced(once.select("gene", "component", "name", "seq"), aligned_, params.adjacency, params.most_overlap)
+    named = spliced.select("gene", F.col("names").alias("name"), "seq", F.substring_index("names", "&&", 1).alias("__first"))
+    long = pairs.against_median(named, "gene", params.median_share)
+    cut = columns.edges(columns.occupancy(long, "gene"), "gene", params.edge_share)
+    trimmed = long.join(cut, "gene").withColumn("seq", F.substring(F.col("seq"), F.col("first") + 1, F.col("last") - F.col("first") + 1)).drop("first", "last")
+    trimmed = trimmed.where(data_length(F.col("seq")) > 0)
+    trimmed = trimmed.join(frames.severe(trimmed.select("gene", "name", "seq")), ["gene", "name"], "left_anti")
+    if params.column_share > 0:
+        kept, _ = pairs.internal_cull(trimmed.select("gene", "name", F.col("seq").alias("aa")), trimmed.select("gene", "name", F.lit("").alias("nt")), "gene", params.column_share)
+        trimmed = trimmed.drop("seq").join(kept.withColumnRenamed("aa", "seq"), ["gene", "name"])
+    stay = trimmed.join(frames.deviating(trimmed.select("gene", "name", "seq")).select("gene", "name"), ["gene", "name"], "left_anti")
+    full = stay.join(known.select("gene", F.col("name").alias("__first"), "taxon"), ["gene", "__first"]).select("gene", "name", "taxon", "seq")
+    return combining.kick_genes(full, params.gene_share) if params.gene_share > 0 else full
+
+
 def combine(samples: list[DataFrame]) -> DataFrame:
     """Rows of all samples (gene, taxon, target, is_ref, seq), references once for each gene and target."""
     return combining.union_references_once(samples, ["gene", "target"])
@@ -112,17 +177,21 @@ def merge(rows: DataFrame, references: DataFrame, mode: str = "consensus", thres
     return merged(rows, references, mode, threshold)
 
 
-def cluster(rows: DataFrame, distance: int = 100, gap: float = 0.3, single: float = 0.5) -> DataFrame:
-    return clustered(rows, "gene", distance, gap, single)
+def cluster(rows: DataFrame, distance: int = 100, gap: float = 0.3, single: float = 0.5, references: DataFrame | None = None) -> DataFrame:
+    return clustered(rows, "gene", distance, gap, single, references)
 
 
-def finish(rows: DataFrame, kick: DataFrame | None = None, names: DataFrame | None = None, params: Finish = Finish()) -> dict[str, DataFrame]:
-    """The final data set of rows (gene, taxon, seq): renamed, kicked, cleaned by column, concatenated, counted.
+def finish(rows: DataFrame, kick: DataFrame | None = None, names: DataFrame | None = None, targets: DataFrame | None = None, params: Finish = Finish()) -> dict[str, DataFrame]:
+    """G26. The final data set of rows (gene, taxon, seq): stops as X (X10), renamed (J14), kicked (F12), poor columns cut (A14), rows with
+    too little data (F13) and genes of too few taxa (F14) dropped, gaps inside marked (X9), routed by target genes (K8), concatenated, counted.
 
-    rows, concatenation, charsets, matrix, diversity and presence.
+    rows (with route), concatenation, charsets, matrix (A20, with the stops and the rows kicked of each gene and taxon), diversity and presence.
     """
+    stops = F.length("seq") - F.length(F.replace("seq", F.lit("*"), F.lit("")))
+    rows = rows.withColumn("stops", stops.cast("long")).withColumn("seq", stop_to_x(F.col("seq")))
     if names is not None:
         rows = combining.renamed(rows, names, "taxon", names.columns[1])
+    every = rows.select("gene", "taxon", "stops")
     if kick is not None:
         rows = combining.kick_names(rows, kick, "taxon")
     if params.column_share > 0:
@@ -131,11 +200,16 @@ def finish(rows: DataFrame, kick: DataFrame | None = None, names: DataFrame | No
     rows = rows.where(F.length(F.translate("seq", "-", "")) >= params.least_letters)
     rows = combining.coverage_kick(rows, params.coverage) if params.coverage > 0 else rows
     rows = combining.kick_genes(rows, params.gene_share) if params.gene_share > 0 else rows
-    return {
-        "rows": rows,
+    matrix = combining.gene_by_taxon(rows, "gene", "taxon")
+    before = every.cube("gene", "taxon").agg(F.count("*").alias("all"), F.sum("stops").alias("stops"))
+    matrix = before.alias("b").join(matrix.alias("m"), F.expr("b.gene <=> m.gene and b.taxon <=> m.taxon"), "left").select("b.gene", "b.taxon", F.coalesce("m.n", F.lit(0)).alias("n"), "b.stops", (F.col("b.all") - F.coalesce("m.n", F.lit(0))).alias("kicked"))
+    counted = {
         "concatenation": combining.concatenated(rows, fill=params.gap),
         "charsets": combining.charsets(rows),
-        "matrix": combining.gene_by_taxon(rows, "gene", "taxon"),
+        "matrix": matrix,
         "diversity": columns.diversity(rows, "gene"),
         "presence": combining.taxon_presence(rows),
     }
+    rows = rows.withColumn("seq", inner_gaps(F.col("seq"), mark=params.inner_gap)).drop("stops")
+    rows = combining.routed(rows, targets, "gene") if targets is not None else rows.withColumn("route", F.lit("target"))
+    return {"rows": rows, **counted}

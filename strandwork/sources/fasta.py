@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from strandwork.functions.headers import sample_name
+from strandwork.functions.headers import regenerated, sample_name
 
 SUFFIXES = ("fa", "fas", "fasta", "fq", "fastq", "fna")
 
@@ -14,32 +15,30 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """S1. file, idx (order in the file), header, seq of FASTA files, sequences on one or many lines, plain or gzip.
 
     Records are split at '>' on a new line by the text source, so plain files are read in many tasks. idx grows with the
-    place in the file: of the split, then of the record.
+    place in the file: where the split begins and the number of the record in its task, which is less than the bytes of a split
+    that another one of the file follows.
     """
     raw = spark.read.option("lineSep", "\n>").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("order"))
     text = F.regexp_replace(F.regexp_replace("value", "\r", ""), "^\\s*>", "")
     parts = F.split(text, "\n", 2)
     rows = raw.select("file", "block", "order", F.trim(F.get(parts, F.lit(0))).alias("header"), F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), "\\s", "").alias("seq"))
-    return rows.where("header != '' or seq != ''").select("file", F.struct("block", "order").alias("idx"), "header", "seq")
+    return rows.where("header != '' or seq != ''").select("file", (F.col("block") + F.col("order").bitwiseAND(F.lit((1 << 33) - 1))).alias("idx"), "header", "seq")
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """S1. file, idx, header, seq of FASTQ files; one task reads a file, as four lines make a record."""
+    """S1. file, idx (place in the file, from 0), header and seq of FASTQ files, plain or gzip, four lines a record.
 
-    def records(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            out = []
-            for file, content in zip(pdf["path"], pdf["content"], strict=True):
-                import gzip
-
-                text = (gzip.decompress(content) if file.endswith(".gz") else content).decode().replace("\r", "")
-                lines = text.split("\n")
-                out += [(file, k // 4, lines[k][1:], lines[k + 1]) for k in range(0, len(lines) - 3, 4) if lines[k].startswith("@")]
-            yield pd.DataFrame(out, columns=["file", "idx", "header", "seq"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(records, "file string, idx long, header string, seq string")
+    Lines are read in as many tasks as Spark cuts files into; a line's number is its place in its cut and the lines of the cuts
+    before it, which are counted first. No task holds a file.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    cuts = raw.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    cuts = cuts.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    line = F.col("id") - F.col("first") + F.col("before")
+    lines = raw.join(cuts, ["file", "block"]).select("file", F.floor(line / 4).alias("idx"), (line % 4).alias("k"), F.rtrim(F.replace("value", F.lit("\r"), F.lit(""))).alias("value"))
+    rows = lines.where("k < 2").groupBy("file", "idx").agg(F.max(F.when(F.col("k") == 0, F.col("value"))).alias("header"), F.max(F.when(F.col("k") == 1, F.col("value"))).alias("seq"))
+    return rows.where("header like '@%' and seq is not null").select("file", "idx", F.expr("substring(header, 2)").alias("header"), "seq")
 
 
 def samples(files: DataFrame) -> DataFrame:
@@ -53,3 +52,14 @@ def write_fasta(rows: DataFrame, path: str, by: list[str] | None = None, compres
     text = rows.select(*(by or []), F.concat(F.lit(">"), F.col("header"), F.lit("\n"), F.col("seq")).alias("value"))
     writer = text.write.mode("overwrite").option("compression", "gzip" if compress else "none")
     (writer.partitionBy(*by) if by else writer).text(path)
+
+
+def write_references(rows: DataFrame, path: str) -> None:
+    """K12. Reference rows (gene, taxon, target, seq) as FASTA by gene, their names with taxon and gene as JSON."""
+    named = rows.select("gene", regenerated(F.col("target"), F.col("taxon"), F.col("gene")).alias("header"), F.replace("seq", F.lit("-"), F.lit("")).alias("seq"))
+    write_fasta(named, path, ["gene"])
+
+
+def write_lines(rows: DataFrame, path: str) -> None:
+    """K2. A flat list of lines (idx, value): names and sequences in turn, in order of idx."""
+    rows.orderBy("idx").select("value").write.mode("overwrite").text(path)

@@ -21,3 +21,16 @@ def run_into(stream: DataFrame, name: str, mode: str = "append") -> None:
     """Runs a stream over all that is there into an in-memory table."""
     query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def run_into_folder(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Runs a stream over all that is there; each batch's whole result replaces the Parquet table at ``path``.
+
+    State and progress lie in ``checkpoint``, a shared folder, so a restarted run goes on where it was.
+    """
+
+    def replaced(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    query = stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replaced).trigger(availableNow=True).start()
+    query.awaitTermination()

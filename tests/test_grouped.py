@@ -34,6 +34,27 @@ def test_directional_clusters():
     assert run([member("a", [1], 0, 60)]) == [["a"]] and run([member("a", [1], 0, 40)]) == []
 
 
+def test_directional_clusters_follow_the_rule():
+    run = lambda m, **k: [[x.name for x in c.members] for c in C.directional_clusters(m, k.get("distance", 100), 0.3, 100, k.get("single", 0.5), k.get("reference"))]
+    a, b = member("a", [1], 0, 30), member("b", [101], 20, 60)
+    assert run([a, b]) == [["a", "b"]]  # exactly 100 apart
+    assert run([a, member("b", [102], 20, 60)]) == []  # 101, and neither covers more than half
+    # A lone row at exactly half of the columns goes; of the reference's columns it may cover more.
+    assert run([member("a", [1], 0, 50)]) == [] and run([member("a", [1], 0, 51)]) == [["a"]]
+    assert run([member("a", [1], 0, 50)], reference=frozenset(range(60))) == [["a"]]
+    # Direction: equal spans keep it, a turn ends the cluster.
+    up = [member("a", [1], 0, 30), member("b", [5], 25, 55), member("c", [9], 25, 55), member("d", [12], 0, 20)]
+    assert run(up) == [["a", "b", "c"]]
+    # A member whose follower runs the other way, nearer by id and by the ends of the spans, is left to the follower.
+    left = [member("a", [1], 0, 30), member("b", [60], 40, 70), member("c", [70], 35, 68)]
+    assert run(left) == [["b", "c"]]
+    # A strand change; the shared id takes along who shares it, again until none does, and the whole cluster if all share it.
+    shared = [member("a", [1, 7], 0, 30), member("b", [7], 10, 40), member("c", [7, 9], 5, 35, "-")]
+    assert run(shared) == [["c", "a", "b"]]
+    far = [member("a", [1], 0, 30), member("b", [2, 7], 10, 40), member("c", [7], 5, 35, "-"), member("d", [8], 6, 36, "-")]
+    assert run(far) == [["c", "b"], ["d"]][:1]
+
+
 def test_duplicates_and_assembly():
     assert A.contained_duplicates([("AAACCC", "KP"), ("AAACCC", "KP"), ("AACC", "NN"), ("GGGAAA", "KP"), ("TTTGGG", "FG")]) == ["", None, None, None, "_1"]
     r = random.Random(1)
@@ -59,7 +80,7 @@ def test_merging():
     rows = [Row("a", "MKV---"), Row("b", "--VLS-"), Row("c", "-----T")]
     assert [[r.name for r in g] for g in M.overlap_groups(rows)] == [["a", "b", "c"]]
     assert [[r.name for r in g] for g in M.overlap_groups(rows, 1)] == [["a", "b"], ["c"]]
-    assert [[r.name for r in g] for g in M.layers(rows)] == [["a", "c"], ["b"]]
+    assert [[r.name for r in g] for g in M.apart_groups(rows)] == [["a"], ["b", "c"]]
     nt = {"a": "ATGAAAGTT" + "-" * 9, "b": "-" * 6 + "GTGCTTTCT---"}
     assert M.split_merge(rows[:2], nt, ["MKVLS"]) == ("MKVLS-", "ATGAAAGTGCTTTCT---")
     votes = [Row(f"v{k}", "MA") for k in range(4)] + [Row("w", "MC")]
@@ -111,7 +132,10 @@ def test_screening(spark):
     assert S.ambiguous_nodes(two, {"h"}) == ["1"] and S.ambiguous_nodes([two[0], two[1] | {"score": 5.0}], {"h"}) == ["2"] and S.ambiguous_nodes(two[:1], set()) == []
     assert S.ambiguous_regions([Row("a", "A--A"), Row("b", "AC-A"), Row("c", "AC-A")], 0.3) == [(1, 2)]
     assert S.severe_rows([Row(f"r{k}", "MKVLSTARQW") for k in range(5)] + [Row("x", "WWWWWWWWWW")]) == ["x"]
-    assert S.deviating_rows([Row(f"r{k}", "MKVLSTARQW" * 4) for k in range(5)] + [Row("x", "W" * 40), Row("y", "MK")], 0.1) == ["x", "y"]
+    alike = [Row(f"r{k:02}", "MKVLSTARQW" * 4) for k in range(12)]
+    assert S.deviating_rows([*alike, Row("x", "W" * 40), Row("y", "MK")], least=3) == ["x"]
+    half = [Row("x", "MKVLSTARQW" * 2 + "W" * 20), Row("z", "W" * 20 + "MKVLSTARQW" * 2)]
+    assert S.deviating_halves([*alike, *half]) == {"x": "second", "z": "first"}
     assert S.best_isoform([Row("i1", "MKWW"), Row("i2", "MKVL")], ["MKVL", "MKVI"]) == "i2"
 
 
