@@ -8,10 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandwork.scratch import ship
+
 LETTERS, MAPPED = "BDEFHIJKLMNOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAC"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

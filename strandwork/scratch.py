@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,3 +67,22 @@ def dropped(*tables: DataFrame) -> None:
         with contextlib.suppress(ValueError):
             _WRITTEN.remove(entry)
         drop_path(*entry)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors by way of the shared folder, once for each application, so that its functions load there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as out:
+        for p in sorted(root.rglob("*.py")):
+            out.write(p, p.relative_to(root.parent))
+    target = new_path(spark, f"{root.name}.zip")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    stream.write(data.getvalue())
+    stream.close()
+    spark.sparkContext.addPyFile(target)
