@@ -34,3 +34,34 @@ def test_stages_in_turn(spark, tmp_path):
     assert ids["source_mix"] <= ids["leak_filter"]
     assert sorted(seen["shard_slots"][1]) == sorted(seen["source_mix"][1])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen["shard_slots"][1])
+
+
+def test_rows_of_every_kind_and_empty_tables(spark, edge, nothing, tmp_path):
+    """Nulls in any column, blank and very long texts, copies and repeated rows through all stages; then no documents, labels or items."""
+    for name, docs, more in (("edge", edge, 1), ("none", nothing, 0)):
+        folder = f"{tmp_path}/{name}"
+        tables = {
+            "documents": docs,
+            "benchmark": spark.createDataFrame([(1, prose(3, 60)), (2, None), (None, prose(77, 30))] * more, "item_id long, text string"),
+            "labels": spark.createDataFrame([(1, 1, 0), (9, 0, 0), (None, 1, 0)] * more, "doc_id long, quality int, toxic int"),
+        }
+        for table, df in tables.items():
+            df.write.parquet(f"{folder}/{table}.parquet")
+        now = spark.read.parquet(f"{folder}/documents.parquet")
+        kept = []
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            if k == 0:  # two labels can't tell good from bad: all rows pass on
+                stage(spark, now, folder).count()
+                continue
+            stage(spark, now, folder).write.parquet(f"{folder}/out{k}")
+            now = spark.read.parquet(f"{folder}/out{k}")
+            assert k == 4 or now.columns == docs.columns
+            kept.append(sorted((r["doc_id"] or 0) for r in now.select("doc_id").collect()))
+        assert corpus_pipeline.run(spark, folder).count() >= 0
+        if not more:
+            assert kept == [[]] * 4
+            continue
+        dedup, clean, mix, shards = kept
+        assert dedup == [0, 1, 3, 4, 5, 6, 7, 9, 10, 11, 12, 13]  # copies once, rows without words all
+        assert clean == [k for k in dedup if k != 3]
+        assert set(mix) <= {k for k in clean if k not in (4, 5, 6, 13)} and shards == mix
