@@ -20,7 +20,7 @@ from strandwork.plans import stages
 from strandwork.sources.fasta import read_fasta, read_fastq, samples
 
 STAGES = {
-    "prepare": stages.prepare, "search": stages.search, "report": stages.report, "reportgenes": stages.report_genes, "references": stages.build_references,
+    "prepare": stages.prepare, "search": stages.search, "report": stages.report, "reportgenes": stages.report_genes, "references": stages.build_references, "hmmsearch": stages.profile_search, "outlier": stages.outliers,
     "combine": stages.combine, "cluster": stages.cluster, "merge": stages.merge, "finish": stages.finish,
 }
 

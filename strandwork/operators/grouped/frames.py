@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandwork.functions.msa import data_end, data_start
-from strandwork.operators.grouped import aligning, assembly, clusters, columns, merging, screening, trimming
+from strandwork.operators.grouped import aligning, assembly, clusters, columns, merging, profiles, screening, trimming
 from strandwork.operators.grouped.columns import GAP, Row
 
 
@@ -143,6 +143,31 @@ def isoforms(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     return with_references(candidates, rows, run, "name string")
 
 
+def profile_hits(rows: DataFrame, references: DataFrame) -> DataFrame:
+    """G4 for (gene, name, seq without gaps): gene, name, score, start and end of the best part of each row by its gene's profile."""
+
+    def run(pdf: pd.DataFrame, refs: list[str]) -> list[tuple]:
+        odds = profiles.profile(refs)
+        return [(n, *profiles.best_placement(s, odds)) for n, s in zip(pdf["name"], pdf["seq"], strict=True)]
+
+    return with_references(rows, references, run, "name string, score double, start int, end int")
+
+
+def consensus_match(rows: DataFrame, threshold: float = 0.65) -> DataFrame:
+    """G11. gene, name and the share of a row's letters of data, in columns where the consensus of the passed rows of its gene is clear,
+    that are equal to it, for (gene, name, seq, passed); null without any."""
+
+    def run(pdf: pd.DataFrame) -> list[tuple]:
+        agreed = columns.consensus(_rows(pdf[pdf["passed"]]), threshold)
+        out = []
+        for name, seq in zip(pdf["name"], pdf["seq"], strict=True):
+            pairs = [(a, b) for a, b in zip(seq, agreed, strict=False) if a not in (GAP, "X") and b not in (GAP, "X")]
+            out.append((name, sum(a == b for a, b in pairs) / len(pairs) if pairs else None))
+        return out
+
+    return by_gene(rows, run, "name string, match double")
+
+
 # --- trimming and splicing ---------------------------------------------------------------------------------------------
 
 

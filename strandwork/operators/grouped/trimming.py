@@ -175,15 +175,16 @@ def best_splice(left: str, right: str, between: str, window: int = 45, gc_penalt
     return best[1] if best else None
 
 
-def filled_gap(genomic: str, references: list[str], columns: tuple[int, int], share: float = 0.5, least: int = 10, stop: int = -5, cap: int = 100) -> tuple[int, str] | None:
+def filled_gap(genomic: str, references: list[str], columns: tuple[int, int], share: float = 0.5, least: int = 10, stop: int = -5, cap: int = 100, short_share: float = 0.85, shortest: int = 5, longest: int = 60) -> tuple[int, str] | None:
     """G20. The place in a genomic stretch whose translation fits the references best in the given columns: (place, amino acids).
 
     Every frame is scanned; a letter scores the references that have it (at most ``cap``), a stop ``stop``. It counts from
-    ``least`` columns on and ``share`` of the best possible score."""
+    ``share`` of the best possible score on, of fewer than ``least`` columns from ``short_share``; gaps of ``shortest`` to ``longest`` columns
+    are filled."""
     counts = reference_counts(references)[columns[0] : columns[1]]
     n = len(counts)
     top = sum(min(cap, max(c.values(), default=0)) for c in counts)
-    if n < least or not top:
+    if not shortest <= n <= longest or not top:
         return None
     best: tuple[int, int, str] | None = None
     for at in range(len(genomic) - 3 * n + 1):
@@ -191,7 +192,7 @@ def filled_gap(genomic: str, references: list[str], columns: tuple[int, int], sh
         score = sum(stop if c == "*" else min(cap, counts[k].get(c, 0)) for k, c in enumerate(aa))
         if best is None or score > best[0]:
             best = (score, at, aa)
-    return (best[1], best[2]) if best and best[0] >= share * top else None
+    return (best[1], best[2]) if best and best[0] >= (share if n >= least else short_share) * top else None
 
 
 def excised(rows: list[Row], references: list[str], threshold: float = 0.85, join: int = 6, least: int = 15) -> tuple[list[Row], list[str]]:

@@ -217,3 +217,22 @@ def finish_stage(spark, d):
 
     rows = turns(spark, d).select("gene", (F.col("name").cast("long") % 40).cast("string").alias("taxon"), F.replace("seq", F.lit("K"), F.lit("*")).alias("seq"))
     return stages.finish(rows, params=stages.Finish(coverage=0.3, least_letters=20))["matrix"]
+
+
+@plain
+def profile_search(spark, d):
+    """The texts near every third one of a turn against the profile of the translations of every fifth."""
+    from strandwork.plans import stages
+
+    rows = _dna(spark, d).withColumn("node", F.col("name").cast("long") * 16 + F.col("gene").cast("long"))
+    references = rows.where("node % 5 = 0").select("gene", "name", dna.translated_long(F.col("nt")).alias("seq"))
+    return stages.profile_search(rows.where("node % 3 = 0").select("gene", "node"), rows.select("node", F.col("nt").alias("seq")), references, margin=2)
+
+
+@plain
+def outlier_stage(spark, d):
+    """G11 with rescue, on the turns of conversations."""
+    from strandwork.plans import stages
+
+    rows = _candidates(spark, d).withColumn("node", F.col("name").cast("long"))
+    return stages.outliers(rows, _references(spark, d), is_genome=True, least_match=0.3)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.functions.dna import entropy, framed, homopolymer_trimmed, reverse_complement, stop_to_x, translated
+from strandwork.functions.dna import entropy, framed, homopolymer_trimmed, reverse_complement, stop_to_x, translated, translated_long
 from strandwork.functions.headers import merge_header, short_name, tagged
 from strandwork.functions.intervals import chunk_coordinates, swapped
 from strandwork.functions.msa import data_length, inner_gaps
@@ -16,6 +16,7 @@ from strandwork.operators.grouped import frames
 from strandwork.operators.grouped.assembly import deduped_hits
 from strandwork.operators.grouped.clusters import clustered
 from strandwork.operators.grouped.frames import chunks_merged
+from strandwork.operators.selecting import best_rows
 from strandwork.operators.grouped.merging import merged
 
 
@@ -168,6 +169,39 @@ def build_references(rows: DataFrame, params: References = References()) -> Data
     return combining.kick_genes(full, params.gene_share) if params.gene_share > 0 else full
 
 
+def profile_search(hits: DataFrame, reads: DataFrame, references: DataFrame, least: float = 15.0, distance: int = 100, margin: int = 50) -> DataFrame:
+    """G4. Reads of each gene that fit the profile of its references (gene, name, seq): gene, node, frame, score, start, end and passed.
+
+    Searched are the reads that ``hits`` (gene, node) names and those up to ``margin`` numbers beyond the ends of their clusters (J13), in six
+    frames; of each the best frame counts. A read below ``least`` stays if one that passed is at most ``distance`` away (J12)."""
+    grouped = islands.id_clusters(hits.select("gene", "node").distinct(), ["gene"], "node", distance)
+    ends = grouped.groupBy("gene", "cluster").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    searched = H.range_expanded(ends, "low", "high", margin).select("gene", "node").distinct().join(reads.select("node", "seq"), "node")
+    frame = F.explode(F.array(*[F.lit(k) for k in (1, 2, 3, -1, -2, -3)]))
+    rows = searched.select("gene", "node", "seq", frame.alias("frame")).withColumn("aa", translated_long(framed(F.col("seq"), F.col("frame"))))
+    named = rows.select("gene", F.concat_ws(":", F.col("node").cast("string"), F.col("frame").cast("string")).alias("name"), F.col("aa").alias("seq"))
+    found = frames.profile_hits(named, references).withColumn("node", F.substring_index("name", ":", 1).cast("long")).withColumn("frame", F.substring_index("name", ":", -1).cast("int"))
+    best = best_rows(found.where("score > 0"), ["gene", "node"], [F.desc("score"), F.col("frame")]).withColumn("passed", F.col("score") >= least)
+    return H.rescued(best, ["gene"], "node", "passed", distance).select("gene", "node", "frame", "score", "start", "end", "passed")
+
+
+def outliers(rows: DataFrame, references: DataFrame, times: float = 1.75, is_genome: bool = False, distance: int = 100, least_passed: float = 0.5, least_match: float = 0.8) -> DataFrame:
+    """G11. Rows (gene, name, node, seq) with their grade against the references of their gene: gene, name, statistic, bound, grade.
+
+    Of genomes, a failed row is rescued (grade "rescued") where more than ``least_passed`` of its cluster of nodes passed (A30) and at least
+    ``least_match`` of its letters equal the consensus of the rows that passed."""
+    graded = frames.screening.screened(rows.select("gene", "name", "seq"), references, times)
+    if not is_genome:
+        return graded
+    marked = rows.join(graded.select("gene", "name", (F.col("grade") == "pass").alias("passed")), ["gene", "name"])
+    majority = pairs.cluster_majority(marked.select("gene", "node", "seq", "passed"), pairs.reference_columns(references), distance)
+    good = majority.where(F.col("passed") > least_passed).select("gene", "first", "last")
+    inside = marked.where("not passed").join(good, "gene").where("node between first and last").select("gene", "name").distinct()
+    match = frames.consensus_match(marked.select("gene", "name", "seq", "passed")).where(F.col("match") >= least_match).select("gene", "name")
+    saved = inside.join(match, ["gene", "name"]).withColumn("__saved", F.lit(True))
+    return graded.join(saved, ["gene", "name"], "left").withColumn("grade", F.when(F.coalesce("__saved", F.lit(False)) & (F.col("grade") == "fail"), "rescued").otherwise(F.col("grade"))).drop("__saved")
+
+
 def combine(samples: list[DataFrame]) -> DataFrame:
     """Rows of all samples (gene, taxon, target, is_ref, seq), references once for each gene and target."""
     return combining.union_references_once(samples, ["gene", "target"])

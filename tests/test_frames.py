@@ -165,3 +165,44 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(made["rows"]).count() == 1
     with pytest.raises(SystemExit):
         run_stage(spark, "finish", {"nothing": ["x"]}, {}, "y")
+
+
+def test_profiles_against_all_placements():
+    from strandwork.operators.grouped import profiles
+
+    r = random.Random(11)
+    for _ in range(20):
+        refs = [protein(r, 12) for _ in range(3)]
+        odds, seq = profiles.profile(refs), protein(r, 15) + "X" + protein(r, 4)
+        best = 0.0
+        for i in range(len(seq)):
+            for j in range(len(odds)):
+                total = 0.0
+                for k in range(min(len(seq) - i, len(odds) - j)):
+                    total += odds[j + k, blosum.LETTERS.index(seq[i + k])] if seq[i + k] in blosum.LETTERS else -1.0
+                    best = max(best, total)
+        got = profiles.best_placement(seq, odds)
+        assert got[0] == pytest.approx(best) and 0 <= got[1] < got[2] <= len(seq)
+    assert profiles.best_placement("MKV", profiles.profile([])) == (0.0, 0, 0)
+    assert len(profiles.profile(["MK-L", "M--L"])) == 3 and len(profiles.profile(["MK-L", "M--L"], 0.0)) == 2
+
+
+def test_search_and_outlier_stages(spark):
+    back = {a: c for c, a in CODONS.items()}
+    r = random.Random(21)
+    base = protein(r, 50)
+    nt = "".join(back[a] for a in base)
+    other = "".join(r.choice("ACGT") for _ in range(150))
+    flip = nt[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    reads = spark.createDataFrame([(1, nt), (5, flip), (7, other), (40, nt), (900, nt)], "node long, seq string")
+    refs = spark.createDataFrame([("g", f"r{k}", base) for k in range(4)], ROWS)
+    found = {x["node"]: (x["frame"], x["passed"], x["start"], x["end"]) for x in stages.profile_search(spark.createDataFrame([("g", 1), ("g", 7)], "gene string, node long"), reads, refs, margin=40).collect()}
+    assert found[1] == (1, True, 0, 50) and found[5] == (-1, True, 0, 50) and found[40][1] and 900 not in found
+    assert 7 not in found or not found[7][1]  # below the limit, and only there because others passed near it
+    edit = lambda s, share: "".join(c if r.random() > share else r.choice(LETTERS) for c in s)
+    refs = [("g", f"ref{k}", edit(base, 0.04)) for k in range(6)]
+    rows = [("g", f"n{k}", k, base) for k in range(5)] + [("g", "near", 6, base[:30] + protein(r, 20)), ("g", "far", 5000, protein(r, 50))]
+    left, right = spark.createDataFrame(rows, "gene string, name string, node long, seq string"), spark.createDataFrame(refs, ROWS)
+    plain = {x["name"]: x["grade"] for x in stages.outliers(left, right).collect()}
+    saved = {x["name"]: x["grade"] for x in stages.outliers(left, right, is_genome=True, least_match=0.6).collect()}
+    assert plain["near"] == plain["far"] == saved["far"] == "fail" and saved["near"] == "rescued" and saved["n0"] == plain["n0"] == "pass"
