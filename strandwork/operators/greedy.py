@@ -1,23 +1,27 @@
-"""Order-dependent filters inside the JVM: one fold over a group's rows."""
+"""Order-dependent filters inside the JVM: one fold over what a group's rows are compared by."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def greedy_keep(df: DataFrame, keys: list[str], order: list[str], compared: list[str], meets: Callable[[Column, Column], Column]) -> DataFrame:
     """Goes through each group in ``order`` and keeps a row unless meets(kept, row) holds for one kept before it.
 
-    Groups are reads or genes' id clusters: small by nature, as the rows of one group are folded in one place. All other
-    columns ride along; ``order`` should be total.
+    Rows are numbered in their group; a group's numbers and compared columns are folded in one place, and the numbers that stay are joined
+    back by the group's keys, which no row is shuffled again for. So a group may have as many rows as numbers and compared columns of it
+    fit in a task; other columns never meet in one row. ``order`` should be total.
     """
-    own = df.columns
-    row = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order)], *[F.col(c).alias(f"c_{c}") for c in compared], F.struct(*own).alias("row"))
-    grouped = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    rows = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    item = F.struct(F.col("__n").alias("n"), *[F.col(c).alias(f"c_{c}") for c in compared])
+    groups = rows.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.array_sort(F.collect_list(item)).alias("__rows"))
     fields = lambda x: {c: x[f"c_{c}"] for c in compared}
-    empty = F.slice("rows", 1, 0)
-    kept = F.aggregate("rows", empty, lambda acc, x: F.when(F.exists(acc, lambda k: meets(fields(k), fields(x))), acc).otherwise(F.concat(acc, F.array(x))))
-    return grouped.select(F.explode(kept).alias("x")).select("x.row.*")
+    kept = F.aggregate("__rows", F.slice("__rows", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda k: meets(fields(k), fields(x))), acc).otherwise(F.concat(acc, F.array(x))))
+    small = groups.select(*[f"__k{i}" for i in range(len(keys))], F.transform(kept, lambda x: x["n"]).alias("__kept"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    return rows.join(small, same).where(F.array_contains("__kept", F.col("__n"))).select(*df.columns)

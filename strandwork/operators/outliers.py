@@ -40,6 +40,20 @@ def gap_free_distance(a: str, b: str, gaps: str = "-X") -> float:
     return float((x[ok] != y[ok]).mean()) if ok.any() else float("nan")
 
 
+def all_distances(seqs: list[str], gaps: str = "-X") -> np.ndarray:
+    """gap_free_distance() of every two rows, one row at a time against all; NaN where two can't be compared."""
+    width = max(map(len, seqs), default=0)
+    m = np.stack([np.frombuffer(s.ljust(width, gaps[0]).encode("latin-1", "replace"), np.uint8) for s in seqs]) if seqs else np.zeros((0, 0), np.uint8)
+    data = ~np.isin(m, list(gaps.encode()))
+    out = np.full((len(seqs), len(seqs)), np.nan)
+    for i in range(len(seqs)):
+        both = data[i] & data
+        n = both.sum(1)
+        some = n > 0
+        out[i, some] = ((m[i] != m) & both).sum(1)[some] / n[some]
+    return out
+
+
 def reference_cull(msa: DataFrame, by: str, times: float = 1.5) -> DataFrame:
     """A27. Rows of each alignment that stay when the row of the largest mean distance is taken out again and again while it lies
     above the bound q3 + times * (q3 - q1) of all means (linear quartiles, ties by name). Needs (by, name, seq); groups are the
@@ -47,9 +61,9 @@ def reference_cull(msa: DataFrame, by: str, times: float = 1.5) -> DataFrame:
 
     def cull(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("name", kind="stable").reset_index(drop=True)
-        seqs = pdf["seq"].tolist()
-        d = np.array([[gap_free_distance(a, b) if i != j else np.nan for j, b in enumerate(seqs)] for i, a in enumerate(seqs)])
-        left = list(range(len(seqs)))
+        d = all_distances(pdf["seq"].tolist())
+        np.fill_diagonal(d, np.nan)
+        left = list(range(len(pdf)))
         while len(left) > 2:
             part = d[np.ix_(left, left)]
             seen = ~np.isnan(part)

@@ -159,3 +159,20 @@ def test_streaming(spark, tmp_path):
     assert sorted(r["n"] for r in spark.table("sessions_out").collect())[:2] == [2, 3]
     windows.run_into(windows.windowed_counts(stream, "t", "u", "30 minutes"), "windows_out", "complete")
     assert sorted(r["n"] for r in spark.table("windows_out").collect()) == [1, 5]
+
+
+def test_distances_and_greedy_groups(spark):
+    r = random.Random(4)
+    seqs = ["".join(r.choice("ACG-X") for _ in range(r.randint(0, 30))) for _ in range(12)]
+    got = outliers.all_distances(seqs)
+    for i, a in enumerate(seqs):
+        for j, b in enumerate(seqs):
+            want = outliers.gap_free_distance(a, b)
+            assert got[i, j] == want or (math.isnan(got[i, j]) and math.isnan(want))
+    rows = [(r.choice(["a", "b", None]), k, r.randrange(60), "x" * k) for k in range(120)]
+    df = spark.createDataFrame([(g, k, s, s + 9, x) for g, k, s, x in rows], "gene string, k int, qstart int, qend int, other string")
+    kept = {}
+    for g, k, s, _ in rows:
+        if all(not (min(s, t) + 9 > max(s, t) and (min(s, t) + 9 - max(s, t)) / (max(s, t) + 9 - min(s, t)) >= 0.3) for t in kept.get(g, {}).values()):
+            kept.setdefault(g, {})[k] = s
+    assert {(x["gene"], x["k"]) for x in hits.internal_filter(df, ["gene"], ["k"]).collect()} == {(g, k) for g, v in kept.items() for k in v}
