@@ -24,6 +24,8 @@ WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 #: Ranges of virtual time lie below this time, the last one also holds what is later.
 LAST_TIME = 2.0
+#: Sources whose cuts are broadcast; each has three keys of 32 letters.
+MOST_BROADCAST = 1 << 16
 
 
 def word_count(text: Column) -> Column:
@@ -141,8 +143,10 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     queued = written(_queued(docs, weights), "queued")
     cut = cut_time(queued)
     last = _sendings(queued).where(F.col("finish") <= cut).groupBy("queue", "turn").agg(F.max("at").alias("last")).groupBy("queue").agg(F.collect_list("last").alias("lasts"))
-    # One row a source, held by the driver: its size is known to the planner, which broadcasts it if it is small.
-    lasts = docs.sparkSession.createDataFrame([(r["queue"], r["lasts"]) for r in last.collect()], "queue_ string, lasts array<string>")
+    # One row a source, held by the driver; it is broadcast while that is little, as for any mix of sources, and joined beyond.
+    held = [(r["queue"], r["lasts"]) for r in last.collect()]
+    lasts = docs.sparkSession.createDataFrame(held, "queue_ string, lasts array<string>")
+    lasts = F.broadcast(lasts) if len(held) <= MOST_BROADCAST else lasts
     key = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source")))
     keyed = docs.select(F.struct(*docs.columns).alias("row"), key.alias("queue_"), F.when(F.col("text").rlike(WORD), shuffle_key(F.col("doc_id"), F.col("text"))).alias("at_"))
     times = F.size(F.filter("lasts", lambda x: F.col("at_") <= x))
