@@ -93,7 +93,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[starts[0] : starts[-1]], starts - starts[0]
 
 
-def text_slices(column: pa.Array, most: int = 8 << 20):
+def text_slices(column: pa.Array, most: int = 2 << 20):
     """(first row, last row + 1) of runs of texts with at most so many bytes, or one longer text alone."""
     _, starts = text_buffer(column)
     i, n = 0, len(starts) - 1

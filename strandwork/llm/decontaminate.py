@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.llm.common import ASCII_LOWER, grams, text_buffer, text_slices, words
+from strandwork.llm.common import ASCII_LOWER, grams, release, text_buffer, text_slices, words
 
 MIN_MATCH = 3
 COVERAGE = 0.5
@@ -243,6 +243,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, coverage: float = COV
                 for a, b in text_slices(text):
                     keep[[a + d for d, *_ in leaks(text.slice(a, b - a), held.value, coverage)]] = False
                 yield batch.filter(pa.array(keep))
+                release()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.llm.common import dropped, remainder, written
+from strandwork.llm.common import dropped, release, remainder, written
 
 BLOCK = 1024
 LEVEL = 3
@@ -198,5 +198,6 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             keep = [model.score(t.as_buffer().to_pybytes() if t.is_valid else b"") >= REJECT_BELOW for t in batch.column("text").cast(pa.binary())]
             yield batch.filter(pa.array(keep, pa.bool_()))
+            release()
 
     return docs.mapInArrow(filtered, docs.schema)
