@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,3 +99,22 @@ def marked_consensus(agreed: Column, covered: Column) -> Column:
 def same_letters(a: Column, b: Column, start: Column, end: Column) -> Column:
     """H5. Whether two aligned rows are equal on [start, end); gaps count as letters."""
     return F.substring(a, start + 1, end - start) == F.substring(b, start + 1, end - start)
+
+
+def compared(a: Column, b: Column, gaps: str = "-X") -> Column:
+    """H6 and H7. (different, compared) of two aligned rows: places where both have data, and those of them that differ; null for a null."""
+
+    @F.pandas_udf("struct<different:int,compared:int>")
+    def run(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        out = []
+        for s, t in zip(x, y, strict=True):
+            if s is None or t is None:
+                out.append((None, None))
+                continue
+            n = min(len(s), len(t))
+            p, q = (np.frombuffer(z[:n].encode("utf-32-le"), np.uint32) for z in (s, t))
+            data = ~np.isin(p, [ord(c) for c in gaps]) & ~np.isin(q, [ord(c) for c in gaps])
+            out.append((int((p != q)[data].sum()), int(data.sum())))
+        return pd.DataFrame(out, columns=["different", "compared"]).astype("Int32")
+
+    return run(a, b)

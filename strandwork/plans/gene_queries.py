@@ -236,3 +236,13 @@ def outlier_stage(spark, d):
 
     rows = _candidates(spark, d).withColumn("node", F.col("name").cast("long"))
     return stages.outliers(rows, _references(spark, d), is_genome=True, least_match=0.3)
+
+
+@plain
+def split_merge(spark, d):
+    """Candidates of each turn, in samples of five, merged at the splits that their references prefer."""
+    from strandwork.operators.grouped.merging import merged
+
+    n = F.col("name").cast("long")
+    rows = _candidates(spark, d).withColumns({"taxa": (n % 5).cast("string"), "ref": F.concat(F.lit("R"), (n % 3).cast("string")), "weight": F.lit(1), "aa": F.col("seq"), "nt": F.regexp_replace("seq", "(.)", "$1$1$1")})
+    return merged(rows.select("gene", "taxa", "name", "ref", "weight", "aa", "nt"), _references(spark, d).select(F.col("gene").alias("gene"), F.col("seq").alias("seq")), "split").select("gene", "taxa", "reference", "total", F.md5(F.col("names").cast("binary")).alias("names_md5"), "aa", F.md5(F.col("nt").cast("binary")).alias("nt_md5"))

@@ -348,6 +348,16 @@ def blosum_distance(spark, d):
     return t.join(b, ["turn", "conv_id"]).select("turn", "conv_id", F.round(blosum.blosum62(F.col("x"), F.col("y")), 8).alias("distance"))
 
 
+@query(f"""WITH {TURNS_SQL}, p AS (SELECT a.gene, a.name, unnest(string_split(a.seq, '')) AS x, unnest(string_split(left(b.seq, greatest(length(a.seq), 0)), '')) AS y FROM turns a JOIN turns b ON a.gene = b.gene AND CAST(b.name AS BIGINT) = CAST(a.name AS BIGINT) + 1),
+c AS (SELECT gene, name, count(*) FILTER (x <> y) AS different, count(*) AS compared FROM p WHERE x IS NOT NULL AND y IS NOT NULL AND x NOT IN ('-', 'X', '') AND y NOT IN ('-', 'X', '') GROUP BY gene, name)
+SELECT a.gene, a.name, CAST(coalesce(different, 0) AS INTEGER) AS different, CAST(coalesce(compared, 0) AS INTEGER) AS compared FROM turns a JOIN turns b ON a.gene = b.gene AND CAST(b.name AS BIGINT) = CAST(a.name AS BIGINT) + 1 LEFT JOIN c ON c.gene = a.gene AND c.name = a.name""")
+def row_distance(spark, d):
+    """H6 and H7: each row against the next one of its turn."""
+    rows = turns(spark, d)
+    b = rows.select("gene", (F.col("name").cast("long") - 1).cast("string").alias("name"), F.col("seq").alias("other"))
+    return rows.join(b, ["gene", "name"]).select("gene", "name", msa.compared(F.col("seq"), F.col("other")).alias("c")).select("gene", "name", "c.different", "c.compared")
+
+
 @query(f"""WITH {HITS_SQL}, s AS (SELECT header, line, least(qstart, qend) AS s, greatest(qstart, qend) AS e FROM hits)
 SELECT header, line, CASE WHEN least(e, 45) - greatest(s, 30) >= -4 THEN greatest(s, 30) END AS start, CASE WHEN least(e, 45) - greatest(s, 30) >= -4 THEN least(e, 45) END AS "end" FROM s""")
 def overlap_range(spark, d):
