@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandwork.functions.dna import CODONS
 from strandwork.operators.grouped.columns import GAP
 from strandwork.operators.grouped.trimming import splice_candidates
 
@@ -97,10 +98,21 @@ def clusterwise_alignment(rows: list[tuple[str, str]], references: list[tuple[st
 
 
 def introns_removed(seq: str, reference: str, least_group: int = 10, join: int = 10, least: int = 30, reach: int = 10) -> tuple[str, list[tuple[int, int]]]:
+    """G6. introns_of() by the usual alignment and, if stops are left in the sequence's frame, by one with cheaper gaps: the one that
+    leaves fewer stops."""
+    first = introns_of(seq, reference, least_group, join, least, reach)
+    stops = lambda text: sum(CODONS.get(text[k : k + 3]) == "*" for k in range(0, len(text) - 5, 3))  # noqa: E731  the last codon may be one
+    if not stops(first[0]):
+        return first
+    second = introns_of(seq, reference, least_group, join, least, reach, (2, -3, -1))
+    return second if stops(second[0]) < stops(first[0]) else first
+
+
+def introns_of(seq: str, reference: str, least_group: int, join: int, least: int, reach: int, costs: tuple[int, int, int] = (2, -1, -2)) -> tuple[str, list[tuple[int, int]]]:
     """G6. The sequence without introns, and their [start, end): where the alignment to a reference leaves at least ``least_group``
     letters of the sequence without partner (groups at most ``join`` apart are one), the GT..AG nearest to the group, within
     ``reach`` of it, is taken out if it has at least ``least`` letters, a multiple of three, and meets none taken before."""
-    top, bottom = global_alignment(seq, reference)
+    top, bottom = global_alignment(seq, reference, *costs)
     at, groups = 0, []
     for c, r in zip(top, bottom, strict=True):
         if c != GAP:

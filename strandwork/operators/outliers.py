@@ -87,3 +87,11 @@ def consensus_distance_kick(msa: DataFrame, agreed: DataFrame, by: str, threshol
     ok = F.filter("z", lambda p: p["a"].isNotNull() & p["b"].isNotNull() & ~p["a"].isin("-", "") & ~p["b"].isin("-", "X", ""))
     counted = letters.withColumn("__n", F.size(ok)).withColumn("__d", F.size(F.filter(ok, lambda p: p["a"] != p["b"])))
     return counted.where((F.col("__n") == 0) | (F.col("__d") / F.col("__n") < threshold)).select(*msa.columns)
+
+
+def consensus_distance_pair(aa: DataFrame, nt: DataFrame, agreed_aa: DataFrame, agreed_nt: DataFrame, by: str, most_aa: float, most_nt: float) -> tuple[DataFrame, DataFrame]:
+    """G16 on proteins (by, name, seq) and nucleotides of the same names: proteins are judged first, nucleotides among the rows that passed, and
+    rows that fail there go from the proteins as well."""
+    first = consensus_distance_kick(aa, agreed_aa, by, most_aa)
+    second = consensus_distance_kick(nt.join(first.select(by, "name"), [by, "name"], "left_semi"), agreed_nt, by, most_nt)
+    return first.join(second.select(by, "name"), [by, "name"], "left_semi"), second

@@ -181,3 +181,16 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], start: str, end: s
     both = left.join(right, [*keys, "__cell"])
     first = F.floor(F.greatest(start, f"{start}_b") / width) == F.col("__cell")
     return both.where(first).withColumn("common", overlap(F.col(start), F.col(end), F.col(f"{start}_b"), F.col(f"{end}_b"))).where(F.col("common") >= least).drop("__cell")
+
+
+def references_and_candidates(rows: DataFrame, header: str = "header") -> tuple[DataFrame, DataFrame]:
+    """S18. The rows of references and those of candidates."""
+    from strandwork.functions.headers import is_reference
+
+    return rows.where(is_reference(F.col(header))), rows.where(~is_reference(F.col(header)))
+
+
+def pairs_within(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """J8. Every two rows of equal keys once, the second's columns with the suffix _b: for the references of a gene, tens to hundreds of rows."""
+    other = rows.select(*keys, *[F.col(c).alias(f"{c}_b") for c in rows.columns if c not in keys])
+    return rows.join(other, keys).where(F.col(name) < F.col(f"{name}_b"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandwork.functions import headers
+from strandwork.operators import pairs
 from strandwork.plans.registry import query
 from strandwork.plans.tables import HITS_SQL, READS_SQL, hits, load, reads
 from strandwork.scratch import new_path
@@ -200,11 +201,13 @@ def charset_file(spark, d):
     return spark.read.text(f"{path}/nexus")
 
 
-@query("SELECT event_type AS taxon, CAST(count(*) AS VARCHAR) AS reads, 'kept' AS reason FROM events GROUP BY event_type")
+@query("""WITH r AS (SELECT event_type, CASE WHEN value IS NULL THEN 'no value' WHEN value < 20 THEN 'low' WHEN user_id % 7 = 0 THEN 'listed' ELSE 'kept' END AS reason FROM events)
+SELECT event_type AS taxon, CAST(count(*) AS VARCHAR) AS reads, reason FROM r GROUP BY event_type, reason""")
 def count_tables(spark, d):
-    """K6 and K9: a table of counts with its reason column, written and read as CSV."""
+    """K6 and K9: counts by the reason of a filter, written and read as CSV."""
     path = new_path(spark, "counts")
-    catalog.write_counts(load(spark, d, "events").groupBy(F.col("event_type").alias("taxon")).agg(F.count("*").alias("reads")).withColumn("reason", F.lit("kept")), path)
+    rows = catalog.with_reason(load(spark, d, "events"), {"no value": F.col("value").isNull(), "low": F.col("value") < 20, "listed": F.col("user_id") % 7 == 0})
+    catalog.write_counts(rows.groupBy(F.col("event_type").alias("taxon"), "reason").agg(F.count("*").alias("reads")), path)
     return spark.read.option("header", True).csv(path).select("taxon", "reads", "reason")
 
 
@@ -217,11 +220,12 @@ def reference_fasta(spark, d):
     return rows.select("header", _md5("seq"), headers.json_field(F.col("header"), "pub_og_id").alias("gene"), headers.json_field(F.col("header"), "organism_name").alias("taxon"))
 
 
-@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN s_name || '|.' ELSE s_name || '|NODE_1' END AS header, s_suppkey % 4 = 0 AS is_ref FROM supplier")
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN s_name || '|.' ELSE s_name || '|NODE_1' END AS header, CASE WHEN s_suppkey % 4 = 0 THEN 'reference' ELSE 'candidate' END AS side FROM supplier")
 def reference_split(spark, d):
     """S18."""
     header = F.concat("s_name", F.when(F.col("s_suppkey") % 4 == 0, "|.").otherwise("|NODE_1"))
-    return load(spark, d, "supplier").select("s_suppkey", header.alias("header")).withColumn("is_ref", headers.is_reference(F.col("header")))
+    refs, rows = pairs.references_and_candidates(load(spark, d, "supplier").select("s_suppkey", header.alias("header")))
+    return refs.withColumn("side", F.lit("reference")).unionByName(rows.withColumn("side", F.lit("candidate")))
 
 
 @query("SELECT event_type, date_trunc('hour', ts) AS start, count(*) AS n FROM events GROUP BY event_type, date_trunc('hour', ts)")

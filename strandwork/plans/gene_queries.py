@@ -246,3 +246,26 @@ def split_merge(spark, d):
     n = F.col("name").cast("long")
     rows = _candidates(spark, d).withColumns({"taxa": (n % 5).cast("string"), "ref": F.concat(F.lit("R"), (n % 3).cast("string")), "weight": F.lit(1), "aa": F.col("seq"), "nt": F.regexp_replace("seq", "(.)", "$1$1$1")})
     return merged(rows.select("gene", "taxa", "name", "ref", "weight", "aa", "nt"), _references(spark, d).select(F.col("gene").alias("gene"), F.col("seq").alias("seq")), "split").select("gene", "taxa", "reference", "total", F.md5(F.col("names").cast("binary")).alias("names_md5"), "aa", F.md5(F.col("nt").cast("binary")).alias("nt_md5"))
+
+
+@plain
+def top_reference_alignment(spark, d):
+    """G3 over the benchmark's items: the first three taxa of each gene."""
+    from strandwork.plans import stages
+
+    k = F.col("item_id")
+    aa = F.translate(F.regexp_replace("text", "[^A-Za-z]", ""), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    rows = load(spark, d, "benchmark").where("text is not null").select((k % 8).cast("string").alias("gene"), F.lpad(k.cast("string"), 6, F.lit("0")).alias("name"), F.concat(F.lit("T"), (k % 5).cast("string")).alias("taxon"), aa.alias("seq"))
+    ranked = spark.createDataFrame([(f"T{k}", k + 1) for k in range(5)], "taxon string, rank int")
+    return stages.top_references(rows, ranked, 3)
+
+
+@plain
+def consensus_distance_pairs(spark, d):
+    """G16 on proteins and nucleotides of the turns of conversations."""
+    from strandwork.operators.columns import consensus
+
+    aa = turns(spark, d)
+    nt = aa.withColumn("seq", F.regexp_replace("seq", "(.)", "$1$1$1"))
+    a, n = outliers.consensus_distance_pair(aa, nt, consensus(aa, "gene", 0.3), consensus(nt, "gene", 0.3), "gene", 0.8, 0.7)
+    return a.select(F.lit("aa").alias("side"), "gene", "name").unionByName(n.select(F.lit("nt").alias("side"), "gene", "name"))

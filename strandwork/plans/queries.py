@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandwork.functions import dna, headers, intervals, msa
-from strandwork.operators import columns, combining, hits as H, islands, outliers, reads as R
+from strandwork.operators import columns, combining, hits as H, islands, outliers, pairs, reads as R
 from strandwork.plans.registry import QUERIES, SQL, plain, query
 from strandwork.plans.tables import ALIGNMENT_SQL, HITS_SQL, LETTERS_SQL, READS_SQL, WITH_N_SQL, alignment, hits, load, reads, with_n
 
@@ -252,9 +252,9 @@ FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id
 def pairwise_distance(spark, d):
     """All pairs of one label, as between the references of one gene."""
     e = load(spark, d, "embeddings")
-    a, b = e.select("label", F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select("label", F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
-    square = F.aggregate(F.zip_with("x", "y", lambda p, q: F.pow(p.cast("double") - q.cast("double"), 2)), F.lit(0.0), lambda s, v: s + v)
-    return a.join(b, "label").where("a < b").select("a", "b", F.round(square, 4).alias("distance"))
+    square = F.aggregate(F.zip_with("embedding", "embedding_b", lambda p, q: F.pow(p.cast("double") - q.cast("double"), 2)), F.lit(0.0), lambda s, v: s + v)
+    both = pairs.pairs_within(e.select("label", "vec_id", "embedding"), ["label"], "vec_id")
+    return both.select(F.col("vec_id").alias("a"), F.col("vec_id_b").alias("b"), F.round(square, 4).alias("distance"))
 
 
 @query("SELECT event_type AS gene, user_id % 5 AS taxon, count(*) AS n FROM events GROUP BY CUBE (event_type, user_id % 5)")

@@ -147,6 +147,18 @@ def report_genes(hits: DataFrame, reads: DataFrame, dupes: DataFrame, targets: D
     return rows.select("gene", header.alias("name"), "nt", "aa", (F.col("dupes") + 1).alias("copies"), *more).withColumn("sample", F.lit(sample))
 
 
+def top_references(references: DataFrame, ranked: DataFrame, k: int = 10, least_share: float = 0.5, least_run: int = 5) -> DataFrame:
+    """G3. Of each gene the references (gene, name, taxon, seq without gaps) of its first k taxa in rank order (O2, ``ranked``: taxon, rank), aligned
+    by themselves, without runs of at least ``least_run`` columns that fewer than ``least_share`` of them fill (A16)."""
+    top = H.top_taxa_by_gene(references, ranked, k)
+    rows = frames.aligned(references.join(top.select("gene", "taxon"), ["gene", "taxon"], "left_semi").select("gene", "name", "seq"))
+    poor = islands.runs(columns.occupancy(rows, "gene").where(F.col("share") < least_share), ["gene"], "place", least_run)
+    cut = poor.groupBy("gene").agg(F.flatten(F.collect_list(F.sequence("first", "last"))).alias("__cut"))
+    letters = F.filter(F.split("seq", ""), lambda c: c != "")
+    kept = F.array_join(F.filter(letters, lambda c, i: ~F.array_contains("__cut", i)), "")
+    return rows.join(cut, "gene", "left").withColumn("seq", F.when(F.col("__cut").isNull(), F.col("seq")).otherwise(kept)).drop("__cut")
+
+
 def build_references(rows: DataFrame, params: References = References()) -> DataFrame:
     """G24. The reference alignment of every gene from rows (gene, name, taxon, component, seq without gaps): aligned (G8), one row
     for a component and text (A4), fragments of a component spliced (G23), rows short against the median (F21), edges (A17) and poor

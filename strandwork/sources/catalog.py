@@ -61,11 +61,25 @@ def read_isoforms(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_accessions(spark: SparkSession, path: str) -> DataFrame:
-    """S15. A CSV of accessions or taxonomy, all columns as text, names in lower case."""
-    df = spark.read.option("header", True).csv(path)
+    """S15. A CSV or, where a reader of them is installed, an XLSX table of accessions or taxonomy, all columns as text, names in lower case."""
+    if path.lower().endswith((".xlsx", ".xls")):
+        import pandas as pd
+
+        sheet = pd.read_excel(path.removeprefix("file://"), dtype=str)  # a small table by nature, read by the driver
+        df = spark.createDataFrame(sheet.astype(object).where(sheet.notna(), None), ", ".join(f"`{c}` string" for c in sheet.columns))
+    else:
+        df = spark.read.option("header", True).csv(path)
     return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
 
 
+def with_reason(rows: DataFrame, reasons: dict[str, Column], kept: str = "kept") -> DataFrame:
+    """K6. Rows with ``reason``: the first of the named conditions that holds, or ``kept``; what a filter logs is a table like any other."""
+    reason = F.lit(kept)
+    for name, holds in reversed(reasons.items()):
+        reason = F.when(holds, name).otherwise(reason)
+    return rows.withColumn("reason", reason)
+
+
 def filled_taxonomy(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """J17. Empty or null columns of ``rows`` taken from ``known`` by ``key``."""
     more = [c for c in known.columns if c != key]

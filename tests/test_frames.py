@@ -206,3 +206,27 @@ def test_search_and_outlier_stages(spark):
     plain = {x["name"]: x["grade"] for x in stages.outliers(left, right).collect()}
     saved = {x["name"]: x["grade"] for x in stages.outliers(left, right, is_genome=True, least_match=0.6).collect()}
     assert plain["near"] == plain["far"] == saved["far"] == "fail" and saved["near"] == "rescued" and saved["n0"] == plain["n0"] == "pass"
+
+
+def test_top_references_and_paired_kicks(spark):
+    base = "MKVLSTARQWERTYPLKHGFDNCI"
+    rows = [("g", "a", "A", base), ("g", "b", "B", base[:10] + "WWWWWWWW" + base[10:]), ("g", "c", "C", base), ("g", "d", "D", "P" * 30), ("h", "e", "D", base)]
+    refs = spark.createDataFrame(rows, "gene string, name string, taxon string, seq string")
+    ranked = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3), ("D", 4)], "taxon string, rank int")
+    got = {(x["gene"], x["name"]): x["seq"] for x in stages.top_references(refs, ranked, 3).collect()}
+    assert got == {("g", n): base for n in "abc"} | {("h", "e"): base}  # the insertion of one is a run of poor columns
+    from strandwork.operators.outliers import consensus_distance_pair
+
+    aa = spark.createDataFrame([("g", "x", "MKVL"), ("g", "y", "MKVL"), ("g", "z", "WWWW")], ROWS)
+    nt = spark.createDataFrame([("g", "x", "ATGAAA"), ("g", "y", "TTTTTT"), ("g", "z", "ATGAAA")], ROWS)
+    agreed = lambda s: spark.createDataFrame([("g", s)], "gene string, consensus string")
+    a, n = consensus_distance_pair(aa, nt, agreed("MKVL"), agreed("ATGAAA"), "gene", 0.5, 0.5)
+    assert [x["name"] for x in a.collect()] == ["x"] == [x["name"] for x in n.collect()]
+
+
+def test_introns_and_stops():
+    exon = "ATGAAAGTTCTTTCTACTGCTCGTCAATGGGAACGTACTTATCCT"
+    intron = "GTAAGT" + "CCCTTT" * 5 + "TTTCAG"
+    gene = exon[:21] + intron + exon[21:]
+    assert aligning.introns_removed(gene, exon) == (exon, [(21, 21 + len(intron))])
+    assert aligning.introns_removed(exon, exon) == (exon, [])
