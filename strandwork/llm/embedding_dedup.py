@@ -34,7 +34,7 @@ TARGET_RECALL = 0.995
 SAMPLE = 65_536
 VECTORS_PER_CENTROID = 16
 CELL_VECTORS = 256
-HOME_BLOCK, VISIT_BLOCK = 1024, 2048
+HOME_BLOCK, VISIT_BLOCK = 512, 1024
 #: Into how many parts the rows of one cell are dealt where they learn its size.
 SALTS = 16
 #: Numbers that a step of work on many vectors makes at most.
