@@ -99,7 +99,8 @@ def kmer_similarity(a: Column, b: Column, k: int) -> Column:
             out = np.zeros(len(raw) - k + 1, np.uint64)
             for j in range(k):
                 out = out << np.uint64(8) | raw[j : j + len(out)]
-            return np.unique(out)
+            out.sort()
+            return out[np.append(True, out[1:] != out[:-1])]
         return {text[i : i + k] for i in range(len(text) - k + 1)}
 
     def shared(p: np.ndarray | set[str], q: np.ndarray | set[str]) -> int:

@@ -395,9 +395,11 @@ def route_target(spark, d):
 @query(f"""WITH {READS_SQL}, k AS (SELECT doc_id, lang, list_distinct(list_transform(range(1, length(seq) - 6), lambda i: substr(seq, i, 8))) AS g FROM reads WHERE length(seq) >= 8)
 SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(a.g, b.g)) / CAST(least(len(a.g), len(b.g)) AS DOUBLE), 6) AS similarity FROM k a JOIN k b ON b.doc_id = a.doc_id + 1""")
 def kmer_similarity(spark, d):
-    rows = reads(spark, d).where(F.length("seq") >= 8).select("doc_id", "seq")
+    rows = reads(spark, d).select("doc_id", "seq")
     b = rows.select(F.col("doc_id").alias("b"), (F.col("doc_id") - 1).alias("doc_id"), F.col("seq").alias("other"))
-    return rows.join(b, "doc_id").select(F.col("doc_id").alias("a"), "b", F.round(combining.kmer_similarity(F.col("seq"), F.col("other"), 8), 6).alias("similarity"))
+    # Texts that are too short give null: a filter before the join would work out every sequence twice.
+    found = rows.join(b, "doc_id").select(F.col("doc_id").alias("a"), "b", combining.kmer_similarity(F.col("seq"), F.col("other"), 8).alias("similarity"))
+    return found.where("similarity is not null").withColumn("similarity", F.round("similarity", 6))
 
 
 @query(f"""WITH {HITS_SQL} SELECT header, line, CASE WHEN frame < 0 THEN qend ELSE qstart END AS s, CASE WHEN frame < 0 THEN qstart ELSE qend END AS e,
