@@ -40,15 +40,33 @@ def inner_gaps(seq: Column, gap: str = "-", mark: str = "?") -> Column:
     return let(seq, of)
 
 
+def letters(seq: Column) -> Column:
+    return F.filter(F.split(seq, ""), lambda c: c != "")
+
+
+def flags(places: Column) -> Column:
+    """For each place up to the last of ``places`` (from 0, in any order) whether it is one of them: looked up by at(), not searched."""
+
+    def of(p: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(p, k - 1), F.lit(-1))
+        return F.flatten(F.transform(p, lambda x, k: F.concat(F.array_repeat(F.lit(False), x - before(k) - 1), F.array(F.lit(True)))))
+
+    return let(F.array_sort(F.array_distinct(F.filter(F.transform(places, lambda x: x.cast("int")), lambda x: x >= 0))), of)
+
+
+def at(flags: Column, i: Column) -> Column:
+    """Whether place ``i`` is flagged; places past the end, and all of a null, are not."""
+    return F.coalesce(F.get(flags, i), F.lit(False))
+
+
 def masked(seq: Column, places: Column, mark: str = "-") -> Column:
     """X7. The letters at the given places (from 0) replaced."""
-    return F.array_join(F.transform(F.filter(F.split(seq, ""), lambda c: c != ""), lambda c, i: F.when(F.array_contains(places, i), F.lit(mark)).otherwise(c)), "")
+    return let(flags(places), lambda f: F.array_join(F.transform(letters(seq), lambda c, i: F.when(at(f, i), F.lit(mark)).otherwise(c)), ""))
 
 
 def minimum_data(seq: Column, least: int, rejected: Column | None = None, gap: str = "-") -> Column:
     """F15 and F16. Whether at least ``least`` letters of data lie outside the rejected places (from 0)."""
-    letters = F.filter(F.split(seq, ""), lambda c: c != "")
-    data = letters if rejected is None else F.filter(letters, lambda c, i: ~F.array_contains(rejected, i))
+    data = letters(seq) if rejected is None else let(flags(rejected), lambda f: F.filter(letters(seq), lambda c, i: ~at(f, i)))
     return F.size(F.filter(data, lambda c: ~F.lit(gap).contains(c))) >= least
 
 
@@ -64,20 +82,25 @@ def gaps_inserted(seq: Column, places: Column, gap: str = "-") -> Column:
 
 def inner_gap_places(seq: Column, gap: str = "-") -> Column:
     """X6. The places (from 0) of gaps between the first and the last letter of data."""
-    letters = F.filter(F.split(seq, ""), lambda c: c != "")
-    s, e = data_start(seq, gap), data_end(seq, gap)
-    return F.filter(F.transform(letters, lambda c, i: F.when((c == gap) & (i >= s) & (i < e), i)), lambda i: i.isNotNull())
+    ends = F.struct(data_start(seq, gap).alias("s"), data_end(seq, gap).alias("e"))
+    return let(ends, lambda x: F.filter(F.transform(letters(seq), lambda c, i: F.when((c == gap) & (i >= x["s"]) & (i < x["e"]), i)), lambda i: i.isNotNull()))
+
+
+def codon_at(letters: Column, k: Column) -> Column:
+    """The codon of protein place ``k`` of nucleotide letters, shorter or empty past their end."""
+    return F.concat(*[F.coalesce(F.get(letters, k * 3 + j), F.lit("")) for j in range(3)])
 
 
 def masked_codons(nt: Column, places: Column, mark: str = "---") -> Column:
     """X7 and H11. The codons at the given protein places (from 0) replaced."""
     every = F.sequence(F.lit(0), F.greatest(F.ceil(F.length(nt) / 3).cast("int") - 1, F.lit(0)))
-    return F.array_join(F.transform(every, lambda k: F.when(F.array_contains(places, k), F.lit(mark)).otherwise(F.substring(nt, k * 3 + 1, F.lit(3)))), "")
+    made = lambda x, f: F.array_join(F.transform(every, lambda k: F.when(at(f, k), F.lit(mark)).otherwise(codon_at(x, k))), "")
+    return F.when(F.length(nt) > 0, let(F.struct(letters(nt).alias("x"), flags(places).alias("f")), lambda v: made(v["x"], v["f"]))).otherwise(nt)
 
 
 def selected_codons(nt: Column, places: Column) -> Column:
     """H11. The codons at the given protein places (from 0, in their order), joined."""
-    return F.array_join(F.transform(places, lambda k: F.substring(nt, k * 3 + 1, F.lit(3))), "")
+    return F.when(nt.isNotNull(), let(letters(nt), lambda x: F.array_join(F.transform(places, lambda k: codon_at(x, k)), "")))
 
 
 def codon_place(i: Column) -> Column:
@@ -92,8 +115,7 @@ def as_share(percent: float) -> float:
 
 def marked_consensus(agreed: Column, covered: Column) -> Column:
     """H4. A consensus where columns without any data are ? and ambiguous ones stay X; ``covered``: places with data."""
-    letters = F.filter(F.split(agreed, ""), lambda c: c != "")
-    return F.array_join(F.transform(letters, lambda c, i: F.when(F.array_contains(covered, i), c).otherwise(F.lit("?"))), "")
+    return let(flags(covered), lambda f: F.array_join(F.transform(letters(agreed), lambda c, i: F.when(at(f, i), c).otherwise(F.lit("?"))), ""))
 
 
 def same_letters(a: Column, b: Column, start: Column, end: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandwork.functions import msa
+from strandwork.functions.dna import let
 from strandwork.functions.intervals import overlap
 from strandwork.operators.columns import occupancy
 from strandwork.operators.tallies import tallied
@@ -102,16 +103,16 @@ def component_distinct(rows: DataFrame, component: Column) -> DataFrame:
 
 def internal_cull(aa: DataFrame, nt: DataFrame, by: str, least: float) -> tuple[DataFrame, DataFrame]:
     """A18. Columns whose share of data is below ``least`` are cut from protein rows (by, name, aa), and their codons from the
-    nucleotide rows (by, name, nt, without gaps): the codon of a cut letter of that row. Kept columns of a group are a small array."""
+    nucleotide rows (by, name, nt, without gaps): the codon of a cut letter of that row. A group's columns are one array of flags."""
     rows = aa.withColumnRenamed("aa", "seq")
     cut = occupancy(rows, by).where(F.col("share") < least).groupBy(by).agg(F.collect_set("place").alias("__cut"))
-    rows = rows.join(cut, by, "left").withColumn("__cut", F.coalesce("__cut", F.array().cast("array<int>")))
-    letters = F.filter(F.split("seq", ""), lambda c: c != "")
-    kept = rows.select(by, "name", F.array_join(F.filter(letters, lambda c, i: ~F.array_contains("__cut", i)), "").alias("aa"))
+    rows = rows.join(cut.select(by, msa.flags(F.col("__cut")).alias("__cut")), by, "left")
+    letters = msa.letters(F.col("seq"))
+    kept = rows.select(by, "name", F.array_join(F.filter(letters, lambda c, i: ~msa.at(F.col("__cut"), i)), "").alias("aa"))
     # For each letter of data in turn, whether its column stays.
-    data = F.filter(F.transform(letters, lambda c, i: F.struct(c.alias("c"), F.array_contains("__cut", i).alias("gone"))), lambda x: x["c"] != "-")
+    data = F.filter(F.transform(letters, lambda c, i: F.struct(c.alias("c"), msa.at(F.col("__cut"), i).alias("gone"))), lambda x: x["c"] != "-")
     marks = rows.select(by, "name", F.transform(data, lambda x: x["gone"]).alias("__gone"))
-    codon = F.transform("__gone", lambda gone, i: F.when(gone, "").otherwise(F.substring(F.col("nt"), i * 3 + 1, F.lit(3))))
+    codon = let(msa.letters(F.col("nt")), lambda x: F.transform("__gone", lambda gone, i: F.when(gone, "").otherwise(msa.codon_at(x, i))))
     rest = F.substring(F.col("nt"), F.size("__gone") * 3 + 1, F.length("nt"))
     return kept, nt.join(marks, [by, "name"]).select(by, "name", F.concat(F.array_join(codon, ""), rest).alias("nt"))
 

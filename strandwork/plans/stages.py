@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strandwork.functions.dna import entropy, framed, homopolymer_trimmed, reverse_complement, stop_to_x, translated, translated_long
 from strandwork.functions.headers import merge_header, short_name, tagged
 from strandwork.functions.intervals import chunk_coordinates, swapped
-from strandwork.functions.msa import data_length, inner_gaps
+from strandwork.functions.msa import at, data_length, flags, inner_gaps, letters
 from strandwork.operators import columns, combining, hits as H, islands, pairs, reads as R
 from strandwork.operators.grouped import frames
 from strandwork.operators.grouped.assembly import deduped_hits
@@ -154,8 +154,8 @@ def top_references(references: DataFrame, ranked: DataFrame, k: int = 10, least_
     rows = frames.aligned(references.join(top.select("gene", "taxon"), ["gene", "taxon"], "left_semi").select("gene", "name", "seq"))
     poor = islands.runs(columns.occupancy(rows, "gene").where(F.col("share") < least_share), ["gene"], "place", least_run)
     cut = poor.groupBy("gene").agg(F.flatten(F.collect_list(F.sequence("first", "last"))).alias("__cut"))
-    letters = F.filter(F.split("seq", ""), lambda c: c != "")
-    kept = F.array_join(F.filter(letters, lambda c, i: ~F.array_contains("__cut", i)), "")
+    cut = cut.select("gene", flags(F.col("__cut")).alias("__cut"))
+    kept = F.array_join(F.filter(letters(F.col("seq")), lambda c, i: ~at(F.col("__cut"), i)), "")
     return rows.join(cut, "gene", "left").withColumn("seq", F.when(F.col("__cut").isNull(), F.col("seq")).otherwise(kept)).drop("__cut")
 
 

@@ -176,3 +176,20 @@ def test_distances_and_greedy_groups(spark):
         if all(not (min(s, t) + 9 > max(s, t) and (min(s, t) + 9 - max(s, t)) / (max(s, t) + 9 - min(s, t)) >= 0.3) for t in kept.get(g, {}).values()):
             kept.setdefault(g, {})[k] = s
     assert {(x["gene"], x["k"]) for x in hits.internal_filter(df, ["gene"], ["k"]).collect()} == {(g, k) for g, v in kept.items() for k in v}
+
+
+def test_flagged_places(spark):
+    rows = spark.createDataFrame([("ACGTAC", [4, 1, 1, -2, 9]), ("AC", []), ("ÀÉX", [2]), ("", [0]), ("AC", None), (None, [1])], "seq string, places array<bigint>")
+    seq, places = F.col("seq"), F.col("places")
+    got = rows.select(msa.masked(seq, places).alias("m"), msa.marked_consensus(seq, places).alias("c"), msa.masked_codons(seq, places).alias("k"), msa.selected_codons(seq, F.lit([1, 0])).alias("s")).collect()
+    assert [r["m"] for r in got] == ["A-GT-C", "AC", "ÀÉ-", "", "AC", None]
+    assert [r["c"] for r in got] == ["?C??A?", "??", "??X", "", "??", None]
+    assert [r["k"] for r in got] == ["ACG---", "AC", "ÀÉX", "", "AC", None]
+    assert [r["s"] for r in got] == ["TACACG", "AC", "ÀÉX", "", "AC", None]
+    assert rows.select(msa.inner_gap_places(F.lit("--A-B--C-"))).first()[0] == [3, 5, 6]
+
+
+def test_flagged_places_of_long_text(spark):
+    n = 60_000
+    got = spark.range(1).select(F.repeat(F.lit("A"), F.lit(n)).alias("s"), F.sequence(F.lit(0), F.lit(n - 1), F.lit(2)).alias("p")).select(msa.masked(F.col("s"), F.col("p"))).first()[0]
+    assert got == "-A" * (n // 2)
