@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwork.llm import decontaminate, embedding_dedup, html_content, license_scan, lm_score, mixing, near_dedup, quality, sharding, token_file
+from strandwork.llm import decontaminate, embedding_dedup, html_content, license_scan, lm_score, mixing, near_dedup, quality, sentence_pieces, sharding, token_file
 from strandwork.llm.common import table
 
 
@@ -94,6 +94,24 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(table(spark, sf_dir, "pages"))
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentence_pieces.encoded(table(spark, sf_dir, "documents"), piece_model_path())
+    decoded = sentence_pieces.decoded("ids", piece_model_path())
+    return pieces.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
+        F.element_at("ends", -1).cast("long").alias("source_bytes"),
+    )
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mixing": op2_mixing,
@@ -105,5 +123,6 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_lm_score": op9_lm_score,
     "op10_html_extraction": op10_html_extraction,
+    "op11_sentence_pieces": op11_sentence_pieces,
 }
 SQL = {"op2_mixing": OP2_SQL}
