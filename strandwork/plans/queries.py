@@ -68,13 +68,15 @@ _COMMON = "(least(rows[k].e, rows[i + 1].e) - greatest(rows[k].s, rows[i + 1].s)
 @query(f"WITH RECURSIVE {HITS_SQL}, g AS (SELECT header, list({{'line': line, 's': least(qstart, qend), 'e': greatest(qstart, qend)}} ORDER BY line, target) AS rows FROM hits GROUP BY header), " + _FOLD.format(meets=f"{_COMMON} > 0 AND {_COMMON} / CAST(greatest(rows[k].e, rows[i + 1].e) - least(rows[k].s, rows[i + 1].s) AS DOUBLE) >= 0.3"))
 def internal_filter_greedy(spark, d):
     s, e = intervals.swapped(F.col("frame"), F.col("qstart"), F.col("qend"))
-    return H.internal_filter(hits(spark, d).withColumns({"qstart": s, "qend": e}), ["header"], ["line", "target"]).select("header", "line")
+    rows = hits(spark, d).select("header", "line", "target", s.alias("qstart"), e.alias("qend"))
+    return H.internal_filter(rows, ["header"], ["line", "target"]).select("header", "line")
 
 
 @query(f"WITH RECURSIVE {HITS_SQL}, g AS (SELECT header, list({{'line': line, 'sc': score, 's': least(qstart, qend), 'e': greatest(qstart, qend)}} ORDER BY score DESC, line, target) AS rows FROM hits GROUP BY header), " + _FOLD.format(meets=f"{_COMMON} > 0 AND {_COMMON} >= 0.6 * (rows[i + 1].e - rows[i + 1].s) AND rows[k].sc / rows[i + 1].sc >= 1.1"))
 def dominance_overlap(spark, d):
     s, e = intervals.swapped(F.col("frame"), F.col("qstart"), F.col("qend"))
-    return H.dominance_filter(hits(spark, d).withColumns({"qstart": s, "qend": e}), ["header"], ["line", "target"]).select("header", "line")
+    rows = hits(spark, d).select("header", "line", "target", "score", s.alias("qstart"), e.alias("qend"))
+    return H.dominance_filter(rows, ["header"], ["line", "target"]).select("header", "line")
 
 
 @query("""WITH t AS (SELECT p_brand AS gene, p_size AS taxon, p_partkey AS target FROM part), h AS (SELECT DISTINCT l_partkey AS target FROM lineitem WHERE l_quantity > 45),
