@@ -191,18 +191,18 @@ _SEEDING = searching.Seeding(k=8, least_letters=4)
 
 
 def _seeds_sql(rows: str, names: str, text: str) -> str:
-    return f"""SELECT {names}, at, list_reduce(list_transform(range(1, 9), lambda i: CAST(instr('{LETTERS}', seed[i]) - 1 AS BIGINT)), lambda a, b: a * 32 + b) AS seed
-  FROM (SELECT {names}, at, substr(t, at + 1, 8) AS seed FROM (SELECT *, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), '{_TWENTY[0]}', '{_TWENTY[1]}') AS t, unnest(range(0, greatest(0, length({text}) - 7))) AS at FROM {rows}))
+    return f"""SELECT {names}, "at", list_reduce(list_transform(range(1, 9), lambda i: CAST(instr('{LETTERS}', seed[i]) - 1 AS BIGINT)), lambda a, b: a * 32 + b) AS seed
+  FROM (SELECT {names}, "at", substr(t, "at" + 1, 8) AS seed FROM (SELECT *, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), '{_TWENTY[0]}', '{_TWENTY[1]}') AS t, unnest(range(0, greatest(0, length({text}) - 7))) AS "at" FROM {rows}))
   WHERE len(list_distinct(string_split(seed, ''))) >= 4"""
 
 
 @query(f"""WITH c AS (SELECT conv_id AS node, CAST(turn AS INTEGER) AS frame, max(text) AS text, regexp_replace(max(text), '[^A-Za-z]', '', 'g') AS bare FROM conversations WHERE text IS NOT NULL GROUP BY ALL),
 b AS (SELECT CAST(item_id AS VARCHAR) AS target, text, regexp_replace(text, '[^A-Za-z]', '', 'g') AS bare FROM benchmark WHERE text IS NOT NULL),
 x AS ({_seeds_sql("c", "node, frame", "bare")}), y AS ({_seeds_sql("b", "target", "bare")}),
-l AS (SELECT node, frame, target, y.at - x.at AS diagonal, count(*) AS n, min(x.at) AS at FROM x JOIN y ON x.seed = y.seed GROUP BY ALL),
+l AS (SELECT node, frame, target, y."at" - x."at" AS diagonal, count(*) AS n, min(x."at") AS "at" FROM x JOIN y ON x.seed = y.seed GROUP BY ALL),
 w AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER v > 16 THEN 1 ELSE 0 END AS new FROM l WINDOW v AS (PARTITION BY node, frame, target ORDER BY diagonal)),
 r AS (SELECT *, sum(new) OVER (PARTITION BY node, frame, target ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS run FROM w)
-SELECT node, frame, target, min(diagonal) AS low, max(diagonal) AS high, sum(n) AS n_seeds, arg_max(diagonal, {{'n': n, 'd': -diagonal}}) AS diagonal, arg_max(at, {{'n': n, 'd': -diagonal}}) AS at
+SELECT node, frame, target, min(diagonal) AS low, max(diagonal) AS high, sum(n) AS n_seeds, arg_max(diagonal, {{'n': n, 'd': -diagonal}}) AS diagonal, arg_max("at", {{'n': n, 'd': -diagonal}}) AS "at"
 FROM r GROUP BY node, frame, target, run HAVING sum(n) >= 2""")
 def seed_diagonals(spark, d):
     """E: where conversations and the benchmark share seeds, by diagonal."""
