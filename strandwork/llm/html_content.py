@@ -25,7 +25,44 @@ from pyspark.sql import DataFrame
 
 # --- reading a page --------------------------------------------------------------------------------------------------
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+#: What follows a tag's name; quotes mean something after an equals sign only.
+_REST = re.compile(r"((?:[^\"'>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[\"'=])*+)>")
+#: Tags of a page whose quotes hide every later ">" end at the first one; after so many of them quotes are no longer looked at.
+UNQUOTED_AFTER = 16
+
+
+class Scanner:
+    """Tags and comments of a page from any place on, in linear time: what a caller skips (raw text) is never read as tags."""
+
+    def __init__(self, source: str):
+        self.source, self.last, self.hidden, self.end = source, source.rfind(">"), 0, len(source)
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(begin, end, closing, name, attributes) of the first tag from ``at`` on; a comment has no name. A tag that nothing ends is markup up to
+        the page's end, which ``end`` then marks."""
+        source = self.source
+        while (at := source.find("<", at)) >= 0:
+            m = _OPEN.match(source, at)
+            if not m:
+                at += 1
+                continue
+            if not m[3]:
+                mark = "-->" if m[1] else ">"
+                to = source.find(mark, m.end())
+                return at, (to + len(mark) if to >= 0 else len(source)), False, "", ""
+            if at > self.last:
+                self.end = at
+                return None
+            rest = _REST.match(source, m.end()) if self.hidden < UNQUOTED_AFTER else None
+            if rest:
+                return at, rest.end(), bool(m[2]), m[3].lower(), rest[1]
+            self.hidden += 1
+            to = source.find(">", m.end())
+            return at, to + 1, bool(m[2]), m[3].lower(), source[m.end() : to]
+        return None
+
+
 # The standard's void, raw-text, paragraph-closing and block elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style template iframe svg textarea title audio video select datalist head annotation annotation-xml".split())
@@ -50,7 +87,7 @@ _TAG = {t: k for k, t in enumerate(TAGS)} | {t: "h3" for t in ("h4", "h5", "h6")
 _TAG |= {t: "inline" for t in "b i em strong span u s small sub sup mark q cite abbr time font tt kbd samp var del ins bdi bdo data dfn wbr big strike ruby rt rp".split()}
 _TAG = {t: (k if isinstance(k, int) else TAGS.index(k)) for t, k in _TAG.items()}
 
-# Words in class, id and role, by what they tell; a longer word counts if it begins with one of five letters or more.
+# Words in class, id and role, by what they tell; a longer word counts if it is one of five letters or more with an ending of COMPOUNDS.
 KINDS: tuple[tuple[str, str], ...] = (
     ("comment", "comment comments reply replies discuss discussion disqus respond commentlist thread guestbook"),
     ("advert", "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted promotion adsense adslot banner-ad partner"),
@@ -67,6 +104,7 @@ KINDS: tuple[tuple[str, str], ...] = (
     ("content", "content article post entry story main body text prose page-content articlebody hentry markdown copy paragraph lead"),
 )
 _WORD_KIND = {w: k + 1 for k, (_, ws) in reversed(list(enumerate(KINDS))) for w in ws.split()}
+COMPOUNDS = frozenset("s es list lists box boxes area wrap wrapper container section block blocks left right top inner outer bar item items link links text unit slot zone form panel group row col column thread count body holder".split())
 _LONG = sorted((w for w in _WORD_KIND if len(w) >= 5), key=lambda w: (-len(w), w))
 N_KINDS = len(KINDS) + 1
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
@@ -78,7 +116,7 @@ def kind_of(name: str) -> int:
     best = 0
     for w in _NAMES.findall(name):
         w = w.lower()
-        k = _WORD_KIND.get(w) or next((_WORD_KIND[x] for x in _LONG if w.startswith(x)), 0)
+        k = _WORD_KIND.get(w) or next((_WORD_KIND[x] for x in _LONG if w.startswith(x) and w[len(x) :] in COMPOUNDS), 0)
         best = k if k and (not best or k < best) else best
     return best
 
@@ -106,8 +144,9 @@ def _attributes(text: str) -> int:
 
 def _after_raw(source: str, name: str, at: int) -> int:
     """Where the element of raw text ends whose start tag ends at ``at``."""
-    end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
-    return end.end() if end else len(source)
+    end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
+    to = source.find(">", end.end()) if end else -1
+    return to + 1 if to >= 0 else len(source)
 
 
 def _left_open(source: str, name: str, at: int) -> bool:
@@ -178,10 +217,10 @@ class Tree:
             count.subtract(n for n, _ in stack[k:])
             del stack[k:]
 
-        for m in _TOKEN.finditer(source):
-            if m.start() < at:
-                continue
-            run = source[at : m.start()]
+        scanner = Scanner(source)
+        while found := scanner.next(at):
+            start, end, closing, name, said = found
+            run = source[at:start]
             if inner == ["head"] and run.strip():  # no text can stand in a head
                 inner = []
             if not inner and run:
@@ -191,12 +230,10 @@ class Tree:
                     self.text[-1] += " "
                 else:
                     add(0, 0, -1, " ")
-            at = m.end()
-            name = m[2] or m[5]
+            at = end
             if not name:
                 continue
-            name, closing = name.lower(), bool(m[1] or m[4])
-            empty = (m[3] or m[6] or "").rstrip().endswith("/")
+            empty = said.rstrip().endswith("/")
             if inner and not _ends_dropped(name, closing, inner, stack, open_):
                 if closing:
                     for k in range(len(inner) - 1, -1, -1):
@@ -247,12 +284,11 @@ class Tree:
                         break
             if name in VOID:
                 continue
-            said = m[3] or m[6] or ""
             mark = _MARK.search(said) if marks else None
             count[name] += 1
             stack.append((name, add(_TAG.get(name, _TAG["other"]), _attributes(said), int(mark[1]) if mark else -1, "")))
-        if (not inner or inner == ["head"]) and source[at:].strip():
-            add(0, 0, -1, html.unescape(source[at:]))
+        if (not inner or inner == ["head"]) and source[at : scanner.end].strip():
+            add(0, 0, -1, html.unescape(source[at : scanner.end]))
 
 
 # --- the model -------------------------------------------------------------------------------------------------------
@@ -525,8 +561,9 @@ def main_texts(sources: list[str], model: Model) -> list[str]:
     for t in trees:
         lines: list[str] = []
         last = None
+        bare = not any(t.tag[1:])  # a page without elements is its own text
         for k, text in enumerate(t.text):
-            if t.tag[k] == 0 and text and p[at + k] > 0.5:
+            if t.tag[k] == 0 and text and (bare or p[at + k] > 0.5):
                 if t.block[k] == last:
                     lines[-1] += text
                 else:
@@ -540,7 +577,7 @@ def main_texts(sources: list[str], model: Model) -> list[str]:
 def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of ``pages`` (page_id, url, html, any more columns).
 
-    Null, empty and text-free pages give an empty text; broken markup is read as browsers do where it is common (open
+    Null, empty and text-free pages give an empty text, one without elements is text as a whole, and a tag that nothing ends is none; broken markup is read as browsers do where it is common (open
     paragraphs, list items and cells, missing ends). What browsers show where an element is not supported (noscript, object,
     canvas) and formulas are text like any other; audio, video, drawings, frames and what fields hold are not. A run of text
     whose marginal is exactly one half is left out. Repeated rows give repeated rows. Pages are read whole, in groups of

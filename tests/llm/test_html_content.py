@@ -151,3 +151,44 @@ def test_trees_and_blocks_against_a_walk():
             lines[block] = lines.get(block, "") + text
         wanted = "\n".join(x for x in (" ".join(v.split()) for v in lines.values()) if x)
         assert H.main_texts([source], keep) == [wanted]
+
+
+def test_raw_text_is_never_read_as_tags():
+    line = " ".join(LONG.split())
+    for script in ("for(i=0;i<n && ok;i++){} // don't stop", "if (a<b) x = \"", "a<b='", "</scrip t> <p class='", "document.write('<p>no</p>')"):
+        for raw in ("script", "style"):
+            got = H.main_texts([page(f"<{raw}>{script}</{raw}><article><h1>Head</h1><p>{LONG} It's good.</p></article>")], H.default_model())
+            assert got == [f"Head\n{line} It's good."], script
+    assert read("<script>a</script foo=1>b") == "b" and read("<textarea><p>no</textarea>b") == "b"
+
+
+def test_quotes_count_after_an_equals_sign_only():
+    assert read("<p class=a don't>one</p><p>it's</p>") == "oneit's"
+    assert read("<p title=\"a > b\" data-x='c>d'>one</p>") == "one" and read("<p title = 'a>'>one") == "one"
+    assert read('<p title="a>one</p><p>two</p>') == "onetwo"  # no quote ends it
+
+
+def test_pages_without_elements_are_their_own_text():
+    got = H.main_texts(["Just words, a < b & c.\nNext", "&lt;p&gt;", "a<script>no</script> b", "cut off <a href='http", "<!-- no -->  "], H.default_model())
+    assert got == ["Just words, a < b & c. Next", "<p>", "a b", "cut off", ""]
+
+
+def test_class_words_are_whole_or_compounds():
+    kinds = {w: k + 1 for k, (w, _) in enumerate(H.KINDS)}
+    for word, kind in (("commentary", 0), ("comments", "comment"), ("commentlist", "comment"), ("sidebar-left", "side"), ("sidebarleft", "side"), ("headers", "header"), ("storyline", 0), ("formation", 0)):
+        assert H.kind_of(word) == (kinds[kind] if kind else 0), word
+    assert H.main_texts([page(f'<div class="story commentary"><h1>Head</h1><p>{LONG}</p></div>')], H.default_model())[0].endswith(" ".join(LONG.split()))
+
+
+def test_reading_is_linear():
+    """A megabyte of openings, quotes and unended tags."""
+    for piece in ("<b ", "<b", "<b a=\"", "<b a='>", "<a =\"><a ='>", "<!", "<!-", "</script ", "<script>", "<p>", "\"'<", "<a =\"<a >\" "):
+        source = piece * (1_000_000 // len(piece))
+        began = time.perf_counter()
+        scanner, at = H.Scanner(source), 0
+        while found := scanner.next(at):
+            at = found[1]
+        assert time.perf_counter() - began < 3, piece
+    began = time.perf_counter()
+    H.Tree("<b " * 330_000)
+    assert time.perf_counter() - began < 1
