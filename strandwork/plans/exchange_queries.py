@@ -9,7 +9,7 @@ from strandwork.operators import pairs
 from strandwork.plans.registry import query
 from strandwork.plans.tables import HITS_SQL, READS_SQL, hits, load, reads
 from strandwork.scratch import new_path
-from strandwork.sources import catalog, fasta, tables
+from strandwork.sources import catalog, fasta, store, tables
 from strandwork.streaming import windows
 
 
@@ -78,20 +78,22 @@ def hit_table(spark, d):
 @query("SELECT p_brand AS gene, p_partkey AS target FROM part WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#23')")
 def catalog_tables(spark, d):
     """Of several stages' tables the first that is there, some genes' folders of it."""
-    store = catalog.Catalog(spark, new_path(spark, "catalog"))
+    tables_ = catalog.Catalog(spark, new_path(spark, "catalog"))
     part = load(spark, d, "part").select(F.col("p_brand").alias("gene"), F.col("p_partkey").alias("target"))
-    store.put("trimmed", part, by="gene", rows_per_file=500)
-    store.put("raw", part.limit(0))
-    found = next(n for n in catalog.REFERENCE_ORDER if store.has(n))
-    return store.get(found, "gene", ["Brand#11", "Brand#12", "Brand#23"]).select("gene", "target") if store.first_of(catalog.REFERENCE_ORDER).columns else part
+    tables_.put("trimmed", part, by="gene", rows_per_file=500)
+    tables_.put("raw", part.limit(0))
+    found = next(n for n in catalog.REFERENCE_ORDER if tables_.has(n))
+    return tables_.get(found, "gene", ["Brand#11", "Brand#12", "Brand#23"]).select("gene", "target") if tables_.first_of(catalog.REFERENCE_ORDER).columns else part
 
 
 @query("SELECT c_custkey AS node, c_name AS seq FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)")
 def reads_of_nodes(spark, d):
-    """S6 and J3."""
-    store = catalog.Catalog(spark, new_path(spark, "catalog"))
-    store.put("reads", load(spark, d, "customer").select(F.col("c_custkey").alias("node"), F.col("c_name").alias("seq")))
-    return store.reads_of(load(spark, d, "orders").where("o_totalprice > 200000").select(F.col("o_custkey").alias("node"))).select("node", "seq")
+    """Two batches in a bucketed store; the reads aren't shuffled to be joined."""
+    reads_, k = load(spark, d, "customer").select(F.col("c_custkey").alias("node"), F.col("c_name").alias("seq")), F.col("node") % 2
+    kept = store.ReadStore(spark, new_path(spark, "read-store"), buckets=8)
+    kept.add(reads_.where(k == 0))
+    kept.add(reads_.where(k == 1))
+    return kept.reads_of(load(spark, d, "orders").where("o_totalprice > 200000").select(F.col("o_custkey").alias("node"))).select("node", "seq")
 
 
 @query("SELECT CAST(l_orderkey AS VARCHAR) AS name, l_extendedprice AS score, CAST(l_linenumber AS INTEGER) AS start, CAST(l_linenumber + 20 AS INTEGER) AS \"end\" FROM lineitem")
