@@ -9,7 +9,7 @@ from strandwork.operators import pairs
 from strandwork.plans.registry import query
 from strandwork.plans.tables import HITS_SQL, READS_SQL, hits, load, reads
 from strandwork.scratch import new_path
-from strandwork.sources import catalog, fasta, store, tables
+from strandwork.sources import catalog, fasta, sequences, store, tables
 from strandwork.streaming import windows
 
 
@@ -49,6 +49,17 @@ def fastq_round_trip(spark, d):
     return fasta.read_fastq(spark, path).select("header", _md5("seq"))
 
 
+@query(f"WITH {READS_SQL} SELECT CAST(doc_id AS VARCHAR) AS header, CAST(length(seq) AS BIGINT) AS n, md5(seq) AS seq_md5, md5(translate(seq, 'ACGTN', '@I+>#')) AS qual_md5 FROM reads WHERE seq <> ''")
+def sequence_source(spark, d):
+    """S1 as a data source: records over many lines, files in many splits."""
+    wrapped = lambda c: F.regexp_replace(c, "(.{60})(?!$)", "$1\n")
+    record = F.concat(F.lit("@"), F.col("doc_id").cast("string"), F.lit("\n"), wrapped("seq"), F.lit("\n+\n"), wrapped(F.translate("seq", "ACGTN", "@I+>#")))
+    path = _put(reads(spark, d).where("seq != ''").select(record.alias("value")), "fastq")
+    spark.dataSource.register(sequences.SequenceSource)
+    rows = spark.read.format("sequences").schema("header string, seq string, qual string, n long").option("split_bytes", 1 << 20).load(path)
+    return rows.select("header", "n", _md5("seq"), _md5("qual"))
+
+
 @query("""WITH f AS (SELECT '/data/' || source || '_' || lang || CASE WHEN doc_id % 2 = 0 THEN '_R1_001' ELSE '_R2_001' END || CASE WHEN doc_id % 3 = 0 THEN '.fastq.gz' WHEN doc_id % 3 = 1 THEN '.fa' ELSE '.txt' END AS file, source || '_' || lang AS sample FROM documents)
 SELECT sample, count(*) AS files FROM f WHERE file NOT LIKE '%.txt' GROUP BY sample""")
 def sample_discovery(spark, d):

@@ -26,7 +26,8 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """S1. file, idx (place in the file, from 0), header and seq of FASTQ files, plain or gzip, four lines a record.
+    """S1. file, idx (place in the file, from 0), header and seq of FASTQ files, plain or gzip, four lines a record; other files are an error
+    (sequences.SequenceSource reads records of any number of lines).
 
     Lines are read in as many tasks as Spark cuts files into; a line's number is its place in its cut and the lines of the cuts
     before it, which are counted first. No task holds a file.
@@ -37,8 +38,15 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     cuts = cuts.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
     line = F.col("id") - F.col("first") + F.col("before")
     lines = raw.join(cuts, ["file", "block"]).select("file", F.floor(line / 4).alias("idx"), (line % 4).alias("k"), F.rtrim(F.replace("value", F.lit("\r"), F.lit(""))).alias("value"))
-    rows = lines.where("k < 2").groupBy("file", "idx").agg(F.max(F.when(F.col("k") == 0, F.col("value"))).alias("header"), F.max(F.when(F.col("k") == 1, F.col("value"))).alias("seq"))
-    return rows.where("header like '@%' and seq is not null").select("file", "idx", F.expr("substring(header, 2)").alias("header"), "seq")
+    # Of the third and fourth line only the first letter and the length go on.
+    short = lines.withColumn("value", F.when(F.col("k") == 2, F.substring("value", 1, 1)).when(F.col("k") == 3, F.length("value").cast("string")).otherwise(F.col("value")))
+    part = lambda k, name: F.max(F.when(F.col("k") == k, F.col("value"))).alias(name)
+    rows = short.groupBy("file", "idx").agg(part(0, "header"), part(1, "seq"), part(2, "plus"), part(3, "quals"))
+    good = F.col("header").startswith("@") & (F.col("plus") == "+") & (F.coalesce("quals", F.lit("0")) == F.length("seq").cast("string"))
+    blank = (F.col("header") == "") & F.col("seq").isNull()
+    told = F.concat(F.lit("not a FASTQ record of four lines: "), "file", F.lit(", record "), F.col("idx").cast("string"))
+    rows = rows.where(~blank).withColumn("header", F.when(F.coalesce(good, F.lit(False)), F.expr("substring(header, 2)")).otherwise(F.raise_error(told)))
+    return rows.select("file", "idx", "header", "seq")
 
 
 def samples(files: DataFrame) -> DataFrame:
