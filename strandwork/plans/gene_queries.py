@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from strandwork.functions import dna
 from strandwork.functions.blosum import LETTERS
-from strandwork.operators import outliers, searching
+from strandwork.operators import outliers, profiling, searching
 from strandwork.operators.grouped import aligning, assembly, frames
 from strandwork.plans.registry import plain, query
 from strandwork.plans.row_queries import turns
@@ -271,6 +271,14 @@ def profile_search(spark, d):
     return stages.profile_search(rows.where("node % 3 = 0").select("gene", "node"), rows.select("node", F.col("nt").alias("seq")), references, margin=2)
 
 
+@plain
+def profile_matches(spark, d):
+    """G4 with gaps: every text's translation against the profile of every fifth one of its turn, scored and calibrated."""
+    rows = _dna(spark, d).select("gene", "name", dna.translated_long(F.col("nt")).alias("seq"))
+    found = profiling.profile_matches(rows, profiling.profiles(rows.where("cast(name as long) % 5 = 0")), 1e-3)
+    return found.withColumn("evalue", F.round(F.log10("evalue"), 4)).withColumnRenamed("evalue", "log10_evalue")
+
+
 @plain
 def outlier_stage(spark, d):
     """G11 with rescue, on the turns of conversations."""

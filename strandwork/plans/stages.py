@@ -11,7 +11,7 @@ from strandwork.functions.dna import entropy, framed, homopolymer_trimmed, rever
 from strandwork.functions.headers import merge_header, short_name, tagged
 from strandwork.functions.intervals import chunk_coordinates, swapped
 from strandwork.functions.msa import at, data_length, flags, inner_gaps, letters
-from strandwork.operators import columns, combining, hits as H, islands, pairs, reads as R
+from strandwork.operators import columns, combining, hits as H, islands, pairs, profiling, reads as R
 from strandwork.operators.grouped import frames
 from strandwork.operators.grouped.assembly import deduped_hits
 from strandwork.operators.grouped.clusters import clustered
@@ -181,18 +181,18 @@ def build_references(rows: DataFrame, params: References = References()) -> Data
     return combining.kick_genes(full, params.gene_share) if params.gene_share > 0 else full
 
 
-def profile_search(hits: DataFrame, reads: DataFrame, references: DataFrame, least: float = 15.0, distance: int = 100, margin: int = 50) -> DataFrame:
+def profile_search(hits: DataFrame, reads: DataFrame, references: DataFrame, least: float = 10.0, distance: int = 100, margin: int = 50) -> DataFrame:
     """G4. Reads of each gene that fit the profile of its references (gene, name, seq): gene, node, frame, score, start, end and passed.
 
     Searched are the reads that ``hits`` (gene, node) names and those up to ``margin`` numbers beyond the ends of their clusters (J13), in six
-    frames; of each the best frame counts. A read below ``least`` stays if one that passed is at most ``distance`` away (J12)."""
+    frames; of each the best frame counts. A read below ``least`` bits stays if one that passed is at most ``distance`` away (J12)."""
     grouped = islands.id_clusters(hits.select("gene", "node").distinct(), ["gene"], "node", distance)
     ends = grouped.groupBy("gene", "cluster").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     searched = H.range_expanded(ends, "low", "high", margin).select("gene", "node").distinct().join(reads.select("node", "seq"), "node")
     frame = F.explode(F.array(*[F.lit(k) for k in (1, 2, 3, -1, -2, -3)]))
     rows = searched.select("gene", "node", "seq", frame.alias("frame")).withColumn("aa", translated_long(framed(F.col("seq"), F.col("frame"))))
     named = rows.select("gene", F.concat_ws(":", F.col("node").cast("string"), F.col("frame").cast("string")).alias("name"), F.col("aa").alias("seq"))
-    found = frames.profile_hits(named, references).withColumn("node", F.substring_index("name", ":", 1).cast("long")).withColumn("frame", F.substring_index("name", ":", -1).cast("int"))
+    found = profiling.profile_matches(named, profiling.profiles(references), float("inf")).withColumn("node", F.substring_index("name", ":", 1).cast("long")).withColumn("frame", F.substring_index("name", ":", -1).cast("int"))
     best = best_rows(found.where("score > 0"), ["gene", "node"], [F.desc("score"), F.col("frame")]).withColumn("passed", F.col("score") >= least)
     return H.rescued(best, ["gene"], "node", "passed", distance).select("gene", "node", "frame", "score", "start", "end", "passed")
 
