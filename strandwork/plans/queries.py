@@ -490,3 +490,4 @@ def prepare_stage(spark, d):
 
 
 from strandwork.plans import exchange_queries, gene_queries, row_queries  # noqa: E402, F401  these enter theirs in the registry
+from strandwork.plans import grouped_sql  # noqa: E402, F401  SQL of queries that are there by now
