@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from strandwork.functions.msa import coverage
 from strandwork.operators.selecting import best_rows
@@ -49,19 +49,27 @@ def renamed(rows: DataFrame, names: DataFrame, key: str, new: str) -> DataFrame:
 def concatenated(rows: DataFrame, gene: str = "gene", taxon: str = "taxon", fill: str = "-") -> DataFrame:
     """A19. Every taxon with its genes in order of name, missing ones filled to the gene's length (its longest row).
 
-    The output has every taxon and gene by its nature. Of several rows of a taxon in a gene the greatest counts.
+    The output has every taxon and gene by its nature; no product of taxa and genes is formed. Of several rows of a taxon in a gene the greatest counts.
     """
     one = rows.groupBy(gene, taxon).agg(F.max("seq").alias("seq"))
-    length = one.groupBy(gene).agg(F.max(F.length("seq")).alias("n"))
-    every = one.select(taxon).distinct().join(length)
-    full = every.join(one, [gene, taxon], "left").select(taxon, F.struct(F.col(gene).alias("g"), F.rpad(F.coalesce("seq", F.lit("")), F.col("n"), F.lit(fill)).alias("s")).alias("p"))
-    return full.groupBy(taxon).agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["s"]), "").alias("seq"))
+    n = F.coalesce(F.max(F.length("seq")), F.lit(0)).cast("long").alias("n")
+    # A gene's place: one row a gene. Between two genes of a taxon lie as many fillers as their places are apart.
+    places = one.groupBy(gene).agg(n).select(gene, "n", (F.sum("n").over(_before(gene)) - F.col("n")).alias("begin"), F.sum("n").over(Window.partitionBy(F.lit(0))).alias("all"))
+    text = F.rpad(F.coalesce("seq", F.lit("")), F.col("n").cast("int"), F.lit(fill))
+    own = one.join(places, gene).groupBy(taxon).agg(F.max("all").alias("all"), F.array_sort(F.collect_list(F.struct("begin", (F.col("begin") + F.col("n")).alias("end"), text.alias("s")))).alias("p"))
+    fillers = lambda count: F.repeat(F.lit(fill), count.cast("int"))
+    parts = F.transform("p", lambda x, i: F.concat(fillers(x["begin"] - F.coalesce(F.get("p", i - 1)["end"], F.lit(0))), x["s"]))
+    return own.select(taxon, F.concat(F.array_join(parts, ""), fillers(F.col("all") - F.element_at("p", -1)["end"])).alias("seq"))
+
+
+def _before(gene: str) -> WindowSpec:
+    return Window.orderBy(gene).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def charsets(rows: DataFrame, gene: str = "gene") -> DataFrame:
     """A19. First and last place (from 1) of each gene in the concatenation."""
     length = rows.groupBy(gene).agg(F.max(F.length("seq")).alias("n"))
-    last = F.sum("n").over(Window.orderBy(gene).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = F.sum("n").over(_before(gene))
     return length.select(gene, (last - F.col("n") + 1).alias("first"), last.alias("last"))
 
 

@@ -86,8 +86,17 @@ def reference_counts(references: list[str]) -> list[dict[str, int]]:
     return out
 
 
+def reference_letters(references: list[str]) -> list[dict[str, int]]:
+    """As reference_counts(), with the gaps inside each reference's span."""
+    out: list[dict[str, int]] = [{} for _ in range(max(map(len, references), default=0))]
+    for seq in references:
+        for k in range(*span(seq)):
+            out[k][seq[k]] = out[k].get(seq[k], 0) + 1
+    return out
+
+
 def best_split(left: str, right: str, start: int, end: int, counts: list[dict[str, int]]) -> int:
-    """The place in [start, end] where going over from ``left`` to ``right`` agrees with most references; ties: the first."""
+    """G23. The place in [start, end] where going over from ``left`` to ``right`` agrees with most references; ties: the first."""
     own = lambda s, k: counts[k].get(s[k], 0) if k < len(counts) and k < len(s) else 0
     score = sum(own(right, k) for k in range(start, end))
     best, at = score, start
@@ -96,3 +105,31 @@ def best_split(left: str, right: str, start: int, end: int, counts: list[dict[st
         if score > best:
             best, at = score, k + 1
     return at
+
+
+def last_split(left: str, right: str, start: int, end: int, counts: list[dict[str, int]]) -> int:
+    """G22. The place in [start, end) up to which, itself included, ``left`` gains most over ``right``, if it loses nothing; ties: the last; 0 where
+    every place loses."""
+    own = lambda s, k: counts[k].get(s[k], 0) if k < len(counts) and k < len(s) else 0
+    gain = best = at = 0
+    for k in range(start, end):
+        gain += own(left, k) - own(right, k)
+        if gain >= best:
+            best, at = gain, k
+    return at
+
+
+def excised_split(left: str, right: str, start: int, end: int, letters: list[dict[str, int]]) -> int:
+    """G14. The place in [start, end] where going over from ``left`` to ``right`` scores most; ties: the last. A letter scores the references that
+    have it, or -1 if none has, and a gap 1 less; where nothing reaches -1, the start."""
+    def own(s: str, k: int) -> int:
+        here = letters[k].get(s[k], 0) if k < len(letters) else 0
+        return (here or -1) - (s[k] == GAP)
+
+    score = sum(own(right, k) for k in range(start, end))
+    best, at = (score, start) if score >= -1 else (-1, start)
+    for k in range(start, end):
+        score += own(left, k) - own(right, k)
+        if score >= best:
+            best, at = score, k + 1
+    return at

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from strandwork.functions.dna import CODONS, IUPAC
-from strandwork.operators.grouped.columns import GAP, Row, best_split, consensus, reference_counts
+from strandwork.operators.grouped.columns import GAP, Row, best_split, consensus, last_split, reference_counts
 
 
 def overlap_groups(rows: list[Row], least: int = 0) -> list[list[Row]]:
@@ -94,14 +94,14 @@ def codon_consensus(rows: list[Row], threshold: float) -> str:
 
 def split_merge(aa: list[Row], nt: dict[str, str], references: list[str], share: float = 0.55, least: int = 4) -> tuple[str, str]:
     """G22. One row from an overlap group. Where neighbours (by start) overlap, the row goes over from the first to the second at the
-    split that agrees with most references; a letter that ``share`` of at least ``least`` covering rows have replaces the row's
+    split that agrees with most references (last_split()); a letter that ``share`` of at least ``least`` covering rows have replaces the row's
     own. Codons follow: the covering row's own, or the commonest codon of the amino acid that won."""
     order = sorted(aa, key=lambda r: (r.start, r.end, r.name))
     counts = reference_counts(references)
     splits = []
     for a, b in zip(order, order[1:], strict=False):
         lo, hi = b.start, min(a.end, b.end)
-        splits.append((best_split(a.seq, b.seq, lo, hi, counts) if hi > lo else b.start, b))
+        splits.append((last_split(a.seq, b.seq, lo, hi, counts) if hi > lo else b.start, b))
     width = max(len(r.seq) for r in order)
     out_aa, out_nt = [], []
     for k in range(width):

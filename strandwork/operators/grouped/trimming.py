@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strandwork.functions.blosum import similar_letters
 from strandwork.functions.dna import CODONS
-from strandwork.operators.grouped.columns import GAP, Row, best_split, consensus, reference_counts, runs_of, span
+from strandwork.operators.grouped.columns import GAP, Row, consensus, excised_split, reference_counts, reference_letters, runs_of, span
 
 
 def back_translate(aligned: str, nt: str) -> str:
@@ -197,9 +197,9 @@ def filled_gap(genomic: str, references: list[str], columns: tuple[int, int], sh
 
 def excised(rows: list[Row], references: list[str], threshold: float = 0.85, join: int = 6, least: int = 15) -> tuple[list[Row], list[str]]:
     """G14. Where the consensus of rows is ambiguous (runs of X), overlapping pairs are cut at the split that agrees with most
-    references, the first row's end and the second one's start becoming gaps. Returns the rows, and the names of those that are left
+    references (excised_split()), the first row's end and the second one's start becoming gaps. Returns the rows, and the names of those that are left
     with fewer than ``least`` letters."""
-    counts = reference_counts(references)
+    letters = reference_letters(references)
     now = {r.name: r for r in rows}
     for s, e in runs_of(consensus(rows, threshold), "X", join):
         touched = sorted((r for r in now.values() if r.start < e and r.end > s), key=lambda r: (r.start, r.end, r.name))
@@ -208,7 +208,7 @@ def excised(rows: list[Row], references: list[str], threshold: float = 0.85, joi
             lo, hi = max(a.start, b.start), min(a.end, b.end)
             if hi <= lo or a.seq[lo:hi] == b.seq[lo:hi]:
                 continue
-            at = best_split(a.seq, b.seq, lo, hi, counts)
+            at = excised_split(a.seq, b.seq, lo, hi, letters)
             now[a.name] = Row(a.name, a.seq[:at] + GAP * (len(a.seq) - at), a.weight)
             now[b.name] = Row(b.name, GAP * at + b.seq[at:], b.weight)
     gone = sorted(r.name for r in now.values() if r.data() < least)

@@ -8,7 +8,7 @@ from strandwork.operators.grouped import assembly as A
 from strandwork.operators.grouped import clusters as C
 from strandwork.operators.grouped import merging as M
 from strandwork.operators.grouped import trimming as T
-from strandwork.operators.grouped.columns import Row, best_split, consensus, reference_counts, runs_of, span
+from strandwork.operators.grouped.columns import Row, best_split, consensus, excised_split, last_split, reference_counts, reference_letters, runs_of, span
 
 
 def test_spans_and_consensus():
@@ -20,6 +20,25 @@ def test_spans_and_consensus():
     assert best_split("AAAAAA", "CCCCCC", 0, 6, reference_counts(["AAACCC", "AAACCC"])) == 3
 
 
+def test_split_rules_by_trying_every_place():
+    r = random.Random(12)
+    text = lambda n: "".join(r.choice("ACG-") for _ in range(n))
+    for _ in range(400):
+        a, b, refs = text(12), text(12), [text(12) for _ in range(r.randint(0, 3))]
+        start, end = sorted(r.sample(range(13), 2))
+        inside = [[x[k] for x in refs if x.strip("-") and len(x) - len(x.lstrip("-")) <= k < len(x.rstrip("-"))] for k in range(12)]
+        value = lambda c, k: (inside[k].count(c) or -1) - (c == "-")
+        scores = {i: sum(value(a[k] if k < i else b[k], k) for k in range(start, end)) for i in range(start, end + 1)}
+        best = max([-1, *scores.values()])
+        assert excised_split(a, b, start, end, reference_letters(refs)) == max((i for i, v in scores.items() if v == best), default=start)
+        data = lambda c, k: sum(x[k] == c != "-" for x in refs)
+        gains = {i: sum(data(a[k], k) - data(b[k], k) for k in range(start, i + 1)) for i in range(start, end)}
+        best = max([0, *gains.values()])
+        assert last_split(a, b, start, end, reference_counts(refs)) == max((i for i, v in gains.items() if v == best), default=0)
+        joined = {i: sum(data(a[k] if k < i else b[k], k) for k in range(start, end)) for i in range(start, end + 1)}
+        assert best_split(a, b, start, end, reference_counts(refs)) == min(i for i, v in joined.items() if v == max(joined.values()))
+
+
 def member(name, ids, start, end, strand="+"):
     return C.Member(name, ids, strand, start, end, frozenset(range(start, end)))
 
