@@ -1,10 +1,10 @@
-"""Column functions on nucleotide and protein text; all but translated_long() stay in the JVM."""
+"""Column functions on nucleotide and protein text; all but translated_long() and six_frames() stay in the JVM."""
 
 from collections.abc import Callable
 from itertools import product
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,27 +47,48 @@ def translated(seq: Column) -> Column:
     return F.array_join(F.transform(codons(seq), acid), "")
 
 
+#: Codes of letters: the four bases in order, 4 for any other, 5 for a gap; and the amino acid of three codes as a number to the base 6.
+_CODE = np.full(256, 4, np.uint8)
+_CODE[list(map(ord, BASES))] = range(4)
+_CODE[ord("-")] = 5
+_OTHER_STRAND = np.array([2, 3, 0, 1, 4, 5], np.uint8)
+_ACID = np.full(216, ord("X"), np.uint8)
+_ACID[[a * 36 + b * 6 + c for a in range(4) for b in range(4) for c in range(4)]] = list(AMINO_ACIDS.encode())
+_ACID[5 * 43] = ord("-")
+FRAMES = (1, 2, 3, -1, -2, -3)
+
+
+def _acids(code: np.ndarray) -> np.ndarray:
+    """The amino acid of the three letters that begin at each place."""
+    c = code.astype(np.int16)
+    return _ACID[c[:-2] * 36 + c[1:-1] * 6 + c[2:]] if len(c) > 2 else np.zeros(0, np.uint8)
+
+
 def translated_long(seq: Column) -> Column:
     """X2 for long sequences: Arrow batches and a table look-up by numpy instead of an expression for each codon."""
 
-    @F.pandas_udf("string")
-    def run(part: pd.Series) -> pd.Series:
-        code = np.full(256, 64, np.uint8)
-        code[list(map(ord, BASES))] = range(4)
-        acid = np.frombuffer(AMINO_ACIDS.encode(), np.uint8)
+    @F.arrow_udf("string")
+    def run(part: pa.Array) -> pa.Array:
+        one = lambda s: _acids(_CODE[np.frombuffer(s, np.uint8)])[::3].tobytes().decode()
+        return pa.array([None if s is None else one(s.encode("latin-1", "replace")) for s in part.to_pylist()], pa.string())
+
+    return run(seq)
+
+
+def six_frames(seq: Column) -> Column:
+    """X3 and X2. The translations of a sequence in frames 1, 2, 3, -1, -2 and -3, in that order (see FRAMES): one pass over its letters."""
 
-        def one(s: str | None) -> str | None:
+    @F.arrow_udf("array<string>")
+    def run(part: pa.Array) -> pa.Array:
+        out = []
+        for s in part.to_pylist():
             if s is None:
-                return None
-            raw = np.frombuffer(s.encode("latin-1", "replace"), np.uint8)
-            raw = raw[: len(raw) // 3 * 3].reshape(-1, 3)
-            c = code[raw].astype(np.int64)
-            known = (c < 4).all(1)
-            out = np.where(known, acid[np.where(known, c[:, 0] * 16 + c[:, 1] * 4 + c[:, 2], 0)], ord("X"))
-            out[(raw == ord("-")).all(1)] = ord("-")
-            return out.astype(np.uint8).tobytes().decode()
-
-        return part.map(one)
+                out.append(None)
+                continue
+            code = _CODE[np.frombuffer(s.encode("latin-1", "replace"), np.uint8)]
+            strands = _acids(code), _acids(_OTHER_STRAND[code[::-1]])
+            out.append([a[k::3].tobytes().decode() for a in strands for k in range(3)])
+        return pa.array(out, pa.list_(pa.string()))
 
     return run(seq)
 

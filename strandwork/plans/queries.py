@@ -347,9 +347,8 @@ def codon_positions(spark, d):
 @query(f"""WITH {READS_SQL}, f AS (SELECT doc_id, k, CASE WHEN k < 0 THEN substr(translate(reverse(seq), 'ACGTN', 'TGCAN'), abs(k)) ELSE substr(seq, k) END AS seq FROM reads, (VALUES (1), (2), (3), (-1), (-2), (-3)) t(k))
 SELECT doc_id, k AS frame, coalesce(list_aggregate(list_transform(regexp_extract_all(seq, '...'), lambda c: substr('{dna.AMINO_ACIDS}', CAST((strpos('TCAG', substr(c, 1, 1)) - 1) * 16 + (strpos('TCAG', substr(c, 2, 1)) - 1) * 4 + strpos('TCAG', substr(c, 3, 1)) AS BIGINT), 1)), 'string_agg', ''), '') AS aa FROM f""")
 def six_frames(spark, d):
-    frames = F.explode(F.array(*[F.lit(k) for k in (1, 2, 3, -1, -2, -3)]))
-    rows = reads(spark, d).select("doc_id", "seq", frames.alias("frame"))
-    return rows.select("doc_id", "frame", dna.translated_long(dna.framed(F.col("seq"), F.col("frame"))).alias("aa"))
+    both = F.arrays_zip(F.array(*map(F.lit, dna.FRAMES)).alias("frame"), dna.six_frames(F.col("seq")).alias("aa"))
+    return reads(spark, d).select("doc_id", F.inline(both))
 
 
 @query(f"WITH {ALIGNMENT_SQL} SELECT doc_id, length(seq) - length(ltrim(seq, '-')) AS s, length(rtrim(seq, '-')) AS e FROM msa")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.functions.dna import entropy, framed, homopolymer_trimmed, reverse_complement, stop_to_x, translated, translated_long
+from strandwork.functions.dna import FRAMES, entropy, framed, homopolymer_trimmed, reverse_complement, six_frames, stop_to_x, translated
 from strandwork.functions.headers import merge_header, short_name, tagged
 from strandwork.functions.intervals import chunk_coordinates, swapped
 from strandwork.functions.msa import at, data_length, flags, inner_gaps, letters
@@ -189,8 +189,8 @@ def profile_search(hits: DataFrame, reads: DataFrame, references: DataFrame, lea
     grouped = islands.id_clusters(hits.select("gene", "node").distinct(), ["gene"], "node", distance)
     ends = grouped.groupBy("gene", "cluster").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     searched = H.range_expanded(ends, "low", "high", margin).select("gene", "node").distinct().join(reads.select("node", "seq"), "node")
-    frame = F.explode(F.array(*[F.lit(k) for k in (1, 2, 3, -1, -2, -3)]))
-    rows = searched.select("gene", "node", "seq", frame.alias("frame")).withColumn("aa", translated_long(framed(F.col("seq"), F.col("frame"))))
+    frames_ = F.arrays_zip(F.array(*map(F.lit, FRAMES)).alias("frame"), six_frames(F.col("seq")).alias("aa"))
+    rows = searched.select("gene", "node", F.inline(frames_))
     named = rows.select("gene", F.concat_ws(":", F.col("node").cast("string"), F.col("frame").cast("string")).alias("name"), F.col("aa").alias("seq"))
     found = profiling.profile_matches(named, profiling.profiles(references), float("inf")).withColumn("node", F.substring_index("name", ":", 1).cast("long")).withColumn("frame", F.substring_index("name", ":", -1).cast("int"))
     best = best_rows(found.where("score > 0"), ["gene", "node"], [F.desc("score"), F.col("frame")]).withColumn("passed", F.col("score") >= least)
