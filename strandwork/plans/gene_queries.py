@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from strandwork.functions import dna
 from strandwork.functions.blosum import LETTERS
-from strandwork.operators import outliers, profiling, searching
+from strandwork.operators import outliers, profiling, searching, signatures
 from strandwork.operators.grouped import aligning, assembly, frames
 from strandwork.plans.registry import plain, query
 from strandwork.plans.row_queries import turns
@@ -279,6 +279,13 @@ def profile_matches(spark, d):
     return found.withColumn("evalue", F.round(F.log10("evalue"), 4)).withColumnRenamed("evalue", "log10_evalue")
 
 
+@plain
+def signature_clusters(spark, d):
+    """The documents of each language in clusters of similar words of five letters."""
+    rows = load(spark, d, "documents").select(F.col("lang").alias("gene"), F.col("doc_id").cast("string").alias("name"), F.col("text").alias("seq"))
+    return signatures.signature_clusters(rows, most=200)
+
+
 @plain
 def outlier_stage(spark, d):
     """G11 with rescue, on the turns of conversations."""
