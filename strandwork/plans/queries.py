@@ -435,7 +435,7 @@ def set_operations(spark, d):
     return rows.select("o_custkey", F.size(F.array_except("a", "b")).cast("long").alias("only_a"), F.size(F.array_intersect("a", "b")).cast("long").alias("shared"))
 
 
-# --- grouped algorithms: SQL has no form of them, tests/test_grouped.py holds them against cases worked out by hand ----------
+# --- grouped algorithms: some have SQL in grouped_sql.py, tests hold the others against cases worked out by hand or brute force ---
 
 
 @plain

@@ -22,6 +22,6 @@ def query(sql: str):
 
 
 def plain(f):
-    """Registers a query that SQL has no form of; tests hold its algorithm against cases worked out by hand or by brute force."""
+    """Registers a query without SQL beside it; tests hold its algorithm against cases worked out by hand or by brute force, or grouped_sql.py has its SQL."""
     QUERIES[f.__name__] = f
     return f
