@@ -10,7 +10,7 @@ from strandwork.plans.registry import query
 from strandwork.plans.tables import HITS_SQL, READS_SQL, hits, load, reads
 from strandwork.scratch import new_path
 from strandwork.sources import catalog, fasta, sequences, store, tables
-from strandwork.streaming import windows
+from strandwork.streaming import stateful, windows
 
 
 def _md5(c: str):
@@ -249,3 +249,30 @@ def windowed_stream(spark, d):
     path = new_path(spark, "windows")
     windows.run_into_folder(windows.windowed_counts(stream, "ts", "event_type", "1 hour"), path, new_path(spark, "stream"))
     return spark.read.parquet(path).select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+def _in_files(df, tag: str, n: int = 3):
+    """The rows as a stream of n files, one a batch."""
+    path = new_path(df.sparkSession, tag)
+    df.repartition(n).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("""WITH n AS (SELECT user_id, event_id, CASE WHEN event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) > 35 THEN 1 ELSE 0 END AS new FROM events),
+c AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS cluster FROM n)
+SELECT user_id, min(event_id) AS first, max(event_id) AS last, count(*) AS n FROM c GROUP BY user_id, cluster""")
+def clustered_stream(spark, d):
+    """W8 on a stream: the clusters of event ids of each user, kept as state over batches of files."""
+    path = new_path(spark, "clusters")
+    stream = stateful.id_clusters(_in_files(load(spark, d, "events").select("user_id", "event_id"), "events"), "user_id", "event_id", 35)
+    stateful.run_updates(stream, path, new_path(spark, "stream"))
+    return stateful.latest(spark.read.parquet(path), "user_id").select("user_id", "first", "last", "n")
+
+
+@query(f"""WITH {READS_SQL}, k AS (SELECT doc_id, length(seq) AS n, least(seq, translate(reverse(seq), 'ACGTN', 'TGCAN')) AS key FROM reads)
+SELECT min(doc_id) AS doc_id, max(n) AS n, count(*) - 1 AS dupes FROM k GROUP BY key""")
+def deduped_stream(spark, d):
+    """A1 on a stream: strand-insensitive copies counted over batches of files."""
+    path = new_path(spark, "deduped")
+    windows.run_into_folder(stateful.deduped(_in_files(reads(spark, d).select("doc_id", "seq"), "reads"), "doc_id"), path, new_path(spark, "stream"))
+    return spark.read.parquet(path).select("doc_id", F.length("seq").alias("n"), "dupes")
