@@ -3,7 +3,8 @@
     python -m strandwork STAGE --table NAME=PATH ... --out FOLDER [--set PARAMETER=VALUE ...] [--fasta]
 
 Stage names are matched without regard to case. Tables are named as the stage function's arguments; ``samples`` may be given
-several times. Parameters are the fields of the stage's parameters, or its plain arguments.
+several times. Parameters are the fields of the stage's parameters, or its plain arguments. ``auto`` runs a sample's stages as one chain, whose
+tables lie in FOLDER, and goes on where it was stopped (--set sample=NAME, --set start=STAGE).
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strandwork.functions.msa import as_share
-from strandwork.plans import stages
+from strandwork.operators.grouped import frames
+from strandwork.plans import auto, stages
+from strandwork.sources import catalog
 from strandwork.sources.fasta import read_fasta, read_fastq, samples
 
 STAGES = {
-    "prepare": stages.prepare, "search": stages.search, "report": stages.report, "reportgenes": stages.report_genes, "references": stages.build_references, "hmmsearch": stages.profile_search, "outlier": stages.outliers,
-    "combine": stages.combine, "cluster": stages.cluster, "merge": stages.merge, "finish": stages.finish,
+    "auto": auto.auto, "prepare": stages.prepare, "search": stages.search, "report": stages.report, "reportgenes": stages.report_genes, "references": stages.build_references, "hmmsearch": stages.profile_search,
+    "align": frames.aligned, "pal2nal": stages.pal2nal, "flexcull": frames.end_trimmed, "motif": frames.gaps_filled, "outlier": stages.outliers, "internal": stages.internal, "excise": frames.excised, "cluster": stages.cluster,
+    "combine": stages.combine, "merge": stages.merge, "finish": stages.finish, "isoform": frames.isoforms, "taxonomy_filler": catalog.filled_taxonomy,
 }
 
 
@@ -38,7 +42,7 @@ def run_stage(spark: SparkSession, name: str, tables: dict[str, list[str]], sett
     """Runs one stage and writes its tables; returns where each lies. With ``fasta`` the table ``records`` is read from sequence files."""
     stage = STAGES[name.lower()]
     wanted = inspect.signature(stage).parameters
-    given: dict[str, object] = {}
+    given: dict[str, object] = {k: v for k, v in (("spark", spark), ("root", out)) if k in wanted}
     for key, paths in tables.items():
         if key not in wanted:
             raise SystemExit(f"{name} takes {', '.join(wanted)}, not {key}")
@@ -50,7 +54,8 @@ def run_stage(spark: SparkSession, name: str, tables: dict[str, list[str]], sett
             given[key] = frames if key == "samples" else frames[0]
     if "params" in wanted:
         fields = {f.name: f.default for f in dataclasses.fields(wanted["params"].default)}
-        given["params"] = type(wanted["params"].default)(**{k: _value(v, fields[k]) for k, v in settings.items()})
+        given["params"] = type(wanted["params"].default)(**{k: _value(v, fields[k]) for k, v in settings.items() if k not in wanted})
+        given |= {k: _value(v, wanted[k].default) for k, v in settings.items() if k in wanted}
     else:
         given |= {k: _value(v, wanted[k].default) for k, v in settings.items()}
     made = stage(**given)

@@ -16,6 +16,8 @@ from strandwork.operators.grouped import frames
 from strandwork.operators.grouped.assembly import deduped_hits
 from strandwork.operators.grouped.clusters import clustered
 from strandwork.operators.grouped.frames import chunks_merged
+from strandwork.operators.grouped.trimming import back_translated
+from strandwork.operators.outliers import consensus_distance_kick
 from strandwork.operators.selecting import best_rows
 from strandwork.operators.grouped.merging import merged
 
@@ -214,6 +216,16 @@ def outliers(rows: DataFrame, references: DataFrame, times: float = 1.75, is_gen
     return graded.join(saved, ["gene", "name"], "left").withColumn("grade", F.when(F.coalesce("__saved", F.lit(False)) & (F.col("grade") == "fail"), "rescued").otherwise(F.col("grade"))).drop("__saved")
 
 
+def internal(rows: DataFrame, agree: float = 0.5, threshold: float = 0.075) -> DataFrame:
+    """G16. Rows (gene, name, seq) that differ from the consensus of their gene at less than ``threshold`` of the compared places."""
+    return consensus_distance_kick(rows, columns.consensus(rows, "gene", agree), "gene", threshold)
+
+
+def pal2nal(rows: DataFrame, nt: DataFrame) -> DataFrame:
+    """G9. Aligned proteins (gene, name, seq) with the codons of their nucleotides (gene, name, nt) along them; rows without are left out."""
+    return rows.select("gene", "name", "seq").join(nt.select("gene", "name", F.col("nt").alias("__nt")), ["gene", "name"]).select("gene", "name", "seq", back_translated(F.col("seq"), F.col("__nt")).alias("nt"))
+
+
 def combine(samples: list[DataFrame]) -> DataFrame:
     """Rows of all samples (gene, taxon, target, is_ref, seq), references once for each gene and target."""
     return combining.union_references_once(samples, ["gene", "target"])
