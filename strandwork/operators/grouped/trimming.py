@@ -100,9 +100,30 @@ def _edge(seq: str, at: Columns, window: int, mismatches: int, most_similar: flo
     return None
 
 
+def _resumed(seq: str, at: Columns, window: int, mismatches: int, start: int, limit: int) -> int:
+    """Where a row is good again behind a stop: the first place from which ``window`` letters before ``limit`` agree in all but ``mismatches``, or the next
+    one where that place itself is one of those; else ``limit``. A gap in a column that references fill ends the try."""
+    for i in range(start, limit - window - 1):
+        if seq[i] == GAP or at.empty[i]:
+            continue
+        first = int(not at.has(i, seq[i]))
+        left, k, todo = mismatches - first, i + 1, window - 1
+        while left >= 0 and todo and k < limit:
+            if seq[k] == GAP:
+                if at.filled[k]:
+                    break
+            else:
+                left -= not at.has(k, seq[k])
+                todo -= 1
+            k += 1
+        if left >= 0 and not todo:
+            return i + first
+    return limit
+
+
 def trimmed(seq: str, references: list[str] | Columns, window: int = 6, mismatches: int = 2, most_similar: float = 0.4, least: int = 15, strictness: str = "strict") -> str | None:
     """G10. Gaps outside the first and the last place where the references agree (see _edge), gaps around stops inside, from the
-    nearest agreement on either side, and no columns that are poor in references. None if fewer than ``least`` letters are left."""
+    nearest agreement on either side (see _resumed), and no columns that are poor in references. None if fewer than ``least`` letters are left."""
     at = references if isinstance(references, Columns) else Columns.of(references, strictness=strictness)
     n = len(seq)
     wide = Columns(*[x + [none] * (n - len(x)) for x, none in ((at.letters, frozenset()), (at.similar, frozenset()), (at.filled, False), (at.empty, True), (at.poor, False))])
@@ -114,9 +135,9 @@ def trimmed(seq: str, references: list[str] | Columns, window: int = 6, mismatch
     keep = [start <= k < n - end for k in range(n)]
     for k in range(start, n - end):
         if seq[k] == "*" and not wide.has(k, "*"):
-            right = _edge(seq, wide, window, mismatches, most_similar, k + 1)
-            left = _edge(seq[::-1], turned, window, mismatches, most_similar, n - k)
-            for j in range(start if left is None else n - left, n - end if right is None else right):
+            right = _resumed(seq, wide, window, mismatches, k, n - end)
+            left = n - _resumed(seq[::-1], turned, window, mismatches, n - k, n - start)
+            for j in range(left, right):
                 keep[j] = False
     out = "".join(c if kept and not poor else GAP for c, kept, poor in zip(seq, keep, wide.poor, strict=False))
     return out if sum(c != GAP for c in out) >= least else None

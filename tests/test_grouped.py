@@ -172,3 +172,17 @@ def test_aligning(spark):
     reads = spark.createDataFrame([(1, 1, "MKVLSTARQWERTY"), (2, 1, "WWWWWWW")], "node long, frame int, aa string")
     targets = spark.createDataFrame([("t", "AAMKVLSTARQGG"), ("u", "PPPPPPP")], "target string, seq string")
     assert [tuple(x) for x in G.seeded_hits(reads, targets).collect()] == [(1, 1, "t", 5, 0, 9)]
+
+
+def test_rows_resume_around_a_stop_where_they_agree():
+    ref = "MKVLSTARQWERTYPLKHGFDNCIMKVLSTARQWERTYPL"
+    seq = ref[:18] + "*" + ref[19:]
+    assert T.trimmed(seq, [ref]) == ref[:18] + "-" + ref[19:]
+    worse = ref[:16] + "PP*PPP" + ref[22:]  # two mismatches are allowed on either side, of which the first goes with the stop
+    assert T.trimmed(worse, [ref]) == ref[:16] + "P----P" + ref[22:]
+    at = T.Columns.of([ref])
+    wide = T.Columns(*[list(getattr(at, f)) for f in ("letters", "similar", "filled", "empty", "poor")])
+    assert T._resumed(seq, wide, 6, 2, 18, len(ref)) == 19 and T._resumed(seq, wide, 6, 0, 18, len(ref)) == 19
+    assert T._resumed("P" * 40, wide, 6, 2, 18, len(ref)) == len(ref)
+    gap = seq[:22] + "-" + seq[23:]
+    assert T._resumed(gap, wide, 6, 2, 18, len(ref)) == 23  # the gap in a full column ends tries that reach over it
