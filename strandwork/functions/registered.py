@@ -12,19 +12,16 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 from strandwork.functions.blosum import blosum62_distance
 from strandwork.functions.dna import CODONS
 
-_TURN = str.maketrans("ACGTN", "TGCAN")
-
-
-@pandas_udf(StringType())
-def reverse_complement(seq: pd.Series) -> pd.Series:
-    """X1."""
-    return seq.map(lambda s: None if s is None else s[::-1].translate(_TURN))
-
-
-@pandas_udf(StringType())
-def translate_codons(seq: pd.Series) -> pd.Series:
-    """X2."""
-    return seq.map(lambda s: None if s is None else "".join(CODONS.get(s[k : k + 3], "X") for k in range(0, len(s) - 2, 3)))
+_AMINO = ", ".join(f"'{c}', '{a}'" for c, a in CODONS.items())
+#: Functions that SQL itself can say: they are planned as part of the query that calls them.
+SQL_FUNCTIONS = {
+    "reverse_complement": ("(seq STRING) RETURNS STRING", "translate(reverse(seq), 'ACGTN', 'TGCAN')"),
+    "translate_codons": ("(seq STRING) RETURNS STRING", f"array_join(transform(filter(split(seq, '(?<=\\\\G.{{3}})'), c -> length(c) = 3), c -> coalesce(element_at(map({_AMINO}), c), 'X')), '')"),
+    "chunks": (
+        "(seq STRING, size INT, step INT, least INT) RETURNS TABLE (`start` INT, `end` INT, `last` INT, seq STRING)",
+        "SELECT at, at + size - 1, length(part) - 1, part FROM (SELECT at, substring(seq, at + 1, size) AS part FROM (SELECT explode(CASE WHEN length(seq) > 0 THEN sequence(0, length(seq) - 1, step) END) AS at)) WHERE length(part) >= least",
+    ),
+}
 
 
 @pandas_udf(DoubleType())
@@ -43,21 +40,10 @@ class SplitAtN:
             yield m.start(), m[0]
 
 
-@udtf(returnType=StructType([*[StructField(n, IntegerType()) for n in ("start", "end", "last")], StructField("seq", StringType())]))
-class Chunks:
-    """Overlapping chunks; trailing ones shorter than ``least`` are left out."""
-
-    def eval(self, seq: str, size: int, step: int, least: int):
-        for at in range(0, len(seq or ""), step):
-            part = seq[at : at + size]
-            if len(part) >= least:
-                yield at, at + size - 1, len(part) - 1, part
-
-
 def register(spark: SparkSession, prefix: str = "") -> list[str]:
-    """Makes the functions known to spark.sql; returns their names."""
-    for name, f in (("reverse_complement", reverse_complement), ("translate_codons", translate_codons), ("blosum_distance", blosum_distance)):
-        spark.udf.register(prefix + name, f)
-    for name, f in (("split_at_n", SplitAtN), ("chunks", Chunks)):
-        spark.udtf.register(prefix + name, f)
-    return [prefix + n for n in ("reverse_complement", "translate_codons", "blosum_distance", "split_at_n", "chunks")]
+    """Makes the functions known to spark.sql; returns their names. X1, X2 and X12 are SQL functions, H8 and X11 run in Python."""
+    for name, (head, body) in SQL_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}{head} RETURN {body}")
+    spark.udf.register(f"{prefix}blosum_distance", blosum_distance)
+    spark.udtf.register(f"{prefix}split_at_n", SplitAtN)
+    return [prefix + n for n in (*SQL_FUNCTIONS, "blosum_distance", "split_at_n")]

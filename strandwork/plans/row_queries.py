@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandwork.functions import blosum, dna, headers, intervals, msa
+from strandwork.functions import blosum, dna, headers, intervals, msa, registered
 from strandwork.operators import hits as H, pairs as P, reads as R
 from strandwork.operators.columns import occupancy
 from strandwork.operators.grouped import frames, trimming
@@ -433,3 +433,15 @@ x AS (SELECT gene, p, p - row_number() OVER (PARTITION BY gene ORDER BY p) AS ru
 def ambiguous_regions(spark, d):
     """Runs of X in a consensus."""
     return frames.x_regions(turns(spark, d), 0.5)
+
+
+@query(f"""WITH {READS_SQL}, s AS (SELECT doc_id, substr(seq, 1, 900) AS seq FROM reads),
+c AS (SELECT doc_id, k * 200 AS "start", substr(seq, k * 200 + 1, 300) AS part FROM (SELECT *, unnest(range(0, CAST(ceil(length(seq) / 200.0) AS BIGINT))) AS k FROM s WHERE length(seq) > 0))
+SELECT doc_id, CAST("start" AS INTEGER) AS "start", CAST(length(part) - 1 AS INTEGER) AS last, md5(translate(reverse(part), 'ACGTN', 'TGCAN')) AS turned_md5,
+       coalesce(list_aggregate(list_transform(regexp_extract_all(part, '...'), lambda c: substr('{dna.AMINO_ACIDS}', CAST((strpos('TCAG', c[1]) - 1) * 16 + (strpos('TCAG', c[2]) - 1) * 4 + strpos('TCAG', c[3]) AS BIGINT), 1)), 'string_agg', ''), '') AS aa
+FROM c WHERE length(part) >= 90""")
+def registered_functions(spark, d):
+    """M2: the library's functions by their SQL names."""
+    registered.register(spark, "m2_")
+    reads(spark, d).select("doc_id", F.substring("seq", 1, 900).alias("seq")).createOrReplaceTempView("m2_reads")
+    return spark.sql("SELECT r.doc_id, c.start, c.last, md5(CAST(m2_reverse_complement(c.seq) AS BINARY)) AS turned_md5, m2_translate_codons(c.seq) AS aa FROM m2_reads r, LATERAL m2_chunks(r.seq, 300, 200, 90) c")
