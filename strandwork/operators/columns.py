@@ -9,12 +9,12 @@ from strandwork.functions.dna import iupac
 from strandwork.operators.tallies import tallied
 
 
-def consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = None) -> DataFrame:
-    """A12. ``by`` and consensus: the letter with more than ``threshold`` of a place's votes, else the only letter that is no gap,
-    else X; gaps inside a row's span vote; places before the last one without votes are '-'."""
+def consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = None, least: int = 1) -> DataFrame:
+    """A12 and H3. ``by`` and consensus: the letter with more than ``threshold`` of a place's votes, else the only letter that is no gap,
+    else X; gaps inside a row's span vote; places of fewer than ``least`` votes are '-', those without any before the last one with votes too."""
     votes = tallied(msa, by, weight, span_only=True)
     place = votes.groupBy(by, "place").agg(F.sum("n").alias("total"), F.max(F.struct("n", "ch")).alias("top"), F.count(F.when(F.col("ch") != "-", 1)).alias("kinds"), F.max(F.when(F.col("ch") != "-", F.col("ch"))).alias("only"))
-    letter = F.when(F.col("top.n") > threshold * F.col("total"), F.col("top.ch")).when(F.col("kinds") == 1, F.col("only")).otherwise("X")
+    letter = F.when(F.col("total") < least, "-").when(F.col("top.n") > threshold * F.col("total"), F.col("top.ch")).when(F.col("kinds") == 1, F.col("only")).otherwise("X")
     return _joined(place.select(by, "place", letter.alias("ch")), by, "-")
 
 

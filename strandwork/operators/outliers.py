@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandwork.functions import msa as msa_text
+
 
 def midpoint_quartiles(df: DataFrame, by: str, value: str) -> DataFrame:
     """A26. q1 and q3 by the midpoint rule: the mean of the elements at the floor and the ceiling of (n - 1) p. Nulls and NaN do not count."""
@@ -78,20 +80,23 @@ def reference_cull(msa: DataFrame, by: str, times: float = 1.5) -> DataFrame:
     return msa.groupBy(by).applyInPandas(cull, msa.schema)
 
 
-def consensus_distance_kick(msa: DataFrame, agreed: DataFrame, by: str, threshold: float) -> DataFrame:
-    """G16. Rows whose letters differ from their group's consensus (by, consensus) at less than ``threshold`` of the compared places.
+def consensus_distance_kick(msa: DataFrame, agreed: DataFrame, by: str, threshold: float, least_length: int = 0, least_overlap: int = 1) -> DataFrame:
+    """G16 and H7. Rows whose letters differ from their group's consensus (by, consensus) at less than ``threshold`` of the compared places.
 
-    Compared are places where both have data and the consensus is no X; rows without any stay.
+    Compared are places where both have data and the consensus is no X. Rows that span fewer than ``least_length`` places or of which fewer than
+    ``least_overlap`` are compared are not judged and stay.
     """
     letters = msa.join(agreed, by).select(*msa.columns, F.arrays_zip(F.split("seq", "").alias("a"), F.split("consensus", "").alias("b")).alias("z"))
     ok = F.filter("z", lambda p: p["a"].isNotNull() & p["b"].isNotNull() & ~p["a"].isin("-", "") & ~p["b"].isin("-", "X", ""))
     counted = letters.withColumn("__n", F.size(ok)).withColumn("__d", F.size(F.filter(ok, lambda p: p["a"] != p["b"])))
-    return counted.where((F.col("__n") == 0) | (F.col("__d") / F.col("__n") < threshold)).select(*msa.columns)
+    length = msa_text.data_end(F.col("seq")) - msa_text.data_start(F.col("seq"))
+    spared = (F.col("__n") < max(1, least_overlap)) | (length < least_length)
+    return counted.where(spared | (F.col("__d") / F.col("__n") < threshold)).select(*msa.columns)
 
 
-def consensus_distance_pair(aa: DataFrame, nt: DataFrame, agreed_aa: DataFrame, agreed_nt: DataFrame, by: str, most_aa: float, most_nt: float) -> tuple[DataFrame, DataFrame]:
+def consensus_distance_pair(aa: DataFrame, nt: DataFrame, agreed_aa: DataFrame, agreed_nt: DataFrame, by: str, most_aa: float, most_nt: float, least_length: int = 0, least_overlap: int = 1) -> tuple[DataFrame, DataFrame]:
     """G16 on proteins (by, name, seq) and nucleotides of the same names: proteins are judged first, nucleotides among the rows that passed, and
-    rows that fail there go from the proteins as well."""
-    first = consensus_distance_kick(aa, agreed_aa, by, most_aa)
-    second = consensus_distance_kick(nt.join(first.select(by, "name"), [by, "name"], "left_semi"), agreed_nt, by, most_nt)
+    rows that fail there go from the proteins as well. Least numbers are of letters of proteins, three times as many bases."""
+    first = consensus_distance_kick(aa, agreed_aa, by, most_aa, least_length, least_overlap)
+    second = consensus_distance_kick(nt.join(first.select(by, "name"), [by, "name"], "left_semi"), agreed_nt, by, most_nt, 3 * least_length, 3 * least_overlap)
     return first.join(second.select(by, "name"), [by, "name"], "left_semi"), second

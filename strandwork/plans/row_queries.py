@@ -445,3 +445,16 @@ def registered_functions(spark, d):
     registered.register(spark, "m2_")
     reads(spark, d).select("doc_id", F.substring("seq", 1, 900).alias("seq")).createOrReplaceTempView("m2_reads")
     return spark.sql("SELECT r.doc_id, c.start, c.last, md5(CAST(m2_reverse_complement(c.seq) AS BINARY)) AS turned_md5, m2_translate_codons(c.seq) AS aa FROM m2_reads r, LATERAL m2_chunks(r.seq, 300, 200, 90) c")
+
+
+@query(f"""WITH {TURNS_SQL}, l AS (SELECT gene, name, length(seq) - length(ltrim(seq, '-')) AS s, length(rtrim(seq, '-')) AS e, unnest(range(0, length(seq))) AS place, unnest(string_split(seq, '')) AS ch FROM turns WHERE seq <> ''),
+v AS (SELECT gene, place, ch, count(*) AS n FROM l WHERE place >= s AND place < e GROUP BY ALL),
+a AS (SELECT gene, place, CASE WHEN sum(n) < 6 THEN '-' WHEN max(n) > 0.3 * sum(n) THEN arg_max(ch, {{'n': n, 'ch': ch}}) WHEN count(*) FILTER (ch <> '-') = 1 THEN max(ch) FILTER (ch <> '-') ELSE 'X' END AS ch FROM v GROUP BY gene, place),
+d AS (SELECT gene, name, count(*) AS n, count(*) FILTER (l.ch <> a.ch) / CAST(count(*) AS DOUBLE) AS distance FROM l JOIN a USING (gene, place) WHERE l.ch <> '-' AND a.ch NOT IN ('-', 'X') GROUP BY gene, name)
+SELECT t.gene, t.name FROM turns t LEFT JOIN d ON d.gene = t.gene AND d.name = t.name
+WHERE t.gene IN (SELECT gene FROM a) AND (coalesce(n, 0) < 40 OR length(trim(seq, '-')) < 120 OR distance < 0.7)""")
+def internal_stage(spark, d):
+    """Rows against the consensus of their turn where that is deep, if they are long and share enough with it."""
+    from strandwork.plans import stages
+
+    return stages.internal(turns(spark, d), 0.3, 0.7, 6, 120, 40).select("gene", "name")

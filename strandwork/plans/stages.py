@@ -216,9 +216,10 @@ def outliers(rows: DataFrame, references: DataFrame, times: float = 1.75, is_gen
     return graded.join(saved, ["gene", "name"], "left").withColumn("grade", F.when(F.coalesce("__saved", F.lit(False)) & (F.col("grade") == "fail"), "rescued").otherwise(F.col("grade"))).drop("__saved")
 
 
-def internal(rows: DataFrame, agree: float = 0.5, threshold: float = 0.075) -> DataFrame:
-    """G16. Rows (gene, name, seq) that differ from the consensus of their gene at less than ``threshold`` of the compared places."""
-    return consensus_distance_kick(rows, columns.consensus(rows, "gene", agree), "gene", threshold)
+def internal(rows: DataFrame, agree: float = 0.5, threshold: float = 0.075, least_depth: int = 1, least_length: int = 0, least_overlap: int = 1) -> DataFrame:
+    """G16. Rows (gene, name, seq) that differ from the consensus of their gene, where it has ``least_depth`` votes, at less than ``threshold`` of the
+    compared places; rows shorter than ``least_length`` or with fewer than ``least_overlap`` compared places are not judged."""
+    return consensus_distance_kick(rows, columns.consensus(rows, "gene", agree, least=least_depth), "gene", threshold, least_length, least_overlap)
 
 
 def pal2nal(rows: DataFrame, nt: DataFrame) -> DataFrame:
