@@ -37,7 +37,7 @@ def fasta_lines(spark, d):
     """K2: a flat list of names and sequences."""
     path = new_path(spark, "lines")
     lines = F.array(F.concat(F.lit(">"), F.col("doc_id").cast("string")), F.col("seq"))
-    fasta.write_lines(reads(spark, d).select("doc_id", F.posexplode(lines).alias("k", "value")).select(F.struct("doc_id", "k").alias("idx"), "value"), path)
+    fasta.write_lines(reads(spark, d).select(F.col("doc_id").alias("idx"), lines.alias("lines")), path)
     return fasta.read_fasta(spark, path).select("header", _md5("seq"))
 
 

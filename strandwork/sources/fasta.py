@@ -69,5 +69,6 @@ def write_references(rows: DataFrame, path: str) -> None:
 
 
 def write_lines(rows: DataFrame, path: str) -> None:
-    """K2. A flat list of lines (idx, value): names and sequences in turn, in order of idx."""
-    rows.orderBy("idx").select("value").write.mode("overwrite").text(path)
+    """K2. A flat list of the lines of records (idx, lines): names and sequences in turn, in order of idx. A record is sorted as one row, so its
+    lines stay together in one file, whatever records of equal idx there are."""
+    rows.orderBy("idx").select(F.explode("lines").alias("value")).write.mode("overwrite").text(path)
