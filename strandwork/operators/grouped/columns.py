@@ -38,7 +38,29 @@ class Row:
 def letters(rows: list[Row]) -> np.ndarray:
     """[row, column] code points, padded with gaps."""
     width = max((len(r.seq) for r in rows), default=0)
-    return np.array([[ord(c) for c in r.seq.ljust(width, GAP)] for r in rows], np.int64).reshape(len(rows), width)
+    text = "".join(r.seq.ljust(width, GAP) for r in rows)
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(len(rows), width)
+
+
+#: Letters of rows that are counted at once.
+STEP = 1 << 22
+
+
+def votes(rows: list[Row]) -> tuple[list[str], np.ndarray]:
+    """(letters in ascending order, votes [letter, column]): rows vote inside their spans by weight. Rows are read in parts of bounded size."""
+    width = max((len(r.seq) for r in rows), default=0)
+    total: dict[int, np.ndarray] = {}
+    per = max(1, STEP // max(1, width))
+    for at in range(0, len(rows), per):
+        part = rows[at : at + per]
+        m = letters(part)
+        place = np.arange(m.shape[1])
+        inside = (place >= np.array([r.start for r in part])[:, None]) & (place < np.array([r.end for r in part])[:, None])
+        weight = np.array([r.weight for r in part], np.int64)
+        for c in np.unique(m[inside]).tolist():
+            total.setdefault(c, np.zeros(width, np.int64))[: m.shape[1]] += weight @ ((m == c) & inside)
+    kinds = sorted(total)
+    return [chr(c) for c in kinds], np.stack([total[c] for c in kinds]) if kinds else np.zeros((0, width), np.int64)
 
 
 def consensus(rows: list[Row], threshold: float, least: int = 1) -> str:
@@ -46,21 +68,22 @@ def consensus(rows: list[Row], threshold: float, least: int = 1) -> str:
 
     Rows vote inside their spans by weight; columns with less than ``least`` votes are gaps.
     """
-    m = letters(rows)
-    out = []
-    for k in range(m.shape[1]):
-        votes: dict[str, int] = {}
-        for r, c in zip(rows, m[:, k], strict=True):
-            if r.start <= k < r.end:
-                votes[chr(c)] = votes.get(chr(c), 0) + r.weight
-        total = sum(votes.values())
-        if total < least or not votes:
-            out.append(GAP)
-            continue
-        best = max(votes, key=lambda c: (votes[c], c))
-        data = [c for c in votes if c != GAP]
-        out.append(best if votes[best] > threshold * total else data[0] if len(data) == 1 else "X")
-    return "".join(out)
+    return consensus_of(*votes(rows), threshold, least)
+
+
+def consensus_of(kinds: list[str], count: np.ndarray, threshold: float, least: int = 1) -> str:
+    """consensus() from votes()."""
+    if not kinds:
+        return GAP * count.shape[1]
+    total = count.sum(0)
+    best = len(kinds) - 1 - count[::-1].argmax(0)  # ties: the last letter
+    data = np.array([c != GAP for c in kinds])
+    some = (count > 0) & data[:, None]
+    clear = count.max(0) > threshold * total
+    name = np.array([ord(c) for c in kinds], np.uint32)
+    out = np.where(clear, name[best], np.where(some.sum(0) == 1, name[some.argmax(0)], ord("X")))
+    out = np.where((total < least) | (total == 0), ord(GAP), out)
+    return out.astype("<u4").tobytes().decode("utf-32-le")
 
 
 def runs_of(text: str, letter: str, join: int = 0) -> list[tuple[int, int]]:
@@ -95,6 +118,38 @@ def reference_letters(references: list[str]) -> list[dict[str, int]]:
     return out
 
 
+class Counts:
+    """How many of a gene's references have each letter in each column: what reference_counts() or reference_letters() tell, as one array."""
+
+    def __init__(self, places, letters, votes, references: int, width: int):
+        code = np.frombuffer("".join(letters).encode("utf-32-le"), np.uint32) if len(letters) else np.zeros(0, np.uint32)
+        self.references, self.width = references, width
+        self.kinds, number = np.unique(code, return_inverse=True)
+        self.votes = np.zeros((width, len(self.kinds) + 1), np.int64)  # the last for letters that no reference has
+        np.add.at(self.votes, (np.asarray(places, np.int64), number), np.asarray(votes, np.int64))
+
+    @classmethod
+    def of(cls, references: list[str]) -> Counts:
+        found = [(k, c, n) for k, here in enumerate(reference_counts(references)) for c, n in here.items()]
+        return cls([f[0] for f in found], [f[1] for f in found], [f[2] for f in found], len(references), max(map(len, references), default=0))
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The column of ``votes`` of each letter."""
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        if not len(self.kinds):
+            return np.zeros(len(code), np.int64)
+        at = np.minimum(np.searchsorted(self.kinds, code), len(self.kinds) - 1)
+        return np.where(self.kinds[at] == code, at, len(self.kinds))
+
+    def dicts(self) -> list[dict[str, int]]:
+        """As reference_counts() gives them."""
+        names = [chr(c) for c in self.kinds.tolist()]
+        out: list[dict[str, int]] = [{} for _ in range(self.width)]
+        for k, j in zip(*np.nonzero(self.votes[:, :-1]), strict=True):
+            out[k][names[j]] = int(self.votes[k, j])
+        return out
+
+
 def best_split(left: str, right: str, start: int, end: int, counts: list[dict[str, int]]) -> int:
     """G23. The place in [start, end] where going over from ``left`` to ``right`` agrees with most references; ties: the first."""
     own = lambda s, k: counts[k].get(s[k], 0) if k < len(counts) and k < len(s) else 0

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from strandwork.functions.msa import data_end, data_start
 from strandwork.operators.grouped import aligning, assembly, clusters, columns, merging, profiles, screening, trimming
 from strandwork.operators.grouped.columns import GAP, Row
+from strandwork.operators.tallies import tallied
 
 
 def _references(references: DataFrame) -> DataFrame:
@@ -47,6 +48,47 @@ def with_references(rows: DataFrame, references: DataFrame, fn: Callable[[pd.Dat
     return rows.groupBy("gene").cogroup(_references(references).groupBy("gene")).applyInPandas(run, f"gene string, {schema}")
 
 
+#: Rows of a block: what one call holds beside the counts of its gene.
+BLOCK_ROWS = 1024
+
+
+def counted(references: DataFrame, span_only: bool = False) -> DataFrame:
+    """One row for each gene of references: gene, how many they are, their width, and how many have which letter in which place
+    (gaps too inside their spans if ``span_only``, else none). Texts are counted where they are; only counts are shuffled."""
+    known = _references(references).where("gene is not null")
+    votes = tallied(known, "gene", span_only=span_only)
+    votes = votes if span_only else votes.where(F.col("ch") != GAP)
+    held = votes.groupBy("gene").agg(F.collect_list("place").alias("places"), F.collect_list("ch").alias("letters"), F.collect_list("n").alias("votes"))
+    sizes = known.groupBy("gene").agg(F.count("*").alias("n_references"), F.max(F.length("seq")).alias("width"))
+    return sizes.join(held, "gene", "left")
+
+
+def _counts(own: pd.DataFrame) -> columns.Counts:
+    if not len(own):
+        return columns.Counts([], [], [], 0, 0)
+    r = own.iloc[0]
+    some = r["places"] is not None
+    return columns.Counts(r["places"] if some else [], list(r["letters"]) if some else [], r["votes"] if some else [], int(r["n_references"]), int(r["width"] or 0))
+
+
+def in_blocks(rows: DataFrame, references: DataFrame, fn: Callable[[pd.DataFrame, columns.Counts], list[tuple]], schema: str, key: list[str]) -> DataFrame:
+    """fn of blocks of a gene's rows, in order of name, beside the counts of its references: for work on rows that do not depend on each other.
+
+    Rows are dealt by ``key`` into blocks of about BLOCK_ROWS, so a gene of very many rows is many tasks; rows of one key stay together."""
+    sizes = rows.groupBy(F.col("gene").alias("__gene")).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("__blocks"))
+    parts = rows.join(sizes, F.col("gene").eqNullSafe(F.col("__gene"))).withColumn("__block", F.pmod(F.xxhash64(*key), F.col("__blocks")).cast("int")).drop("__gene", "__blocks")
+    known = counted(references).join(sizes, F.col("gene") == F.col("__gene")).withColumn("__block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))).drop("__gene", "__blocks")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = ["gene", "__block"]
+
+    def run(pdf: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        done = fn(pdf.sort_values("name", kind="stable"), _counts(own)) if len(pdf) else []
+        return pd.DataFrame([(pdf["gene"].iloc[0], *r) for r in done], columns=["gene", *_names(schema)])
+
+    # Dealt into a fixed number of partitions: blocks are small to shuffle and long to work on.
+    return parts.repartition(n, *at).groupBy(*at).cogroup(known.repartition(n, *at).groupBy(*at)).applyInPandas(run, f"gene string, {schema}")
+
+
 def _rows(pdf: pd.DataFrame) -> list[Row]:
     weights = pdf["weight"] if "weight" in pdf else [1] * len(pdf)
     return [Row(n, s, int(w)) for n, s, w in zip(pdf["name"], pdf["seq"], weights, strict=True)]
@@ -126,7 +168,8 @@ def profile_filtered(rows: DataFrame, references: DataFrame, least: float = 0.3)
 
 def match_scores(rows: DataFrame, references: DataFrame) -> DataFrame:
     """X19. gene, name and the average match with the references."""
-    return with_references(rows, references, lambda pdf, refs: [(n, trimming.average_match(s, refs)) for n, s in zip(pdf["name"], pdf["seq"], strict=True)], "name string, score double")
+    score = lambda pdf, counts: [(n, trimming.average_match(s, counts)) for n, s in zip(pdf["name"], pdf["seq"], strict=True)]
+    return in_blocks(rows, references, score, "name string, score double", ["name"])
 
 
 def cluster_filtered(rows: DataFrame, references: DataFrame, distance: int = 100, gap: float = 0.3) -> DataFrame:
