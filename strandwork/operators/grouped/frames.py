@@ -269,10 +269,11 @@ def gaps_filled(gaps: DataFrame, references: DataFrame, share: float = 0.5, leas
 def fragments_spliced(rows: DataFrame, references: DataFrame, adjacency: int = 3, most: float = 0.5) -> DataFrame:
     """G23 for (gene, component, name, seq): gene, component, names and seq."""
 
-    def run(pdf: pd.DataFrame, refs: list[str]) -> list[tuple]:
-        return [(c, n, s) for c, part in pdf.groupby("component", sort=True) for n, s in merging.spliced(_rows(part), refs, adjacency, most)]
+    def run(pdf: pd.DataFrame, counts: columns.Counts) -> list[tuple]:
+        known = counts.dicts()
+        return [(c, n, s) for c, part in pdf.groupby("component", sort=True) for n, s in merging.spliced(_rows(part), known, adjacency, most)]
 
-    return with_references(rows, references, run, "component string, names string, seq string")
+    return in_blocks(rows, references, run, "component string, names string, seq string", ["component"])
 
 
 # --- assembling --------------------------------------------------------------------------------------------------------

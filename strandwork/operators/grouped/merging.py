@@ -40,11 +40,11 @@ def apart_groups(rows: list[Row]) -> list[list[Row]]:
     return out
 
 
-def spliced(rows: list[Row], references: list[str], adjacency: int = 3, most: float = 0.5) -> list[tuple[str, str]]:
+def spliced(rows: list[Row], references: list[str] | list[dict[str, int]], adjacency: int = 3, most: float = 0.5) -> list[tuple[str, str]]:
     """G23. (names joined by &&, seq) of the fragments of one component: two of them, by start, become one where they overlap by at most
     ``most`` of the shorter and differ there, at the split that agrees with most references, or where they lie less than ``adjacency``
-    apart; again until none do."""
-    counts = reference_counts(references)
+    apart; again until none do. References are texts, or what reference_counts() tells of them."""
+    counts = references if references and isinstance(references[0], dict) else reference_counts(references)
     now = sorted(rows, key=lambda r: (r.start, r.end, r.name))
     changed = True
     while changed:
