@@ -256,14 +256,14 @@ def splice_sites(rows: DataFrame, window: int = 45) -> DataFrame:
 def gaps_filled(gaps: DataFrame, references: DataFrame, share: float = 0.5, least: int = 10) -> DataFrame:
     """G20 for (gene, name, genomic, first, last): gene, name, at and aa of the stretch of the genomic text that fits the columns best."""
 
-    def run(pdf: pd.DataFrame, refs: list[str]) -> list[tuple]:
+    def run(pdf: pd.DataFrame, counts: columns.Counts) -> list[tuple]:
         out = []
         for name, genomic, first, last in zip(pdf["name"], pdf["genomic"], pdf["first"], pdf["last"], strict=True):
-            found = trimming.filled_gap(genomic, refs, (int(first), int(last)), share, least)
+            found = trimming.filled_gap(genomic, counts, (int(first), int(last)), share, least)
             out += [(name, *found)] if found else []
         return out
 
-    return with_references(gaps, references, run, "name string, at int, aa string")
+    return in_blocks(gaps, references, run, "name string, at int, aa string", ["name"])
 
 
 def fragments_spliced(rows: DataFrame, references: DataFrame, adjacency: int = 3, most: float = 0.5) -> DataFrame:
