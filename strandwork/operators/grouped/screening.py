@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
+from collections import deque
 from collections.abc import Callable
 
 import numpy as np
@@ -10,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from strandwork.functions.blosum import blosum62_distance, codes
-from strandwork.operators.grouped.columns import GAP, Row, consensus, letters, reference_counts, span
+from strandwork.operators.grouped.columns import GAP, Counts, Row, consensus, letters, reference_counts, span
 from strandwork.operators.grouped.trimming import average_match
 from strandwork.operators.outliers import gap_free_distance
 
@@ -57,17 +59,48 @@ def distance_outliers(rows: list[Row], references: list[Row], times: float = 1.7
 def profile_filter(rows: list[dict], references: list[str], least: float = 0.3, same_read: float = 0.8, ratio: float = 1.15, overlap: float = 0.6) -> list[str]:
     """G18. Names of rows (name, read, seq, score) that go: below ``least`` of average match; of one read, overlapping a better
     one by ``same_read``; beaten ``ratio`` times by a kept row that covers ``overlap`` of them. In order of score, ties by name."""
-    gone, kept = [], []
-    for r in sorted(rows, key=lambda r: (-r["score"], r["name"])):
-        s, e = span(r["seq"])
-        bad = average_match(r["seq"], references) < least
-        for k in kept:
-            a, b = span(k["seq"])
-            common = (min(e, b) - max(s, a)) / max(1, e - s)
-            bad |= k["read"] == r["read"] and common >= same_read
-            bad |= common >= overlap and r["score"] > 0 and k["score"] / r["score"] >= ratio
-        (gone if bad else kept).append(r)
-    return sorted(r["name"] for r in gone)
+    counts = Counts.of(references)
+    bad = [average_match(r["seq"], counts) < least for r in rows]
+    left = [(r["name"], r["read"], *span(r["seq"]), r["score"]) for r, b in zip(rows, bad, strict=True) if not b]
+    return sorted([r["name"] for r, b in zip(rows, bad, strict=True) if b] + beaten_rows(left, same_read, ratio, overlap))
+
+
+class _Widest:
+    """Spans, less those that lie inside another one: none of these overlaps any range more than the others do."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []  # both ascend
+
+    def add(self, s: int, e: int) -> None:
+        at = bisect_right(self.starts, s)
+        if at and self.ends[at - 1] >= e:
+            return
+        lo = bisect_left(self.starts, s)
+        hi = bisect_right(self.ends, e, lo)
+        self.starts[lo:hi], self.ends[lo:hi] = [s], [e]
+
+    def most(self, s: int, e: int) -> float:
+        """The largest of the overlaps with [s, e), negative where all lie apart; the places between if so."""
+        return max((min(e, b) - max(s, a) for a, b in zip(self.starts, self.ends, strict=True)), default=float("-inf"))
+
+
+def beaten_rows(rows: list[tuple], same_read: float = 0.8, ratio: float = 1.15, overlap: float = 0.6) -> list[str]:
+    """G18 for (name, read, start, end, score): names of the rows that a better one of their read or a much better one at their place beats."""
+    gone: list[str] = []
+    reads: dict = {}
+    better, waiting = _Widest(), deque()  # of kept rows, those that beat the next ones' scores, and those that may beat later ones
+    for name, read, s, e, score in sorted(rows, key=lambda r: (-r[4], r[0])):
+        while waiting and score > 0 and waiting[0][2] / score >= ratio:
+            better.add(*waiting.popleft()[:2])
+        size = max(1, e - s)
+        own = reads.get(read)
+        if (own is not None and own.most(s, e) / size >= same_read) or (score > 0 and better.most(s, e) / size >= overlap):
+            gone.append(name)
+            continue
+        reads.setdefault(read, _Widest()).add(s, e)
+        waiting.append((s, e, score))
+    return sorted(gone)
 
 
 def ambiguous_nodes(hits: list[dict], cluster_genes: set[str], ratio: float = 1.1) -> list[str]:
