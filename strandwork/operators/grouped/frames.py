@@ -155,7 +155,7 @@ def x_regions(rows: DataFrame, threshold: float = 0.65, join: int = 0) -> DataFr
 
 def shallow_regions(rows: DataFrame, threshold: float = 0.65, least: int = 2) -> DataFrame:
     """W11. Runs of columns where fewer than ``least`` rows agree: gene, start, end."""
-    return by_gene(rows, lambda pdf: assembly.shallow_regions(_rows(pdf), threshold, least), "start int, end int")
+    return _runs(_columns(rows).where((F.col("total") < least) & ~_letter(threshold).isin(GAP, "X")))
 
 
 def gap_regions(rows: DataFrame, share: float = 0.25, join: int = 0) -> DataFrame:
