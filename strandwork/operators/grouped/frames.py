@@ -150,7 +150,7 @@ def _letter(threshold: float):
 
 def x_regions(rows: DataFrame, threshold: float = 0.65, join: int = 0) -> DataFrame:
     """W11. Runs of ambiguous columns of a gene's consensus: gene, start, end."""
-    return by_gene(rows, lambda pdf: columns.runs_of(columns.consensus(_rows(pdf), threshold), "X", join), "start int, end int")
+    return _runs(_columns(rows).where(_letter(threshold) == "X"), join)
 
 
 def shallow_regions(rows: DataFrame, threshold: float = 0.65, least: int = 2) -> DataFrame:
