@@ -160,7 +160,8 @@ def shallow_regions(rows: DataFrame, threshold: float = 0.65, least: int = 2) ->
 
 def gap_regions(rows: DataFrame, share: float = 0.25, join: int = 0) -> DataFrame:
     """W12. Runs of columns where gaps inside spans hold part of the votes: gene, start, end."""
-    return by_gene(rows, lambda pdf: screening.ambiguous_regions(_rows(pdf), share, join), "start int, end int")
+    part = F.col("gaps") / F.col("total")
+    return _runs(_columns(rows).where((part >= share) & (part < 1)), join)
 
 
 # --- screening ---------------------------------------------------------------------------------------------------------
