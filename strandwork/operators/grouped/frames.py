@@ -168,8 +168,15 @@ def gap_regions(rows: DataFrame, share: float = 0.25, join: int = 0) -> DataFram
 
 
 def severe(rows: DataFrame, threshold: float = 0.5, floor: float = 0.2, times: float = 1.5) -> DataFrame:
-    """A29. Rows too far from their consensus: gene, name."""
-    return by_gene(rows, lambda pdf: [(n,) for n in screening.severe_rows(_rows(pdf), threshold, floor, times)], "name string")
+    """A29. Rows too far from their consensus: gene, name. Distances are shares of few letters, so a gene's quartiles come from the
+    counts of the different ones."""
+    weight = "weight" if "weight" in rows.columns else None
+    agreed = consensus(rows, "gene", threshold, weight).withColumnRenamed("gene", "__gene")
+    c = compared(F.col("seq"), F.col("consensus"))
+    known = rows.join(agreed, F.col("gene").eqNullSafe(F.col("__gene"))).select("gene", "name", c.alias("c")).where("c.compared > 0").select("gene", "name", (F.col("c.different") / F.col("c.compared")).alias("d"))
+    q = known.groupBy(F.col("gene").alias("__gene")).agg(F.percentile("d", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    bound = F.greatest(F.col("q")[1] + times * (F.col("q")[1] - F.col("q")[0]), F.lit(floor))
+    return known.join(q, F.col("gene").eqNullSafe(F.col("__gene"))).where(F.col("d") > bound).select("gene", "name")
 
 
 def deviating(rows: DataFrame, floor: float = 0.03, times: float = 1.0, rounds: int = 3, halves: bool = False) -> DataFrame:
