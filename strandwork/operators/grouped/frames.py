@@ -238,16 +238,11 @@ def profile_hits(rows: DataFrame, references: DataFrame) -> DataFrame:
 def consensus_match(rows: DataFrame, threshold: float = 0.65) -> DataFrame:
     """G11. gene, name and the share of a row's letters of data, in columns where the consensus of the passed rows of its gene is clear,
     that are equal to it, for (gene, name, seq, passed); null without any."""
-
-    def run(pdf: pd.DataFrame) -> list[tuple]:
-        agreed = columns.consensus(_rows(pdf[pdf["passed"]]), threshold)
-        out = []
-        for name, seq in zip(pdf["name"], pdf["seq"], strict=True):
-            pairs = [(a, b) for a, b in zip(seq, agreed, strict=False) if a not in (GAP, "X") and b not in (GAP, "X")]
-            out.append((name, sum(a == b for a, b in pairs) / len(pairs) if pairs else None))
-        return out
-
-    return by_gene(rows, run, "name string, match double")
+    weight = "weight" if "weight" in rows.columns else None
+    agreed = consensus(rows.where("passed"), "gene", threshold, weight).withColumnRenamed("gene", "__gene")
+    c = compared(F.col("seq"), F.coalesce("consensus", F.lit("")))
+    found = rows.join(agreed, F.col("gene").eqNullSafe(F.col("__gene")), "left").select("gene", "name", c.alias("c"))
+    return found.select("gene", "name", F.when(F.col("c.compared") > 0, (F.col("c.compared") - F.col("c.different")) / F.col("c.compared")).alias("match"))
 
 
 # --- trimming and splicing ---------------------------------------------------------------------------------------------
