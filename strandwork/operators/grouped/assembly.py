@@ -2,42 +2,60 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strandwork.functions.dna import CODONS
 from strandwork.operators.grouped.columns import GAP, Row, consensus, runs_of
 
 
+class _Kept:
+    """A3. The hits of one read that stay, so far."""
+
+    def __init__(self) -> None:
+        self.nt: set[str] = set()
+        self.aa: set[str] = set()
+        self.first: str | None = None
+        self.n = 0
+
+    def suffix(self, nt: str, aa: str) -> str | None:
+        if nt in self.nt or aa in self.aa or (self.first is not None and nt in self.first):
+            return None
+        self.nt.add(nt)
+        self.aa.add(aa)
+        if self.first is None:
+            self.first = nt
+            return ""
+        self.n += 1
+        return f"_{self.n}"
+
+
 def contained_duplicates(hits: list[tuple[str, str]]) -> list[str | None]:
     """A3 for one read's hits (nt, aa) in order: the name suffix of each, None for those that go. Equal nt, equal aa, and text inside
     the first one's nt go; later survivors get _1, _2 and on."""
-    seen_nt: set[str] = set()
-    seen_aa: set[str] = set()
-    first: str | None = None
-    out: list[str | None] = []
-    n = 0
-    for nt, aa in hits:
-        if nt in seen_nt or aa in seen_aa or (first is not None and nt in first):
-            out.append(None)
-            continue
-        seen_nt.add(nt)
-        seen_aa.add(aa)
-        out.append("" if first is None else f"_{(n := n + 1)}")
-        first = nt if first is None else first
-    return out
+    kept = _Kept()
+    return [kept.suffix(nt, aa) for nt, aa in hits]
 
 
 def deduped_hits(rows: DataFrame, gene: str, node: str, order: list[str]) -> DataFrame:
-    """A3 for (gene, node, nt, aa, more): survivors with ``suffix``."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        suffix = contained_duplicates(list(zip(pdf["nt"], pdf["aa"], strict=True)))
-        return pdf.assign(suffix=suffix)[[s is not None for s in suffix]]
-
-    return rows.groupBy(gene, node).applyInPandas(run, StructType([*rows.schema.fields, StructField("suffix", StringType())]))
+    """A3 for (gene, node, nt, aa, more): survivors with ``suffix``. Hits are sorted by read, and a task walks them, holding one read's texts."""
+
+    def run(batches):
+        key, kept = None, _Kept()
+        for batch in batches:
+            out = []
+            for g, k, nt, aa in zip(*[batch.column(c).to_pylist() for c in (gene, node, "nt", "aa")], strict=True):
+                if key != (g, k):
+                    key, kept = (g, k), _Kept()
+                out.append(kept.suffix(nt, aa))
+            marked = pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "suffix"])
+            yield marked.filter(pa.array([s is not None for s in out], pa.bool_()))
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(n, gene, node).sortWithinPartitions(gene, node, *[F.col(c).asc_nulls_last() for c in order], "nt", "aa")
+    return ordered.mapInArrow(run, StructType([*rows.schema.fields, StructField("suffix", StringType())]))
 
 
 def assembled(reads: list[Row], share: float = 0.15, least: int = 10, children: int = 4, length: int = 100, rounds: int = 6) -> list[tuple[str, list[str]]]:
