@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from strandwork.functions.blosum import blosum62_distance, codes
+from strandwork.functions.blosum import SCORES, UNKNOWN, blosum62_distance, codes
 from strandwork.operators.grouped.columns import GAP, Counts, Row, consensus, letters, reference_counts, span
 from strandwork.operators.grouped.trimming import average_match
 from strandwork.operators.outliers import gap_free_distance
@@ -146,40 +146,75 @@ def severe_rows(rows: list[Row], threshold: float = 0.5, floor: float = 0.2, tim
     return sorted(n for n, x in d.items() if x == x and x > max(q3 + times * (q3 - q1), floor))
 
 
+#: Rows of a block that are compared with all others at once.
+BLOCK = 256
+
+
+def _all_distances(text: np.ndarray) -> np.ndarray:
+    """blosum62_distance() of every two rows [row, column] of code points, NaN where nothing is common: sums of scores as matrix products of whole
+    numbers, one block of rows against all. Single precision holds them exactly up to 2^24 / 11 columns."""
+    n, width = text.shape
+    kinds = [c for c in np.unique(text).tolist() if SCORES[c, c] > UNKNOWN]
+    out = np.full((n, n), np.nan)
+    if not kinds:
+        return out
+    number = np.full(256, len(kinds), np.int64)
+    number[kinds] = np.arange(len(kinds))
+    code = number[text]
+    table = np.zeros((len(kinds) + 1, len(kinds) + 1), np.float32)
+    table[:-1, :-1] = SCORES[np.ix_(kinds, kinds)]
+    data = (code < len(kinds)).astype(np.float32)
+    own = table[code, code]  # the score of each letter with itself
+    for i in range(0, n, BLOCK):
+        part = code[i : i + BLOCK]
+        both = sum((table[part, c] @ (code == c).astype(np.float32).T for c in range(len(kinds))), np.zeros((len(part), n), np.float32))
+        whole = own[i : i + BLOCK] @ data.T + data[i : i + BLOCK] @ own.T
+        with np.errstate(invalid="ignore", divide="ignore"):
+            # Letters score above 0 with themselves, so the sum is 0 only where nothing is common.
+            out[i : i + BLOCK] = np.where(whole > 0, np.maximum(0.0, 1 - 2 * both.astype(np.float64) / whole), np.nan)
+    return out
+
+
 def deviating_rows(rows: list[Row], floor: float = 0.03, times: float = 1.0, rounds: int = 3, least: int = 0, power: float = 2.0, distance: Distance = blosum62_distance, part: dict[str, tuple[int, int]] | None = None) -> list[str]:
     """A28. In up to ``rounds`` rounds, names of rows whose median distance to the others, to the given power, lies above
     max(median + times * (q3 - q1), floor) of all pairs' (linear quartiles). Pairs are compared where both have data spans; rows of
     fewer than ``least`` letters, and rows that meet no other, are not judged. ``part`` limits each row to a range of its columns."""
     spans = {r.name: part[r.name] if part else (r.start, r.end) for r in rows}
-    data = lambda r: sum(c != GAP for c in r.seq[slice(*spans[r.name])])
+    data = lambda r: (lambda t: len(t) - t.count(GAP))(r.seq[slice(*spans[r.name])])
     left = sorted((r for r in rows if data(r) >= max(1, least)), key=lambda r: r.name)
-    text = {r.name: codes(r.seq) for r in left}
-    known: dict[tuple[str, str], float] = {}
-    for i, a in enumerate(left):
-        for b in left[i + 1 :]:
-            s, e = max(spans[a.name][0], spans[b.name][0]), min(spans[a.name][1], spans[b.name][1])
-            d = distance(text[a.name][s:e], text[b.name][s:e]) if e > s else float("nan")
-            if d >= 0:
-                known[a.name, b.name] = d**power
+    if not left:
+        return []
+    if distance is blosum62_distance:
+        width = max(len(r.seq) for r in left)
+        text = np.full((len(left), width), ord(GAP), np.uint8)
+        for k, r in enumerate(left):
+            s, e = spans[r.name]
+            text[k, s:e] = codes(r.seq[s:e])
+        d = _all_distances(text)
+    else:
+        d = np.full((len(left), len(left)), np.nan)
+        text_of = [codes(r.seq) for r in left]
+        for i, a in enumerate(left):
+            for j in range(i + 1, len(left)):
+                s, e = max(spans[a.name][0], spans[left[j].name][0]), min(spans[a.name][1], spans[left[j].name][1])
+                d[i, j] = d[j, i] = distance(text_of[i][s:e], text_of[j][s:e]) if e > s else np.nan
+    np.fill_diagonal(d, np.nan)
+    np.power(d, power, out=d)
     gone: list[str] = []
-    names = [r.name for r in left]
+    names = np.array([r.name for r in left], object)
     for _ in range(rounds):
-        values = list(known.values())
-        if not values:
+        values = np.concatenate([own[i + 1 :] for i, own in enumerate(d)]) if len(d) else np.zeros(0)
+        values = values[~np.isnan(values)]
+        if not len(values):
             break
         q1, middle, q3 = np.percentile(values, [25, 50, 75])
+        del values
         bound = max(middle + times * (q3 - q1), floor)
-        own: dict[str, list[float]] = {n: [] for n in names}
-        for (a, b), d in known.items():
-            own[a].append(d)
-            own[b].append(d)
-        names = [n for n in names if own[n]]
-        bad = {n for n in names if np.median(own[n]) > bound}
-        if not bad:
+        bad = np.array([bool(len(own)) and np.median(own) > bound for own in (x[~np.isnan(x)] for x in d)])
+        if not bad.any():
             break
-        gone += bad
-        names = [n for n in names if n not in bad]
-        known = {k: d for k, d in known.items() if not bad & set(k)}
+        gone += names[bad].tolist()
+        names, d = names[~bad], d[np.ix_(~bad, ~bad)]
     return sorted(gone)
 
 
