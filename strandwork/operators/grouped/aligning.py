@@ -161,4 +161,6 @@ def intron_free(rows: DataFrame) -> DataFrame:
             done = [introns_removed(s, r) for s, r in zip(pdf["seq"], pdf["reference"], strict=True)]
             yield pd.DataFrame({"gene": pdf["gene"], "node": pdf["node"], "seq": [d[0] for d in done], "introns": [[{"s": s, "e": e} for s, e in d[1]] for d in done]})
 
-    return rows.select("gene", "node", "seq", "reference").mapInPandas(run, schema)
+    # Dealt into all partitions: rows are small to shuffle and long to align.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select("gene", "node", "seq", "reference").repartition(n, "gene", "node").mapInPandas(run, schema)

@@ -36,7 +36,8 @@ def by_gene(rows: DataFrame, fn: Callable[[pd.DataFrame], list[tuple]], schema:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([(pdf["gene"].iloc[0], *r) for r in fn(pdf.sort_values("name", kind="stable"))], columns=["gene", *_names(schema)])
 
-    return rows.groupBy("gene").applyInPandas(run, f"gene string, {schema}")
+    # Into a fixed number of partitions: genes are small to shuffle and long to work on.
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gene").groupBy("gene").applyInPandas(run, f"gene string, {schema}")
 
 
 def with_references(rows: DataFrame, references: DataFrame, fn: Callable[[pd.DataFrame, list[str]], list[tuple]], schema: str) -> DataFrame:

@@ -146,7 +146,7 @@ def shallow_regions(spark, d):
 def hit_dedupe(spark, d):
     """A3: the parts of a document between unknown bases are the hits of one read."""
     rows = reads(spark, d).select(F.col("source").alias("gene"), "doc_id", F.posexplode(F.split("seq", "ACGT")).alias("k", "nt")).where("length(nt) >= 12")
-    rows = rows.select(F.coalesce("gene", F.lit("")).alias("gene"), F.col("doc_id").alias("node"), "k", "nt", dna.translated(F.col("nt")).alias("aa"))
+    rows = rows.select(F.coalesce("gene", F.lit("")).alias("gene"), F.col("doc_id").alias("node"), "k", "nt", dna.translated_long(F.col("nt")).alias("aa"))
     return assembly.deduped_hits(rows, "gene", "node", ["k"]).select("gene", "node", "k", "suffix")
 
 

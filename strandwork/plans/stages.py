@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwork.functions.dna import FRAMES, entropy, framed, homopolymer_trimmed, reverse_complement, six_frames, stop_to_x, translated
+from strandwork.functions.dna import FRAMES, entropy, framed, homopolymer_trimmed, reverse_complement, six_frames, stop_to_x, translated_long
 from strandwork.functions.headers import merge_header, short_name, tagged
 from strandwork.functions.intervals import chunk_coordinates, swapped
 from strandwork.functions.msa import at, data_length, flags, inner_gaps, letters
@@ -113,7 +113,7 @@ def report(hits: DataFrame, reads: DataFrame, dupes: DataFrame, coords: DataFram
     letters long; with ``coords`` also parent, parent_start and parent_end."""
     part = F.substring(F.col("seq"), F.col("qstart"), F.col("qend") - F.col("qstart") + 1)
     rows = hits.withColumn("node", F.col("header")).join(reads, "node").withColumn("nt", F.when(F.col("strand") == "-", reverse_complement(part)).otherwise(part))
-    rows = rows.where(F.length("nt") >= least).withColumn("aa", translated(framed(F.col("nt"), F.lit(1)))).join(dupes.select("node", "dupes"), "node", "left")
+    rows = rows.where(F.length("nt") >= least).withColumn("aa", translated_long(framed(F.col("nt"), F.lit(1)))).join(dupes.select("node", "dupes"), "node", "left")
     own = ["gene", "node", "frame", "strand", "score", "qstart", "qend", "nt", "aa", F.coalesce("dupes", F.lit(0)).alias("dupes")]
     if coords is None:
         return rows.select(*own)
@@ -129,7 +129,7 @@ def report_genes(hits: DataFrame, reads: DataFrame, dupes: DataFrame, targets: D
     gene, name, nt, aa and copies; of genomes also parent, parent_start and parent_end.
     """
     rows = report(hits, reads, dupes, coords, least).withColumn("nt", homopolymer_trimmed(F.col("nt"), repeats)).where(F.length("nt") >= least)
-    rows = rows.withColumn("aa", translated(framed(F.col("nt"), F.lit(1))))
+    rows = rows.withColumn("aa", translated_long(framed(F.col("nt"), F.lit(1))))
     target = hits.select("gene", F.col("header").alias("node"), "frame", "target").groupBy("gene", "node", "frame").agg(F.min("target").alias("target"))
     rows = deduped_hits(rows, "gene", "node", ["qstart", "frame"]).join(target, ["gene", "node", "frame"]).join(targets.select("gene", "target", "taxon").distinct(), ["gene", "target"])
     node = F.concat(F.lit("NODE_"), F.col("node").cast("string"), "suffix")
@@ -140,7 +140,7 @@ def report_genes(hits: DataFrame, reads: DataFrame, dupes: DataFrame, targets: D
         own = parts.select("gene", "parent", "name", "target", "taxon", "frame")
         copies = parts.groupBy("gene", "parent", F.col("node").alias("id")).agg(F.max("dupes").alias("dupes"))
         counted = merged_.select("gene", "parent", "name", F.explode("ids").alias("id")).join(copies, ["gene", "parent", "id"]).groupBy("gene", "parent", "name").agg(F.sum("dupes").alias("dupes"))
-        rows = merged_.join(own, ["gene", "parent", "name"]).join(counted, ["gene", "parent", "name"]).withColumn("nt", F.col("seq")).withColumn("aa", translated(framed(F.col("nt"), F.lit(1))))
+        rows = merged_.join(own, ["gene", "parent", "name"]).join(counted, ["gene", "parent", "name"]).withColumn("nt", F.col("seq")).withColumn("aa", translated_long(framed(F.col("nt"), F.lit(1))))
         label = merge_header(F.transform("ids", lambda i: i.cast("string")))
         more = ["parent", F.col("start").alias("parent_start"), F.col("end").alias("parent_end")]
     else:
