@@ -41,6 +41,100 @@ def global_alignment(a: str, b: str, match: int = 2, mismatch: int = -1, gap: in
     return "".join(reversed(p)), "".join(reversed(q))
 
 
+#: Cells of a batch of alignments that go side by side; a batch's steps take a byte for each cell.
+CELLS = 1 << 25
+
+
+def global_alignments(texts: list[str], b: str, match: int = 2, mismatch: int = -1, gap: int = -2) -> list[tuple[str, str]]:
+    """global_alignment() of each text with one other: texts of like length go side by side, a step for each letter."""
+    out: list[tuple[str, str]] = [("", "")] * len(texts)
+    order = sorted(range(len(texts)), key=lambda k: len(texts[k]))
+    at = 0
+    while at < len(order):
+        # The longest of a batch counts: take as many as fit with it.
+        size = 1
+        while at + size < len(order) and (size + 1) * (len(texts[order[at + size]]) + 1) * (len(b) + 1) <= CELLS:
+            size += 1
+        part = order[at : at + size]
+        for k, pair in zip(part, _side_by_side([texts[k] for k in part], b, match, mismatch, gap), strict=True):
+            out[k] = pair
+        at += size
+    return out
+
+
+def _side_by_side(texts: list[str], b: str, match: int, mismatch: int, gap: int) -> list[tuple[str, str]]:
+    """All cells of as many letters from both begins at once, of all texts: no cell waits for another of its step."""
+    n, rows, m = len(texts), max(map(len, texts)), len(b)
+    y = np.frombuffer(b.encode("latin-1"), np.uint8)[::-1, None]
+    x = np.zeros((rows, n), np.uint8)
+    for k, t in enumerate(texts):
+        x[: len(t), k] = np.frombuffer(t.encode("latin-1"), np.uint8)
+    # Scores less the gaps that as many letters would cost: so gaps cost nothing, and the borders are zero.
+    equal, other = match - 2 * gap, mismatch - 2 * gap
+    kind = np.int16 if max(abs(equal), abs(other)) * (min(rows, m) + 1) < 32000 else np.int32
+    held = np.zeros((3, rows + 1, n), kind)
+    step, first = np.empty(((rows + 1) * (m + 1), n), np.uint8), np.empty(rows + m + 1, np.int64)
+    at = 0
+    for d in range(rows + m + 1):
+        lo, hi = max(0, d - m), min(d, rows)
+        first[d] = at - lo
+        at += hi - lo + 1
+        now, last, older = held[d % 3], held[(d - 1) % 3], held[(d - 2) % 3]
+        if lo == 0:
+            now[0], step[first[d]] = 0, 2
+        if hi == d:
+            now[d], step[first[d] + d] = 0, 1
+        s, e = max(1, lo), min(rows, d - 1) + 1
+        if s < e:
+            met = np.multiply(x[s - 1 : e - 1] == y[m - d + s : m - d + e], kind(equal - other), dtype=kind)
+            met += kind(other)
+            met += older[s - 1 : e - 1]
+            best = np.maximum(last[s - 1 : e - 1], last[s:e], out=now[s:e])
+            np.maximum(best, met, out=best)
+            far = best != met
+            np.add(far, far & (best != last[s - 1 : e - 1]), out=step[first[d] + s : first[d] + e], dtype=np.uint8)
+    step[0] = 3  # the begin of both
+    # Back along all paths together: 0 both go, 1 the text goes, 2 the other goes, 3 at the begin.
+    i, j, each, path = np.array([len(t) for t in texts]), np.full(n, m), np.arange(n), np.empty((rows + m, n), np.uint8)
+    flat = step.reshape(-1)
+    for k in range(rows + m):
+        path[k] = own = flat[(first[i + j] + i) * n + each]
+        i -= own < 2
+        j -= (own & 1) == 0
+    other_text, out = np.frombuffer(b.encode("latin-1"), np.uint8), []
+    for k, t in enumerate(texts):
+        own = path[:, k]
+        own = own[own < 3][::-1]
+        pair = []
+        for text, has in ((np.frombuffer(t.encode("latin-1"), np.uint8), own < 2), (other_text, own != 1)):
+            line = np.full(len(own), ord(GAP), np.uint8)
+            line[has] = text
+            pair.append(line.tobytes().decode("latin-1"))
+        out.append((pair[0], pair[1]))
+    return out
+
+
+def inserted_letters(top: str, bottom: str) -> tuple[list[tuple[int, str]], str]:
+    """Of a text aligned to a centre: the letters between two of the centre's, with their places, and its letters under the centre's."""
+    inserted: dict[int, list[str]] = {}
+    own: list[str] = []
+    for a, c in zip(top, bottom, strict=True):
+        if c == GAP:
+            inserted.setdefault(len(own), []).append(a)
+        else:
+            own.append(a)
+    return [(k, "".join(v)) for k, v in inserted.items()], "".join(own)
+
+
+def widened(inserted: list[tuple[int, str]], own: str, wide: dict[int, int]) -> str:
+    """The text of inserted_letters() where each place between two letters of the centre is as wide as given, 0 if not."""
+    held, out, at = dict(inserted), [], 0
+    for k in sorted(wide):
+        out += [own[at:k], held.get(k, "").ljust(wide[k], GAP)]
+        at = k
+    return "".join([*out, own[at:]])
+
+
 def star_alignment(rows: list[tuple[str, str]], centre: str | None = None) -> list[tuple[str, str]]:
     """G3, G8 and E. (name, aligned seq) of rows (name, seq without gaps), all as wide: each is aligned to one centre (that of the given
     name, else the longest, ties by name), and letters between two of the centre's share columns, as many as the most that any row has there."""
@@ -50,16 +144,12 @@ def star_alignment(rows: list[tuple[str, str]], centre: str | None = None) -> li
     middle = dict(rows)[centre] if centre else max(rows, key=lambda r: (len(r[1]), [-ord(c) for c in r[0]]))[1]
     parts = []
     for name, seq in rows:
-        top, bottom = global_alignment(seq, middle) if seq != middle else (seq, middle)
-        inserted, own = [""] * (len(middle) + 1), []
-        for a, c in zip(top, bottom, strict=True):
-            if c == GAP:
-                inserted[len(own)] += a
-            else:
-                own.append(a)
-        parts.append((name, inserted, own))
-    wide = [max(len(p[1][k]) for p in parts) for k in range(len(middle) + 1)]
-    return [(name, "".join(inserted[k].ljust(wide[k], GAP) + (own[k] if k < len(own) else "") for k in range(len(middle) + 1))) for name, inserted, own in parts]
+        parts.append((name, *inserted_letters(*(global_alignment(seq, middle) if seq != middle else (seq, middle)))))
+    wide: dict[int, int] = {}
+    for _, inserted, _ in parts:
+        for k, text in inserted:
+            wide[k] = max(wide.get(k, 0), len(text))
+    return [(name, widened(inserted, own, wide)) for name, inserted, own in parts]
 
 
 def signature_clusters(rows: list[tuple[str, str]], k: int = 5, most: int = 500, share: float = 0.3) -> list[list[str]]:
@@ -100,19 +190,30 @@ def clusterwise_alignment(rows: list[tuple[str, str]], references: list[tuple[st
 def introns_removed(seq: str, reference: str, least_group: int = 10, join: int = 10, least: int = 30, reach: int = 10) -> tuple[str, list[tuple[int, int]]]:
     """G6. introns_of() by the usual alignment and, if stops are left in the sequence's frame, by one with cheaper gaps: the one that
     leaves fewer stops."""
-    first = introns_of(seq, reference, least_group, join, least, reach)
-    stops = lambda text: sum(CODONS.get(text[k : k + 3]) == "*" for k in range(0, len(text) - 5, 3))  # noqa: E731  the last codon may be one
-    if not stops(first[0]):
-        return first
-    second = introns_of(seq, reference, least_group, join, least, reach, (2, -3, -1))
-    return second if stops(second[0]) < stops(first[0]) else first
+    return all_introns_removed([seq], reference, least_group, join, least, reach)[0]
+
+
+def _stops(text: str) -> int:
+    """Stops in the sequence's frame; the last codon may be one."""
+    return sum(CODONS.get(text[k : k + 3]) == "*" for k in range(0, len(text) - 5, 3))
+
+
+def all_introns_removed(seqs: list[str], reference: str, least_group: int = 10, join: int = 10, least: int = 30, reach: int = 10) -> list[tuple[str, list[tuple[int, int]]]]:
+    """introns_removed() of each of several sequences of one reference, aligned side by side."""
+    out = [introns_of(*pair, least_group, join, least, reach) for pair in global_alignments(seqs, reference)]
+    again = [k for k, found in enumerate(out) if _stops(found[0])]
+    for k, pair in zip(again, global_alignments([seqs[k] for k in again], reference, 2, -3, -1), strict=True):
+        second = introns_of(*pair, least_group, join, least, reach)
+        if _stops(second[0]) < _stops(out[k][0]):
+            out[k] = second
+    return out
 
 
-def introns_of(seq: str, reference: str, least_group: int, join: int, least: int, reach: int, costs: tuple[int, int, int] = (2, -1, -2)) -> tuple[str, list[tuple[int, int]]]:
-    """G6. The sequence without introns, and their [start, end): where the alignment to a reference leaves at least ``least_group``
+def introns_of(top: str, bottom: str, least_group: int, join: int, least: int, reach: int) -> tuple[str, list[tuple[int, int]]]:
+    """G6. The sequence without introns, and their [start, end): where its alignment to a reference leaves at least ``least_group``
     letters of the sequence without partner (groups at most ``join`` apart are one), the GT..AG nearest to the group, within
     ``reach`` of it, is taken out if it has at least ``least`` letters, a multiple of three, and meets none taken before."""
-    top, bottom = global_alignment(seq, reference, *costs)
+    seq = top.replace(GAP, "")
     at, groups = 0, []
     for c, r in zip(top, bottom, strict=True):
         if c != GAP:
@@ -158,8 +259,9 @@ def intron_free(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            done = [introns_removed(s, r) for s, r in zip(pdf["seq"], pdf["reference"], strict=True)]
-            yield pd.DataFrame({"gene": pdf["gene"], "node": pdf["node"], "seq": [d[0] for d in done], "introns": [[{"s": s, "e": e} for s, e in d[1]] for d in done]})
+            for reference, own in pdf.groupby("reference", sort=False):
+                done = all_introns_removed(own["seq"].tolist(), reference)
+                yield pd.DataFrame({"gene": own["gene"], "node": own["node"], "seq": [d[0] for d in done], "introns": [[{"s": s, "e": e} for s, e in d[1]] for d in done]})
 
     # Dealt into all partitions: rows are small to shuffle and long to align.
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
