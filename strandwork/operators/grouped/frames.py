@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -51,8 +51,9 @@ def with_references(rows: DataFrame, references: DataFrame, fn: Callable[[pd.Dat
     return rows.groupBy("gene").cogroup(_references(references).groupBy("gene")).applyInPandas(run, f"gene string, {schema}")
 
 
-#: Rows of a block: what one call holds beside the counts of its gene.
+#: Rows of a block: what one call holds beside the counts of its gene; of aligned texts, which may be far longer, fewer.
 BLOCK_ROWS = 1024
+ALIGNED_ROWS = 256
 
 
 def counted(references: DataFrame, span_only: bool = False) -> DataFrame:
@@ -364,15 +365,61 @@ def recovered(rows: DataFrame, threshold: float = 0.65, overlap: int = 12, least
 # --- aligning ----------------------------------------------------------------------------------------------------------
 
 
-def aligned(rows: DataFrame, references: DataFrame | None = None, most: int = 500) -> DataFrame:
-    """G8 (with references) or G3's alignment of references alone, for (gene, name, seq without gaps): gene, name, seq."""
-    pairs = lambda pdf: list(zip(pdf["name"], pdf["seq"], strict=True))
-    if references is None:
-        return by_gene(rows, lambda pdf: aligning.star_alignment(pairs(pdf)), "name string, seq string")
+def _order_of_name(name: str) -> Column:
+    """By letters from the first on; of names that begin alike the longer one is less."""
+    return F.concat(F.transform(F.filter(F.split(name, ""), lambda c: c != ""), lambda c: F.ascii(c)), F.array(F.lit(0x7FFFFFFF)))
 
-    def run(pdf: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
-        done = aligning.clusterwise_alignment(pairs(pdf), pairs(refs) if len(refs) else [], most=most) if len(pdf) else []
-        return pd.DataFrame([(pdf["gene"].iloc[0], *r) for r in done], columns=["gene", "name", "seq"])
 
-    return rows.groupBy("gene").cogroup(_references(references).groupBy("gene")).applyInPandas(run, "gene string, name string, seq string")
+def _centres(rows: DataFrame) -> DataFrame:
+    """gene and __centre: the longest text of each gene, ties by name."""
+    return rows.groupBy(F.col("gene").alias("__gene")).agg(F.min_by("seq", F.struct(-F.length("seq"), _order_of_name("name"), "seq")).alias("__centre"))
+
 
+def aligned(rows: DataFrame, references: DataFrame | None = None) -> DataFrame:
+    """G8 (with references) or G3's alignment of references alone, for (gene, name, seq without gaps): gene, name, seq.
+
+    As star_alignment() and clusterwise_alignment(), but each different text of a gene is aligned to its centre where it is, and all a gene's
+    rows share is how wide its columns are: the most that any row has between two letters of the centre."""
+    rows = rows.select("gene", "name", "seq")
+    same = lambda own: F.col("gene").eqNullSafe(F.col(own))
+    if references is None:
+        texts, centres = rows.select("gene", "seq").distinct(), _centres(rows)
+    else:
+        known = _references(references)
+        genes = rows.select(F.col("gene").alias("__own")).distinct()
+        known = known.join(genes, same("__own"), "left_semi")
+        texts = rows.select("gene", "seq").unionByName(known.select("gene", "seq")).distinct()
+        first = _centres(known).withColumn("__rank", F.lit(0)).unionByName(_centres(rows.groupBy("gene", "seq").agg(F.min("name").alias("name"))).withColumn("__rank", F.lit(1)))
+        centres = first.groupBy("__gene").agg(F.min_by("__centre", "__rank").alias("__centre"))
+        rows = rows.unionByName(known)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def align(batches):
+        for pdf in batches:
+            for (gene, centre), own in pdf.groupby(["gene", "__centre"], sort=False, dropna=False):
+                every = own["seq"].tolist()
+                done = [aligning.inserted_letters(*pair) for pair in aligning.global_alignments(every, centre)]
+                yield pd.DataFrame({"gene": [gene if isinstance(gene, str) else None] * len(every), "seq": every, "inserted": [[{"k": k, "text": t} for k, t in d[0]] for d in done], "own": [d[1] for d in done]})
+
+    # Dealt into all partitions: texts are small to shuffle and long to align.
+    work = texts.join(centres, same("__gene")).select("gene", "seq", "__centre").repartition(n, "gene", "seq")
+    done = written(work.mapInPandas(align, "gene string, seq string, inserted array<struct<k:int,text:string>>, own string"), "to_centres")
+    wide = done.select("gene", F.explode("inserted").alias("x")).groupBy("gene", "x.k").agg(F.max(F.length("x.text")).alias("n"))
+    # One row a gene, as long as its centre; blocks of its texts meet it.
+    sizes = done.groupBy(F.col("gene").alias("__gene")).agg(F.ceil(F.count("*") / ALIGNED_ROWS).cast("int").alias("__blocks"))
+    widths = wide.groupBy("gene").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("wide"))
+    widths = widths.join(sizes, same("__gene")).select("gene", "wide", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__block"))
+    parts = done.join(sizes, same("__gene")).withColumn("__block", F.pmod(F.xxhash64("seq"), F.col("__blocks")).cast("int")).drop("__gene", "__blocks")
+
+    def widen(pdf: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame(columns=["__of", "__plain", "seq"])
+        held = dict(own["wide"].iloc[0]) if len(own) else {}
+        made = [aligning.widened([(x["k"], x["text"]) for x in i], o, held) for i, o in zip(pdf["inserted"], pdf["own"], strict=True)]
+        return pd.DataFrame({"__of": pdf["gene"], "__plain": pdf["seq"], "seq": made})
+
+    widths = widths.select(*[F.col(c).alias(c) for c in widths.columns])  # columns of its own: both sides come from the same table
+    at = ["gene", "__block"]
+    made = parts.repartition(n, *at).groupBy(*at).cogroup(widths.repartition(n, *at).groupBy(*at)).applyInPandas(widen, "__of string, __plain string, seq string")
+    named = rows.select("gene", "name", F.col("seq").alias("__own"))
+    return named.join(made, same("__of") & (F.col("__own") == F.col("__plain"))).select("gene", "name", "seq")
