@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Letters that one step counts at most, and counters that it holds for each letter.
-STEP = 1 << 23
+STEP = 1 << 21
 SPREAD = 8
 
 
