@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -54,6 +55,8 @@ def with_references(rows: DataFrame, references: DataFrame, fn: Callable[[pd.Dat
 #: Rows of a block: what one call holds beside the counts of its gene; of aligned texts, which may be far longer, fewer.
 BLOCK_ROWS = 1024
 ALIGNED_ROWS = 256
+#: Letters of hits that are merged before what they gave is sent on.
+MERGED_LETTERS = 1 << 22
 
 
 def counted(references: DataFrame, span_only: bool = False) -> DataFrame:
@@ -330,11 +333,41 @@ def fragments_spliced(rows: DataFrame, references: DataFrame, adjacency: int = 3
 def chunks_merged(hits: DataFrame, gap: int = 300, overlap: int = 30) -> DataFrame:
     """G5 for (gene, name, node, strand, start, end, seq): gene, name, ids, strand, start, end, seq of merged hits."""
 
-    def run(pdf: pd.DataFrame) -> list[tuple]:
-        rows = [{"name": r.name, "ids": [int(r.node)], "strand": r.strand, "start": int(r.start), "end": int(r.end), "seq": r.seq} for r in pdf.itertuples(index=False)]
-        return [(h["name"], h["ids"], h["strand"], h["start"], h["end"], h["seq"]) for h in assembly.chunks_merged(rows, gap, overlap)]
+    made = ("name", "ids", "strand", "start", "end", "seq")
 
-    return by_gene(hits, run, "name string, ids array<long>, strand string, start long, end long, seq string")
+    def run(batches):
+        """Hits come sorted by gene: a task walks them and holds one gene's."""
+        gene, held, out, letters = None, [], [], 0
+
+        def merged() -> int:
+            for h in assembly.chunks_merged(held, gap, overlap):
+                out.append({"gene": gene, **{c: h[c] for c in made}})
+            return sum(len(h["seq"]) for h in held)
+
+        def given() -> pa.RecordBatch:
+            table = pa.RecordBatch.from_pylist(out, schema)
+            out.clear()
+            return table
+
+        for batch in batches:
+            for g, name, node, strand, start, end, seq in zip(*[batch.column(c).to_pylist() for c in ("gene", "name", "node", "strand", "start", "end", "seq")], strict=True):
+                if held and g != gene:
+                    letters += merged()
+                    held = []
+                    if letters > MERGED_LETTERS:
+                        yield given()
+                        letters = 0
+                gene = g
+                held.append({"name": name, "ids": [node], "strand": strand, "start": start, "end": end, "seq": seq})
+        if held:
+            merged()
+        yield given()
+
+    schema = pa.schema([("gene", pa.string()), ("name", pa.string()), ("ids", pa.list_(pa.int64())), ("strand", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("seq", pa.string())])
+    n = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    longs = [F.col(c).cast("long").alias(c) for c in ("node", "start", "end")]
+    ordered = hits.select("gene", "name", "strand", "seq", *longs).repartition(n, "gene").sortWithinPartitions("gene", "node", "start", "end", "name")
+    return ordered.mapInArrow(run, "gene string, name string, ids array<long>, strand string, start long, end long, seq string")
 
 
 def contigs(rows: DataFrame, references: DataFrame, children: int = 4, length: int = 100, cap: int = 8, per_child: float = 0.001) -> DataFrame:
