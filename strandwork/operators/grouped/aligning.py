@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ def global_alignment(a: str, b: str, match: int = 2, mismatch: int = -1, gap: in
     return "".join(reversed(p)), "".join(reversed(q))
 
 
+#: Letters of reads, and of targets, of a block of the seeded search.
+BLOCK_LETTERS = 1 << 22
 #: Cells of a batch of alignments that go side by side; a batch's steps take a byte for each cell.
 CELLS = 1 << 25
 
@@ -244,13 +247,60 @@ def seeded_hits(reads: DataFrame, targets: DataFrame, k: int = 5, least: int = 2
     """E. A k-mer seeded search in place of an external one: of reads (node, frame, aa) and targets (target, seq), the pairs that share
     at least ``least`` different k-mers, with their number as score and the span of shared k-mers in the read.
 
-    k-mers are joined by value, so no pair without a seed is ever formed; counts combine before they are shuffled.
+    Blocks of reads meet blocks of targets, so only texts are shuffled; a block of targets is its k-mers, each with who bears it, and of a read only
+    the pairs that stay are formed.
     """
-    grams = F.pandas_udf(lambda s: s.map(lambda x: [x[i : i + k] for i in range(len(x) - k + 1)] if x else []), "array<string>")
-    a = reads.select("node", "frame", F.posexplode(grams("aa")).alias("at", "kmer"))
-    b = targets.select("target", F.explode(F.array_distinct(grams("seq"))).alias("kmer"))
-    one = a.join(b, "kmer").groupBy("node", "frame", "target", "kmer").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    return one.groupBy("node", "frame", "target").agg(F.count("*").alias("score"), F.min("first").alias("qstart"), (F.max("last") + k).alias("qend")).where(F.col("score") >= least)
+    spark = reads.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    letters = lambda df, c: df.agg(F.ceil(F.sum(F.length(c)) / BLOCK_LETTERS)).first()[0] or 1
+    n_parts, n_blocks = max(n, letters(reads, "aa")), letters(targets, "seq")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    own = reads.select("node", "frame", "aa", F.pmod(F.xxhash64("node", "frame"), F.lit(n_parts)).cast("int").alias("part")).withColumn("block", every(n_blocks))
+    known = targets.where("seq is not null").select("target", "seq", F.pmod(F.xxhash64("target"), F.lit(n_blocks)).cast("int").alias("block")).withColumn("part", every(n_parts))
+    known = known.select(*[F.col(c).alias(c) for c in known.columns])  # columns of its own: both sides may come from the same table
+    kinds = [(reads, "node"), (reads, "frame"), (targets, "target")]
+    schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for df, c in kinds) + ", score long, qstart int, qend int"
+    at = ["part", "block"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        bears, names = {}, []
+        of_target: dict = {}
+        for name, seq in zip(right.column("target").to_pylist(), right.column("seq").to_pylist(), strict=True):
+            if name not in of_target:
+                of_target[name] = len(names)
+                names.append(name)
+            for i in range(len(seq) - k + 1):
+                bears.setdefault(seq[i : i + k], set()).add(of_target[name])
+        bears = {x: np.array(sorted(v)) for x, v in bears.items()}
+        places: dict = {}
+        for i, (key, text) in enumerate(zip(zip(left.column("node").to_pylist(), left.column("frame").to_pylist(), strict=True), left.column("aa").to_pylist(), strict=True)):
+            spans = places.setdefault(key, (i, {}))[1]
+            for j in range(len(text or "") - k + 1):
+                x = text[j : j + k]
+                if x in bears:
+                    first, last = spans.get(x, (j, j))
+                    spans[x] = (min(first, j), max(last, j))
+        row, target, score, start, end = [], [], [], [], []
+        for i, spans in places.values():
+            if len(spans) < least:
+                continue
+            who = [bears[x] for x in spans]
+            size = np.array([len(w) for w in who])
+            where = np.concatenate(who)
+            ends = np.repeat(np.array(list(spans.values())), size, 0)
+            count = np.bincount(where, minlength=len(names))
+            low, high = np.full(len(names), np.iinfo(np.int32).max), np.full(len(names), -1)
+            np.minimum.at(low, where, ends[:, 0])
+            np.maximum.at(high, where, ends[:, 1])
+            stay = np.flatnonzero(count >= max(least, 1))
+            row.append(np.full(len(stay), i))
+            for out, values in ((target, stay), (score, count[stay]), (start, low[stay]), (end, high[stay] + k)):
+                out.append(values)
+        whole = lambda parts, kind: pa.array(np.concatenate([np.zeros(0, np.int64), *parts]), pa.int64()).cast(kind)
+        some = whole(row, pa.int64())
+        return pa.table({"node": left.column("node").take(some), "frame": left.column("frame").take(some), "target": pa.array(names, right.column("target").type).take(whole(target, pa.int64())), "score": whole(score, pa.int64()), "qstart": whole(start, pa.int32()), "qend": whole(end, pa.int32())})
+
+    return own.repartition(n, *at).groupBy(*at).cogroup(known.repartition(n, *at).groupBy(*at)).applyInArrow(run, schema)
 
 
 def intron_free(rows: DataFrame) -> DataFrame:
