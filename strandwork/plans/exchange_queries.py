@@ -251,11 +251,16 @@ def windowed_stream(spark, d):
     return spark.read.parquet(path).select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
+#: Rows of a file of a stream: what one task writes or reads.
+FILE_ROWS = 20_000
+
+
 def _in_files(df, tag: str, n: int = 3):
-    """The rows as a stream of n files, one a batch."""
+    """The rows as a stream of n batches, each of as many files as its rows need."""
     path = new_path(df.sparkSession, tag)
-    df.repartition(n).write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = max(1, -(-df.count() // (n * FILE_ROWS)))
+    df.repartition(n * files).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("""WITH n AS (SELECT user_id, event_id, CASE WHEN event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) > 35 THEN 1 ELSE 0 END AS new FROM events),
