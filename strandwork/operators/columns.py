@@ -27,7 +27,12 @@ def _joined(letters: DataFrame, by: str, fill: str) -> DataFrame:
 
 def codon_consensus(msa: DataFrame, by: str, threshold: float, weight: str | None = None) -> DataFrame:
     """A13. The codon with more than ``threshold`` of the votes, else the only one that is no gap, else base by base the IUPAC letter."""
-    votes = tallied(msa, by, weight, width=3).withColumnRenamed("ch", "codon")
+    return agreed_codons(tallied(msa, by, weight, width=3), by, threshold)
+
+
+def agreed_codons(votes: DataFrame, by: str, threshold: float) -> DataFrame:
+    """codon_consensus() of votes (by, place, ch, n)."""
+    votes = votes.withColumnRenamed("ch", "codon")
     place = votes.groupBy(by, "place").agg(
         F.sum("n").alias("total"), F.max(F.struct("n", "codon")).alias("top"), F.count(F.when(F.col("codon") != "---", 1)).alias("kinds"), F.max(F.when(F.col("codon") != "---", F.col("codon"))).alias("only"), F.collect_set("codon").alias("all")
     )

@@ -6,9 +6,16 @@ from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandwork.functions.dna import CODONS, IUPAC
+from strandwork.functions.msa import data_end, data_start
+from strandwork.operators.columns import agreed_codons
+from strandwork.operators.columns import consensus as consensus_of_rows
 from strandwork.operators.grouped.columns import GAP, Row, best_split, consensus, last_split, reference_counts
+from strandwork.operators.tallies import tallied
+from strandwork.scratch import written
 
 
 def overlap_groups(rows: list[Row], least: int = 0) -> list[list[Row]]:
@@ -127,9 +134,38 @@ def split_merge(aa: list[Row], nt: dict[str, str], references: list[str], share:
 _SCHEMA = "gene string, taxa string, names string, reference string, total int, aa string, nt string"
 
 
+#: What stands in for codons outside a row's span: no vote.
+_OUTSIDE = "\x01"
+
+
+def _agreed(rows: DataFrame, threshold: float) -> DataFrame:
+    """G21. Columns are counted where the rows are; overlap groups come from the different spans of a gene and sample, without its texts."""
+    own = F.col("gene").eqNullSafe(F.col("__gene")) & F.col("taxa").eqNullSafe(F.col("__taxa")) & (F.col("__s") == F.col("__start")) & (F.col("__e") == F.col("__end"))
+    rows = rows.withColumns({"__s": data_start(F.col("aa")), "__e": data_end(F.col("aa"))}).where("__e > __s")
+    w = Window.partitionBy("__gene", "__taxa").orderBy("__start", "__end")
+    spans = rows.select(F.col("gene").alias("__gene"), F.col("taxa").alias("__taxa"), F.col("__s").alias("__start"), F.col("__e").alias("__end")).distinct()
+    ends = F.max("__end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    runs = spans.withColumn("__new", (F.col("__start") > F.coalesce(ends, F.lit(-1))).cast("long")).withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    first = runs.groupBy("__gene", "__taxa", "__run").agg(F.collect_list(F.struct("__start", "__end")).alias("x")).withColumn("id", F.monotonically_increasing_id())
+    groups = written(first.select("__gene", "__taxa", "id", F.inline("x")), "groups")
+    held = rows.join(groups, own).select("id", "gene", "taxa", "name", "ref", "weight", "aa", "nt")
+    named = held.groupBy("id").agg(F.first("gene").alias("gene"), F.first("taxa").alias("taxa"), F.array_join(F.array_sort(F.collect_list("name")), "&&").alias("names"), F.sum("weight").cast("int").alias("total"), F.max(F.length("aa")).alias("wide"), F.max(F.floor(F.length("nt") / 3)).alias("codons"))
+    common = held.groupBy("id", "ref").agg(F.count("*").alias("n")).groupBy("id").agg(F.min_by("ref", F.struct(-F.col("n"), "ref")).alias("reference"))
+    aa = consensus_of_rows(held.select("id", "weight", F.col("aa").alias("seq")), "id", threshold, "weight").withColumnRenamed("consensus", "aa")
+    s, e = F.ceil(data_start(F.col("nt")) / 3).cast("int"), F.ceil(data_end(F.col("nt")) / 3).cast("int")
+    inside = F.concat(F.repeat(F.lit(_OUTSIDE), 3 * F.col("s")), F.rpad(F.substring(F.col("nt"), 3 * F.col("s") + 1, 3 * (F.col("e") - F.col("s"))), 3 * (F.col("e") - F.col("s")), GAP))
+    votes = tallied(held.select("id", "weight", "nt", s.alias("s"), e.alias("e")).where("e > s").select("id", "weight", inside.alias("seq")), "id", "weight", width=3).where(F.col("ch") != _OUTSIDE * 3)
+    nt = agreed_codons(votes.join(named.select("id", "codons"), "id").where("place < codons").drop("codons"), "id", threshold).withColumnRenamed("consensus", "nt")
+    padded = lambda c, n: F.rpad(F.coalesce(c, F.lit("")), n, GAP).alias(c)
+    out = named.join(common, "id").join(aa, "id", "left").join(nt, "id", "left")
+    return out.select("gene", "taxa", "names", "reference", "total", padded("aa", F.col("wide")), padded("nt", (3 * F.col("codons")).cast("int")))
+
+
 def merged(rows: DataFrame, references: DataFrame, mode: str = "consensus", threshold: float = 0.5) -> DataFrame:
     """G21 and G22 for rows (gene, taxa, name, ref, weight, aa, nt), references (gene, seq): one row for each overlap group of a
     gene and sample, ``mode`` consensus (A12 and A13) or split (G22). names are joined by && in order, reference is the commonest."""
+    if mode != "split":
+        return _agreed(rows, threshold)
 
     def every_sample(pdf: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
         known = sorted(refs["seq"].dropna()) if len(refs) else []
@@ -144,10 +180,7 @@ def merged(rows: DataFrame, references: DataFrame, mode: str = "consensus", thre
         for group in overlap_groups([r for r in aa if r.end > r.start]):
             names = sorted(r.name for r in group)
             common = Counter(ref[n] for n in names)
-            if mode == "split":
-                a, n = split_merge(group, nt, known)
-            else:
-                a, n = consensus(group, threshold), codon_consensus([Row(r.name, nt[r.name], r.weight) for r in group], threshold)
+            a, n = split_merge(group, nt, known)
             out.append((pdf["gene"].iloc[0], pdf["taxa"].iloc[0], "&&".join(names), min(common, key=lambda c: (-common[c], c)), sum(r.weight for r in group), a, n))
         return pd.DataFrame(out, columns=[c.split()[0] for c in _SCHEMA.split(", ")])
 
