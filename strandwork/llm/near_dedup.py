@@ -1,12 +1,12 @@
 """Near-duplicate documents: improved consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 Shingles are runs of five words (a text of one to four words is one shingle); a shingle weighs its count in the text times
-its inverse document frequency ln(1 + N / max(df, N/64)). Documents link if the weighted Jaccard similarity (sum of minima /
+its inverse document frequency ln(1 + N / max(df, 2)). Documents link if the weighted Jaccard similarity (sum of minima /
 sum of maxima) is 0.8 or more, and classes are the connected components of links.
 
-1.  Document frequencies of all shingles of all documents are counted in a fixed number of counters; shingles in counters that
-    reach N/64 are counted exactly. Below N/64 all weigh the same, so at most 64 times the mean number of shingles need a value, and
-    copies of one text don't drift apart by how many there are.
+1.  Document frequencies of all shingles are counted exactly. Texts lie in chunks; a chunk's sorted shingles are cut into ranges, each range
+    is summed over all chunks in one place, and what more than two documents hold goes back to its chunks with its count. Each chunk then
+    meets its own counts: no table of shingles is held whole anywhere.
 2.  Each text gives BANDS * ROWS samples. A sample of a shingle of the usual weight is one table look-up.
 3.  Exact copies fold into one row before any bucket is formed. Rows in one bucket of a band are candidates.
 4.  Verified first: each bucket's members against its leader, the member that shares most bucket places with others (near
@@ -24,7 +24,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +37,11 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 5
 SAMPLES = BANDS * ROWS
-#: Document frequencies above this share of the documents lower a shingle's weight.
-COMMON_SHARE = 1 / 64
-COUNTERS, PIECES = 1 << 18, 16
+#: Share of the documents up to which frequencies are not told apart: none, but that of one counts as of two.
+COMMON_SHARE = 0.0
+COUNTERS = 1 << 18
+#: Bytes of the texts that are counted and signed side by side.
+CHUNK = 1 << 20
 LEAST_AGREEING = 48 / 80
 BLOCK = 256
 FEATURES = 4096
@@ -77,81 +81,113 @@ class Weights:
         self.flag = np.zeros(COUNTERS, bool)
         self.flag[_counter(self.common)] = True
 
+        self.df = df[order]
+
+    @classmethod
+    def told(cls, documents: int, values: list[np.ndarray], df: list[np.ndarray]) -> Weights:
+        """Of the shingles of some texts, each with its document frequency; repeats allowed."""
+        every, first = np.unique(np.concatenate([np.zeros(0, np.uint64), *values]), return_index=True)
+        own = np.concatenate([np.zeros(0, np.uint32), *df])[first]
+        return cls(documents, every[own > 2], own[own > 2].astype(float))
+
+    def _common(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which values are common shingles, and their places in the table."""
+        if not len(self.common):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        near = np.flatnonzero(self.flag[_counter(values)])
+        place = np.minimum(np.searchsorted(self.common, values[near]), len(self.common) - 1)
+        hit = self.common[place] == values[near]
+        return near[hit], place[hit]
+
     def of(self, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = counts * self.usual
-        if len(self.common):
-            near = np.flatnonzero(self.flag[_counter(values)])
-            place = np.minimum(np.searchsorted(self.common, values[near]), len(self.common) - 1)
-            hit = self.common[place] == values[near]
-            w[near[hit]] = counts[near[hit]] * self.value[place[hit]]
+        at, place = self._common(values)
+        w[at] = counts[at] * self.value[place]
         return w
 
+    def frequencies(self, values: np.ndarray) -> np.ndarray:
+        """Document frequencies (uint32), 0 for the usual ones."""
+        out = np.zeros(len(values), np.uint32)
+        at, place = self._common(values)
+        out[at] = self.df[place]
+        return out
+
 
 def _counter(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(46)).astype(np.int64)
 
 
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64))
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as all their first bytes, then all second ones and so on: those that are mostly equal compress."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
 
+def _of_planes(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
-def weights(docs: DataFrame) -> Weights:
-    """Counts over all documents; the driver gets at most COUNTERS rows, then the common shingles."""
 
-    def sketch(batches):
-        total, rows = np.zeros(COUNTERS, np.int64), 0
+def chunked(docs: DataFrame) -> DataFrame:
+    """chunk, doc_id, key (of the exact text) and text: chunks are runs of rows of about CHUNK bytes, or one longer text."""
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            text = batch.column("text")
-            for i, j in text_slices(text):
-                found = [v for _, v, _ in shingles(text.slice(i, j - i))]
-                rows += len(found)
-                if found:
-                    total += np.bincount(_counter(np.concatenate(found)), minlength=COUNTERS)
+            for i, j in text_slices(batch.column("text"), CHUNK):
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(j - i, number)), *part.columns], ["chunk", "doc_id", "key", "text"])
+                number += 1
             release()
-        if rows:
-            pieces = [zstandard.compress(x.astype("<i8").tobytes()) for x in np.split(total, PIECES)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([rows] + [0] * (PIECES - 1), pa.int64()), pa.array(pieces, pa.binary())], ["piece", "documents", "counts"])
-
-    def summed(batches):
-        """The sums of each piece: tasks send compressed counters, not a row for each."""
-        held: dict[int, np.ndarray] = {}
-        rows = 0
-        for batch in batches:
-            rows += sum(batch.column("documents").to_pylist())
-            for k, x in zip(batch.column("piece").to_pylist(), batch.column("counts"), strict=True):
-                held[k] = held.get(k, 0) + np.frombuffer(zstandard.decompress(x.as_buffer()), "<i8")
-        out = [(k * (COUNTERS // PIECES) + np.flatnonzero(x), x[x > 0]) for k, x in held.items()] + [(np.array([-1]), np.array([rows]))]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x for x, _ in out])), pa.array(np.concatenate([n for _, n in out]))], ["counter", "n"])
-
-    texts = docs.select("text")
-    counted = texts.mapInArrow(sketch, "piece int, documents long, counts binary").repartition(PIECES, "piece").mapInArrow(summed, "counter long, n long")
-    rows = counted.toPandas()
-    documents = int(rows["n"][rows["counter"] < 0].sum())
-    least = max(2.0, documents * COMMON_SHARE)
-    full = rows["counter"][(rows["counter"] >= 0) & (rows["n"] >= least)].to_numpy(np.int64)
-    if not len(full):
-        return Weights(documents, np.zeros(0, np.uint64), np.zeros(0))
-    flag = np.zeros(COUNTERS, bool)
-    flag[full] = True
-
-    def exact(batches):
-        for batch in batches:
-            text = batch.column("text")
-            for i, j in text_slices(text):
-                found = [v[flag[_counter(v)]] for _, v, _ in shingles(text.slice(i, j - i))]
-                if not found:
-                    continue
-                values, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(values), pa.array(n)], ["shingle", "n"])
 
-    common = texts.mapInArrow(exact, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
-    return Weights(documents, common["shingle"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(float))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "chunk long, doc_id long, key binary, text string")
+
+
+def common_shingles(chunks: DataFrame) -> DataFrame:
+    """(chunk, shingles, df): of each chunk's shingles those that more than two documents of all chunks hold, in several rows; packed numbers."""
+    parts = shuffle_parts(chunks.sparkSession)
+    bounds = np.array([(k << 64) // parts for k in range(parts)], np.uint64)
+
+    def ranges(batches):
+        """A chunk's different shingles, sorted and cut by ``bounds``, as their differences, and in how many of its texts they are."""
+        for group in _groups(batches, ["chunk"]):
+            found = [v for _, v, _ in shingles(group.column("text"))]
+            if not found:
+                continue
+            values, n = np.unique(np.concatenate(found), return_counts=True)
+            cut = np.append(np.searchsorted(values, bounds), len(values))
+            some = np.flatnonzero(np.diff(cut))
+            own = [slice(cut[k], cut[k + 1]) for k in some]
+            chunk = pa.array(np.full(len(some), group.column("chunk")[0].as_py()))
+            packed = [pa.array([_planes(np.diff(values[x], prepend=np.uint64(0))) for x in own], pa.binary()), pa.array([_planes(n[x].astype("<u4")) for x in own], pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), chunk, *packed], ["piece", "chunk", "shingles", "n"])
+            release()
+
+    def told(batches):
+        for group in _groups(batches, ["piece"]):
+            values = [np.cumsum(_of_planes(x.as_py(), "<u8"), dtype=np.uint64) for x in group.column("shingles")]
+            every, which = np.unique(np.concatenate(values), return_inverse=True)
+            df = np.bincount(which, np.concatenate([_of_planes(x.as_py(), "<u4") for x in group.column("n")])).astype("<u4")[which]
+            out, first = [], 0
+            for chunk, v in zip(group.column("chunk").to_pylist(), values, strict=True):
+                own = df[first : first + len(v)]
+                first += len(v)
+                if (own > 2).any():
+                    out.append((chunk, v[own > 2].tobytes(), own[own > 2].tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["chunk", "shingles", "df"])
+            release()
+
+    cut = chunks.select("chunk", "text").mapInArrow(ranges, "piece int, chunk long, shingles binary, n binary")
+    return _dealt(cut, ["piece"]).mapInArrow(told, "chunk long, shingles binary, df binary")
 
 
 def similarity(w: Weights, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two (shingles, counts)."""
-    x, y = w.of(*a), w.of(*b)
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    return _like(a[0], w.of(*a), b[0], w.of(*b))
+
+
+def _like(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> float:
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     shared = float(np.minimum(x[i], y[j]).sum())
     return shared / (float(x.sum()) + float(y.sum()) - shared)
 
@@ -272,27 +308,33 @@ def text_key() -> Column:
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def signed_documents(docs: DataFrame, held) -> DataFrame:
-    """doc_id, key (of the exact text), bands and sample; bands and sample are null for texts without words."""
+def signed_documents(chunks: DataFrame, documents: int) -> DataFrame:
+    """doc_id, key, bands, sample and df (of the text's sorted shingles, packed); the last three are null for texts without words."""
 
     def run(batches):
-        for batch in batches:
-            text = batch.column("text")
-            for i, j in text_slices(text, 1 << 20):
-                part = text.slice(i, j - i)
-                rows, bands, sample = [], [None] * len(part), [None] * len(part)
-                found = []
-                for k, v, c in shingles(part):
-                    rows.append(k)
-                    found.append((v, c))
-                if rows:
-                    values = samples(held.value, found)
-                    for k, b, s in zip(rows, _banded(values).view(np.int64), (values & np.uint64(0xFFFF)).astype("<u2"), strict=True):
-                        bands[k], sample[k] = b, s.tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), batch.column("key").slice(i, j - i), pa.array(bands, pa.list_(pa.int64())), pa.array(sample, pa.binary())], ["doc_id", "key", "bands", "sample"])
+        pack = zstandard.ZstdCompressor(level=1)
+        for group in _groups(batches, ["chunk"]):
+            texts = pc.is_null(group.column("df"))
+            told, group = group.filter(pc.invert(texts)), group.filter(texts)
+            values, own = (np.frombuffer(b"".join(told.column(c).to_pylist()), t) for c, t in (("shingles", "<u8"), ("df", "<u4")))
+            w = Weights.told(documents, [values], [own])
+            part = group.column("text")
+            rows, bands, sample, df = [], [None] * len(part), [None] * len(part), [None] * len(part)
+            found = []
+            for k, v, c in shingles(part):
+                rows.append(k)
+                found.append((v, c))
+                df[k] = pack.compress(w.frequencies(v).tobytes())
+            if rows:
+                drawn = samples(w, found)
+                for k, b, s in zip(rows, _banded(drawn).view(np.int64), (drawn & np.uint64(0xFFFF)).astype("<u2"), strict=True):
+                    bands[k], sample[k] = b, s.tobytes()
+            columns = [group.column(c).combine_chunks() for c in ("doc_id", "key")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(bands, pa.list_(pa.int64())), pa.array(sample, pa.binary()), pa.array(df, pa.binary())], ["doc_id", "key", "bands", "sample", "df"])
             release()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text").mapInArrow(run, "doc_id long, key binary, bands array<long>, sample binary")
+    rows = chunks.unionByName(common_shingles(chunks), allowMissingColumns=True)
+    return _dealt(rows, ["chunk"]).mapInArrow(run, "doc_id long, key binary, bands array<long>, sample binary, df binary")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -319,44 +361,46 @@ def _dealt(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     return df.repartition(shuffle_parts(df.sparkSession), *keys).sortWithinPartitions(*keys, *order)
 
 
-def _vectors(texts: pa.ChunkedArray | pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(shingles, counts) of texts that all have words."""
+def _vectors(table: pa.Table | pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(shingles, counts, document frequencies) of rows (text, df) that all have words."""
     out = []
-    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    text, df = table.column("text"), table.column("df")
+    texts = text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text
     for i, j in text_slices(texts):
-        out += [(v, c) for _, v, c in shingles(texts.slice(i, j - i))]
+        out += [(v, c, np.frombuffer(zstandard.decompress(df[i + k].as_py()), "<u4")) for k, v, c in shingles(texts.slice(i, j - i))]
     return out
 
 
-def _stars(members: DataFrame, texts: DataFrame, held) -> DataFrame:
+def _stars(members: DataFrame, texts: DataFrame, documents: int) -> DataFrame:
     """The links (a, b) between leaders and members of their buckets."""
     pairs = written(members.where("node != leader").select("leader", "node").distinct(), "pairs")
     many = written(pairs.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "leaders")
     # Blocks are dealt before any text is sent: a leader of very many members is many keys.
     dealt = salted_join(pairs, many, "leader", "node").select("leader", "node", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"))
-    text = lambda name: texts.select(F.col("node").alias(name), "text")
-    spokes = dealt.hint("merge").join(text("node"), "node").select("leader", "part", "node", "text")
-    hubs = many.hint("merge").join(text("leader"), "leader").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("node"), "text")
+    text = lambda name: texts.select(F.col("node").alias(name), "text", "df")
+    spokes = dealt.hint("merge").join(text("node"), "node").select("leader", "part", "node", "text", "df")
+    hubs = many.hint("merge").join(text("leader"), "leader").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("node"), "text", "df")
 
     def verify(batches):
-        w = held.value
+        floor = Weights(documents, np.zeros(0, np.uint64), np.zeros(0)).floor
         centre, own = None, None
         for batch in batches:
             leader, node, part = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("leader", "node", "part"))
             keep = []
-            for k, vector in enumerate(_vectors(batch.column("text"))):
+            for k, (values, counts, df) in enumerate(_vectors(batch)):
+                vector = values, counts * np.log1p(documents / np.maximum(df, floor))
                 if leader[k] == node[k]:
                     centre, own = vector, (leader[k], part[k])
-                elif own == (leader[k], part[k]) and similarity(w, centre, vector) >= SIMILARITY - ROUNDING:
+                elif own == (leader[k], part[k]) and _like(*centre, *vector) >= SIMILARITY - ROUNDING:
                     keep.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(leader[keep], pa.int64()), pa.array(node[keep], pa.int64())], ["a", "b"])
             release()
 
     rows = spokes.unionByName(hubs).withColumn("spoke", F.col("leader") != F.col("node"))
-    return _dealt(rows, ["leader", "part"], "spoke").select("leader", "part", "node", "text").mapInArrow(verify, "a long, b long")
+    return _dealt(rows, ["leader", "part"], "spoke").select("leader", "part", "node", "text", "df").mapInArrow(verify, "a long, b long")
 
 
-def _across(members: DataFrame, texts: DataFrame, held) -> DataFrame:
+def _across(members: DataFrame, texts: DataFrame, documents: int) -> DataFrame:
     """Links (a, b) that span what candidates of different classes link to, from (bucket, node, label, outside).
 
     Blocks of members outside the leader's class meet blocks of all members; a bucket of any size spreads over many groups.
@@ -366,12 +410,11 @@ def _across(members: DataFrame, texts: DataFrame, held) -> DataFrame:
     part = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     place = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), part(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), part(n) - 1))
-    own = ["bucket", "node", "label", "sample", "text"]
+    own = ["bucket", "node", "label", "sample", "text", "df"]
     left = rows.where("outside").select(*own, F.lit(True).alias("left"), place("n_out", 1).alias("p"), every("n").alias("q"))
     right = rows.select(*own, F.lit(False).alias("left"), every("n_out").alias("p"), place("n", 2).alias("q"))
 
     def meet(batches):
-        w = held.value
         for group in _groups(batches, ["bucket", "p", "q"]):
             side = group.column("left").to_numpy()
             x, y = group.filter(pa.array(side)), group.filter(pa.array(~side))
@@ -383,11 +426,13 @@ def _across(members: DataFrame, texts: DataFrame, held) -> DataFrame:
             i, j = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
             if not len(i):
                 continue
-            like = similarities(w, _vectors(x.column("text").take(pa.array(i))), _vectors(y.column("text").take(pa.array(j))))
+            left, right = _vectors(x.take(pa.array(i))), _vectors(y.take(pa.array(j)))
+            w = Weights.told(documents, [v for v, _, _ in left + right], [df for _, _, df in left + right])
+            like = similarities(w, [v[:2] for v in left], [v[:2] for v in right])
             r, c = forest((like >= SIMILARITY - ROUNDING) & near[np.ix_(i, j)])
             yield pa.RecordBatch.from_arrays([pa.array(x.column("node").to_numpy()[i[r]]), pa.array(y.column("node").to_numpy()[j[c]])], ["a", "b"])
 
-    rows = left.unionByName(right).select("bucket", "p", "q", "left", "node", "label", "sample", "text")
+    rows = left.unionByName(right).select("bucket", "p", "q", "left", "node", "label", "sample", "text", "df")
     return _dealt(rows, ["bucket", "p", "q"]).mapInArrow(meet, "a long, b long")
 
 
@@ -399,9 +444,11 @@ def classes(docs: DataFrame) -> DataFrame:
     of that row's text (the smallest of several), so that classes of one class_id can be told apart. Null, empty and wordless texts
     link with nothing: each row is a class of its own, with its doc_id. An empty table gives an empty one.
     """
-    held = docs.sparkSession.sparkContext.broadcast(weights(docs))
-    signed = written(signed_documents(docs, held), "signed")
-    one = signed.where("bands is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sample").alias("sample"))
+    chunks = written(chunked(docs), "chunks")
+    documents = chunks.where(F.col("text").rlike(WORD)).count()
+    signed = written(signed_documents(chunks, documents), "signed")
+    dropped(chunks)
+    one = signed.where("bands is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sample").alias("sample"), F.first("df").alias("df"))
     reps = written(one.withColumn("node", F.monotonically_increasing_id()), "representatives")
     spread = reps.select("node", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -411,11 +458,11 @@ def classes(docs: DataFrame) -> DataFrame:
     lead = placed.join(degree, "node").groupBy("bucket").agg(F.max("n").alias("n"), F.max(F.struct("degree", -F.col("node"), "node")).alias("l"))
     members = written(salted_join(placed, lead.select("bucket", "n", F.col("l.node").alias("leader")), "bucket", "node", F.ceil(F.col("n") / BLOCK)), "members")
     texts = written(_texts(docs, reps.join(degree.select("node").hint("merge"), "node")), "texts")
-    links = written(_stars(members, texts, held), "links")
+    links = written(_stars(members, texts, documents), "links")
     found = components(links)
     named = lambda df, key, name: df.join(found.select(F.col("node").alias(key), F.col("component").alias(f"{name}_")), key, "left").withColumn(name, F.coalesce(f"{name}_", key)).drop(f"{name}_")
     labelled = written(named(named(members, "node", "label"), "leader", "main").withColumn("outside", F.col("label") != F.col("main")), "labelled")
-    more = written(_across(labelled, texts, held), "links")
+    more = written(_across(labelled, texts, documents), "links")
     dropped(placed, members, labelled, texts)
     found = written(components(links.unionAll(more)), "components")
     # The first row of each class, to which its members are led by a join that a very large class doesn't crowd.
@@ -436,9 +483,9 @@ def _rows_of(docs: DataFrame, ids: DataFrame, *columns) -> DataFrame:
 
 
 def _texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """node, text and sample of representatives: of one row that bears the text, so copies are not sent."""
-    found = _rows_of(docs, reps.select("first_id", "key", "node", "sample"), "text")
-    return found.agg(F.first("node").alias("node"), F.first("text").alias("text"), F.first("sample").alias("sample")).select("node", "text", "sample")
+    """node, text, sample and df of representatives: of one row that bears the text, so copies are not sent."""
+    found = _rows_of(docs, reps.select("first_id", "key", "node", "sample", "df"), "text")
+    return found.agg(F.first("node").alias("node"), F.first("text").alias("text"), F.first("sample").alias("sample"), F.first("df").alias("df")).select("node", "text", "sample", "df")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
