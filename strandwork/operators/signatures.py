@@ -2,11 +2,13 @@
 
 A signature has a bit for each of 256 random directions: which side the sum of a text's different k-mers lies on. Rows of a gene are one node; a node of
 too many rows is split in two by the bit that divides it most evenly, then each row goes to the nearer of both sides' majority signatures, a few times. What a
-level needs of a node is its bit counts: partitions send one row a node, whatever its size, and rows are never gathered.
+level needs of a node is its bit counts: partitions send one row a node, whatever its size. Nodes of up to LOCAL rows, whose signatures are one
+megabyte at most, are split to their end where they are, by the same steps.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,8 @@ from strandwork.scratch import dropped, written
 BITS = 256
 #: Rounds of going to the nearer side, nodes that a partition holds counts of, and rows of a table that may be broadcast.
 ROUNDS, HELD, MOST_BROADCAST = 2, 4096, 20_000
+#: Rows of a node that one task splits to the end.
+LOCAL = 1 << 15
 _POWERS = np.uint64(256) ** np.arange(8, dtype=np.uint64)
 
 
@@ -38,10 +42,13 @@ def signature(text: bytes, k: int = 5) -> bytes:
         return bytes(BITS // 8)
     raw = np.frombuffer(text, np.uint8).astype(np.uint64)
     k = min(k, len(raw))
-    grams = np.unique(sum(raw[j : len(raw) - k + 1 + j] * _POWERS[j] for j in range(k)))
+    grams = np.sort(sum(raw[j : len(raw) - k + 1 + j] * _POWERS[j] for j in range(k)))
+    grams = grams[np.append(True, grams[1:] != grams[:-1])]
     with np.errstate(over="ignore"):
         words = _mixed(grams[:, None] * np.uint64(4) + np.arange(4, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    ones = np.unpackbits(words.view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    bits = np.unpackbits(words.view(np.uint8), axis=1)
+    whole = len(bits) // 255 * 255  # sums of 255 bits are bytes
+    ones = bits[whole:].sum(0, dtype=np.int64) + np.add.reduce(bits[:whole].reshape(-1, 255, BITS), axis=1, dtype=np.uint8).sum(0, dtype=np.int64)
     return np.packbits(2 * ones > len(grams)).tobytes()
 
 
@@ -127,6 +134,43 @@ def _nearer(sig: pd.Series, zero: pd.Series, one: pd.Series) -> pd.Series:
     return pd.Series([int(z is not None and o is not None and far(s, o) < far(s, z)) for s, z, o in zip(sig, zero, one, strict=True)], dtype="int32")
 
 
+def _split(sigs: list[bytes], dealt: np.ndarray, most: int) -> np.ndarray:
+    """What a node's rows have after its name when it is split to the end, as signature_clusters() does it level by level; dealt: xxhash64 of the names."""
+    words, bits = np.frombuffer(b"".join(sigs), np.uint64).reshape(-1, BITS // 64), _bits(sigs)
+    out, waiting = np.full(len(sigs), "", object), [("", np.arange(len(sigs)))]
+    while waiting:
+        name, at = waiting.pop()
+        n = len(at)
+        if n <= most:
+            out[at] = name
+            continue
+        ones = bits[at].sum(0, dtype=np.int64)
+        less = np.minimum(ones, n - ones)
+        if not less.max():
+            out[at] = [f"{name}={x}" for x in dealt[at] % math.ceil(n / most)]
+            continue
+        even = bits[at, less.argmax()].astype(bool)
+        side = even
+        for _ in range(ROUNDS):
+            if side.all() or not side.any():
+                side = np.zeros(n, bool)
+                continue
+            centres = [np.packbits(2 * bits[at[own]].sum(0, dtype=np.int64) > own.sum()).view(np.uint64) for own in (~side, side)]
+            zero, one = (np.bitwise_count(words[at] ^ c).sum(1, dtype=np.int64) for c in centres)
+            side = one < zero
+        side = even if side.all() or not side.any() else side
+        waiting += [(name + "0", at[~side]), (name + "1", at[side])]
+    return out
+
+
+def _split_here(rows: DataFrame, most: int) -> DataFrame:
+    """(gene, name, node) of rows (gene, name, node, sig) whose nodes have LOCAL rows at most, with the nodes that they end in."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[["gene", "name"]].assign(node=pdf["node"] + _split(list(pdf["sig"]), pdf["dealt"].to_numpy(), most))
+
+    return rows.withColumn("dealt", F.xxhash64("name")).groupBy("gene", "node").applyInPandas(run, "gene string, name string, node string")
+
+
 def signature_clusters(rows: DataFrame, k: int = 5, most: int = 500) -> DataFrame:
     """(gene, name, cluster) of rows (gene, name, seq): clusters from 0 in each gene, of at most ``most`` rows or thereabouts where alike rows
     are dealt by their names. The same rows give the same clusters, however they are partitioned. A null gene is a gene.
@@ -134,9 +178,10 @@ def signature_clusters(rows: DataFrame, k: int = 5, most: int = 500) -> DataFram
     left, done = written(signatures(rows, k).withColumn("node", F.lit("")), "signatures"), []
     while True:
         sizes = written(_counted(left.withColumn("side", F.lit(0))), "sizes")
-        small = written(_given(left, sizes.where(F.col("n") <= most).select("gene", "node")).select("gene", "name", "node"), "small")
+        few = max(most, LOCAL)
+        small = written(_split_here(_given(left, sizes.where(F.col("n") <= few).select("gene", "node")), most), "small")
         done.append(small)
-        big = sizes.where(F.col("n") > most)
+        big = sizes.where(F.col("n") > few)
         if not big.count():
             dropped(left, sizes)
             break

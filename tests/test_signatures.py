@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from strandwork.functions.blosum import LETTERS
 from strandwork.operators import signatures as S
 
@@ -40,3 +42,17 @@ def test_clusters(spark):
         assert kinds.most_common(1)[0][1] >= 0.9 * sum(kinds.values())
     assert {c for (g, _), c in found[0].items() if g == "few"} == {0} and found[0][None, "z"] == 0
     assert S.signature_clusters(spark.createDataFrame([], ROWS)).count() == 0
+
+
+def test_nodes_split_where_they_are_equal_the_levels(spark, monkeypatch):
+    """Small nodes are finished by one task; all levels over the whole table give the same clusters, alike rows and null genes included."""
+    r = np.random.default_rng(5)
+    texts = ["".join(r.choice(list("ACDEFGHIKL"), 60)) for _ in range(9)]
+    rows = [("a" if k % 3 else None, f"n{k}", texts[k % 9][: 30 + k % 31]) for k in range(300)] + [("b", f"m{k}", texts[0]) for k in range(90)]
+    df = spark.createDataFrame(rows, ROWS).repartition(3)
+    found = {}
+    for local in (S.LOCAL, 0):
+        monkeypatch.setattr(S, "LOCAL", local)
+        found[local] = {(x["gene"], x["name"]): x["cluster"] for x in S.signature_clusters(df, most=25).collect()}
+    assert found[0] == found[1 << 15] and len(found[0]) == 390 and len(set(found[0].items())) == 390
+    assert max(v for (g, _), v in found[0].items() if g == "b") == 3
