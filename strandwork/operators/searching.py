@@ -156,39 +156,52 @@ def banded(reads: list[np.ndarray], targets: list[np.ndarray], low: list[int], w
     """(score, start, end in the read, start, end in the target) of the best local alignment of each pair within ``width`` diagonals from
     ``low`` on, gaps affine; of equal scores that with the latest start in the read, then in the target, then the earliest end.
 
-    All pairs go side by side, a row for each letter of the reads. A cell's number holds its score above the start of its alignment, so the
-    larger of two numbers is the better alignment; gaps along a row are a running maximum.
+    All pairs go side by side, a step for each letter of the reads. A cell's number holds its score above the start of its alignment, so the
+    larger of two numbers is the better alignment; gaps along a step are a running maximum. Cells without a score need no mending: the
+    start of a new alignment is larger than any of them, and gaps only make them less.
     """
     n, rows = len(reads), max(map(len, reads))
-    q = np.full((n, rows), 21)
+    size = len(_MATRIX)
+    q = np.full((rows, n, 1), 21 * size)
     t = np.full((n, rows + width), 21)
     for c in range(n):
-        q[c, : len(reads[c])] = reads[c]
+        q[: len(reads[c]), c, 0] = reads[c] * size
         s = max(0, low[c])
         own = targets[c][s : max(s, low[c] + rows + width)]
         t[c, s - low[c] : s - low[c] + len(own)] = own
-    shifted = _MATRIX << _SHIFT
+    shifted = (_MATRIX << _SHIFT).ravel()
     step, first = np.int64(GAP_LETTER << _SHIFT), np.int64((GAP_OPEN + GAP_LETTER) << _SHIFT)
     ramp = step * np.arange(width)
+    back = ramp + first
     lowest = np.array(low, np.int64)[:, None] + np.arange(width)
     least = np.int64(1) << _SHIFT
     h, f = np.full((n, width + 1), _NONE), np.full((n, width + 1), _NONE)  # one more: the band's edge
-    best, place = np.zeros(n, np.int64), np.zeros((n, 2), np.int64)
+    best, place = np.full(n, least - 1), np.zeros((n, 2), np.int64)
+    here, start, down, cell = (np.empty((n, width), np.int64) for _ in range(4))
+    inside = 1 - lowest.min()  # from here on all places of the band lie behind the target's begin
     for i in range(rows):
-        gain = shifted[q[:, i, None], t[:, i : i + width]]
-        start = np.int64(i << _HALF) + np.maximum(lowest + i, 0)
-        down = np.maximum(h[:, 1:] - first, f[:, 1:] - step)
-        here = np.maximum(np.maximum(h[:, :-1], start) + gain, down)
-        here[here < least] = _NONE
-        along = np.maximum.accumulate(here + ramp, axis=1) - ramp
-        here[:, 1:] = np.maximum(here[:, 1:], along[:, :-1] - first)
-        here[here < least] = _NONE
-        h[:, :-1], f[:, :-1] = here, np.where(down < least, _NONE, down)
+        if i and i >= inside:
+            start += (1 << _HALF) + 1
+        else:
+            np.maximum(np.add(lowest, i, out=start), 0, out=start)
+            start += i << _HALF
+        np.subtract(h[:, 1:], first, out=down)
+        np.subtract(f[:, 1:], step, out=f[:, :-1])
+        np.maximum(down, f[:, :-1], out=f[:, :-1])
+        np.maximum(h[:, :-1], start, out=here)
+        np.add(t[:, i : i + width], q[i], out=cell)
+        here += shifted.take(cell, out=down, mode="clip")
+        np.maximum(here, f[:, :-1], out=here)
+        np.maximum.accumulate(np.add(here, ramp, out=cell), axis=1, out=down)
+        down -= back
+        np.maximum(here[:, 1:], down[:, :-1], out=here[:, 1:])
+        h[:, :-1] = here
         top = here.argmax(1)
         value = here[np.arange(n), top]
-        better = value > best
+        better = np.flatnonzero(value > best)
         best[better] = value[better]
-        place[better, 0], place[better, 1] = i + 1, (lowest[np.arange(n), top] + i + 1)[better]
+        place[better, 0], place[better, 1] = i + 1, lowest[better, top[better]] + i + 1
+    best[best < least] = 0
     mask = (1 << _HALF) - 1
     return [(int(v >> _SHIFT), int(v >> _HALF & mask), int(e), int(v & mask), int(g)) for v, (e, g) in zip(best, place, strict=True)]
 

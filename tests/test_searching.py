@@ -4,6 +4,7 @@ import math
 import os
 import random
 
+import numpy as np
 import pytest
 
 from strandwork.functions.blosum import LETTERS
@@ -117,3 +118,20 @@ def test_search_finds_what_all_pairs_have_above_a_score(spark):
         high = {k: v for k, v in wanted.items() if v[0] >= score}
         assert (high or score > 160) and {k: got.get(k) for k in high} == high
         assert got and all(got[k][0] <= wanted[k][0] for k in got)
+
+
+def test_banded_alignment_cell_by_cell():
+    """Scores of the band against a plain table of cells: bands beyond both ends, other letters, reads of unlike lengths side by side."""
+    r = random.Random(11)
+    reads = [np.array([r.randrange(21) for _ in range(r.randrange(1, 40))]) for _ in range(40)]
+    targets = [np.array([r.randrange(21) for _ in range(r.randrange(8))] + [*x[r.randrange(len(x)) :]] + [r.randrange(21) for _ in range(12)]) for x in reads]
+    low, width = [r.randrange(-30, 20) for _ in reads], 17
+    for (score, *_), x, y, first in zip(se.banded(reads, targets, low, width), reads, targets, low, strict=True):
+        h, e, f, best = {}, {}, {}, 0
+        for i in range(len(x)):
+            for j in range(max(0, i + first), min(len(y), i + first + width)):
+                e[i, j] = max(h.get((i, j - 1), -999) - 12, e.get((i, j - 1), -999) - 1)
+                f[i, j] = max(h.get((i - 1, j), -999) - 12, f.get((i - 1, j), -999) - 1)
+                h[i, j] = max(0, h.get((i - 1, j - 1), 0) + int(se._MATRIX[x[i], y[j]]), e[i, j], f[i, j])
+                best = max(best, h[i, j])
+        assert score == best
