@@ -144,8 +144,8 @@ def chunked(docs: DataFrame) -> DataFrame:
 
 def common_shingles(chunks: DataFrame) -> DataFrame:
     """(chunk, shingles, df): of each chunk's shingles those that more than two documents of all chunks hold, in several rows; packed numbers."""
-    parts = shuffle_parts(chunks.sparkSession)
-    bounds = np.array([(k << 64) // parts for k in range(parts)], np.uint64)
+    pieces = 4 * shuffle_parts(chunks.sparkSession)  # several for each task, so that tasks get about as much
+    bounds = np.array([(k << 64) // pieces for k in range(pieces)], np.uint64)
 
     def ranges(batches):
         """A chunk's different shingles, sorted and cut by ``bounds``, as their differences, and in how many of its texts they are."""
