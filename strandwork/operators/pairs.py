@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -191,7 +197,135 @@ def references_and_candidates(rows: DataFrame, header: str = "header") -> tuple[
     return rows.where(is_reference(F.col(header))), rows.where(~is_reference(F.col(header)))
 
 
-def pairs_within(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """J8. Every two rows of equal keys once, the second's columns with the suffix _b: for the references of a gene, tens to hundreds of rows."""
-    other = rows.select(*keys, *[F.col(c).alias(f"{c}_b") for c in rows.columns if c not in keys])
-    return rows.join(other, keys).where(F.col(name) < F.col(f"{name}_b"))
+#: Rows of a block of one key where every two rows meet, and pairs that are worked out at once.
+PAIR_ROWS, PAIR_STEP = 2048, 1 << 17
+
+
+def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``width`` components of each array as doubles, and which of them are there: not null, and within the array."""
+    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten()
+    there = np.append(flat.is_valid().to_numpy(zero_copy_only=False), False)
+    values = np.append(flat.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False), 0.0)
+    at = (np.cumsum(size) - size)[:, None] + np.arange(width)
+    at = np.where(np.arange(width) < size[:, None], at, len(flat))
+    return values[at], there[at]
+
+
+def _halves_up(d: np.ndarray, digits: int) -> np.ndarray:
+    """As Spark's round(): half up in the shortest decimal form of each double; what has no further digits, or is not finite, stays."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        y = d * 10.0**digits
+        low = np.floor(y)
+        out = (low + (y - low >= 0.5)) / 10.0**digits
+        near = np.abs(y - low - 0.5) <= 1e-6 + y * 1e-15
+        out = np.where(y < 1e16, out, d)
+    for k in np.flatnonzero(near & (y < 1e16)):
+        out[k] = float(Decimal(repr(float(d[k]))).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+    return out
+
+
+def _one_by_one(p: np.ndarray, q: np.ndarray, p_there: np.ndarray, q_there: np.ndarray, digits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of rows of p and q, summed component by component over those that both have, and where there are none."""
+    both, total = p_there & q_there, np.zeros(len(p))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for k in range(p.shape[1]):
+            total += np.where(both[:, k], (p[:, k] - q[:, k]) ** 2, 0.0)
+    return _halves_up(total, digits), ~both.any(1)
+
+
+def _block_distances(p: tuple, q: tuple | None, digits: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """Every two rows of one block (``q`` None), or every row of one with every row of another: smaller name, larger name, distance.
+
+    The distances are a matrix product; where its rounding error could change the last digit, they are summed component by component.
+    """
+    ids, x, there = p
+    ids_b, y, there_b = q or p
+    whole = bool(there.all() and there_b.all())
+    with np.errstate(invalid="ignore", over="ignore"):
+        square, square_b = (x**2).sum(1), (y**2).sum(1)
+        slack = 10.0**digits * 1e-13 * (square.max(initial=0) + square_b.max(initial=0)) + 1e-9
+    step = max(1, PAIR_STEP // max(1, len(ids_b)))
+    for i in range(0, len(ids), step):
+        own = slice(i, i + step)
+        # In a block of its own order, the rows before have met these.
+        from_ = i if q is None else 0
+        names, names_b = np.broadcast_arrays(ids[own, None], ids_b[None, from_:])
+        taken = names < names_b if q is None else names != names_b
+        every = bool(taken.all())
+        pick = np.ravel if every else lambda m: m[taken]  # noqa: B023
+        n = taken.size if every else int(taken.sum())
+        if whole:
+            with np.errstate(invalid="ignore", over="ignore"):
+                scaled = x[own] @ y[from_:].T
+                scaled *= -2
+                scaled += square[own, None]
+                scaled += square_b[from_:]
+                scaled = pick(scaled) * 10.0**digits
+                low = np.floor(scaled)
+                scaled -= low
+                low += scaled >= 0.5
+                low /= 10.0**digits
+                scaled -= 0.5
+                out, again = low, np.flatnonzero(~(np.abs(scaled, out=scaled) > slack))
+        else:
+            out, again = np.empty(n), np.arange(n)
+        none = None
+        if len(again):
+            r, c = np.divmod(again if every else np.flatnonzero(taken)[again], taken.shape[1])
+            out[again], missing = _one_by_one(x[own][r], y[from_:][c], there[own][r], there_b[from_:][c], digits)
+            if missing.any():
+                none = np.zeros(n, bool)
+                none[again] = missing
+        a, b = (names, names_b) if q is None else (np.minimum(names, names_b), np.maximum(names, names_b))
+        yield pick(a), pick(b), pa.array(out, mask=none, from_pandas=False)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys."""
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes = [batch.column(k).dictionary_encode().indices.to_numpy(zero_copy_only=False) for k in keys]
+        new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in codes])) + 1
+        for s, e in zip([0, *new], [*new, batch.num_rows], strict=True):
+            key = [batch.column(k)[int(s)].as_py() for k in keys]
+            if held and key != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(int(s), int(e - s)))
+            now = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def pair_distances(rows: DataFrame, key: str, name: str, vector: str, width: int, digits: int) -> DataFrame:
+    """J8. Every two rows of one key: a and b, the smaller and larger ``name`` (a whole number), and the squared distance of their first
+    ``width`` components, rounded. Components that either lacks are left out; without any common one the distance is null.
+
+    The result is quadratic by nature. A key's rows are dealt into blocks of about PAIR_ROWS, every two blocks meet in a task, and their
+    pairs pass on in steps: a task holds two blocks, however many rows a key has.
+    """
+    known = rows.select(F.col(key).alias("key"), F.col(name).cast("long").alias("name"), F.col(vector).alias("vector")).where("key is not null and name is not null")
+    sizes = known.groupBy("key").agg(F.ceil(F.count("*") / PAIR_ROWS).cast("int").alias("blocks"))
+    dealt = known.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("name", "vector"), F.col("blocks")).cast("int"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("own", k).alias("x"), F.greatest("own", k).alias("y"), (F.col("own") > k).alias("second")))
+    sent = dealt.select("key", "name", "vector", F.explode(meets).alias("m")).select("key", "m.*", "name", "vector")
+
+    def block(table: pa.Table) -> tuple:
+        ids = table.column("name").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        x, there = _matrix(table.column("vector").combine_chunks(), width)
+        return ids[order], x[order], there[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["key", "x", "y"]):
+            second = group.column("second")
+            alone = group.column("x")[0] == group.column("y")[0]
+            for a, b, distance in _block_distances(block(group.filter(pc.invert(second))), None if alone else block(group.filter(second)), digits):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), distance], ["a", "b", "distance"])
+
+    # Into a fixed number of partitions: blocks are small to shuffle and long to work on.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sent.repartition(n, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "a long, b long, distance double")

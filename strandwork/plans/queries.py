@@ -253,10 +253,7 @@ def iqr_linear(spark, d):
 FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id""")
 def pairwise_distance(spark, d):
     """All pairs of one label, as between the references of one gene."""
-    e = load(spark, d, "embeddings")
-    square = F.aggregate(F.zip_with("embedding", "embedding_b", lambda p, q: F.pow(p.cast("double") - q.cast("double"), 2)), F.lit(0.0), lambda s, v: s + v)
-    both = pairs.pairs_within(e.select("label", "vec_id", "embedding"), ["label"], "vec_id")
-    return both.select(F.col("vec_id").alias("a"), F.col("vec_id_b").alias("b"), F.round(square, 4).alias("distance"))
+    return pairs.pair_distances(load(spark, d, "embeddings"), "label", "vec_id", "embedding", 64, 4)
 
 
 @query("SELECT event_type AS gene, user_id % 5 AS taxon, count(*) AS n FROM events GROUP BY CUBE (event_type, user_id % 5)")
