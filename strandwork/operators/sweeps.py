@@ -122,10 +122,11 @@ class Dominance:
         return True
 
 
-def streamed_keep(df: DataFrame, keys: list[str], order: list, compared: list[str], fold: Callable[[], object]) -> DataFrame:
+def streamed_keep(df: DataFrame, keys: list[str], order: list, compared: list[str], fold: Callable[[], object], dealt: list[str] | None = None) -> DataFrame:
     """The rows of each group that fold() keeps when it sees their ``compared`` columns in ``order``; rows with a null among those stay.
 
-    Rows are sorted in the partition of their group and pass as a stream of Arrow batches. ``order`` should be total.
+    Rows are sorted in the partition of their group and pass as a stream of Arrow batches. ``order`` should be total. Rows are dealt by
+    their group or, to lie where the steps before put them, by some of its columns (``dealt``).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own, none = None, None, True
@@ -138,4 +139,4 @@ def streamed_keep(df: DataFrame, keys: list[str], order: list, compared: list[st
                 mask.append(None in values or own.keeps(*values))
             yield batch.filter(pa.array(mask))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, df.schema)
+    return df.repartition(*(dealt or keys)).sortWithinPartitions(*keys, *order).mapInArrow(run, df.schema)
