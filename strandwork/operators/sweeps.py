@@ -6,7 +6,7 @@ A row is compared with the kept ranges that can meet it, found in an index, so a
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -122,12 +122,14 @@ class Dominance:
         return True
 
 
-def streamed_keep(df: DataFrame, keys: list[str], order: list, compared: list[str], fold: Callable[[], object], dealt: list[str] | None = None) -> DataFrame:
+def streamed_keep(df: DataFrame, keys: list[str], order: list, compared: list[str], fold: Callable[[], object], dealt: list[str] | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """The rows of each group that fold() keeps when it sees their ``compared`` columns in ``order``; rows with a null among those stay.
 
     Rows are sorted in the partition of their group and pass as a stream of Arrow batches. ``order`` should be total. Rows are dealt by
-    their group or, to lie where the steps before put them, by some of its columns (``dealt``).
+    their group or, to lie where the steps before put them, by some of its columns (``dealt``). Rows that ``order`` leaves equal come in the
+    order of the columns ``ties``, which are not given on.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own, none = None, None, True
         for batch in batches:
@@ -139,4 +141,5 @@ def streamed_keep(df: DataFrame, keys: list[str], order: list, compared: list[st
                 mask.append(None in values or own.keeps(*values))
             yield batch.filter(pa.array(mask))
 
-    return df.repartition(*(dealt or keys)).sortWithinPartitions(*keys, *order).mapInArrow(run, df.schema)
+    rows = df.repartition(*(dealt or keys)).sortWithinPartitions(*keys, *order, *ties).drop(*ties)
+    return rows.mapInArrow(run, rows.schema)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strandwork.functions import dna, headers, intervals, msa
 from strandwork.operators import columns, combining, hits as H, islands, outliers, pairs, reads as R
 from strandwork.plans.registry import QUERIES, SQL, plain, query
-from strandwork.plans.tables import ALIGNMENT_SQL, HITS_SQL, LETTERS_SQL, READS_SQL, WITH_N_SQL, alignment, hits, load, reads, with_n
+from strandwork.plans.tables import ALIGNMENT_SQL, HITS_SQL, LETTERS_SQL, PLACE, READS_SQL, WITH_N_SQL, alignment, hits, load, reads, with_n
 
 TOP_SQL = HITS_SQL + """,
 ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, header, line, target) AS rn, count(*) OVER () AS n FROM hits),
@@ -68,8 +68,9 @@ _COMMON = "(least(rows[k].e, rows[i + 1].e) - greatest(rows[k].s, rows[i + 1].s)
 @query(f"WITH RECURSIVE {HITS_SQL}, g AS (SELECT header, list({{'line': line, 's': least(qstart, qend), 'e': greatest(qstart, qend)}} ORDER BY line, target) AS rows FROM hits GROUP BY header), " + _FOLD.format(meets=f"{_COMMON} > 0 AND {_COMMON} / CAST(greatest(rows[k].e, rows[i + 1].e) - least(rows[k].s, rows[i + 1].s) AS DOUBLE) >= 0.3"))
 def internal_filter_greedy(spark, d):
     s, e = intervals.swapped(F.col("frame"), F.col("qstart"), F.col("qend"))
-    rows = hits(spark, d).select("header", "line", "target", s.alias("qstart"), e.alias("qend"))
-    return H.internal_filter(rows, ["header"], ["line", "target"]).select("header", "line")
+    rows = hits(spark, d, placed=True).select("header", "line", "target", s.alias("qstart"), e.alias("qend"), *PLACE)
+    # One part may stand twice in a line's number: the order of the table decides then.
+    return H.internal_filter(rows, ["header"], ["line", "target"], ties=PLACE).select("header", "line")
 
 
 @query(f"WITH RECURSIVE {HITS_SQL}, g AS (SELECT header, list({{'line': line, 'sc': score, 's': least(qstart, qend), 'e': greatest(qstart, qend)}} ORDER BY score DESC, line, target) AS rows FROM hits GROUP BY header), " + _FOLD.format(meets=f"{_COMMON} > 0 AND {_COMMON} >= 0.6 * (rows[i + 1].e - rows[i + 1].s) AND rows[k].sc / rows[i + 1].sc >= 1.1"))
