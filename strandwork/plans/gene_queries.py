@@ -11,7 +11,7 @@ from strandwork.operators import outliers, profiling, searching, signatures
 from strandwork.operators.grouped import aligning, assembly, frames
 from strandwork.plans.registry import plain, query
 from strandwork.plans.row_queries import turns
-from strandwork.plans.tables import acgt, line_hits, load, reads
+from strandwork.plans.tables import PLACE, acgt, line_hits, load, reads
 
 
 def _references(spark, d):
@@ -223,9 +223,12 @@ def search_stage(spark, d):
     from strandwork.plans import stages
 
     part = load(spark, d, "part")
-    lines = line_hits(spark, d).select("header", F.col("target").cast("string").alias("target"), "frame", (F.col("score") * 1e-12).alias("evalue"), "score", "qstart", "qend")
+    lines = line_hits(spark, d, placed=True).select("header", F.col("target").cast("string").alias("target"), "frame", "score", "qstart", "qend", *PLACE)
     # Dealt by target once: rows that are equal lie together then, and with their target.
-    raw = lines.join(part.select(F.col("p_partkey").cast("string").alias("target")).hint("shuffle_hash"), "target", "left_semi").dropDuplicates(["header", "target", "frame", "qstart"])
+    raw = lines.join(part.select(F.col("p_partkey").cast("string").alias("target")).hint("shuffle_hash"), "target", "left_semi")
+    # Of hits that differ in their scores alone the first one in the table.
+    raw = raw.groupBy("header", "target", "frame", "qstart").agg(F.min_by(F.struct("score", "qend"), F.struct(*PLACE)).alias("x"))
+    raw = raw.select("header", "target", "frame", (F.col("x.score") * 1e-12).alias("evalue"), "x.score", "qstart", "x.qend")
     targets = part.where("p_size > 3").select(F.col("p_brand").alias("gene"), F.concat(F.lit("t"), (F.col("p_partkey") % 20).cast("string")).alias("taxon"), F.col("p_partkey").cast("string").alias("target"), F.col("p_size").alias("aa_len"))
     return stages.search(raw, targets)["hits"].select("gene", "header", "target", "frame", "qstart", "qend", "score", "cluster")
 
