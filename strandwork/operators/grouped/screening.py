@@ -10,11 +10,14 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strandwork.functions.blosum import SCORES, UNKNOWN, blosum62_distance, codes
+from strandwork.functions.msa import data_end, data_start
 from strandwork.operators.grouped.columns import GAP, Counts, Row, consensus, letters, reference_counts, span
 from strandwork.operators.grouped.trimming import average_match
 from strandwork.operators.outliers import gap_free_distance
+from strandwork.scratch import written
 
 Distance = Callable[[str, str], float]
 
@@ -237,12 +240,141 @@ def best_isoform(isoforms: list[Row], group: list[str]) -> str | None:
     return min(isoforms, key=lambda r: (-score(r), -r.data(), r.name)).name if isoforms else None
 
 
-def screened(rows: DataFrame, references: DataFrame, times: float = 1.75, distance: Distance = blosum62_distance) -> DataFrame:
-    """distance_outliers() for rows and references (gene, name, seq): gene, name, statistic, bound, grade."""
+def _places(texts: list[str], width: int) -> np.ndarray:
+    """[row, place] code points of texts, padded with gaps."""
+    out = np.full((len(texts), width), ord(GAP), np.uint8)
+    for k, t in enumerate(texts):
+        own = codes(t)[:width]
+        out[k, : len(own)] = own
+    return out
 
-    def run(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        refs = [Row(r.name, r.seq) for r in known.sort_values("name", kind="stable")[["name", "seq"]].itertuples(index=False)] if len(known) else []
-        found = distance_outliers([Row(r.name, r.seq) for r in pdf[["name", "seq"]].itertuples(index=False)] if len(pdf) else [], refs, times, distance=distance)
-        return pd.DataFrame([(pdf["gene"].iloc[0], n, v["statistic"], v["bound"], v["grade"]) for n, v in found.items()], columns=["gene", "name", "statistic", "bound", "grade"])
 
-    return rows.groupBy("gene").cogroup(references.groupBy("gene")).applyInPandas(run, "gene string, name string, statistic double, bound double, grade string")
+def block_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """blosum62_distance() of every row of ``a`` with every row of ``b`` (code points, of one width): the sums of _all_distances()."""
+    out = np.full((len(a), len(b)), np.nan)
+    kinds = [c for c in np.union1d(a, b).tolist() if SCORES[c, c] > UNKNOWN]
+    if not kinds:
+        return out
+    number = np.full(256, len(kinds), np.int64)
+    number[kinds] = np.arange(len(kinds))
+    table = np.zeros((len(kinds) + 1, len(kinds) + 1), np.float32)
+    table[:-1, :-1] = SCORES[np.ix_(kinds, kinds)]
+    x, y = number[a], number[b]
+    both, whole = np.zeros(out.shape, np.float32), np.zeros(out.shape, np.float32)
+    for c in range(len(kinds)):
+        both += table[x, c] @ (y == c).astype(np.float32).T
+    whole += table[x, x] @ (y < len(kinds)).astype(np.float32).T + (x < len(kinds)).astype(np.float32) @ table[y, y].T
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(whole > 0, np.maximum(0.0, 1 - 2 * both.astype(np.float64) / whole), out)
+
+
+#: References, and rows, of a block of screened(), and spans that are looked up at once.
+SCREEN_REFERENCES, SCREEN_ROWS, SCREEN_SPANS = 1024, 256, 4096
+
+
+def counted_midpoint(values: np.ndarray, count: np.ndarray, p: float) -> float:
+    """midpoint() of ascending values that occur so often."""
+    upto = np.cumsum(count)
+    at = (int(upto[-1]) - 1) * p
+    pick = lambda k: float(values[np.searchsorted(upto, k, "right")])
+    return (pick(math.floor(at)) + pick(math.ceil(at))) / 2
+
+
+def screened(rows: DataFrame, references: DataFrame, times: float = 1.75, distance: Distance = blosum62_distance, floor: float = 0.02, least_columns: int = 10, least_share: float = 0.33, data: float = 0.5) -> DataFrame:
+    """distance_outliers() for rows and references (gene, name, seq): gene, name, statistic, bound, grade.
+
+    Blocks of references count for which spans of their gene's rows they have enough data. Only spans that enough of them fill are scored: blocks of those
+    references meet two by two and tell how often each distance occurs, from which the quartiles come, and blocks of rows meet them all."""
+    kind = rows.schema["gene"].dataType.simpleString()
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    same = lambda own: F.col("gene").eqNullSafe(F.col(own))
+    known = references.select(F.col("gene").alias("gene"), F.col("name").alias("name"), F.col("seq").alias("seq"))
+    s, e = data_start(F.col("seq")), data_end(F.col("seq"))
+    own = rows.select("gene", "name", "seq", *[F.when(e > s, x).otherwise(0).cast("int").alias(c) for c, x in (("start", s), ("end", e))])
+
+    # How many references have enough data on each span, by blocks of references.
+    sizes = known.groupBy(F.col("gene").alias("__gene")).agg(F.count("*").alias("__all"), F.ceil(F.count("*") / SCREEN_REFERENCES).cast("int").alias("__blocks"))
+    spans = own.where(F.col("end") - F.col("start") >= least_columns).groupBy("gene").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    dealt = spans.join(sizes, same("__gene")).select("gene", "spans", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("block"))
+    dealt = dealt.select(*[F.col(c).alias(c) for c in dealt.columns])  # columns of its own: both sides may come from the same table
+    parts = known.join(sizes, same("__gene")).select("gene", "seq", F.pmod(F.xxhash64("name", "seq"), F.col("__blocks")).cast("int").alias("block"))
+
+    def fill(refs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(refs) or not len(asked):
+            return pd.DataFrame(columns=["gene", "start", "end", "n"])
+        at = np.array([(x["start"], x["end"]) for x in asked["spans"].iloc[0]], np.int64).reshape(-1, 2)
+        m = _places(refs["seq"].tolist(), int(at[:, 1].max())) != ord(GAP)
+        upto = np.concatenate([np.zeros((len(m), 1), np.int32), np.cumsum(m, 1, dtype=np.int32)], 1)
+        count = np.concatenate([(upto[:, x[:, 1]] - upto[:, x[:, 0]] >= data * (x[:, 1] - x[:, 0])).sum(0) for x in (at[i : i + SCREEN_SPANS] for i in range(0, len(at), SCREEN_SPANS))])
+        some = count > 0
+        if not some.any():
+            return pd.DataFrame(columns=["gene", "start", "end", "n"])
+        return pd.DataFrame({"gene": [asked["gene"].iloc[0]] * int(some.sum()), "start": at[some, 0], "end": at[some, 1], "n": count[some]})
+
+    found = parts.repartition(n, "gene", "block").groupBy("gene", "block").cogroup(dealt.repartition(n, "gene", "block").groupBy("gene", "block")).applyInPandas(fill, f"gene {kind}, start int, end int, n long")
+    filled = found.groupBy("gene", "start", "end").agg(F.sum("n").alias("n"))
+    enough = filled.join(sizes, same("__gene")).where(F.col("n") >= F.greatest(F.lit(2.0), least_share * F.col("__all")))
+    scored = written(enough.select("gene", "start", "end", F.ceil(F.col("n") / SCREEN_REFERENCES).cast("int").alias("blocks")), "scored-spans")
+
+    # The references of each such span, cut to it.
+    at = [F.col(c).alias(f"__{c}") for c in ("gene", "start", "end", "blocks")]
+    text = F.substring(F.col("seq"), F.col("__start") + 1, F.col("__end") - F.col("__start"))
+    cut = known.join(scored.select(*at), same("__gene")).withColumn("text", text).where(F.length(F.translate("text", GAP, "")) >= data * (F.col("__end") - F.col("__start")))
+    cut = written(cut.select("gene", F.col("__start").alias("start"), F.col("__end").alias("end"), "name", "text", "__blocks", F.pmod(F.xxhash64("name", "seq"), F.col("__blocks")).cast("int").alias("block")), "scored-references")
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        a, b = (pdf[pdf["block"] == k] for k in (i, j))
+        size = int(pdf["end"].iloc[0] - pdf["start"].iloc[0])
+        if distance is blosum62_distance:
+            d = block_distances(_places(a["text"].tolist(), size), _places(b["text"].tolist(), size))
+        else:
+            d = np.array([[distance(x, y) for y in b["text"]] for x in a["text"]], float).reshape(len(a), len(b))
+        root = lambda own: np.unique([x[:-8] for x in [*a["name"], *b["name"]]], return_inverse=True)[1][own]
+        long = lambda own: (own["name"].str.len() > 8).to_numpy()
+        d[(root(slice(0, len(a)))[:, None] == root(slice(len(a), None))) & long(a)[:, None] & long(b)] = np.nan
+        d = d[np.triu_indices(len(a), 1)] if i == j else d.ravel()
+        values, count = np.unique(d[~np.isnan(d)], return_counts=True)
+        if not len(values):
+            return pd.DataFrame(columns=["gene", "start", "end", "value", "n"])
+        return pd.DataFrame({"gene": [pdf["gene"].iloc[0]] * len(values), "start": int(pdf["start"].iloc[0]), "end": int(pdf["end"].iloc[0]), "value": values, "n": count})
+
+    # Block b meets itself and all others: (i, j) with i <= j.
+    met = F.transform(F.sequence(F.lit(0), F.col("__blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
+    pair = cut.select("gene", "start", "end", "name", "text", "block", F.inline(met))
+    keys = ["gene", "start", "end"]
+    counts = pair.repartition(n, *keys, "i", "j").groupBy(*keys, "i", "j").applyInPandas(pairs, f"gene {kind}, start int, end int, value double, n long").groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+
+    def bound_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("value")
+        q1, q3 = (counted_midpoint(pdf["value"].to_numpy(), pdf["n"].to_numpy(), p) for p in (0.25, 0.75))
+        return pd.DataFrame([(pdf["gene"].iloc[0], int(pdf["start"].iloc[0]), int(pdf["end"].iloc[0]), q3 + times * max(q3 - q1, floor))], columns=[*keys, "bound"])
+
+    bounds = counts.groupBy(*keys).applyInPandas(bound_of, f"gene {kind}, start int, end int, bound double")
+
+    # Rows of those spans, in blocks, with all references of their span.
+    on = lambda: same("__gene") & (F.col("start") == F.col("__start")) & (F.col("end") == F.col("__end"))
+    judged = own.join(scored.select(*at), on(), "left_semi")
+    many = judged.groupBy(*[F.col(c).alias(f"__{c}") for c in keys]).agg(F.ceil(F.count("*") / SCREEN_ROWS).cast("int").alias("__rows"))
+    mine = judged.join(many, on()).withColumn("block", F.pmod(F.xxhash64("name", "seq"), F.col("__rows")).cast("int")).select(*keys, "block", "name", F.substring(F.col("seq"), F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+    others = cut.join(many, on()).select(*keys, "text", F.explode(F.sequence(F.lit(0), F.col("__rows") - 1)).alias("block"))
+    others = others.select(*[F.col(c).alias(c) for c in others.columns])
+
+    def judge(pdf: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame(columns=["gene", "start", "end", "name", "statistic"])
+        size = int(pdf["end"].iloc[0] - pdf["start"].iloc[0])
+        if distance is blosum62_distance:
+            d = block_distances(_places(pdf["text"].tolist(), size), _places(refs["text"].tolist(), size))
+        else:
+            d = np.array([[distance(x, y) for y in refs["text"]] for x in pdf["text"]], float).reshape(len(pdf), len(refs))
+        value = [float(np.median(np.append(x, 0.0))) if len(x) else None for x in (x[~np.isnan(x)] for x in d)]
+        return pd.DataFrame({"gene": pdf["gene"], "start": pdf["start"], "end": pdf["end"], "name": pdf["name"], "statistic": value})
+
+    keyed = lambda df: df.repartition(n, *keys, "block").groupBy(*keys, "block")
+    statistic = keyed(mine).cogroup(keyed(others)).applyInPandas(judge, f"gene {kind}, start int, end int, name string, statistic double")
+    ends = [F.col(c).alias(f"__{c}") for c in keys]
+    result = statistic.join(bounds.select(*ends, "bound"), on(), "left")
+    grade = F.when(F.col("bound").isNull() | F.col("statistic").isNull(), "unscored").when(F.col("statistic") <= F.col("bound"), "pass").otherwise("fail")
+    none = own.join(scored.select(*at), on(), "left_anti").select("gene", "name", F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("bound"), F.lit("unscored").alias("grade"))
+    return none.unionByName(result.select("gene", "name", "statistic", "bound", grade.alias("grade")))

@@ -139,16 +139,18 @@ def cluster_majority(rows: DataFrame, reference_columns: DataFrame, distance: in
     """A30. Clusters by node number of rows (gene, node, seq, passed), gaps of more than ``distance`` apart: first and last node, the
     share of the gene's reference columns (gene, columns) that they cover together, and the share that passed. A cluster of one
     counts only if it covers more than ``single``."""
-    from strandwork.operators.islands import id_clusters
-
-    letters = F.filter(F.split("seq", ""), lambda c: c != "")
-    own = F.filter(F.transform(letters, lambda c, i: F.when(c != "-", i)), lambda i: i.isNotNull())
-    known = rows.join(reference_columns, "gene").withColumn("__own", F.array_intersect(own, "columns")).withColumn("__all", F.size("columns"))
-    marked = id_clusters(known, ["gene"], "node", distance, ["passed"])
-    out = marked.groupBy("gene", "cluster").agg(
-        F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n"), F.avg(F.col("passed").cast("double")).alias("passed"),
-        (F.size(F.array_distinct(F.flatten(F.collect_list("__own")))) / F.first("__all")).alias("coverage"),
-    )
+    from strandwork.operators.islands import id_clusters_in_ranges
+
+    known = rows.join(reference_columns.select("gene", F.size("columns").alias("__all")), "gene")
+    marked = id_clusters_in_ranges(known, ["gene"], "node", distance, ["passed"])
+    # Columns with data are counted where the rows are; a cluster may hold all rows of a gene.
+    key = F.concat_ws("\x1f", F.col("cluster").cast("string"), F.col("gene").cast("string"))
+    places = tallied(marked.select(key.alias("__key"), "seq"), "__key").where("ch != '-'").select("__key", "place").distinct()
+    kind = rows.schema["gene"].dataType
+    named = places.select(F.substring_index("__key", "\x1f", 1).cast("long").alias("cluster"), F.expr("substring(__key, instr(__key, '\x1f') + 1)").cast(kind).alias("gene"), "place")
+    covered = named.join(reference_columns.select("gene", F.explode("columns").alias("place")), ["gene", "place"], "left_semi").groupBy("gene", "cluster").agg(F.count("*").alias("__n"))
+    out = marked.groupBy("gene", "cluster").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n"), F.avg(F.col("passed").cast("double")).alias("passed"), F.first("__all").alias("__all"))
+    out = out.join(covered, ["gene", "cluster"], "left").withColumn("coverage", F.coalesce("__n", F.lit(0)) / F.col("__all"))
     return out.where((F.col("n") > 1) | (F.col("coverage") > single)).select("gene", "first", "last", "n", "coverage", "passed")
 
 
