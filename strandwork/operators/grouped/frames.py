@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from strandwork.functions.msa import compared, data_end, data_start
 from strandwork.operators.columns import consensus
-from strandwork.operators.grouped import aligning, assembly, clusters, columns, merging, profiles, screening, trimming
+from strandwork.operators.grouped import aligning, assembly, clusters, columns, deviation, merging, profiles, screening, trimming
 from strandwork.operators.grouped.columns import GAP, Row
 from strandwork.operators.tallies import tallied
 from strandwork.scratch import written
@@ -55,6 +55,8 @@ def with_references(rows: DataFrame, references: DataFrame, fn: Callable[[pd.Dat
 #: Rows of a block: what one call holds beside the counts of its gene; of aligned texts, which may be far longer, fewer.
 BLOCK_ROWS = 1024
 ALIGNED_ROWS = 256
+#: Rows of a gene whose distances one task holds.
+WHOLE_ROWS = 3072
 #: Letters of hits that are merged before what they gave is sent on.
 MERGED_LETTERS = 1 << 22
 
@@ -197,14 +199,31 @@ def severe(rows: DataFrame, threshold: float = 0.5, floor: float = 0.2, times: f
 
 
 def deviating(rows: DataFrame, floor: float = 0.03, times: float = 1.0, rounds: int = 3, halves: bool = False) -> DataFrame:
-    """A28. Rows too far from the others: gene, name, part (whole, first or second)."""
+    """A28. Rows too far from the others: gene, name, part (whole, first or second). A gene of up to WHOLE_ROWS rows is one task, larger
+    ones meet in blocks."""
+    rows = rows.select("gene", "name", "seq")
+    large = rows.groupBy(F.col("gene").alias("__gene")).agg(F.count("*").alias("n")).where(F.col("n") > WHOLE_ROWS).select("__gene")
+    of = lambda df, other, how: df.join(other, F.col("gene").eqNullSafe(F.col("__gene")), how)
+    some = not large.isEmpty()
 
     def run(pdf: pd.DataFrame) -> list[tuple]:
         if halves:
             return sorted(screening.deviating_halves(_rows(pdf), floor=floor, times=times, rounds=rounds).items())
         return [(n, "whole") for n in screening.deviating_rows(_rows(pdf), floor, times, rounds)]
 
-    return by_gene(rows, run, "name string, part string")
+    found = by_gene(of(rows, large, "left_anti") if some else rows, run, "name string, part string")
+    if not some:
+        return found
+    own = of(rows, large, "left_semi")
+    far = lambda text: deviation.deviating_in_blocks(text, floor, times, rounds)
+    if not halves:
+        return found.unionByName(far(own).withColumn("part", F.lit("whole")))
+    parts = written(deviation.parts_of(own), "deviation-parts")
+    first = far(parts.select("gene", "name", F.col("first").alias("seq")))
+    gone = first.select(F.col("gene").alias("__gene"), F.col("name").alias("__name"))
+    stay = parts.join(gone, F.col("gene").eqNullSafe(F.col("__gene")) & (F.col("name") == F.col("__name")), "left_anti")
+    second = far(stay.select("gene", "name", F.col("second").alias("seq")))
+    return found.unionByName(first.withColumn("part", F.lit("first"))).unionByName(second.withColumn("part", F.lit("second")))
 
 
 def profile_filtered(rows: DataFrame, references: DataFrame, least: float = 0.3) -> DataFrame:
